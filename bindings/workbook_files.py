@@ -37,15 +37,19 @@ def workbook_bytes(rows: list[list[str | None]], width: int = RAW_WIDTH) -> byte
         header[position] = title
     lines = [header, ["说明"] * width, *rows]
     sheet = "".join("<row>" + "".join(_cell(v) for v in line) + "</row>" for line in lines)
+    parts = {
+        "[Content_Types].xml": "<Types/>",
+        "xl/workbook.xml": f'<workbook {_NS} xmlns:r="{_DOC_REL}"><sheets><sheet name="s" sheetId="1" r:id="rId1"/>'
+                           "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_PKG_REL}"><Relationship Id="rId1" '
+                                      f'Type="{_DOC_REL}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f"<worksheet {_NS}><sheetData>{sheet}</sheetData></worksheet>",
+    }
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr("[Content_Types].xml", "<Types/>")
-        archive.writestr("xl/workbook.xml", f'<workbook {_NS} xmlns:r="{_DOC_REL}"><sheets>'
-                         '<sheet name="s" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        archive.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_PKG_REL}">'
-                         f'<Relationship Id="rId1" Type="{_DOC_REL}/worksheet" Target="worksheets/sheet1.xml"/>'
-                         "</Relationships>")
-        archive.writestr("xl/worksheets/sheet1.xml", f"<worksheet {_NS}><sheetData>{sheet}</sheetData></worksheet>")
+        for name, text in parts.items():
+            # A fixed time stamp keeps the digest of equal content equal.
+            archive.writestr(zipfile.ZipInfo(name, (2025, 1, 1, 0, 0, 0)), text, zipfile.ZIP_DEFLATED)
     return buffer.getvalue()
 
 

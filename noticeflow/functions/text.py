@@ -21,18 +21,21 @@ def as_col(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _stripped(value: ColumnOrName) -> Column:
+    return F.btrim(as_col(value).cast("string"), F.lit(WHITESPACE))
+
+
 def clean(value: ColumnOrName) -> Column:
     """Strip Unicode white space; blank becomes NULL.
 
     ``btrim`` with a character set is code-generated, so a long body is not
     walked by a regular expression.
     """
-    stripped = F.btrim(as_col(value).cast("string"), F.lit(WHITESPACE))
-    return F.nullif(stripped, F.lit(""))
+    return F.nullif(_stripped(value), F.lit(""))
 
 
 def is_blank(value: ColumnOrName) -> Column:
-    return clean(value).isNull()
+    return F.coalesce(_stripped(value) == "", F.lit(True))
 
 
 def truncate(value: ColumnOrName, length: int) -> Column:

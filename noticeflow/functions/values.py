@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schema import AMOUNT
-from .text import ColumnOrName, as_col, clean
+from .text import WHITESPACE, ColumnOrName, as_col
 
 DAY_PATTERN = r"[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}"
 AMOUNT_LIMIT = 10 ** 15
@@ -20,18 +20,19 @@ def parse_day(value: ColumnOrName) -> Column:
 
 
 def _amount_text(value: ColumnOrName) -> Column:
-    return F.nullif(F.translate(clean(value), ",￥¥", ""), F.lit(""))
+    # Empty text does not cast, so it needs no special case.
+    return F.btrim(F.translate(as_col(value).cast("string"), ",￥¥", ""), F.lit(WHITESPACE))
 
 
 def parse_amount(value: ColumnOrName) -> Column:
     """Money text as DECIMAL(38,18); NULL when unreadable or |x| >= 10^15."""
-    number = F.btrim(_amount_text(value)).try_cast(AMOUNT)
+    number = _amount_text(value).try_cast(AMOUNT)
     return F.when(F.abs(number) < AMOUNT_LIMIT, number)
 
 
 def unparsed_amount(value: ColumnOrName) -> Column:
     """True where there is text but no readable amount."""
-    return _amount_text(value).isNotNull() & parse_amount(value).isNull()
+    return F.coalesce(_amount_text(value) != "", F.lit(False)) & parse_amount(value).isNull()
 
 
 def quantize_half_up(value: ColumnOrName, scale: int) -> Column:

@@ -7,50 +7,63 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (classify_stage, clean, content_hash, fits_or_blank, parse_amount, parse_day,
-                         quantize_half_up, source_key, title_fallback, truncate, unparsed_amount)
+from ..functions import (classify_stage, clean, content_hash, fingerprint, fits_or_blank, parse_amount,
+                         parse_day, quantize_half_up, truncate, unparsed_amount)
 from ..operators.dedup import dedup_first
 from ..operators.disposition import batch_report, counts_by_date, with_disposition
-from ..operators.filters import (allow_categories, has_fields, quarantine_oversize, skip_blank_rows,
+from ..operators.filters import (allow_categories, quarantine_oversize, skip_blank_rows,
                                  skipped_by_category)
-from ..schema import (ALLOWED_CATEGORIES, COMPACT_FIELDS, COMPACT_SCALES, FIELD_RULES, KEY_COLUMNS,
-                      MAX_CONTENT_CHARS, MAX_PROJECT_NUMBER, NOTICE_FIELDS, RAW_COLUMNS, ROW_ORIGIN)
+from ..schema import (ALLOWED_CATEGORIES, COMPACT_FIELDS, COMPACT_SCALES, FALLBACK_TITLE, FIELD_RULES, KEY_COLUMNS,
+                      MAX_CONTENT_CHARS, MAX_PROJECT_NUMBER, NOTICE_FIELDS, QUARANTINE_EXTRA,
+                      RAW_COLUMNS, ROW_ORIGIN,
+                      TITLE_CONTENT_CHARS)
 
 WARNING_FLAGS = ["_unparsed_amount", "_project_number_truncated"]
 
 
+def complete() -> Column:
+    """A notice has its two required fields."""
+    return F.col("release_date__c").isNotNull() & F.col("Source_Content__c").isNotNull()
+
+
 def _rule(raw: int, kind: str, length: int | None) -> Column:
-    text = clean(f"c{raw}")
+    text = F.col(f"c{raw}")
     match kind:
         case "prefix":
             return truncate(text, length)
         case "fits":
             return fits_or_blank(text, length)
         case "day":
-            return parse_day(f"c{raw}")
+            return parse_day(text)
         case "amount":
-            return parse_amount(f"c{raw}")
+            return parse_amount(text)
         case _:
             return text
 
 
 def to_notices(raw: DataFrame) -> DataFrame:
-    """The 44 notice fields plus row origin and warning flags."""
-    title = title_fallback("c5", "c11", "c7")
+    """The 44 notice fields plus row origin and warning flags.
+
+    Cells are stripped in a projection of their own, once, and every rule reads
+    the stripped cell.
+    """
+    cells = skip_blank_rows(raw, RAW_COLUMNS).select(*ROW_ORIGIN, *[clean(c).alias(c) for c in RAW_COLUMNS])
+    dated = cells.withColumns({"_day": parse_day("c8"), "_title": F.coalesce(
+        "c5", "c11", truncate("c7", TITLE_CONTENT_CHARS), F.lit(FALLBACK_TITLE))})
     fields = {name: _rule(*rule) for name, rule in FIELD_RULES.items()}
     fields |= {
-        "Source_Key__c": source_key(parse_day("c8"), [f"c{i}" for i in KEY_COLUMNS]),
-        "Name": truncate(title, 80),
-        "Full_Title__c": truncate(title, 255),
-        "Tender_Stage__c": classify_stage(clean("c6")),
-        "Source_Content_Hash__c": content_hash(clean("c7")),
+        "release_date__c": F.col("_day"),
+        "Source_Key__c": fingerprint(["_day", *[f"c{i}" for i in KEY_COLUMNS]]),
+        "Name": truncate("_title", 80),
+        "Full_Title__c": truncate("_title", 255),
+        "Tender_Stage__c": classify_stage("c6"),
+        "Source_Content_Hash__c": content_hash("c7"),
         "Source_File__c": truncate("_file", 255),
     }
-    filled = skip_blank_rows(raw, RAW_COLUMNS)
-    return filled.select(
+    return dated.select(
         *[fields[name].alias(name) for name in NOTICE_FIELDS], *ROW_ORIGIN,
         (unparsed_amount("c15") | unparsed_amount("c16")).alias("_unparsed_amount"),
-        (F.length(clean("c13")) > MAX_PROJECT_NUMBER).alias("_project_number_truncated"))
+        F.coalesce(F.length("c13") > MAX_PROJECT_NUMBER, F.lit(False)).alias("_project_number_truncated"))
 
 
 def project_to_target(notices: DataFrame, fields: dict[str, str] = COMPACT_FIELDS,
@@ -66,7 +79,15 @@ def label_notices(notices: DataFrame) -> DataFrame:
     category = F.col("Publication_Category__c")
     return with_disposition(
         notices, "Source_Key__c", ["_path", "_row"], category.isin(*ALLOWED_CATEGORIES),
-        has_fields("release_date__c", "Source_Content__c"), F.length("Source_Content__c"), MAX_CONTENT_CHARS)
+        complete(), F.length("Source_Content__c"), MAX_CONTENT_CHARS)
+
+
+def split_firsts(notices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(written, quarantined): the first row of each key, split by body length."""
+    kept = allow_categories(notices, "Publication_Category__c").where(complete())
+    firsts = dedup_first(kept, ["Source_Key__c"], ["_path", "_row"])
+    fits, over = quarantine_oversize(firsts, "Source_Content__c", "_path")
+    return fits.select(*NOTICE_FIELDS), over.select(*NOTICE_FIELDS, *QUARANTINE_EXTRA)
 
 
 @dataclass
@@ -84,17 +105,12 @@ class Prepared:
 def prepare(raw: DataFrame) -> Prepared:
     """Filter, key, de-duplicate and split a batch of raw rows."""
     notices = to_notices(raw)
-    kept = allow_categories(notices, "Publication_Category__c")
-    complete = has_fields("release_date__c", "Source_Content__c")
-    firsts = dedup_first(kept.where(complete), ["Source_Key__c"], ["_path", "_row"])
-    fits, over = quarantine_oversize(firsts, "Source_Content__c", "_path")
-    labelled = label_notices(notices)
+    written, quarantined = split_firsts(notices)
     return Prepared(
-        written=fits.select(*NOTICE_FIELDS),
-        quarantined=over.select(*NOTICE_FIELDS, "Source_File_Path", "Content_Length", "Block_Reason"),
-        report=batch_report(labelled, "_path", {
+        written=written, quarantined=quarantined,
+        report=batch_report(label_notices(notices), "_path", {
             "unparsed_amount": F.col("_unparsed_amount"),
             "project_number_truncated": F.col("_project_number_truncated")}),
-        by_date=counts_by_date(fits, "release_date__c"),
+        by_date=counts_by_date(written, "release_date__c"),
         skipped=skipped_by_category(notices, "Publication_Category__c"),
-        incomplete=kept.where(~complete))
+        incomplete=allow_categories(notices, "Publication_Category__c").where(~complete()))

@@ -10,17 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.compare import key_presence
-from ..operators.disposition import BLOCKED, WRITTEN, batch_report
-from ..operators.filters import quarantine_reason
+from ..operators.disposition import batch_report
 from ..operators.gates import GateError, assert_gate, verify_modified_since, warnings_gate
 from ..operators.incremental import merge_quarantine, pending_files
-from ..schema import MANIFEST_SCHEMA, NOTICE_FIELDS
+from ..schema import ALLOWED_CATEGORIES, MANIFEST_SCHEMA
 from ..session import shared_dir
 from ..sinks.files import commit_manifest, current_snapshot, write_snapshot
 from ..sinks.upsert import upsert_partitions
 from ..sources.files import with_digest
 from ..sources.workbooks import parse_workbooks, resolve_formulas
-from .prepare import WARNING_FLAGS, label_notices, to_notices
+from .prepare import WARNING_FLAGS, complete, label_notices, split_firsts, to_notices
 
 KEY, DAY, MODIFIED = "Source_Key__c", "release_date__c", "LastModifiedDate"
 
@@ -45,17 +44,10 @@ def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def _stage(labelled: DataFrame, folder: str) -> DataFrame:
-    """Write the labelled batch once; later steps read only the parts they need.
-
-    Rows that are only counted lose their bodies before they are written.
-    """
-    kept = F.col("disposition").isin(WRITTEN, BLOCKED)
-    slim = labelled.withColumns({c: F.when(kept, F.col(c)) for c in
-                                 ("Source_Content__c", "content__c", "Project_Scope__c")})
-    sized = slim.withColumn("_length", F.length("Source_Content__c"))
-    sized.write.partitionBy("disposition").parquet(folder)
-    return labelled.sparkSession.read.schema(sized.schema).parquet(folder)
+def _stage(notices: DataFrame, folder: str) -> DataFrame:
+    """Parse and type the batch once, into the shared folder; all later steps read columns of it."""
+    notices.write.parquet(folder)
+    return notices.sparkSession.read.schema(notices.schema).parquet(folder)
 
 
 def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: bool = False,
@@ -76,22 +68,21 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
 
     started = datetime.now(timezone.utc)
     raw = resolve_formulas(parse_workbooks(files.join(chosen, "path", "left_semi")))
-    staged = _stage(label_notices(to_notices(raw)), shared_dir(spark, "stage"))
-    assert_gate(warnings_gate(staged, {
-        **{flag.lstrip("_"): F.col(flag) & (F.col("disposition") != "skipped_category") for flag in WARNING_FLAGS},
-        "missing_key_data": F.col("disposition") == "missing_key"}), "batch has warnings, nothing was loaded")
-    report = batch_report(staged, "_path").first().asDict()
-
-    blocked = staged.where(F.col("disposition") == BLOCKED).select(
-        *NOTICE_FIELDS, F.col("_path").alias("Source_File_Path"), F.col("_length").alias("Content_Length"),
-        quarantine_reason("_length").alias("Block_Reason"))
+    staged = _stage(to_notices(raw), shared_dir(spark, "stage"))
+    labelled = label_notices(staged)
+    considered = staged.where(F.col("Publication_Category__c").isin(*ALLOWED_CATEGORIES))
+    assert_gate(warnings_gate(considered, {
+        **{flag.lstrip("_"): F.col(flag) for flag in WARNING_FLAGS},
+        "missing_key_data": ~complete()}), "batch has warnings, nothing was loaded")
+    report = batch_report(labelled, "_path").first().asDict()
+
+    written, blocked = split_firsts(staged)
     queue = blocked.limit(0) if queue_folder is None else spark.read.parquet(queue_folder)
     merged = merge_quarantine(queue, blocked, chosen.withColumnRenamed("path", "Source_File_Path"),
                               "Source_File_Path", "Source_Row_Number__c", [KEY])
     waiting = spark.read.parquet(write_snapshot(merged, paths.queue)).count()
 
-    source = (staged.where(F.col("disposition") == WRITTEN).select(*NOTICE_FIELDS)
-              .withColumn(MODIFIED, F.lit(started).cast("timestamp")))
+    source = written.withColumn(MODIFIED, F.lit(started).cast("timestamp"))
     rows, inserted, job_id = report["rows_written"], 0, None
     if rows:
         first_load = not _exists(spark, paths.target)

@@ -41,7 +41,7 @@ def append_checkpoint(days: DataFrame, path: str) -> None:
 
 def _pointer(spark: SparkSession, root: str):
     jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_current")
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 

@@ -172,22 +172,26 @@ def parse_workbooks(files: DataFrame) -> DataFrame:
 def unreadable_formulas(raw: DataFrame) -> DataFrame:
     """(path, row, column, formula) of formulas that are not hyperlinks."""
     cells = F.array(*RAW_COLUMNS)
-    return (raw.select("_path", "_row", F.explode("_formulas").alias("column"), cells.alias("_cells"))
+    return (raw.where(F.size("_formulas") > 0)
+            .select("_path", "_row", F.explode("_formulas").alias("column"), cells.alias("_cells"))
             .select("_path", "_row", "column", F.col("_cells")[F.col("column")].alias("formula"))
             .where(~is_hyperlink("formula")))
 
 
 def resolve_formulas(raw: DataFrame) -> DataFrame:
-    """Replace hyperlink formulas by their visible text; any other formula fails the job."""
-    def resolved(index: int, name: str):
-        value = F.col(name)
-        broken = F.raise_error(F.concat(F.lit(f"column {index + 1}: formula is not a hyperlink in "),
-                                        F.col("_path")))
-        return (F.when(~F.array_contains("_formulas", index), value)
-                .when(is_hyperlink(value), hyperlink_text(value))
-                .otherwise(broken.cast("string")).alias(name))
-
-    return raw.select("_path", "_file", "_row", *[resolved(i, n) for i, n in enumerate(RAW_COLUMNS)])
+    """Replace hyperlink formulas by their visible text; any other formula fails the job.
+
+    The 33 cells go through one array expression and come out of a generator,
+    which the optimizer does not copy into later projections and filters.
+    """
+    def shown(text, index):
+        where = F.concat_ws(" ", F.lit("formula is not a hyperlink:"), F.col("_path"), F.col("_row").cast("string"), index.cast("string"))
+        readable = F.coalesce(hyperlink_text(text), F.raise_error(where).cast("string"))
+        return F.when(F.array_contains("_formulas", index), readable).otherwise(text)
+
+    cells = F.transform(F.array(*RAW_COLUMNS), shown)
+    row = F.transform(F.array(cells), lambda c: F.struct(*[c[i].alias(n) for i, n in enumerate(RAW_COLUMNS)]))
+    return raw.select("_path", "_file", "_row", F.inline(row))
 
 
 def read_workbooks(spark: SparkSession, root: str, glob: str = "*.xlsx") -> DataFrame:
