@@ -1,2 +1,61 @@
+"""Structured Streaming queries over the event table, run to the end of the input."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from noticeflow.session import shared_dir
+from noticeflow.streaming import landing
+
+from .common import day, table
+
 Q: dict = {}
 SQL: dict = {}
+
+
+def _events(spark, d):
+    schema = table(spark, d, "events").schema
+    return landing.stream_landing(spark, d, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _finished(query):
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def latest_by_key(spark, d):
+    base = shared_dir(spark, "stream")
+    stream = _events(spark, d).select(
+        F.concat_ws(":", "event_type", "user_id").alias("key"), "event_type", "event_id", "ts", "value")
+    _finished(landing.stream_upsert(stream, f"{base}/target", "key", ["ts", "event_id"], "event_type", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/target").select("key", "event_type", "event_id", "value")
+
+
+Q["stream_upsert"] = latest_by_key
+SQL["stream_upsert"] = """SELECT key, event_type, event_id, value FROM (SELECT event_type || ':' || user_id AS key, event_type, event_id, value,
+ row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+
+
+def first_wins(spark, d):
+    base = shared_dir(spark, "stream")
+    stream = _events(spark, d).withColumn("date", day("ts"))
+    kept = landing.stream_first_wins(stream, ["user_id", "event_type", "date"], "ts", "1 day")
+    _finished(landing.write_table(kept.select("user_id", "event_type", "date"), f"{base}/out", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/out")
+
+
+Q["stream_first_wins"] = first_wins
+SQL["stream_first_wins"] = "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS date FROM events"
+
+
+def daily(spark, d):
+    base = shared_dir(spark, "stream")
+    counts = landing.stream_daily_counts(_events(spark, d), "ts", "1 hour", ["event_type"])
+    _finished(landing.write_table(counts, f"{base}/out", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/out")
+
+
+Q["stream_daily_counts"] = daily
+SQL["stream_daily_counts"] = """SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL
+ HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..schema import (AWARDED_CATEGORIES, LOAD_SUCCESS, OPEN_CATEGORIES, REGIONS, STAGE_AWARDED,
                       STAGE_OPEN, STAGE_OTHER, STATUS_FAILED, STATUS_OK, STATUS_PARTIAL,
                       STATUS_WAITING)
-from .text import ColumnOrName, as_col
+from .text import ColumnOrName, as_col, bind
 
 
 def classify_stage(category: ColumnOrName, awarded: Sequence[str] = AWARDED_CATEGORIES,
@@ -27,7 +27,7 @@ def region_rank(name: ColumnOrName, regions: Sequence[str] = REGIONS) -> Column:
     listed = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r).alias("prefix"))
                        for i, r in enumerate(regions)])
     hits = F.filter(listed, lambda r: F.startswith(name, r["prefix"]))
-    return F.when(F.size(hits) == 1, hits[0]["rank"])
+    return bind(hits, lambda found: F.when(F.size(found) == 1, found[0]["rank"]))
 
 
 def run_status(status: ColumnOrName, blocked_rows: ColumnOrName) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,15 @@ def as_col(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of an intermediate value that is computed once and used many times.
+
+    A Column is an expression tree: using one in five places copies it five
+    times, and the optimizer has to walk every copy.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def _stripped(value: ColumnOrName) -> Column:
     return F.btrim(as_col(value).cast("string"), F.lit(WHITESPACE))
 
@@ -92,14 +103,16 @@ def labelled_counts(text: ColumnOrName, labels: dict[str, str]) -> Column:
     ``labels`` maps output field -> label text. Returns a struct of those fields
     plus ``error`` (name of the first field that is missing or contradictory).
     """
-    text = as_col(text)
-    numbers = {
-        name: _distinct_numbers(text, rf"\Q{label}\E\s*[:：]?\s*([0-9]+)\s*条")
-        for name, label in labels.items()
-    }
-    fields = [F.when(F.size(found) == 1, found[0]).alias(name) for name, found in numbers.items()]
-    error = F.coalesce(*[F.when(F.size(found) != 1, F.lit(name)) for name, found in numbers.items()])
-    return F.struct(*fields, error.alias("error"))
+    found = F.struct(*[
+        _distinct_numbers(as_col(text), rf"\Q{label}\E\s*[:：]?\s*([0-9]+)\s*条").alias(name)
+        for name, label in labels.items()])
+
+    def agreed(numbers: Column) -> Column:
+        fields = [F.when(F.size(numbers[n]) == 1, numbers[n][0]).alias(n) for n in labels]
+        error = F.coalesce(*[F.when(F.size(numbers[n]) != 1, F.lit(n)) for n in labels])
+        return F.struct(*fields, error.alias("error"))
+
+    return bind(found, agreed)
 
 
 # Labels of the order page.
@@ -115,19 +128,21 @@ def order_ledger(text: ColumnOrName, limit: int = HARD_LIMIT) -> Column:
     and 0 < taken <= min(limit, balance) with remaining = balance - taken.
     """
     text = as_col(text)
-    counts = labelled_counts(text, ORDER_LABELS)
-    fees_shown = F.regexp_count(text, F.lit(FEE_LABELS))
     fees_read = F.regexp_extract_all(text, F.lit(FEE_PATTERN), F.lit(1))
-    fees_zero = F.forall(fees_read, lambda x: F.coalesce(x.try_cast("decimal(38,18)") == 0, F.lit(False)))
-    taken, balance, remaining = (counts[name] for name in ORDER_LABELS)
-    error = (
-        F.when((fees_shown != F.size(fees_read)) | ~fees_zero, F.lit("fee"))
-        .when(counts["error"].isNotNull(), counts["error"])
-        .when(~((taken > 0) & (taken <= F.least(F.lit(limit), balance)) & (remaining == balance - taken)),
-              F.lit("quota"))
-    )
-    return F.struct(taken.alias("taken"), balance.alias("balance"), remaining.alias("remaining"),
-                    error.alias("error"))
+    free = (F.regexp_count(text, F.lit(FEE_LABELS)) == F.size(fees_read)) & F.forall(
+        fees_read, lambda x: F.coalesce(x.try_cast("decimal(38,18)") == 0, F.lit(False)))
+
+    def checked(page: Column) -> Column:
+        taken, balance, remaining = (page["counts"][name] for name in ORDER_LABELS)
+        consistent = ((taken > 0) & (taken <= F.least(F.lit(limit), balance))
+                      & (remaining == balance - taken))
+        error = (F.when(~page["free"], F.lit("fee"))
+                 .when(page["counts"]["error"].isNotNull(), page["counts"]["error"])
+                 .when(~consistent, F.lit("quota")))
+        return F.struct(taken.alias("taken"), balance.alias("balance"), remaining.alias("remaining"),
+                        error.alias("error"))
+
+    return bind(F.struct(labelled_counts(text, ORDER_LABELS).alias("counts"), free.alias("free")), checked)
 
 
 # Fixed pattern: result counter of a filter page.
@@ -137,11 +152,13 @@ DISPLAYED_PATTERN = r"为您筛选到\s*([0-9]+)\s*条数据"
 def displayed_count(text: ColumnOrName, tolerance: int = COUNT_TOLERANCE,
                     pattern: str = DISPLAYED_PATTERN) -> Column:
     """Largest repeated counter -> struct(count, spread, error)."""
-    values = _distinct_numbers(as_col(text), pattern)
-    spread = F.array_max(values) - F.array_min(values)
-    error = F.when(F.size(values) == 0, F.lit("missing")).when(spread > tolerance, F.lit("spread"))
-    return F.struct(F.when(error.isNull(), F.array_max(values)).alias("count"),
-                    spread.alias("spread"), error.alias("error"))
+    def widest(values: Column) -> Column:
+        spread = F.array_max(values) - F.array_min(values)
+        error = F.when(F.size(values) == 0, F.lit("missing")).when(spread > tolerance, F.lit("spread"))
+        return F.struct(F.when((F.size(values) > 0) & (spread <= tolerance), F.array_max(values)).alias("count"),
+                        spread.alias("spread"), error.alias("error"))
+
+    return bind(_distinct_numbers(as_col(text), pattern), widest)
 
 
 # Fixed values of the error summary.
@@ -154,7 +171,11 @@ def last_error_line(text: ColumnOrName, length: int = 1200) -> Column:
     """Last ``SomeError: ...`` line, else the last non-blank line; ANSI codes removed."""
     plain = F.regexp_replace(F.coalesce(as_col(text), F.lit("")), "\\x1b\\[[0-9;]*m", "")
     lines = F.transform(F.split(plain, LINE_BREAK, -1), lambda x: F.btrim(x, F.lit(WHITESPACE)))
-    errors = F.filter(lines, lambda x: x.rlike(ERROR_LINE))
-    filled = F.filter(lines, lambda x: x != "")
-    return truncate(F.coalesce(F.try_element_at(errors, F.lit(-1)),
-                               F.try_element_at(filled, F.lit(-1)), F.lit(NO_ERROR_TEXT)), length)
+
+    def pick(lines: Column) -> Column:
+        errors = F.filter(lines, lambda x: x.rlike(ERROR_LINE))
+        filled = F.filter(lines, lambda x: x != "")
+        return F.coalesce(F.try_element_at(errors, F.lit(-1)), F.try_element_at(filled, F.lit(-1)),
+                          F.lit(NO_ERROR_TEXT))
+
+    return truncate(bind(lines, pick), length)
