@@ -57,5 +57,5 @@ def daily(spark, d):
 
 
 Q["stream_daily_counts"] = daily
-SQL["stream_daily_counts"] = """SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL
- HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+SQL["stream_daily_counts"] = """SELECT date, event_type, count(*) AS n FROM (SELECT CAST(ts AS DATE) AS date, event_type FROM events)
+ WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY date, event_type"""

@@ -11,7 +11,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from noticeflow.schema import HEADER_CHECK, RAW_COLUMNS, RAW_WIDTH
@@ -53,13 +53,13 @@ def workbook_bytes(rows: list[list[str | None]], width: int = RAW_WIDTH) -> byte
     return buffer.getvalue()
 
 
-def _render(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        cells = frame[RAW_COLUMNS].astype(object).where(frame[RAW_COLUMNS].notna(), None)
-        content = [workbook_bytes([row]) for row in cells.values.tolist()]
-        yield pd.DataFrame({"path": frame["path"], "content": content})
+def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*[batch.column(name).to_pylist() for name in RAW_COLUMNS], strict=True)
+        content = [workbook_bytes([list(row)]) for row in rows]
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(content, pa.binary())], names=["path", "content"])
 
 
 def render_workbooks(rows: DataFrame) -> DataFrame:
     """(path, c0..c32) -> (path, content), one workbook per row."""
-    return rows.select("path", *RAW_COLUMNS).mapInPandas(_render, "path string, content binary")
+    return rows.select("path", *RAW_COLUMNS).mapInArrow(_render, "path string, content binary")

@@ -1,8 +1,8 @@
 """XLSX workbooks as rows.
 
 A workbook is a zip of XML parts, so the parse runs inside ``mapInPandas``
-tasks, one iterator of files per Spark partition, and yields small frames: a
-task never holds more than one decompressed sheet window plus one batch.
+tasks, one iterator of files per Spark partition, and yields bounded
+batches: a task holds one file, one sheet row at a time, and one batch.
 Everything after the cells (formulas, cleaning, typing, keys) is Spark SQL.
 """
 
@@ -16,9 +16,10 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import WHITESPACE, hyperlink_text, is_hyperlink
 from ..schema import HEADER_CHECK, RAW_COLUMNS, RAW_SCHEMA, RAW_WIDTH
@@ -27,7 +28,7 @@ from .files import require_files, scan_files
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 REQUIRED_PARTS = {"[Content_Types].xml", "xl/workbook.xml"}
-BATCH_ROWS = 500
+BATCH_ROWS, BATCH_CHARS = 1000, 16_000_000
 # Number formats that Excel defines as dates.
 DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
@@ -151,22 +152,31 @@ def _data_rows(path: str, content: bytes) -> Iterator[tuple]:
         yield (path, posixpath.basename(path), number, *cells, formulas)
 
 
-def _parse_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for path, content in zip(frame["path"], frame["content"], strict=True):
-            batch = []
-            for row in _data_rows(path, content):
-                batch.append(row)
-                if len(batch) == BATCH_ROWS:
-                    yield pd.DataFrame(batch, columns=RAW_SCHEMA.names)
-                    batch = []
-            if batch:
-                yield pd.DataFrame(batch, columns=RAW_SCHEMA.names)
+def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of all files of a partition, in batches bounded by rows and by text size."""
+    schema = to_arrow_schema(RAW_SCHEMA)
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        arrays = [pa.array(values, field.type) for values, field in zip(columns, schema, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    rows, chars = [], 0
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            for row in _data_rows(path.as_py(), content.as_py()):
+                rows.append(row)
+                chars += sum(len(cell) for cell in row[3:-1] if cell is not None)
+                if len(rows) >= BATCH_ROWS or chars >= BATCH_CHARS:
+                    yield packed(rows)
+                    rows, chars = [], 0
+    if rows:
+        yield packed(rows)
 
 
 def parse_workbooks(files: DataFrame) -> DataFrame:
     """(path, content) -> raw rows. A wrong header or a row that is too wide aborts."""
-    return files.select("path", "content").mapInPandas(_parse_batches, RAW_SCHEMA)
+    return files.select("path", "content").mapInArrow(_parse_batches, RAW_SCHEMA)
 
 
 def unreadable_formulas(raw: DataFrame) -> DataFrame:
@@ -233,16 +243,17 @@ def _audit(content: bytes) -> tuple[bool, int | None, str | None]:
         return False, None, f"{type(problem).__name__}: {problem}"
 
 
-def _audit_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        results = [(path, *_audit(content))
-                   for path, content in zip(frame["path"], frame["content"], strict=True)]
-        audited = pd.DataFrame(results, columns=["path", "ok", "rows", "error"])
-        audited["rows"] = audited["rows"].astype("Int64")
-        yield audited
+def _audit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        results = [_audit(content.as_py()) for content in batch.column("content")]
+        ok, rows, errors = zip(*results, strict=True) if results else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array(ok, pa.bool_()), pa.array(rows, pa.int64()),
+             pa.array(errors, pa.string())], names=["path", "ok", "rows", "error"])
 
 
 def audit_workbooks(files: DataFrame) -> DataFrame:
     """(path, content) -> (path, ok, rows, error): zip checksums, parts and row count."""
-    return files.select("path", "content").mapInPandas(
+    return files.select("path", "content").mapInArrow(
         _audit_batches, "path string, ok boolean, rows bigint, error string")
