@@ -15,7 +15,7 @@ from noticeflow.plans.sync import SyncPaths, sync_batch
 from noticeflow.schema import RAW_COLUMNS
 from noticeflow.session import shared_dir
 from noticeflow.sinks import greedy_batches, size_bounded_batches, write_load_csv
-from noticeflow.sources import audit_workbooks, parse_workbooks, read_load_csv, resolve_formulas
+from noticeflow.sources import audit_workbooks, parse_workbooks, read_load_csv, read_target, resolve_formulas
 from noticeflow.sources.tables import last_result
 
 from .common import MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, table
@@ -349,7 +349,8 @@ SQL["read_logs"] = f"""SELECT event_id, event_type AS status, {SQL_EVENT_NUMBER}
 
 def sheet_rows(spark: SparkSession, d: str) -> DataFrame:
     """Documents as raw sheet rows; the title is a hyperlink formula."""
-    docs = table(spark, d, "documents")
+    # One file of documents would be rendered and parsed by one task.
+    docs = table(spark, d, "documents").repartition("doc_id")
     category = F.when(F.col("lang") == "en", "招标").when(F.col("lang") == "de", "中标").when(F.col("lang") == "fr", " 变更 ").otherwise("合同")
     published = F.date_add(F.lit("2025-01-01").cast("date"), F.floor(F.col("n_chars") / 100).cast("int"))
     cells = {
@@ -518,3 +519,11 @@ SQL["missing_keys"] = "SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FR
 Q["common_keys"] = lambda spark, d: compare.common_keys(
     table(spark, d, "customer"), table(spark, d, "events").withColumnRenamed("user_id", "c_custkey"), ["c_custkey"])
 SQL["common_keys"] = "SELECT c_custkey FROM customer INTERSECT SELECT user_id FROM events"
+
+Q["clean"] = lambda spark, d: table(spark, d, "documents").select(
+    "doc_id", F.sha2(clean(F.concat(F.lit("\u3000\t"), "text", F.lit(" \u2003\x1c\n"))), 256).alias("text_hash"),
+    clean(F.when(F.col("lang") == "en", F.lit(" \u00a0 ")).otherwise(F.col("source"))).alias("source"))
+SQL["clean"] = f"""SELECT doc_id, sha256(trim(text, {SQL_WS})) AS text_hash, CASE WHEN lang <> 'en' THEN source END AS source FROM documents"""
+
+Q["read_target"] = lambda spark, d: read_target(spark, f"{d}/orders.parquet", ["o_orderkey", "o_orderstatus"]).where("o_orderstatus <> 'P'")
+SQL["read_target"] = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'"

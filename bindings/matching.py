@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from noticeflow.functions import fingerprint, legacy_identity
 from noticeflow.operators import compare, gates, incremental, legacy
-from noticeflow.sinks import upsert
+from noticeflow.session import shared_dir
+from noticeflow.sinks import commit_manifest, upsert
 
 from .common import MONEY, day, table
 
@@ -262,6 +263,20 @@ SQL["pending_files_guarded"] = _MANIFEST + "SELECT path, sha256 FROM f ANTI JOIN
 Q["exclude_reviewed"] = lambda spark, d: incremental.exclude_reviewed(_page_files(spark, d), _page_manifest(spark, d))
 SQL["exclude_reviewed"] = _MANIFEST + "SELECT path, sha256 FROM f ANTI JOIN (SELECT * FROM m WHERE ledger = 'reviewed') g USING (path, sha256)"
 
+def manifest_roundtrip(spark, d):
+    """Commit all page files, then the French ones with new content; the newest digest counts."""
+    path = shared_dir(spark, "manifest")
+    commit_manifest(_page_files(spark, d), path, "job-1")
+    french = table(spark, d, "pages").where(F.contains("html", F.lit('lang="fr"'))).select(
+        F.col("url").alias("path"), F.sha2(F.concat("html", F.lit(" v2")), 256).alias("sha256"))
+    commit_manifest(french, path, "job-2")
+    return incremental.latest_manifest(spark.read.parquet(path)).select("path", "sha256", "ledger", "job_id")
+
+
+Q["commit_manifest"] = manifest_roundtrip
+SQL["commit_manifest"] = """SELECT url AS path, sha256(CASE WHEN contains(html, 'lang="fr"') THEN html || ' v2' ELSE html END) AS sha256,
+ 'files' AS ledger, CASE WHEN contains(html, 'lang="fr"') THEN 'job-2' ELSE 'job-1' END AS job_id FROM pages"""
+
 Q["cutover_seed"] = lambda spark, d: incremental.cutover_seed(_page_files(spark, d), _page_manifest(spark, d))
 SQL["cutover_seed"] = _MANIFEST + """, g AS (SELECT path, sha256 FROM m WHERE ledger = 'files')
 SELECT 'conflict' AS status, (SELECT count(*) FROM f) AS files, (SELECT count(*) FROM g) AS recorded,

@@ -83,6 +83,31 @@ SELECT sha256(doc_id || ':' || rule_id) AS assignment_key, doc_id, rule_id, tag_
  CAST(CASE WHEN len(hits) > 0 THEN 0.9 ELSE 0.5 END AS DECIMAL(5,3)) AS confidence,
  CASE WHEN len(hits) > 0 THEN 'found ' || array_to_string(hits, ', ') ELSE 'no term found' END AS reason, '{MODEL}' AS model FROM v"""
 
+Q["records_x_rules"] = lambda spark, d: tagging.records_with_rules(
+    table(spark, d, "documents").select("doc_id"), tagging.rule_semantics(tagging.active_rules(_rules(spark)[0]), _rules(spark)[1])).select(
+        "doc_id", F.col("rule.rule_id").alias("rule_id"), F.size("rule.semantics").alias("terms"))
+SQL["records_x_rules"] = _TAG + "SELECT doc_id, rule_id, CAST(len(terms) AS INTEGER) AS terms FROM documents CROSS JOIN rules"
+
+
+def brand_rules(spark, d):
+    """Brands as rules, part names as their texts: the first five brands with a cheap part."""
+    part = table(spark, d, "part")
+    number = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int")
+    rules = part.groupBy(number.alias("id"), F.col("p_brand").alias("name")).agg(
+        F.min("p_partkey").alias("created"), (F.min("p_retailprice") < 950).alias("is_active"),
+        F.min("p_size").alias("tag_id"), F.lit("biaoxun").alias("tag_category"))
+    items = part.select(number.alias("rule_id"), F.when(F.col("p_size") > 5, F.col("p_name")).otherwise(" ").alias("semantics"),
+                        (F.col("p_type") != "PROMO").alias("is_active"), F.col("p_partkey").alias("created"))
+    return tagging.rule_semantics(tagging.active_rules(rules), items).select("id", "created", F.array_join("semantics", ";").alias("texts"))
+
+
+Q["rule_semantics"] = brand_rules
+SQL["rule_semantics"] = """
+WITH r AS (SELECT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS id, min(p_partkey) AS created FROM part GROUP BY p_brand
+ HAVING min(p_retailprice) < 950 ORDER BY created, id LIMIT 5)
+SELECT id, created, string_agg(p_name, ';' ORDER BY p_partkey) AS texts FROM r JOIN part ON p_brand = 'Brand#' || id
+ WHERE p_size > 5 AND p_type <> 'PROMO' GROUP BY id, created"""
+
 Q["pending_top_n"] = lambda spark, d: tagging.pending_top_n(
     table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").withColumn(
         "ai_status", F.when(F.col("quality").isNull(), tagging.PENDING).otherwise(tagging.DONE)),

@@ -103,16 +103,17 @@ def labelled_counts(text: ColumnOrName, labels: dict[str, str]) -> Column:
     ``labels`` maps output field -> label text. Returns a struct of those fields
     plus ``error`` (name of the first field that is missing or contradictory).
     """
-    found = F.struct(*[
-        _distinct_numbers(as_col(text), rf"\Q{label}\E\s*[:：]?\s*([0-9]+)\s*条").alias(name)
-        for name, label in labels.items()])
+    def search(shown: Column) -> Column:
+        return F.struct(*[
+            _distinct_numbers(shown, rf"\Q{label}\E\s*[:：]?\s*([0-9]+)\s*条").alias(name)
+            for name, label in labels.items()])
 
     def agreed(numbers: Column) -> Column:
         fields = [F.when(F.size(numbers[n]) == 1, numbers[n][0]).alias(n) for n in labels]
         error = F.coalesce(*[F.when(F.size(numbers[n]) != 1, F.lit(n)) for n in labels])
         return F.struct(*fields, error.alias("error"))
 
-    return bind(found, agreed)
+    return bind(bind(as_col(text), search), agreed)
 
 
 # Labels of the order page.
@@ -127,22 +128,24 @@ def order_ledger(text: ColumnOrName, limit: int = HARD_LIMIT) -> Column:
     Every fee shown must be a readable zero, every count must be unambiguous,
     and 0 < taken <= min(limit, balance) with remaining = balance - taken.
     """
-    text = as_col(text)
-    fees_read = F.regexp_extract_all(text, F.lit(FEE_PATTERN), F.lit(1))
-    free = (F.regexp_count(text, F.lit(FEE_LABELS)) == F.size(fees_read)) & F.forall(
-        fees_read, lambda x: F.coalesce(x.try_cast("decimal(38,18)") == 0, F.lit(False)))
+    def search(shown: Column) -> Column:
+        fees = F.regexp_extract_all(shown, F.lit(FEE_PATTERN), F.lit(1))
+        return F.struct(labelled_counts(shown, ORDER_LABELS).alias("counts"), fees.alias("fees"),
+                        F.regexp_count(shown, F.lit(FEE_LABELS)).alias("fees_shown"))
 
     def checked(page: Column) -> Column:
         taken, balance, remaining = (page["counts"][name] for name in ORDER_LABELS)
         consistent = ((taken > 0) & (taken <= F.least(F.lit(limit), balance))
                       & (remaining == balance - taken))
-        error = (F.when(~page["free"], F.lit("fee"))
+        free = (page["fees_shown"] == F.size(page["fees"])) & F.forall(
+            page["fees"], lambda x: F.coalesce(x.try_cast("decimal(38,18)") == 0, F.lit(False)))
+        error = (F.when(~free, F.lit("fee"))
                  .when(page["counts"]["error"].isNotNull(), page["counts"]["error"])
                  .when(~consistent, F.lit("quota")))
         return F.struct(taken.alias("taken"), balance.alias("balance"), remaining.alias("remaining"),
                         error.alias("error"))
 
-    return bind(F.struct(labelled_counts(text, ORDER_LABELS).alias("counts"), free.alias("free")), checked)
+    return bind(bind(as_col(text), search), checked)
 
 
 # Fixed pattern: result counter of a filter page.

@@ -19,8 +19,9 @@ def with_disposition(df: DataFrame, key: str, order: Sequence[str], allowed: Col
     on the row position, which is unique, so a key that covers a third of the
     table is spread like any other rows. ``order`` must be unique.
     """
+    # Plain conditions here, so that a category list reaches the scan.
+    eligible = df.where(allowed).where(complete)
     allowed, complete = (F.coalesce(c, F.lit(False)) for c in (allowed, complete))
-    eligible = df.where(allowed & complete)
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     firsts = eligible.groupBy(key).agg(F.min(position).alias("_position"))
     marks = (firsts.select(F.col("_position").alias(order[0])) if len(order) == 1

@@ -59,13 +59,14 @@ def oversize_skips(items: DataFrame, value: str, budget: int, order: Sequence[st
         F.lit(hard_limit).alias("limit"))
 
 
+FOLD_COLUMNS = ["date", "rank", "n", "run_day", "batch", "outcome", "remaining", "run_status"]
 PLAN_OUTPUT = ("date date, rank int, n bigint, run_day date, batch int, outcome string, "
                "remaining bigint, run_status string")
 
 
 def _fold(items: pd.DataFrame, quotas: list[tuple], hard_limit: int, by_head: bool) -> Iterator[dict]:
     """Walk one plan's items through its run days. Small: days x regions rows."""
-    rows = items.sort_values(["date", "rank"]).to_dict("records")
+    rows = items[["date", "rank", "n"]].sort_values(["date", "rank"]).to_dict("records")
     by_day: dict = {}
     for row in rows:
         by_day.setdefault(row["date"], []).append(row)
@@ -124,20 +125,20 @@ def plan_quota_batches(items: DataFrame, quotas: DataFrame, group: str, hard_lim
     above the daily limit, or, with ``finer_split_by_head=False``, when the whole
     daily limit was still free.
     """
-    budgets = quotas.groupBy(group).agg(F.array_sort(F.collect_list(
-        F.struct("run_day", "balance", "daily_limit"))).alias("_quotas"))
-    joined = items.select(group, "date", "rank", "n").join(budgets, group)
     kind = items.schema[group].dataType.simpleString()
 
-    def fold(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        budget = [(q["run_day"], int(q["balance"]), int(q["daily_limit"])) for q in frame["_quotas"].iloc[0]]
-        plan = pd.DataFrame(list(_fold(frame[["date", "rank", "n"]], budget, hard_limit, finer_split_by_head)))
+    def fold(key: tuple, rows: pd.DataFrame, budgets: pd.DataFrame) -> pd.DataFrame:
+        runs = [(q.run_day, int(q.balance), int(q.daily_limit))
+                for q in budgets.sort_values("run_day").itertuples(index=False)]
+        plan = pd.DataFrame(list(_fold(rows, runs, hard_limit, finer_split_by_head)), columns=FOLD_COLUMNS)
         plan["batch"] = plan["batch"].astype("Int32")
         plan["remaining"] = plan["remaining"].astype("Int64")
         plan.insert(0, group, key[0])
         return plan
 
-    return joined.groupBy(group).applyInPandas(fold, f"{group} {kind}, {PLAN_OUTPUT}")
+    ordered = items.select(group, "date", "rank", "n").groupBy(group)
+    budgets = quotas.select(group, "run_day", "balance", "daily_limit").groupBy(group)
+    return ordered.cogroup(budgets).applyInPandas(fold, f"{group} {kind}, {PLAN_OUTPUT}")
 
 
 def coverage_check(national: DataFrame, regional: DataFrame, day: str, value: str,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import assignment_key
-from ..functions.text import is_blank
+from ..functions.text import bind, is_blank
 from ..functions.verdicts import SEMANTICS_SEPARATOR, parse_verdict, prompt_input, validate_verdict
 
 # Fixed values of the tagging contract.
@@ -58,15 +58,17 @@ def records_with_rules(records: DataFrame, ruled: DataFrame) -> DataFrame:
 
 def keyword_scorer(text: Column, semantics: Column) -> Column:
     """Deterministic stand-in for a classifier: a completed response saying which term occurs."""
+    def answer(hits: Column) -> Column:
+        matched = F.size(hits) > 0
+        return F.to_json(F.struct(
+            matched.alias("matched"),
+            F.when(matched, F.lit(0.9)).otherwise(F.lit(0.5)).cast("decimal(5,3)").alias("confidence"),
+            F.coalesce(F.try_element_at(hits, F.lit(1)), F.lit("")).alias("primary_industry"),
+            F.when(matched, F.concat(F.lit("found "), F.array_join(hits, ", ")))
+            .otherwise(F.lit("no term found")).alias("reason")))
+
     hits = F.filter(semantics, lambda term: F.contains(text, term))
-    matched = F.size(hits) > 0
-    answer = F.to_json(F.struct(
-        matched.alias("matched"),
-        F.when(matched, F.lit(0.9)).otherwise(F.lit(0.5)).cast("decimal(5,3)").alias("confidence"),
-        F.coalesce(F.try_element_at(hits, F.lit(1)), F.lit("")).alias("primary_industry"),
-        F.when(matched, F.concat(F.lit("found "), F.array_join(hits, ", ")))
-        .otherwise(F.lit("no term found")).alias("reason")))
-    return F.to_json(F.struct(F.lit("completed").alias("status"), answer.alias("output_text")))
+    return F.to_json(F.struct(F.lit("completed").alias("status"), bind(hits, answer).alias("output_text")))
 
 
 def classify(pairs: DataFrame, record_id: str, text: str,
@@ -76,11 +78,13 @@ def classify(pairs: DataFrame, record_id: str, text: str,
     Any Column expression will do, including a call of a ``pandas_udf``.
     """
     body = scorer(F.col(text), F.col("rule.semantics"))
-    verdict = validate_verdict(parse_verdict(body))
-    no_rule = F.struct(*[F.when(F.lit(False), verdict[f]).alias(f)
-                         for f in ("matched", "confidence", "primary_industry", "reason")],
-                       F.lit(NO_SEMANTICS).alias("error"))
-    checked = pairs.withColumn("verdict", F.when(F.col("rule").isNull(), no_rule).otherwise(verdict))
+    ruled = F.col("rule").isNotNull()
+
+    def only_ruled(verdict: Column) -> Column:
+        values = [F.when(ruled, verdict[f]).alias(f) for f in ("matched", "confidence", "primary_industry", "reason")]
+        return F.struct(*values, F.when(ruled, verdict["error"]).otherwise(NO_SEMANTICS).alias("error"))
+
+    checked = pairs.withColumn("verdict", bind(validate_verdict(parse_verdict(body)), only_ruled))
     return checked.withColumn("assignment_key", assignment_key(record_id, "rule.rule_id"))
 
 

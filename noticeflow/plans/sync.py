@@ -67,6 +67,8 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
                 "inserted_rows": 0, "updated_rows": 0, "job_id": None}
 
     started = datetime.now(timezone.utc)
+    # A short list of pending paths is broadcast. A long one shuffles the pending
+    # files' bytes once, which also spreads the parse over all tasks.
     raw = resolve_formulas(parse_workbooks(files.join(chosen, "path", "left_semi")))
     staged = _stage(to_notices(raw), shared_dir(spark, "stage"))
     labelled = label_notices(staged)

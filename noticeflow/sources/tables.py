@@ -54,7 +54,7 @@ RESULT_LINE = r"Salesforce 同步：\s*(\{[^\r\n]+\})"
 
 def read_logs(spark: SparkSession, path: str, pattern: str = RESULT_LINE) -> DataFrame:
     """Last readable result of each run log as ``result MAP<STRING, STRING>``."""
-    logs = (spark.read.option("wholetext", True).text(path)
+    logs = (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), "value"))
     return logs.select("path", last_result("value", pattern).alias("result"))
 
