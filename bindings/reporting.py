@@ -96,17 +96,20 @@ def brand_rules(spark, d):
     rules = part.groupBy(number.alias("id"), F.col("p_brand").alias("name")).agg(
         F.min("p_partkey").alias("created"), (F.min("p_retailprice") < 950).alias("is_active"),
         F.min("p_size").alias("tag_id"), F.lit("biaoxun").alias("tag_category"))
-    items = part.select(number.alias("rule_id"), F.when(F.col("p_size") > 5, F.col("p_name")).otherwise(" ").alias("semantics"),
-                        (F.col("p_type") != "PROMO").alias("is_active"), F.col("p_partkey").alias("created"))
+    # One text per distinct part name, so a rule's list is as long as the catalogue of names.
+    items = part.groupBy(number.alias("rule_id"), F.col("p_name")).agg(
+        F.min("p_partkey").alias("created"), (F.max("p_size") > 20).alias("is_active"), F.min("p_size").alias("low")).select(
+            "rule_id", F.when(F.col("low") > 3, F.col("p_name")).otherwise(" ").alias("semantics"), "is_active", "created")
     return tagging.rule_semantics(tagging.active_rules(rules), items).select("id", "created", F.array_join("semantics", ";").alias("texts"))
 
 
 Q["rule_semantics"] = brand_rules
 SQL["rule_semantics"] = """
 WITH r AS (SELECT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS id, min(p_partkey) AS created FROM part GROUP BY p_brand
- HAVING min(p_retailprice) < 950 ORDER BY created, id LIMIT 5)
-SELECT id, created, string_agg(p_name, ';' ORDER BY p_partkey) AS texts FROM r JOIN part ON p_brand = 'Brand#' || id
- WHERE p_size > 5 AND p_type <> 'PROMO' GROUP BY id, created"""
+ HAVING min(p_retailprice) < 950 ORDER BY created, id LIMIT 5),
+i AS (SELECT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS id, p_name, min(p_partkey) AS first FROM part GROUP BY p_brand, p_name
+ HAVING max(p_size) > 20 AND min(p_size) > 3)
+SELECT id, created, string_agg(p_name, ';' ORDER BY first) AS texts FROM r JOIN i USING (id) GROUP BY id, created"""
 
 Q["pending_top_n"] = lambda spark, d: tagging.pending_top_n(
     table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").withColumn(

@@ -14,9 +14,12 @@ PENDING, SENT, GIVEN_UP = "pending", "sent", "permanently_failed"
 
 
 def outbox_dedupe(new: DataFrame, outbox: DataFrame, order: Sequence[str], message: str = "id") -> DataFrame:
-    """New messages whose id the outbox does not hold; the first content of an id is kept."""
+    """New messages whose id the outbox does not hold; the first content of an id is kept.
+
+    Copies are dropped before the join, so a storm of one alert is one row by then.
+    """
     held = outbox.where(F.col("status").isin(PENDING, SENT, GIVEN_UP)).select(message)
-    return dedup_first(new.join(held, message, "left_anti"), [message], order)
+    return dedup_first(new, [message], order).join(held, message, "left_anti")
 
 
 def due_messages(outbox: DataFrame, now: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,38 +39,23 @@ def append_checkpoint(days: DataFrame, path: str) -> None:
     days.write.mode("append").json(path)
 
 
-def _pointer(spark: SparkSession, root: str):
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
 def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new snapshot folder, then point ``root`` at it.
+    """Write the table as a new snapshot folder; one writer at a time.
 
-    Readers keep using the previous folder until the pointer is replaced, so a
-    job that dies half way leaves the table as it was.
+    The folder counts once Spark has put its success marker into it, so a job
+    that dies half way leaves readers on the snapshot before.
     """
-    spark = df.sparkSession
-    folder = f"snapshot-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{root.rstrip('/')}/{folder}")
-    system, pointer = _pointer(spark, root)
-    staged = spark._jvm.org.apache.hadoop.fs.Path(pointer.toString() + "." + folder)
-    stream = system.create(staged, True)
-    stream.write(bytearray(folder.encode("utf-8")))
-    stream.close()
-    system.delete(pointer, False)
-    system.rename(staged, pointer)
-    return f"{root.rstrip('/')}/{folder}"
+    folder = f"{root.rstrip('/')}/snapshot-{time.time_ns():020d}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(folder)
+    return folder
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
-    """Folder the pointer names, or None before the first snapshot."""
-    system, pointer = _pointer(spark, root)
-    if not system.exists(pointer):
-        return None
-    folder = spark.read.text(pointer.toString()).first()[0]
-    return f"{root.rstrip('/')}/{folder}"
+    """Newest complete snapshot folder, or None before the first one."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/snapshot-*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    folders = sorted(status.getPath().getParent().toString() for status in found or [])
+    return folders[-1] if folders else None
 
 
 def commit_manifest(files: DataFrame, path: str, job_id: str | None, ledger: str = "files") -> None:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,24 +41,29 @@ def upsert(target: DataFrame, source: DataFrame, key: str, overwrite_with_null:
     return joined("left").select(*columns).unionByName(inserted)
 
 
+# Up to this many partition values become a literal filter.
+MAX_LISTED = 2000
+
+
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str,
                       partition: str, overwrite_with_null: bool = False) -> None:
     """Upsert into a parquet table laid out by ``partition``, rewriting touched partitions only.
 
     Right when a key always stays in its partition, as for notices: the day is
-    part of the key. The partition values of one batch are a short list of days
-    and become a literal filter, so untouched folders are not even listed.
-    Spark stages the new files and swaps the folders at commit.
+    part of the key. The days of one batch are normally a short list and become
+    a literal filter, so untouched folders are not even listed; a long list is
+    joined instead, and Spark prunes partitions at run time. New files are
+    staged and folders swapped at commit. Rows are rebalanced by partition
+    first: a large day is split over several files, small days share a task.
     """
-    touched = [row[0] for row in source.select(partition).distinct().collect()]
+    days = source.select(partition).distinct()
+    listed = [row[0] for row in days.limit(MAX_LISTED + 1).collect()]
     table = spark.read.parquet(path)
-    old = table.where(F.col(partition).isin(touched))
+    if len(listed) <= MAX_LISTED:
+        old = table.where(F.col(partition).isin(listed))
+    else:
+        old = table.join(days, partition, "left_semi")
     merged = upsert(old, source.select(*[c for c in table.columns if c in source.columns]),
                     key, overwrite_with_null)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
-
-
-def partition_columns(columns: Sequence[str], partition: str) -> list[str]:
-    """Column order Spark reads back from a table laid out by ``partition``."""
-    return [c for c in columns if c != partition] + [partition]
+    (merged.hint("rebalance", partition).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))

@@ -35,13 +35,16 @@ def stream_upsert(stream: DataFrame, target: str, key: str, order: Sequence[str]
     """
     def apply(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        newest = dedup_last(batch, [key], order)
-        if _exists(spark, target):
-            upsert_partitions(spark, target, newest, key, partition)
-        else:
-            newest.hint("rebalance", partition).write.partitionBy(partition).parquet(target)
+        newest = dedup_last(batch, [key], order).persist()
+        try:
+            if newest.isEmpty():
+                return
+            if _exists(spark, target):
+                upsert_partitions(spark, target, newest, key, partition)
+            else:
+                newest.hint("rebalance", partition).write.partitionBy(partition).parquet(target)
+        finally:
+            newest.unpersist()
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
