@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.functions import (classify_stage, clean, composite_key, content_hash, displayed_count,
-                                  fits_or_blank, hyperlink_text, last_error_line, order_ledger,
+                                  fits_or_blank, hyperlink_text, is_blank, last_error_line, order_ledger,
                                   parse_amount, parse_day, quantize_half_up, region_rank, source_key,
                                   title_fallback, truncate, unparsed_amount, valid_key)
 from noticeflow.operators import compare, dedup, disposition, filters, gates, profile
@@ -74,12 +74,12 @@ SELECT doc_id, sha256(lang || chr(31) || source || chr(31) || body) AS source_ke
  CASE WHEN length(source) <= 4 THEN source END AS short_source FROM d"""
 
 Q["dedup_first"] = lambda spark, d: dedup.dedup_first(
-    table(spark, d, "documents"), ["text"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
+    table(spark, d, "documents").withColumn("digest", F.sha2("text", 256)), ["digest"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
 SQL["dedup_first"] = """SELECT doc_id, lang, source, n_chars FROM
  (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1"""
 
 Q["dedup_last"] = lambda spark, d: dedup.dedup_last(
-    table(spark, d, "documents"), ["text"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
+    table(spark, d, "documents").withColumn("digest", F.sha2("text", 256)), ["digest"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
 SQL["dedup_last"] = """SELECT doc_id, lang, source, n_chars FROM
  (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS rn FROM documents) WHERE rn = 1"""
 
@@ -117,7 +117,9 @@ SQL["counts_by_date"] = """SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS
 
 
 def _docs_with_labels(spark, d):
-    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    # Bodies enter the join as digests.
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.when(~is_blank("text"), F.sha2("text", 256)).alias("body"))
+    return docs.join(table(spark, d, "labels"), "doc_id", "left")
 
 
 Q["skip_blank_rows"] = lambda spark, d: filters.skip_blank_rows(
@@ -127,7 +129,7 @@ SQL["skip_blank_rows"] = """SELECT doc_id, quality, toxic FROM documents LEFT JO
 
 
 def require_fields(spark, d):
-    complete, incomplete = filters.require_fields(_docs_with_labels(spark, d), ["text", "quality"])
+    complete, incomplete = filters.require_fields(_docs_with_labels(spark, d), ["body", "quality"])
     both = complete.withColumn("complete", F.lit(True)).unionByName(incomplete.withColumn("complete", F.lit(False)))
     return both.groupBy("lang", "complete").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -147,17 +149,16 @@ SQL["profile_columns"] = " UNION ALL ".join(
     for c in ["doc_id", "text", "lang", "source", "n_chars"])
 
 Q["profile_missing"] = lambda spark, d: profile.profile_missing(
-    table(spark, d, "pages").join(table(spark, d, "benchmark"), F.col("page_id") == F.col("item_id"), "left"),
-    ["url", "text"], ["html"], "url", 40).select(
+    table(spark, d, "pages").withColumn("ref", F.regexp_extract("url", "ref=([a-z]+)", 1)),
+    ["url", "ref"], ["html"], "url", 40).select(
         *[F.col(c).cast("bigint").alias(c) for c in
-          ["rows", "missing_url", "missing_text", "max_length_url", "max_length_text", "max_length_html",
+          ["rows", "missing_url", "missing_ref", "max_length_url", "max_length_ref", "max_length_html",
            "url_over_limit"]])
 SQL["profile_missing"] = f"""SELECT count(*) AS "rows",
  count(*) FILTER (coalesce(trim(url, {SQL_WS}), '') = '') AS missing_url,
- count(*) FILTER (coalesce(trim(text, {SQL_WS}), '') = '') AS missing_text,
- max(length(url)) AS max_length_url, coalesce(max(length(text)), 0) AS max_length_text,
- max(length(html)) AS max_length_html, count(*) FILTER (length(url) > 40) AS url_over_limit
- FROM pages LEFT JOIN benchmark ON page_id = item_id"""
+ count(*) FILTER (regexp_extract(url, 'ref=([a-z]+)', 1) = '') AS missing_ref,
+ max(length(url)) AS max_length_url, max(length(regexp_extract(url, 'ref=([a-z]+)', 1))) AS max_length_ref,
+ max(length(html)) AS max_length_html, count(*) FILTER (length(url) > 40) AS url_over_limit FROM pages"""
 
 
 def profile_duplicates(spark, d):

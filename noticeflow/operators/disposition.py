@@ -21,16 +21,19 @@ def with_disposition(df: DataFrame, key: str, order: Sequence[str], allowed: Col
     """
     # Plain conditions here, so that a category list reaches the scan.
     eligible = df.where(allowed).where(complete)
-    allowed, complete = (F.coalesce(c, F.lit(False)) for c in (allowed, complete))
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     firsts = eligible.groupBy(key).agg(F.min(position).alias("_position"))
     marks = (firsts.select(F.col("_position").alias(order[0])) if len(order) == 1
              else firsts.select(*[F.col(f"_position.{c}").alias(c) for c in order]))
-    labelled = df.join(marks.withColumn("_first", F.lit(True)), list(order), "left")
+    # Flags are made before the join: a report that does not use the body must
+    # not carry it through the join's shuffle just to measure it afterwards.
+    flagged = df.withColumns({"_allowed": F.coalesce(allowed, F.lit(False)), "_over": length > limit,
+                              "_complete": F.coalesce(complete, F.lit(False))})
+    labelled = flagged.join(marks.withColumn("_first", F.lit(True)), list(order), "left")
     disposition = (
-        F.when(~allowed, SKIPPED).when(~complete, MISSING).when(F.col("_first").isNull(), DUPLICATE)
-        .when(length > limit, BLOCKED).otherwise(WRITTEN))
-    return labelled.withColumn("disposition", disposition).drop("_first")
+        F.when(~F.col("_allowed"), SKIPPED).when(~F.col("_complete"), MISSING)
+        .when(F.col("_first").isNull(), DUPLICATE).when(F.col("_over"), BLOCKED).otherwise(WRITTEN))
+    return labelled.withColumn("disposition", disposition).drop("_first", "_allowed", "_complete", "_over")
 
 
 def disposition_counts(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -47,14 +47,17 @@ def quarantine_reason(length: ColumnOrName, limit: int = MAX_CONTENT_CHARS) -> C
                     F.lit(f" 字符，超过 Salesforce 字段上限 {limit}；原文已完整保存在本机待处理队列"))
 
 
-def quarantine_oversize(df: DataFrame, body: str, path: str,
-                        limit: int = MAX_CONTENT_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, oversized rows with path, length and reason); bodies stay whole."""
-    length = F.length(body)
-    fits = df.where(F.coalesce(length <= limit, F.lit(True)))
-    over = df.where(length > limit).select(
-        "*", F.col(path).alias("Source_File_Path"), length.alias("Content_Length"),
-        quarantine_reason(length, limit).alias("Block_Reason"))
+def quarantine_oversize(df: DataFrame, body: str, path: str, limit: int = MAX_CONTENT_CHARS,
+                        length: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit, oversized rows with path, length and reason); bodies stay whole.
+
+    Name a ``length`` column where one exists: the split then reads no body.
+    """
+    size = F.length(body) if length is None else F.col(length)
+    fits = df.where(F.coalesce(size <= limit, F.lit(True)))
+    over = df.where(size > limit).select(
+        "*", F.col(path).alias("Source_File_Path"), size.alias("Content_Length"),
+        quarantine_reason(size, limit).alias("Block_Reason"))
     return fits, over
 
 

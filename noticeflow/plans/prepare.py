@@ -18,12 +18,14 @@ from ..schema import (ALLOWED_CATEGORIES, COMPACT_FIELDS, COMPACT_SCALES, FALLBA
                       RAW_COLUMNS, ROW_ORIGIN,
                       TITLE_CONTENT_CHARS)
 
+# Length of the body, so that splits and reports need not read it.
+BODY_LENGTH = "_length"
 WARNING_FLAGS = ["_unparsed_amount", "_project_number_truncated"]
 
 
 def complete() -> Column:
-    """A notice has its two required fields."""
-    return F.col("release_date__c").isNotNull() & F.col("Source_Content__c").isNotNull()
+    """A notice has its two required fields; a missing body has no length."""
+    return F.col("release_date__c").isNotNull() & F.col(BODY_LENGTH).isNotNull()
 
 
 def _rule(raw: int, kind: str, length: int | None) -> Column:
@@ -61,7 +63,7 @@ def to_notices(raw: DataFrame) -> DataFrame:
         "Source_File__c": truncate("_file", 255),
     }
     return dated.select(
-        *[fields[name].alias(name) for name in NOTICE_FIELDS], *ROW_ORIGIN,
+        *[fields[name].alias(name) for name in NOTICE_FIELDS], *ROW_ORIGIN, F.length("c7").alias(BODY_LENGTH),
         (unparsed_amount("c15") | unparsed_amount("c16")).alias("_unparsed_amount"),
         F.coalesce(F.length("c13") > MAX_PROJECT_NUMBER, F.lit(False)).alias("_project_number_truncated"))
 
@@ -79,14 +81,14 @@ def label_notices(notices: DataFrame) -> DataFrame:
     category = F.col("Publication_Category__c")
     return with_disposition(
         notices, "Source_Key__c", ["_path", "_row"], category.isin(*ALLOWED_CATEGORIES),
-        complete(), F.length("Source_Content__c"), MAX_CONTENT_CHARS)
+        complete(), F.col(BODY_LENGTH), MAX_CONTENT_CHARS)
 
 
 def split_firsts(notices: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(written, quarantined): the first row of each key, split by body length."""
     kept = allow_categories(notices, "Publication_Category__c").where(complete())
     firsts = dedup_first(kept, ["Source_Key__c"], ["_path", "_row"])
-    fits, over = quarantine_oversize(firsts, "Source_Content__c", "_path")
+    fits, over = quarantine_oversize(firsts, "Source_Content__c", "_path", length=BODY_LENGTH)
     return fits.select(*NOTICE_FIELDS), over.select(*NOTICE_FIELDS, *QUARANTINE_EXTRA)
 
 

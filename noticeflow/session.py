@@ -17,6 +17,9 @@ ENGINE_CONF = {
     # Split a skewed join side even if that costs one more exchange later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream state larger than an executor's heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

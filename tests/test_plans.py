@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from bindings.common import table
 from noticeflow.operators import compare, dedup, disposition, legacy
+from noticeflow.plans.prepare import split_firsts, to_notices
+from noticeflow.session import shared_dir
 from noticeflow.sources import read_target
 
 DATA = "/root/testdata/sf0.001"
@@ -32,12 +34,38 @@ def test_first_wins_is_reduced_before_the_shuffle(spark):
     assert final < exchange < partial
 
 
+def without_broadcast(spark, build):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan_of(build())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def shuffled_columns(plan):
+    """Columns of the projection or scan right below each exchange of a plan."""
+    lines = plan.split("\n")
+    return [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+
+
 def test_disposition_counts_do_not_shuffle_bodies(spark):
-    docs = table(spark, DATA, "documents").withColumn("k", F.sha2("text", 256))
-    labelled = disposition.with_disposition(docs, "k", ["doc_id"], F.col("lang") == "en", F.col("text").isNotNull(), F.length("text"), 100)
-    plan = plan_of(disposition.disposition_counts(labelled))
-    assert "BroadcastNestedLoop" not in plan and "Window" not in plan
-    assert "partial_min(doc_id" in plan
+    def build():
+        docs = table(spark, DATA, "documents").withColumn("k", F.sha2("text", 256))
+        labelled = disposition.with_disposition(docs, "k", ["doc_id"], F.col("lang") == "en", F.col("text").isNotNull(), F.length("text"), 100)
+        return disposition.disposition_counts(labelled)
+
+    plan = without_broadcast(spark, build)
+    assert "SortMergeJoin" in plan and "Window" not in plan and "partial_min(doc_id" in plan
+    assert not any("Project [doc_id" in line and "text#" in line.split(" AS ")[0] for line in shuffled_columns(plan))
+
+
+def test_day_counts_of_written_rows_do_not_shuffle_bodies(spark):
+    raw = spark.createDataFrame([("p", "f", 3, *["x"] * 33)], "_path string, _file string, _row int, " + ", ".join(f"c{i} string" for i in range(33)))
+    folder = shared_dir(spark, "stage")
+    to_notices(raw).write.parquet(folder)
+    fits, _ = split_firsts(spark.read.parquet(folder))
+    plan = plan_of(fits.groupBy("release_date__c").count())
+    assert "Source_Content__c" not in plan and "content__c" not in plan and "_length" in plan
 
 
 def test_compare_keys_is_one_aggregate_without_a_join(spark):
