@@ -120,9 +120,12 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None], list[in
     """(row number, cells, formula columns) of the active sheet, streamed."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         strings, dates = _shared_strings(archive), _date_styles(archive)
-        number = 0
+        number, width = 0, 0
         with archive.open(_active_sheet(archive)) as stream:
             for _, node in ElementTree.iterparse(stream):
+                if node.tag == MAIN + "dimension":
+                    # The declared range; rows may leave out trailing blanks.
+                    width = 1 + _column_index((node.get("ref") or "").split(":")[-1], -1)
                 if node.tag != MAIN + "row":
                     continue
                 number = int(node.get("r") or number + 1)
@@ -135,21 +138,26 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None], list[in
                     if is_formula:
                         formulas.append(index)
                 node.clear()
+                cells.extend([None] * (width - len(cells)))
                 yield number, cells, formulas
 
 
 def _data_rows(path: str, content: bytes) -> Iterator[tuple]:
     position, title = HEADER_CHECK
+    headed = False
     for number, cells, formulas in _sheet_rows(content):
-        if number == 1 and (len(cells) != RAW_WIDTH
-                            or (cells[position] or "").strip(WHITESPACE) != title):
-            raise ValueError(f"header is not the known {RAW_WIDTH}-column layout: {path}")
+        if not headed:
+            headed = (number == 1 and len(cells) == RAW_WIDTH
+                      and (cells[position] or "").strip(WHITESPACE) == title)
+            if not headed:
+                break
         if number <= 2 or all(cell is None for cell in cells):
             continue
-        if len(cells) > RAW_WIDTH:
+        if len(cells) != RAW_WIDTH:
             raise ValueError(f"row {number} has {len(cells)} cells: {path}")
-        cells += [None] * (RAW_WIDTH - len(cells))
         yield (path, posixpath.basename(path), number, *cells, formulas)
+    if not headed:
+        raise ValueError(f"header is not the known {RAW_WIDTH}-column layout: {path}")
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +183,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def parse_workbooks(files: DataFrame) -> DataFrame:
-    """(path, content) -> raw rows. A wrong header or a row that is too wide aborts."""
+    """(path, content) -> raw rows. A wrong header or a row of another width aborts."""
     return files.select("path", "content").mapInArrow(_parse_batches, RAW_SCHEMA)
 
 
