@@ -92,7 +92,9 @@ def powers(count: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """1, b, b^2, ... modulo 2^64."""
     if count == 0:
         return np.empty(0, np.uint64)
-    return np.cumprod(np.concatenate([[1], np.full(count - 1, base, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    factors = np.full(count, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
 class Words:
@@ -151,3 +153,28 @@ class Words:
             totals[some] = np.add.reduceat(own, self.first[some])
             wide = np.where(short, totals[self.row] + np.uint64(1), wide)
         return self.row[keep], mix64(wide[keep])
+
+
+def nullable(schema):
+    """The schema with every column nullable."""
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+
+
+def keep_rows(docs: DataFrame, column: str, wanted: Callable[[pa.Array], list]) -> DataFrame:
+    """The rows for whose ``column`` ``wanted`` gives true, all columns as they are; no shuffle."""
+
+    def run(batches):
+        for batch in small_batches(batches, column):
+            yield batch.filter(pa.array(wanted(batch.column(column)), pa.bool_()))
+
+    return docs.mapInArrow(run, nullable(docs.schema))
+
+
+def cut(rows: DataFrame) -> DataFrame:
+    """The rows, written to the shared checkpoint folder and read from there."""
+    from noticeflow.session import shared_dir
+
+    shared_dir(rows.sparkSession, "checkpoint")  # sets a folder where the cluster names none
+    return rows.checkpoint()

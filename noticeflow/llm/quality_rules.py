@@ -16,9 +16,8 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from noticeflow.llm.common import WORD, map_text, small_batches
+from noticeflow.llm.common import WORD, map_text, nullable, small_batches
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 SYMBOL_SHARE = 0.1
@@ -147,4 +146,4 @@ def clean(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFr
                     columns.append(kept.column(name).cast(field.type))
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in schema]))
+    return docs.mapInArrow(run, nullable(schema))

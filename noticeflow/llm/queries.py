@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from noticeflow.llm import queries_filters
+from noticeflow.llm import queries_corpus, queries_filters
 
-PARTS = [queries_filters]
+PARTS = [queries_corpus, queries_filters]
 Q = {name: query for part in PARTS for name, query in part.Q.items()}
 SQL = {name: text for part in PARTS for name, text in part.SQL.items()}
