@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeflow.llm import chat, quality_rules, secrets, url_filter
+from noticeflow.llm import chat, quality_rules, secret_scan, url_filter
 from noticeflow.llm.common import table
 
 # The rules of the contract.
@@ -68,7 +68,7 @@ FROM told"""
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+    return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

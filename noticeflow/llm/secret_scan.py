@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeflow.llm.common import cut
+
 
 @dataclass(frozen=True)
 class SecretRule:
@@ -168,7 +170,8 @@ def find_secrets(docs: DataFrame, text: str = "text", rules: Sequence[SecretRule
     indexed = {kind: query for kind, query in queries.items() if query}
     trigrams = sorted({t for query in indexed.values() for clause in query for way in clause for t in way})
     if indexed:
-        chosen = candidates(postings(keyed.select("key", "text"), trigrams), indexed)
+        # As a table of its own, so that the join can split the rows of a text with many copies.
+        chosen = cut(candidates(postings(keyed.select("key", "text"), trigrams), indexed))
         keyed = keyed.join(chosen, "key", "left")
     else:
         keyed = keyed.withColumn("kinds", F.array().cast("array<string>"))
