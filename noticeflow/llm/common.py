@@ -35,19 +35,20 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of at most BATCH_ROWS rows and about BATCH_CHARS bytes of ``column``."""
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of at most BATCH_ROWS rows and about ``chars`` bytes of ``column``."""
     for batch in batches:
         start = 0
         while start < batch.num_rows:
             part = batch.slice(start, BATCH_ROWS)
             sizes = np.cumsum(pa.compute.binary_length(part.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
-            rows = max(1, int(np.searchsorted(sizes, BATCH_CHARS, side="right")))
+            rows = max(1, int(np.searchsorted(sizes, chars, side="right")))
             yield part.slice(0, rows)
             start += min(rows, part.num_rows)
 
 
-def map_text(rows: DataFrame, column: str, schema: str, make: Callable[[pa.RecordBatch], dict]) -> DataFrame:
+def map_text(rows: DataFrame, column: str, schema: str, make: Callable[[pa.RecordBatch], dict],
+             chars: int = BATCH_CHARS) -> DataFrame:
     """Run ``make`` over bounded Arrow batches; it returns the output columns by name."""
 
     from pyspark.sql.types import _parse_datatype_string
@@ -61,7 +62,7 @@ def map_text(rows: DataFrame, column: str, schema: str, make: Callable[[pa.Recor
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(kind)
-        for batch in small_batches(batches, column):
+        for batch in small_batches(batches, column, chars):
             made = make(batch)
             yield pa.RecordBatch.from_arrays([_array(made[n], arrow.field(n).type) for n in names], schema=arrow)
 
@@ -105,8 +106,10 @@ class Words:
     first[r] .. first[r + 1].
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, change: bytes | None = None):
         blobs = [b.as_py() or b"" for b in texts.cast(pa.binary())]
+        if change is not None:  # a byte-for-byte translation
+            blobs = [b.translate(change) for b in blobs]
         self.texts = len(blobs)
         joined = b"\n".join(blobs) + b"\n" if blobs else b""
         self.raw = np.frombuffer(joined, np.uint8)
