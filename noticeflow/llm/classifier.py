@@ -2,7 +2,7 @@
 
 Trained by stochastic gradient descent in numpy on a bounded sample of the labelled
 rows (MOST_TRAIN in each class). The output is linear in the average, so for scoring each
-bucket's vector is reduced to its share of the logit: the broadcast model is BUCKETS
+feature's vector is reduced to its share of the logit: the broadcast model is BUCKETS + 2
 numbers, whatever the size of the data.
 """
 
@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from noticeflow.llm.common import map_text, mix64, powers, small_batches
 
 BUCKETS, DIMS, GRAMS = 1 << 17, 8, (3, 4)
+# Two features of their own: every text has PRIOR of the first, so short texts stay near the average; the second
+# stands at each word that repeats the word before it. They follow the hashed buckets.
+PRIOR, TEXT, AGAIN = 30, BUCKETS, BUCKETS + 1
 MOST_TRAIN, EPOCHS, RATE = 2000, 6, 0.5
 CHARS = 1_000_000  # per batch: a dozen arrays of that length are held
 HELD_OUT_OF = 5
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) of all words and character n-grams inside words, in order of text.
+    """(text, bucket) of all words, repeats and character n-grams inside words, in order of text.
 
-    White space is ASCII; case is kept. A position without a feature is not listed.
+    White space is ASCII; case is kept. The PRIOR features are not listed here.
     """
     codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(codes):
@@ -47,8 +50,10 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place[: start[0]] = 0
     weighted = wide * powers(int(place.max()) + 1)[place]
     weighted[blank] = 0
+    words = np.add.reduceat(weighted, start) + np.uint64(7)
     rows.append(row[start])
-    hashes.append(np.add.reduceat(weighted, start) + np.uint64(7))
+    hashes.append(words)
+    again = row[start][1:][(words[1:] == words[:-1]) & (row[start][1:] == row[start][:-1])]
     # Letters left in the word from each position.
     left = np.zeros(len(codes), np.int64)
     lengths = end - start
@@ -61,16 +66,17 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows.append(row[at])
         hashes.append(value + np.uint64(n))
     buckets = (mix64(np.concatenate(hashes)) & np.uint64(BUCKETS - 1)).astype(np.int64)
-    rows_all = np.concatenate(rows)
+    rows_all = np.concatenate([*rows, again])
+    buckets = np.concatenate([buckets, np.full(len(again), AGAIN)])
     order = np.argsort(rows_all, kind="stable")
     return rows_all[order], buckets[order]
 
 
-def train(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = RATE) -> tuple:
-    """(logit of label 1 against 0 for each bucket, bias) from (buckets, shares, label) of each text."""
+def train(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = RATE) -> np.ndarray:
+    """The logit of label 1 against 0 for each feature, from (features, shares, label) of each text."""
     random = np.random.default_rng(10)
-    vectors = random.uniform(-1 / DIMS, 1 / DIMS, (BUCKETS, DIMS)).astype(np.float32)
-    out, bias = random.uniform(-0.5, 0.5, (DIMS, 2)).astype(np.float32), np.zeros(2, np.float32)
+    vectors = random.uniform(-1 / DIMS, 1 / DIMS, (BUCKETS + 2, DIMS)).astype(np.float32)
+    out = random.uniform(-0.5, 0.5, (DIMS, 2)).astype(np.float32)
     steps, done = max(1, epochs * len(examples)), 0
     for _ in range(epochs):
         for number in random.permutation(len(examples)):
@@ -78,16 +84,22 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOC
             now = rate * (1 - done / steps)
             done += 1
             hidden = shares @ vectors[buckets]
-            logits = hidden @ out + bias
+            logits = hidden @ out
             chance = np.exp(logits - logits.max())
             error = chance / chance.sum()
             error[label] -= 1
             back = out @ error
             out -= now * np.outer(hidden, error)
-            bias -= now * error
             # The step of a text is shared out over its features by their weight in the average.
             vectors[buckets] -= now * np.outer(shares / shares.max(), back)
-    return (vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0])
+    return (vectors @ (out[:, 1] - out[:, 0])).astype(np.float32)
+
+
+def example(buckets: np.ndarray, label: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Different features of one text, their share of all, and its label."""
+    kinds, counts = np.unique(buckets, return_counts=True)
+    kinds, counts = np.append(kinds, TEXT), np.append(counts, PRIOR)
+    return kinds, (counts / counts.sum()).astype(np.float32), label
 
 
 def held_out(key: str):
@@ -111,7 +123,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
-        most: int = MOST_TRAIN) -> tuple[np.ndarray, float]:
+        most: int = MOST_TRAIN) -> np.ndarray:
     """The model, trained in one task on the bounded sample; zeros if a class has no row."""
     sample = training_rows(docs, labels, text, key, label, most).coalesce(1)
 
@@ -123,26 +135,19 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 row, buckets = features(texts)
                 bounds = np.searchsorted(row, np.arange(len(texts) + 1))
                 for n, wanted in enumerate(part.column("_label").to_pylist()):
-                    kinds, counts = np.unique(buckets[bounds[n]:bounds[n + 1]], return_counts=True)
-                    if len(kinds):
-                        shares = (counts / counts.sum()).astype(np.float32)
-                        examples.append((kinds, shares, wanted))
+                    examples.append(example(buckets[bounds[n]:bounds[n + 1]], wanted))
         if len({e[2] for e in examples}) == 2:
-            weights, bias = train(examples)
-            yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias], pa.float64())],
-                                             names=["weights", "bias"])
+            yield pa.RecordBatch.from_arrays([pa.array([train(examples).tobytes()], pa.binary())], names=["weights"])
 
-    made = sample.mapInArrow(run, "weights binary, bias double").collect()
-    if not made:
-        return np.zeros(BUCKETS, np.float32), 0.0
-    return np.frombuffer(bytes(made[0]["weights"]), np.float32), made[0]["bias"]
+    made = sample.mapInArrow(run, "weights binary").collect()
+    return np.frombuffer(bytes(made[0]["weights"]), np.float32) if made else np.zeros(BUCKETS + 2, np.float32)
 
 
-def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", key: str = "doc_id",
+def score_texts(docs: DataFrame, model: np.ndarray, text: str = "text", key: str = "doc_id",
                 cut_off: float = 0.3) -> DataFrame:
     """key, held_out, score (of label 1) and predicted of every row; no shuffle.
 
-    The score depends on the whole text alone. A NULL or empty text has the score of the bias.
+    The score depends on the whole text alone. A NULL or empty text has the score of the PRIOR features alone.
     Repeated rows and NULL keys are kept; other columns are not read; an empty table gives no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
@@ -150,12 +155,12 @@ def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "t
     rows = docs.select(F.col(key).alias("_key"), held_out(key).alias("held_out"), F.col(text).alias("_text"))
 
     def make(batch: pa.RecordBatch) -> dict:
-        weights, bias = shared.value
+        weights = shared.value
         texts = [t or "" for t in batch.column("_text").to_pylist()]
         row, buckets = features(texts)
-        counts = np.bincount(row, minlength=len(texts))
-        sums = np.bincount(row, weights=weights[buckets], minlength=len(texts))
-        score = 1 / (1 + np.exp(-np.clip(sums / np.maximum(counts, 1) + bias, -50, 50)))
+        counts = np.bincount(row, minlength=len(texts)) + PRIOR
+        sums = np.bincount(row, weights=weights[buckets], minlength=len(texts)) + PRIOR * weights[TEXT]
+        score = 1 / (1 + np.exp(-np.clip(sums / counts, -50, 50)))
         return {"_key": batch.column("_key"), "held_out": batch.column("held_out"), "score": score,
                 "predicted": (score >= cut_off).astype(np.int32)}
 
