@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, chars: int = B
         start = 0
         while start < batch.num_rows:
             part = batch.slice(start, BATCH_ROWS)
-            sizes = np.cumsum(pa.compute.binary_length(part.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+            sizes = np.cumsum(pc.binary_length(part.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
             rows = max(1, int(np.searchsorted(sizes, chars, side="right")))
             yield part.slice(0, rows)
             start += min(rows, part.num_rows)
@@ -57,8 +58,6 @@ def map_text(rows: DataFrame, column: str, schema: str, make: Callable[[pa.Recor
     names = kind.fieldNames()
 
     def run(batches):
-        import pyarrow.compute  # noqa: F401  used as pa.compute
-
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(kind)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from noticeflow.llm.common import keep_rows, map_text, worker_cache
 
-ERROR_RATE = 0.08
+ERROR_RATE = 0.1
 GRAM = 3
 # Passages are taken in blocks of about this many characters: the bound of what is broadcast.
 BLOCK_CHARS = 1_000_000
