@@ -81,6 +81,10 @@ def _array(values, kind: pa.DataType) -> pa.Array:
 _MIX1, _MIX2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+# The inverse of the base of ``powers`` modulo 2^64.
+_UNDO = pow(int(_BASE), -1, 1 << 64)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixer on unsigned 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1
@@ -88,7 +92,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(count: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+def powers(count: int, base: int = int(_BASE)) -> np.ndarray:
     """1, b, b^2, ... modulo 2^64."""
     if count == 0:
         return np.empty(0, np.uint64)
@@ -105,8 +109,8 @@ class Words:
     first[r] .. first[r + 1].
     """
 
-    def __init__(self, texts: pa.Array, change: bytes | None = None):
-        blobs = [b.as_py() or b"" for b in texts.cast(pa.binary())]
+    def __init__(self, texts: pa.Array | list[bytes], change: bytes | None = None):
+        blobs = texts if isinstance(texts, list) else [b.as_py() or b"" for b in texts.cast(pa.binary())]
         if change is not None:  # a byte-for-byte translation
             blobs = [b.translate(change) for b in blobs]
         self.texts = len(blobs)
@@ -124,18 +128,19 @@ class Words:
     def _hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.empty(0, np.uint64)
+        # A polynomial over the bytes, from running sums: the power at the word's start is divided out.
+        sums = np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * powers(len(self.raw)), dtype=np.uint64)
+        before = np.where(self.start > 0, sums[self.start - 1], np.uint64(0))
+        value = (sums[self.end - 1] - before) * powers(len(self.raw), _UNDO)[self.start]
+        return mix64(value ^ mix64((self.end - self.start).astype(np.uint64)))
+
+    def heads(self) -> np.ndarray:
+        """The first seven bytes of each word and its length (modulo 256) as one number."""
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.raw), "<u8", padded.data, strides=(1,))[self.start]
         size = self.end - self.start
-        at = np.arange(len(self.raw), dtype=np.int64)
-        base = np.zeros(len(self.raw), np.int64)
-        base[self.start] = np.diff(np.concatenate([[0], self.start]))
-        place = at - np.cumsum(base)  # distance from the last word start
-        place[: self.start[0]] = 0
-        table = powers(int(max(place.max(), 0)) + 1)
-        weighted = (self.raw.astype(np.uint64) + np.uint64(1)) * table[place]
-        # Between two words there are only white-space bytes; they count as nothing.
-        blank = (self.raw == 32) | ((self.raw >= 9) & (self.raw <= 13))
-        weighted[blank] = 0
-        return mix64(np.add.reduceat(weighted, self.start) ^ mix64(size.astype(np.uint64)))
+        masks = np.array([(1 << 8 * n) - 1 for n in range(8)], np.uint64)
+        return eight & masks[np.minimum(size, 7)] | size.astype(np.uint64) << np.uint64(56)
 
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(text, hash) of every run of ``width`` words; a shorter text that has words gives one of all its words."""

@@ -10,7 +10,6 @@ a range is cut into sequences of a power of two, which need no padding.
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +17,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeflow.llm.common import cut, map_text, mix64, worker_cache
+from noticeflow.llm.common import Words, cut, map_text, mix64, worker_cache
 
 LENGTH, END_ID = 2048, 1
 DIMS, BITS, BUCKETS = 4, 8, 1024
 # Entries that each cache of a worker holds at most; a full cache starts anew.
-MOST_CHUNKS, MOST_WORDS = 400_000, 300_000
+MOST_CHUNKS, MOST_WORDS = 2_000_000, 500_000
+# Bytes that lead characters from U+0300 on: combining marks are among them. Texts without any can be lower-cased in
+# ASCII first, which lets more chunks be equal and changes no id.
+WIDE = re.compile(rb"[\xcc-\xff]")
 
 # A word of Latin letters with ASCII punctuation after it, but no apostrophe: the
 # tokenizer cuts such a chunk into just these two parts.
@@ -33,8 +35,9 @@ SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 class ChunkIds:
     """Token ids of white-space separated chunks, remembered between texts.
 
-    Holds for tokenizers whose normaliser and pre-tokenizer never look across ASCII
-    white space and drop it, and that mark the last token of each word (``</w>``), such as the word-end BPE.
+    Holds for tokenizers whose normaliser and pre-tokenizer never look across ASCII white space
+    and drop it, that ignore case, and that mark the last token of each word (``</w>``), such as the word-end BPE.
+    Known chunks are a table sorted by hash; length and first bytes are compared as well.
     """
 
     def __init__(self, path: str):
@@ -44,63 +47,96 @@ class ChunkIds:
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.word_end = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.forget()
 
-    def learn(self, missing: set[bytes]) -> None:
-        if len(self.chunks) > MOST_CHUNKS:
-            self.chunks.clear()
+    def forget(self) -> None:
+        self.hash, self.head = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, "<u2")
+
+    def ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk, asked of the tokenizer."""
         if len(self.words) > MOST_WORDS:
             self.words.clear()
-        simple, other, fresh = [], [], set()
-        for chunk in missing:
+        parts, other, fresh = [], [], set()
+        for chunk in chunks:
             text = chunk.decode()
-            parts = SIMPLE.fullmatch(text)
-            if parts is None:
-                other.append((chunk, text))
+            simple = SIMPLE.fullmatch(text)
+            if simple is None:
+                other.append(text)
+                parts.append(None)
                 continue
-            word, tail = parts[1].lower(), parts[2]
-            simple.append((chunk, word, tail))
+            word, tail = simple[1].lower(), simple[2]
+            parts.append((word, tail))
             if word not in self.words:
                 fresh.add(word)
             if tail and tail not in self.words:
                 fresh.add(tail)
         self._learn_words(sorted(fresh))
-        for chunk, word, tail in simple:
-            self.chunks[chunk] = self.words[word] + (self.words[tail] if tail else b"")
-        found = self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)
-        for (chunk, _), made in zip(other, found, strict=True):
-            self.chunks[chunk] = np.array(made.ids, "<u2").tobytes()
+        rest = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
+        return [np.array(next(rest).ids, "<u2").tobytes() if p is None
+                else self.words[p[0]] + (self.words[p[1]] if p[1] else b"") for p in parts]
 
     def _learn_words(self, words: list[str], group: int = 64) -> None:
         lines = [" ".join(words[i:i + group]) for i in range(0, len(words), group)]
         for start, made in zip(range(0, len(words), group),
                                self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
             ids = np.array(made.ids, "<u2")
-            bounds = np.flatnonzero(self.word_end[ids]) + 1
+            bounds = (np.flatnonzero(self.word_end[ids]) + 1).tolist()
             own = words[start:start + group]
             if len(bounds) != len(own):
                 raise ValueError("the tokenizer doesn't mark word ends")
-            begin = 0
+            raw, begin = ids.tobytes(), 0
             for word, end in zip(own, bounds, strict=True):
-                self.words[word] = ids[begin:end].tobytes()
+                self.words[word] = raw[2 * begin:2 * end]
                 begin = end
 
+    def lookup(self, hashes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start in the pool and number of ids of each chunk; a start of -1 says that it is unknown."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        known = (self.hash[place] == hashes) & (self.head[place] == heads)
+        return np.where(known, self.start[place], -1), self.size[place]
+
+    def add(self, hashes: np.ndarray, heads: np.ndarray, found: list[bytes]) -> None:
+        """New chunks, in order of hash; a hash that is there already keeps its chunk."""
+        at = np.searchsorted(self.hash, hashes)
+        new = self.hash[np.minimum(at, len(self.hash) - 1)] != hashes if len(self.hash) else np.ones(len(hashes), bool)
+        hashes, heads, at = hashes[new], heads[new], at[new]
+        found = [f for f, n in zip(found, new.tolist(), strict=True) if n]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        start = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u2")])
+        for name, values in (("hash", hashes), ("head", heads), ("start", start), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), at, values))
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the bounds of each text; the end id closes each."""
-        split = [t.split() for t in texts]
-        flat = list(chain.from_iterable(split))
-        found = list(map(self.chunks.get, flat))
-        if None in found:
-            places = [n for n, ids in enumerate(found) if ids is None]
-            self.learn({flat[n] for n in places})
-            for n in places:
-                found[n] = self.chunks[flat[n]]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        last = total[np.cumsum([len(s) for s in split], dtype=np.int64)] if split else np.empty(0, np.int64)
-        ids = np.insert(np.frombuffer(b"".join(found), "<u2"), last, END_ID)
-        return ids, np.concatenate([[0], last + np.arange(1, len(last) + 1)])
+        words = Words([t if WIDE.search(t) else t.lower() for t in texts])
+        heads = words.heads()
+        if len(self.hash) > MOST_CHUNKS:
+            self.forget()
+        start, size = self.lookup(words.hash, heads)
+        missing = np.flatnonzero(start < 0)
+        if len(missing):
+            hashes, first = np.unique(words.hash[missing], return_index=True)
+            first = missing[first]
+            raw = words.raw.tobytes()
+            found = self.ids_of([raw[a:z] for a, z in zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)])
+            self.add(hashes, heads[first], found)
+            start[missing], size[missing] = self.lookup(words.hash[missing], heads[missing])
+        pool, odd = self.pool, np.flatnonzero(start < 0)
+        if len(odd):  # the same hash as another chunk: not remembered
+            found = self.ids_of([words.raw[words.start[w]:words.end[w]].tobytes() for w in odd])
+            size[odd] = [len(f) // 2 for f in found]
+            start[odd] = len(pool) + np.cumsum(size[odd]) - size[odd]
+            pool = np.concatenate([pool, np.frombuffer(b"".join(found), "<u2")])
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = pool[np.arange(total[-1]) + np.repeat(start - total[:-1], size)]
+        last = total[words.first[1:]]
+        return np.insert(ids, last, END_ID), np.concatenate([[0], last + np.arange(1, len(last) + 1)])
 
 
 def chunk_ids(path: str) -> ChunkIds:
