@@ -14,7 +14,8 @@ from noticeflow.plans.prepare import prepare, project_to_target, to_notices
 from noticeflow.plans.sync import SyncPaths, sync_batch
 from noticeflow.schema import RAW_COLUMNS
 from noticeflow.session import shared_dir
-from noticeflow.sinks import greedy_batches, size_bounded_batches, write_load_csv
+from noticeflow.sinks import (csv_row_bytes, greedy_batches, read_load_chunks, read_table, size_bounded_batches,
+                              write_load_chunks, write_load_csv)
 from noticeflow.sources import audit_workbooks, parse_workbooks, read_load_csv, read_target, resolve_formulas
 from noticeflow.sources.tables import last_result
 
@@ -172,7 +173,7 @@ def profile_duplicates(spark, d):
 Q["profile_duplicates"] = profile_duplicates
 SQL["profile_duplicates"] = r"""
 SELECT 'fingerprint' AS measure, count(*) AS "rows", count(DISTINCT v) AS distinct_values,
- count(*) - count(DISTINCT v) AS duplicates FROM (SELECT lang || chr(31) || left(text, 500) AS v FROM documents)
+ count(*) - count(DISTINCT v) AS duplicates FROM (SELECT lang || chr(31) || text AS v FROM documents)
 UNION ALL SELECT 'url', count(v), count(DISTINCT v), count(v) - count(DISTINCT v)
  FROM (SELECT coalesce(nullif(regexp_extract(url, '^https?://([^/]+)', 1), ''), url) AS v FROM pages)"""
 
@@ -258,10 +259,14 @@ SQL["title_fallback"] = """SELECT p_partkey, CASE WHEN p_size > 20 THEN p_name W
 
 SEGMENTS = ["AUTOMOBILE", "BUILD", "BUILDING", "FURNITURE", "HOUSE"]
 Q["region_rank"] = lambda spark, d: table(spark, d, "customer").select(
-    "c_custkey", region_rank("c_mktsegment", SEGMENTS).alias("rank"))
+    "c_custkey", region_rank("c_mktsegment", SEGMENTS, strict=False).alias("rank"))
 SQL["region_rank"] = """SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'FURNITURE' THEN 3
  WHEN 'HOUSEHOLD' THEN 4 END AS rank FROM customer"""
 
+Q["unknown_regions"] = lambda spark, d: gates.unknown_regions(table(spark, d, "customer"), "c_mktsegment", SEGMENTS)
+SQL["unknown_regions"] = """SELECT c_mktsegment AS region, count(*) AS "rows" FROM customer
+ WHERE coalesce(c_mktsegment, '') NOT IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD') GROUP BY 1"""
+
 Q["composite_key"] = lambda spark, d: table(spark, d, "part").select("p_partkey", composite_key(
     [F.when(F.col("p_type") != "PROMO", F.col("p_type")), "p_brand",
      F.when(F.col("p_size") > 25, F.col("p_name"))], 2).alias("identity"))
@@ -330,9 +335,9 @@ def _trace_text():
 
 
 Q["last_error_line"] = lambda spark, d: table(spark, d, "events").select(
-    "event_id", last_error_line(_trace_text(), 12).alias("reason"))
+    "event_id", last_error_line(_trace_text(), 1200).alias("reason"))
 SQL["last_error_line"] = """SELECT event_id, left(CASE WHEN event_type = 'error' THEN 'KeyError: ' || props
- ELSE 'done ' || user_id END, 12) AS reason FROM events"""
+ ELSE 'done ' || user_id END, 1200) AS reason FROM events"""
 
 
 def _run_log_text():
@@ -415,18 +420,19 @@ SELECT key AS "Source_Key__c", CAST(doc_id AS VARCHAR) AS "Source_Row_Number__c"
  sha256(coalesce(body, '')) AS "Source_Content_Hash__c", day AS "release_date__c", 3 AS "_row" FROM k"""
 
 
-def audited_files(spark, d):
-    """Workbooks of labelled documents; files of toxic ones are cut short."""
-    labels = table(spark, d, "labels").withColumn("path", F.format_string("/in/%012d.xlsx", "doc_id"))
-    files = render_workbooks(sheet_rows(spark, d)).join(labels, "path")
+def audited_files(spark, d, how="left"):
+    """Workbooks of all documents (inner: of labelled ones); files of toxic ones are cut short."""
+    labels = table(spark, d, "labels").select(F.format_string("/in/%012d.xlsx", "doc_id").alias("path"), "toxic")
+    files = render_workbooks(sheet_rows(spark, d)).join(labels, "path", how)
     cut = F.substr("content", F.lit(1), F.floor(F.length("content") / 2).cast("int"))
     return files.select("path", F.when(F.col("toxic") == 1, cut).otherwise(F.col("content")).alias("content"))
 
 
 Q["audit_workbooks"] = lambda spark, d: audit_workbooks(audited_files(spark, d)).select(
     "path", "ok", "rows", F.col("error").isNotNull().alias("has_error"))
-SQL["audit_workbooks"] = """SELECT printf('/in/%012d.xlsx', doc_id) AS path, toxic <> 1 AS ok,
- CASE WHEN toxic <> 1 THEN 3::BIGINT END AS "rows", toxic = 1 AS has_error FROM labels JOIN documents USING (doc_id)"""
+SQL["audit_workbooks"] = """SELECT printf('/in/%012d.xlsx', doc_id) AS path, coalesce(toxic, 0) <> 1 AS ok,
+ CASE WHEN coalesce(toxic, 0) <> 1 THEN 3::BIGINT END AS "rows", coalesce(toxic, 0) = 1 AS has_error
+ FROM documents LEFT JOIN labels USING (doc_id)"""
 
 
 def sync_twice(spark, d):
@@ -436,7 +442,7 @@ def sync_twice(spark, d):
     files = render_workbooks(sheet_rows(spark, d))
     first = sync_batch(spark, files, paths)
     again = sync_batch(spark, files, paths)
-    target = spark.read.parquet(paths.target)
+    target = read_table(spark, paths.target, "Source_Key__c")
     return target.select("Source_Key__c", "release_date__c", "Source_Row_Number__c",
                          F.lit(first["inserted_rows"]).cast("bigint").alias("inserted"),
                          F.lit(again["status"]).alias("second_status"))
@@ -447,6 +453,27 @@ SQL["sync_batch"] = SQL_NOTICES + """
 SELECT key AS "Source_Key__c", day AS "release_date__c", CAST(doc_id AS VARCHAR) AS "Source_Row_Number__c",
  count(*) OVER () AS inserted, 'unchanged' AS second_status FROM firsts WHERE length(body) <= 131072"""
 
+
+
+def sync_retry(spark, d):
+    """A first load died while it was written; the next run loads everything."""
+    base = shared_dir(spark, "sync")
+    paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
+    files = render_workbooks(sheet_rows(spark, d))
+    rows = to_notices(resolve_formulas(parse_workbooks(files)))
+    (rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .parquet(f"{paths.target}/load-{0:020d}"))
+    result = sync_batch(spark, files, paths)
+    return read_table(spark, paths.target, "Source_Key__c").select(
+        "Source_Key__c", "Source_Row_Number__c", F.lit(result["files"]).cast("bigint").alias("files"),
+        F.lit(result["inserted_rows"]).cast("bigint").alias("inserted"))
+
+
+Q["sync_retry"] = sync_retry
+SQL["sync_retry"] = SQL_NOTICES + """
+SELECT key AS "Source_Key__c", CAST(doc_id AS VARCHAR) AS "Source_Row_Number__c", (SELECT count(*) FROM documents) AS files,
+ count(*) OVER () AS inserted FROM firsts WHERE length(body) <= 131072"""
+
 # --- load files ---------------------------------------------------------------
 
 
@@ -480,15 +507,45 @@ SQL["size_bounded_batches"] = f"""WITH s AS (SELECT doc_id, strlen(text) AS size
 SELECT doc_id, size, CAST((upto - size) // ({CHUNK} - 100 - (SELECT max(size) FROM s)) AS BIGINT) AS batch FROM r"""
 
 
+GREEDY = 100_000
+
+
 def greedy(spark, d):
-    chunks = greedy_batches(_sizes(spark, d), ["doc_id"], "size", CHUNK, 100).groupBy("batch").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
-    return chunks.agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"),
-                      (F.max("bytes") + 100 <= CHUNK).alias("within_limit"))
+    chunks = greedy_batches(_sizes(spark, d), ["doc_id"], "size", GREEDY, 100)
+    return chunks.select("doc_id", F.col("batch.part").alias("part"), F.col("batch.number").alias("number"))
 
 
 Q["greedy_batches"] = greedy
-SQL["greedy_batches"] = """SELECT count(*) AS "rows", CAST(sum(strlen(text)) AS BIGINT) AS bytes, true AS within_limit FROM documents"""
+SQL["greedy_batches"] = f"""WITH RECURSIVE s AS (SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size FROM documents),
+ r AS (SELECT *, CAST((sum(size) OVER (ORDER BY doc_id) - size) // (8 * {GREEDY}) AS BIGINT) AS part, row_number() OVER (ORDER BY doc_id) AS n FROM s),
+ w AS (SELECT doc_id, n, part, 0::BIGINT AS number, 100 + size AS used FROM r WHERE n = 1
+  UNION ALL SELECT r.doc_id, r.n, r.part, CASE WHEN r.part <> w.part THEN 0 WHEN w.used + r.size > {GREEDY} THEN w.number + 1 ELSE w.number END,
+   CASE WHEN r.part <> w.part OR w.used + r.size > {GREEDY} THEN 100 + r.size ELSE w.used + r.size END FROM w JOIN r ON r.n = w.n + 1)
+SELECT doc_id, part, number FROM w"""
+
+LOAD_COLUMNS = ["doc_id", "text", "lang", "source"]
+
+
+def load_chunks(spark, d):
+    """Write the documents as chunk files, read them back: rows and hash of the keys per chunk, all below the limit."""
+    docs = table(spark, d, "documents")
+    sizes = docs.select("doc_id", csv_row_bytes(LOAD_COLUMNS).alias("size"))
+    largest = sizes.agg(F.max("size")).first()[0]
+    path = shared_dir(spark, "chunks")
+    write_load_chunks(docs, size_bounded_batches(sizes, ["doc_id"], "size", largest, CHUNK, 100), ["doc_id"], path, LOAD_COLUMNS)
+    back = read_load_chunks(spark, path, LOAD_COLUMNS)
+    return back.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_file").alias("files"), (F.max("_bytes") <= CHUNK).alias("within_limit"),
+        F.sum(F.col("doc_id").cast("bigint")).alias("ids"), F.sum(F.length("text")).alias("chars"))
+
+
+Q["load_chunks"] = load_chunks
+SQL["load_chunks"] = f"""WITH q AS (SELECT doc_id, text, list_transform([CAST(doc_id AS VARCHAR), text, lang, source], lambda v:
+   CAST(strlen(v) AS BIGINT) + CASE WHEN regexp_matches(v, '[,"\n\r]') OR starts_with(v, ' ') OR ends_with(v, ' ') THEN 2 + (strlen(v) - strlen(replace(v, '"', ''))) ELSE 0 END) AS parts FROM documents),
+ s AS (SELECT doc_id, text, CAST(list_sum(parts) AS BIGINT) + 3 + 2 AS size FROM q),
+ r AS (SELECT *, CAST((sum(size) OVER (ORDER BY doc_id) - size) // ({CHUNK} - 100 - (SELECT max(size) FROM s)) AS BIGINT) AS batch FROM s)
+SELECT batch, count(*) AS "rows", 1::BIGINT AS files, true AS within_limit, CAST(sum(doc_id) AS BIGINT) AS ids, CAST(sum(length(text)) AS BIGINT) AS chars
+FROM r GROUP BY batch"""
 
 
 def chunk_total(spark, d):
@@ -526,5 +583,5 @@ Q["clean"] = lambda spark, d: table(spark, d, "documents").select(
     clean(F.when(F.col("lang") == "en", F.lit(" \u00a0 ")).otherwise(F.col("source"))).alias("source"))
 SQL["clean"] = f"""SELECT doc_id, sha256(trim(text, {SQL_WS})) AS text_hash, CASE WHEN lang <> 'en' THEN source END AS source FROM documents"""
 
-Q["read_target"] = lambda spark, d: read_target(spark, f"{d}/orders.parquet", ["o_orderkey", "o_orderstatus"]).where("o_orderstatus <> 'P'")
-SQL["read_target"] = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'"
+Q["read_target"] = lambda spark, d: read_target(spark, f"{d}/orders.parquet", ["o_orderkey", "o_orderstatus"])
+SQL["read_target"] = "SELECT o_orderkey, o_orderstatus FROM orders"

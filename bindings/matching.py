@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from noticeflow.functions import fingerprint, legacy_identity
 from noticeflow.operators import compare, gates, incremental, legacy
 from noticeflow.session import shared_dir
-from noticeflow.sinks import commit_manifest, upsert
+from noticeflow.sinks import commit_manifest, compact_table, read_table, upsert, upsert_table
 
 from .common import MONEY, day, table
 
@@ -42,7 +42,7 @@ def keyless(spark, d):
 Q["compare_keys_keyless"] = keyless
 SQL["compare_keys_keyless"] = """
 WITH c AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM documents SEMI JOIN labels USING (doc_id)) AS k)
-SELECT n AS local_rows, n AS local_unique_keys, k AS existing_rows_to_update, n - k AS new_rows_to_insert, k AS remote_rows_with_key,
+SELECT n AS local_rows, n AS local_unique_keys, k AS existing_rows_to_update, n - k AS new_rows_to_insert, n AS remote_rows_with_key,
  k AS remote_unique_keys, n - k AS remote_rows_without_key, 0::BIGINT AS duplicate_local_keys, 0::BIGINT AS duplicate_remote_keys,
  n - k AS legacy_rows_ignored, true AS safe_to_upsert FROM c"""
 
@@ -79,6 +79,40 @@ SQL["upsert_overwrite"] = _SIDES + """SELECT id, coalesce(s.segment, t.segment)
  CASE WHEN s.segment IS NOT NULL THEN s.balance ELSE t.balance END AS balance, last_seen FROM t FULL JOIN s USING (id)"""
 
 
+def _stored_orders(spark, d):
+    """Orders as a stored table with blank partitions, and a load that moves, blanks and adds rows."""
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")).alias("part"),
+        F.col("o_totalprice").cast(MONEY).alias("amount"), F.col("o_orderpriority").alias("note"))
+    moved = F.when(F.col("id") % 2 == 0, F.lit("moved")).otherwise(F.col("part"))
+    changed = orders.where("id % 3 = 0").select(
+        "id", moved.alias("part"), F.when(F.col("id") % 5 != 0, F.col("amount") + 1).cast(MONEY).alias("amount"))
+    added = table(spark, d, "customer").select(
+        (-F.col("c_custkey") - 1).alias("id"), F.lit(None).cast("string").alias("part"), F.col("c_acctbal").cast(MONEY).alias("amount"))
+    return orders, changed.unionByName(added)
+
+
+def upsert_stored(spark, d):
+    root = shared_dir(spark, "stored")
+    orders, batch = _stored_orders(spark, d)
+    first = upsert_table(spark, root, orders, "id", "part")
+    second = upsert_table(spark, root, batch, "id", "part")
+    compact_table(spark, root, "id", "part")
+    upsert_table(spark, root, batch.where("id < 0").limit(0), "id", "part")
+    return read_table(spark, root, "id").select("*", F.lit(first["inserted"]).alias("first_inserted"),
+                                                F.lit(second["inserted"]).alias("second_inserted"))
+
+
+Q["upsert_partitions"] = upsert_stored
+SQL["upsert_partitions"] = """
+WITH t AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS part, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+  o_orderpriority AS note FROM orders)
+SELECT id, CASE WHEN id % 3 = 0 AND id % 2 = 0 THEN 'moved' ELSE part END AS part,
+ CASE WHEN id % 3 = 0 AND id % 5 <> 0 THEN CAST(amount + 1 AS DECIMAL(18,2)) ELSE amount END AS amount, note,
+ (SELECT count(*) FROM orders) AS first_inserted, (SELECT count(*) FROM customer) AS second_inserted FROM t
+UNION ALL SELECT -c_custkey - 1, NULL, CAST(c_acctbal AS DECIMAL(18,2)), NULL, (SELECT count(*) FROM orders), (SELECT count(*) FROM customer) FROM customer"""
+
+
 def _parties(spark, d):
     customers = table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").cast(MONEY).alias("balance"),

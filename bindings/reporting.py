@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from noticeflow.functions import message_id, parse_verdict, prompt_input, run_status, validate_verdict
 from noticeflow.operators import filters, gates, outbox, reporting, tagging
 from noticeflow.plans.tag import tag_records
+from noticeflow.functions.verdicts import MAX_INDUSTRY, MAX_REASON, PROMPT_BODY_CHARS
 from noticeflow.session import shared_dir
 from noticeflow.sinks import write_report
 from noticeflow.sources import audit_workbooks, read_summaries
@@ -37,7 +38,7 @@ def _verdict_body():
 
 
 Q["verdicts"] = lambda spark, d: table(spark, d, "conversations").select(
-    "conv_id", "turn", validate_verdict(parse_verdict(_verdict_body())).alias("v")).select(
+    "conv_id", "turn", validate_verdict(parse_verdict(_verdict_body()), MAX_INDUSTRY, MAX_REASON).alias("v")).select(
         "conv_id", "turn", "v.matched", "v.confidence", "v.primary_industry", F.sha2("v.reason", 256).alias("reason_hash"), "v.error")
 SQL["verdicts"] = """
 WITH c AS (SELECT *, CASE WHEN role <> 'user' AND length(text) < 40 THEN 'incomplete response' WHEN turn >= 4 THEN 'missing matched flag'
@@ -118,7 +119,7 @@ Q["pending_top_n"] = lambda spark, d: tagging.pending_top_n(
 SQL["pending_top_n"] = """SELECT doc_id, n_chars, '待识别' AS ai_status FROM documents ANTI JOIN labels USING (doc_id) ORDER BY n_chars, doc_id LIMIT 10"""
 
 Q["prompt_input"] = lambda spark, d: table(spark, d, "documents").select("doc_id", F.sha2(prompt_input(
-    [F.lit("r"), F.lit("a；b"), "source", F.lit(None).cast("string"), "lang", "n_chars", F.lit("招标"), "text"]), 256).alias("prompt_hash"))
+    [F.lit("r"), F.lit("a；b"), "source", F.lit(None).cast("string"), "lang", "n_chars", F.lit("招标"), "text"], PROMPT_BODY_CHARS), 256).alias("prompt_hash"))
 SQL["prompt_input"] = """SELECT doc_id, sha256('规则名称：r' || chr(10) || '规则语义：a；b' || chr(10) || '公告标题：' || source || chr(10) || '项目名称：' || chr(10)
  || '平台行业：' || lang || chr(10) || '匹配关键词：' || n_chars || chr(10) || '公告类别：招标' || chr(10) || '公告正文：' || left(text, 6000)) AS prompt_hash FROM documents"""
 
@@ -143,10 +144,12 @@ SQL["market_report"] = _DEALS + """SELECT p_brand, CAST(sum(amount) AS DECIMAL(1
  FROM m JOIN part ON l_partkey = p_partkey GROUP BY p_brand"""
 
 Q["market_report_by_project"] = lambda spark, d: reporting.market_report(
-    _deals(spark, d), "l_linestatus", "amount", "l_orderkey", LINE_ORDER).select(
+    _deals(spark, d).withColumn("project", F.when(F.col("l_quantity") > 10, F.col("l_orderkey").cast("string")).otherwise(
+        F.when(F.col("l_quantity") > 5, " "))), "l_linestatus", "amount", "project", LINE_ORDER).select(
         "l_linestatus", F.col("total_amount").cast(MONEY).alias("total_amount"), "deals")
 SQL["market_report_by_project"] = _DEALS + """, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
- ORDER BY day DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, amount DESC, l_quantity DESC) AS rn FROM m) WHERE rn = 1)
+ ORDER BY day DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, amount DESC, l_quantity DESC) AS rn FROM m WHERE l_quantity > 10) WHERE rn = 1
+ UNION ALL SELECT *, 1 FROM m WHERE l_quantity <= 10)
 SELECT l_linestatus, CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount, count(*) AS deals FROM f GROUP BY 1"""
 
 KINDS = ("view", "click", "purchase")
@@ -188,7 +191,7 @@ def completeness(spark, d):
     batches = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select(
         F.format_string("/in/%012d.xlsx", "doc_id").alias("file"),
         F.when(F.col("quality") == 0, 5).otherwise(2).cast("bigint").alias("expected"))
-    return reporting.export_completeness(batches, audit_workbooks(audited_files(spark, d)), "file", "expected")
+    return reporting.export_completeness(batches, audit_workbooks(audited_files(spark, d, "inner")), "file", "expected")
 
 
 Q["export_completeness"] = completeness
@@ -277,7 +280,7 @@ def advanced(spark, d):
     messages = _messages(spark, d)
     results = messages.join(table(spark, d, "events").select("event_id", "event_type", "user_id"), "event_id").select(
         "id", (F.col("event_type") == "click").alias("ok"), F.concat(F.lit("Timeout: "), "user_id").alias("error"))
-    return outbox.outbox_advance(messages, results, _now()).select("event_id", "status", "attempts", "next_attempt_at", "last_error")
+    return outbox.outbox_advance(messages, results, _now(), max_error=1200).select("event_id", "status", "attempts", "next_attempt_at", "last_error")
 
 
 Q["outbox_advance"] = advanced

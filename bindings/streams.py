@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from noticeflow.session import shared_dir
+from noticeflow.sinks import read_table
 from noticeflow.streaming import landing
 
 from .common import day, table
@@ -26,10 +27,14 @@ def _finished(query):
 
 def latest_by_key(spark, d):
     base = shared_dir(spark, "stream")
-    stream = _events(spark, d).select(
-        F.concat_ws(":", "event_type", "user_id").alias("key"), "event_type", "event_id", "ts", "value")
-    _finished(landing.stream_upsert(stream, f"{base}/target", "key", ["ts", "event_id"], "event_type", f"{base}/checkpoint"))
-    return spark.read.parquet(f"{base}/target").select("key", "event_type", "event_id", "value")
+    events = table(spark, d, "events").select(
+        F.concat_ws(":", "event_type", "user_id").alias("key"), "event_type", "event_id",
+        F.col("ts").cast("timestamp").alias("ts"), day("ts").alias("date"), "value")
+    # Several files, each over the whole time: micro-batches bring newer and older rows of a key.
+    events.repartition(4, "event_id").write.parquet(f"{base}/in")
+    stream = landing.stream_landing(spark, f"{base}/in", events.schema, files_per_batch=1)
+    _finished(landing.stream_upsert(stream, f"{base}/target", "key", ["ts", "event_id"], "date", f"{base}/checkpoint"))
+    return read_table(spark, f"{base}/target", "key").select("key", "event_type", "event_id", "value")
 
 
 Q["stream_upsert"] = latest_by_key

@@ -21,13 +21,19 @@ def classify_stage(category: ColumnOrName, awarded: Sequence[str] = AWARDED_CATE
             .when(category.isin(*opened), labels[1]).otherwise(labels[2]))
 
 
-def region_rank(name: ColumnOrName, regions: Sequence[str] = REGIONS) -> Column:
-    """Position of the single region the name starts with; NULL for none or several."""
+def region_rank(name: ColumnOrName, regions: Sequence[str] = REGIONS, strict: bool = True) -> Column:
+    """Position of the single region the name starts with.
+
+    None or several stop the job; without ``strict`` they give NULL, for
+    ``gates.unknown_regions``.
+    """
     name = as_col(name)
     listed = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r).alias("prefix"))
                        for i, r in enumerate(regions)])
     hits = F.filter(listed, lambda r: F.startswith(name, r["prefix"]))
-    return bind(hits, lambda found: F.when(F.size(found) == 1, found[0]["rank"]))
+    problem = F.concat(F.lit("not the name of one region: "), F.coalesce(name, F.lit("NULL")))
+    other = F.raise_error(problem).cast("int") if strict else F.lit(None).cast("int")
+    return bind(hits, lambda found: F.when(F.size(found) == 1, found[0]["rank"]).otherwise(other))
 
 
 def run_status(status: ColumnOrName, blocked_rows: ColumnOrName) -> Column:

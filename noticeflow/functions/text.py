@@ -170,8 +170,8 @@ ERROR_LINE = r"^[\w.]+(?:Error|Exception):\s*\S"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
-def last_error_line(text: ColumnOrName, length: int = 1200) -> Column:
-    """Last ``SomeError: ...`` line, else the last non-blank line; ANSI codes removed."""
+def last_error_line(text: ColumnOrName, length: int | None = None) -> Column:
+    """Last ``SomeError: ...`` line, else the last non-blank line; ANSI codes removed. ``length`` cuts it."""
     plain = F.regexp_replace(F.coalesce(as_col(text), F.lit("")), "\\x1b\\[[0-9;]*m", "")
     lines = F.transform(F.split(plain, LINE_BREAK, -1), lambda x: F.btrim(x, F.lit(WHITESPACE)))
 
@@ -181,4 +181,5 @@ def last_error_line(text: ColumnOrName, length: int = 1200) -> Column:
         return F.coalesce(F.try_element_at(errors, F.lit(-1)), F.try_element_at(filled, F.lit(-1)),
                           F.lit(NO_ERROR_TEXT))
 
-    return truncate(bind(lines, pick), length)
+    line = bind(lines, pick)
+    return line if length is None else truncate(line, length)

@@ -13,14 +13,16 @@ from .text import WHITESPACE, ColumnOrName, as_col, bind, is_blank, truncate
 # Labels of the classifier input, in order.
 PROMPT_LABELS = ["规则名称", "规则语义", "公告标题", "项目名称", "平台行业", "匹配关键词", "公告类别", "公告正文"]
 SEMANTICS_SEPARATOR = "；"
+# Lengths of the notice contract. The functions cut only where they are passed.
 PROMPT_BODY_CHARS = 6000
 MAX_INDUSTRY, MAX_REASON = 80, 32768
 
 
-def prompt_input(fields: Sequence[ColumnOrName], body_chars: int = PROMPT_BODY_CHARS) -> Column:
-    """Eight labelled lines; the last field is the body, cut to ``body_chars``."""
+def prompt_input(fields: Sequence[ColumnOrName], body_chars: int | None = None) -> Column:
+    """Eight labelled lines; the last field is the body, cut to ``body_chars`` if given."""
     values = [as_col(f) for f in fields]
-    values[-1] = truncate(values[-1], body_chars)
+    if body_chars is not None:
+        values[-1] = truncate(values[-1], body_chars)
     lines = [F.concat(F.lit(f"{label}："), F.coalesce(value.cast("string"), F.lit("")))
              for label, value in zip(PROMPT_LABELS, values, strict=True)]
     return F.concat_ws("\n", *lines)
@@ -78,13 +80,16 @@ def _text_or_null(value: Column) -> Column:
     return F.when(~is_blank(value) & (value != "null"), value)
 
 
-def validate_verdict(verdict: ColumnOrName) -> Column:
-    """Checked verdict: typed confidence, cut texts, and the first problem found."""
+def validate_verdict(verdict: ColumnOrName, max_industry: int | None = None, max_reason: int | None = None) -> Column:
+    """Checked verdict: typed confidence, texts cut where a length is given, and the first problem found."""
+    def fitted(value: Column, length: int | None) -> Column:
+        return value if length is None else truncate(value, length)
+
     def typed(v: Column) -> Column:
         return F.struct(
             v["matched"].alias("matched"), v["confidence"].try_cast(AMOUNT).alias("confidence"),
-            truncate(_text_or_null(v["primary_industry"]), MAX_INDUSTRY).alias("primary_industry"),
-            truncate(_text_or_null(v["reason"]), MAX_REASON).alias("reason"), v["error"].alias("error"))
+            fitted(_text_or_null(v["primary_industry"]), max_industry).alias("primary_industry"),
+            fitted(_text_or_null(v["reason"]), max_reason).alias("reason"), v["error"].alias("error"))
 
     def checked(v: Column) -> Column:
         error = F.coalesce(

@@ -28,6 +28,7 @@ def compare_keys(local: DataFrame, remote: DataFrame, key: str,
     """What an upsert would insert and update, and whether it is safe.
 
     A blank target key is a keyless row. Keyless rows block unless ignored.
+    ``remote_rows_with_key`` is the length of the target list as passed, blanks included.
     """
     both = key_presence(local, remote, key)
     has_key = F.coalesce(F.col(key).cast("string") != "", F.lit(False))
@@ -37,7 +38,7 @@ def compare_keys(local: DataFrame, remote: DataFrame, key: str,
         F.count_if(on_local).alias("local_unique_keys"),
         F.count_if(on_local & on_remote).alias("existing_rows_to_update"),
         F.count_if(on_local & ~on_remote).alias("new_rows_to_insert"),
-        F.coalesce(F.sum(F.when(has_key, F.col("remote_rows"))), F.lit(0)).alias("remote_rows_with_key"),
+        F.coalesce(F.sum("remote_rows"), F.lit(0)).alias("remote_rows_with_key"),
         F.count_if(on_remote).alias("remote_unique_keys"),
         F.coalesce(F.sum(F.when(~has_key, F.col("remote_rows"))), F.lit(0)).alias("remote_rows_without_key"),
         F.count_if(F.col("local_rows") > 1).alias("duplicate_local_keys"),
@@ -69,23 +70,30 @@ def reconcile_records(expected: DataFrame, actual: DataFrame, key: str, fields:
                       order: Sequence[str]) -> DataFrame:
     """(measure, rows): differing values per field, unexpected and missing records.
 
-    The last expected row of a key counts. Target rows drive a left join whose
-    other side has one row per key, so a repeated target key can be split.
+    The last expected row of a key counts. Target rows are first reduced to one row per
+    key and field values with its number of rows, so a hot key has collapsed before one
+    outer join compares both sides. NULL keys match nothing.
     """
+    def texts(prefix: str) -> list[Column]:
+        return [_text(f).alias(f"{prefix}{i}") for i, f in enumerate(fields)]
+
     last = dedup_last(expected.select(key, *{*fields, *order} - {key}), [key], order)
-    want = last.select(F.col(key), *[_text(f).alias(f"_want_{i}") for i, f in enumerate(fields)],
-                       F.lit(True).alias("_found"))
-    pairs = actual.select(key, *fields).join(want, key, "left")
-    found = F.col("_found").isNotNull()
-    counts = pairs.agg(
-        *[F.count_if(found & (_text(f) != F.col(f"_want_{i}"))).alias(f"m{i}") for i, f in enumerate(fields)],
-        F.count_if(~found).alias("unexpected"))
-    present = counts.select(F.inline(F.array(
+    want = last.select(F.col(key).alias("_key"), *texts("w"), F.lit(True).alias("_wanted"))
+    have = (actual.select(F.col(key).alias("_key"), *texts("h"))
+            .groupBy("_key", *[f"h{i}" for i in range(len(fields))]).agg(F.count(F.lit(1)).alias("_rows")))
+    pairs = have.join(want, "_key", "full_outer")
+    both = F.col("_rows").isNotNull() & F.col("_wanted").isNotNull()
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_rows"))), F.lit(0))
+
+    counts = pairs.agg(*[rows(both & (F.col(f"w{i}") != F.col(f"h{i}"))).alias(f"m{i}") for i in range(len(fields))],
+                       rows(F.col("_wanted").isNull()).alias("unexpected"),
+                       F.count_if(F.col("_rows").isNull()).alias("missing"))
+    return counts.select(F.inline(F.array(
         *[F.struct(F.lit(f).alias("measure"), F.col(f"m{i}").alias("rows")) for i, f in enumerate(fields)],
-        F.struct(F.lit("unexpected_record").alias("measure"), F.col("unexpected").alias("rows")))))
-    absent = expected.select(key).distinct().join(actual.select(key), key, "left_anti").agg(
-        F.lit("missing_record").alias("measure"), F.count(F.lit(1)).alias("rows"))
-    return present.unionByName(absent)
+        F.struct(F.lit("unexpected_record").alias("measure"), F.col("unexpected").alias("rows")),
+        F.struct(F.lit("missing_record").alias("measure"), F.col("missing").alias("rows")))))
 
 
 def field_coverage(expected: DataFrame, actual: DataFrame, fields: Sequence[str],
@@ -106,15 +114,22 @@ def field_coverage(expected: DataFrame, actual: DataFrame, fields: Sequence[str]
 
 def coverage_samples(df: DataFrame, order: Sequence[str], predicates: dict[str, Column],
                      first: int = 3) -> DataFrame:
-    """The first rows plus the first row meeting each predicate, labelled ``sample``."""
-    place = [F.col(c) for c in order]
-    heads = df.orderBy(*place).limit(first)
-    number = F.row_number().over(_global(place))
-    samples = heads.withColumn("sample", F.concat(F.lit("row_"), number))
-    for label, predicate in predicates.items():
-        one = df.where(predicate).orderBy(*place).limit(1)
-        samples = samples.unionByName(one.withColumn("sample", F.lit(label)))
-    return samples
+    """The first rows plus the first row meeting each predicate, labelled ``sample``.
+
+    ``order`` must be unique. Scans of the order columns find the positions, one more reads the rows at them.
+    """
+    place = F.struct(*[F.col(c).alias(c) for c in order])
+    heads = df.select(place.alias("p")).orderBy("p").limit(first)
+    number = F.row_number().over(_global([F.col("p")]))
+    rows = heads.select("p", F.concat(F.lit("row_"), number).alias("sample"))
+    if predicates:
+        found = df.agg(*[F.min(F.when(predicate, place)).alias(f"p{i}") for i, predicate in enumerate(predicates.values())])
+        listed = F.array(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(label).alias("sample"))
+                           for i, label in enumerate(predicates)])
+        rows = rows.unionByName(found.select(F.inline(listed)).where("p is not null"))
+    # first + len(predicates) rows at most.
+    wanted = rows.select(*[F.col(f"p.{c}").alias(c) for c in order], "sample")
+    return df.join(F.broadcast(wanted), list(order)).select(*df.columns, "sample")
 
 
 def _global(order: Sequence[Column]):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import valid_key
-from ..schema import CRITERIA_TYPE
+from ..functions.labels import region_rank
+from ..schema import CRITERIA_TYPE, REGIONS
 from .filters import criteria_equal
 
 
@@ -132,15 +135,17 @@ def quota_invariant(orders: DataFrame, taken: str, balance: str, remaining: str,
 
 def checkpoint_valid(checkpoint: DataFrame, criteria: Column | None = None, date: str = "date",
                      count: str = "national_count") -> DataFrame:
-    """(date, problem) of checkpoint rows with other criteria, a bad count or a repeated day."""
+    """(date, problem) of checkpoint rows that are unreadable, have other criteria or a bad count, or repeat a day."""
     problem = F.when(F.col(count).isNull() | (F.col(count) < 0), "count")
     if criteria is not None:
         same = (F.col("criteria.region") == criteria["region"])
         for name in CRITERIA_TYPE.names[1:]:
             same = same & criteria_equal(F.col(f"criteria.{name}"), criteria[name])
         problem = F.coalesce(problem, F.when(~F.coalesce(same, F.lit(False)), "criteria"))
+    unreadable = F.col("unreadable").isNotNull() if "unreadable" in checkpoint.columns else F.col(date).isNull()
+    problem = F.when(unreadable, "unreadable").otherwise(problem)
     bad = checkpoint.select(F.col(date).alias("date"), problem.alias("problem")).where("problem is not null")
-    repeated = (checkpoint.groupBy(F.col(date).alias("date")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = (checkpoint.where(~unreadable).groupBy(F.col(date).alias("date")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                 .select("date", F.lit("repeated").alias("problem")))
     return bad.unionByName(repeated)
 
@@ -152,6 +157,12 @@ def chunk_total(chunks: DataFrame, rows: str, expected: Column | int) -> DataFra
         "chunk_rows", (F.col("chunk_rows") == expected).alias("complete"))
 
 
+def unknown_regions(rows: DataFrame, region: str, regions: Sequence[str] = REGIONS) -> DataFrame:
+    """(region, rows) of names that are not the name of exactly one region; any of them stops a plan."""
+    named = rows.groupBy(F.col(region).alias("region")).agg(F.count(F.lit(1)).alias("rows"))
+    return named.where(region_rank("region", regions, strict=False).isNull())
+
+
 def region_list_valid(regions: DataFrame, region: str) -> DataFrame:
     """One row: the list is not empty and has no repeated region."""
     counts = regions.agg(F.count(region).alias("listed"), F.count_distinct(region).alias("distinct_regions"))

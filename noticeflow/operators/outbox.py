@@ -27,12 +27,12 @@ def due_messages(outbox: DataFrame, now: Column) -> DataFrame:
 
 
 def outbox_advance(messages: DataFrame, results: DataFrame, now: Column, message: str = "id",
-                   max_error: int = 1200) -> DataFrame:
+                   max_error: int | None = None) -> DataFrame:
     """Messages after one delivery round.
 
     ``results``: (id, ok, error) of the attempted ones. Failure adds an attempt
     and waits ``retry_minutes``; at ``max_attempts`` it is given up. Messages
-    that were not due or not attempted stay as they are.
+    that were not due or not attempted stay as they are. ``max_error`` cuts the stored error text.
     """
     outcome = results.select(F.col(message), F.col("ok").alias("_ok"), F.col("error").alias("_error"))
     joined = messages.join(outcome, message, "left")
@@ -48,7 +48,7 @@ def outbox_advance(messages: DataFrame, results: DataFrame, now: Column, message
         F.when(sent, SENT).when(given_up, GIVEN_UP).otherwise(F.col("status")).alias("status"),
         attempts.alias("attempts"),
         F.when(given_up, None).when(failed, now + pause).otherwise(F.col("next_attempt_at")).alias("next_attempt_at"),
-        F.when(sent, "").when(failed, F.left("_error", F.lit(max_error))).otherwise(F.col("last_error"))
+        F.when(sent, "").when(failed, F.col("_error") if max_error is None else F.left("_error", F.lit(max_error))).otherwise(F.col("last_error"))
         .alias("last_error")).select(*messages.columns)
 
 

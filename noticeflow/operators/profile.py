@@ -59,12 +59,14 @@ def duplicate_count(df: DataFrame, preferred: ColumnOrName, fallback: ColumnOrNa
 
 
 def duplicate_fingerprint(df: DataFrame, parts: Sequence[ColumnOrName], body: ColumnOrName,
-                          body_chars: int = 500) -> DataFrame:
-    """Repeats of the tuple of parts and the start of the body.
+                          body_chars: int | None = None) -> DataFrame:
+    """Repeats of the tuple of parts and the body, or its first ``body_chars`` where a contract asks for that.
 
     Grouping is on a 64-character digest, so bodies are not shuffled.
     """
-    head = F.left(F.coalesce(as_col(body), F.lit("")), F.lit(body_chars))
+    head = F.coalesce(as_col(body), F.lit(""))
+    if body_chars is not None:
+        head = F.left(head, F.lit(body_chars))
     return _copies(df, fingerprint([*parts, head]))
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import count_value, run_status
+from ..functions.text import is_blank
 from ..schema import (DOWNLOAD_UPLOAD_SUCCESS, LOAD_SUCCESS, STATUS_FAILED, STATUS_OK)
+from .dedup import dedup_last
 
 NO_FILES = "本次无新增文件"
 
@@ -95,11 +97,11 @@ def market_report(deals: DataFrame, industry: str, amount: str, project: str | N
     """Sum of winning amounts per primary industry.
 
     Several notices of one project would count twice; name ``project`` to keep
-    only the last record of each in ``order`` first.
+    only the last record of each in ``order`` first. A record without a project is a deal of its own.
     """
     if project:
-        from .dedup import dedup_last
-        deals = dedup_last(deals, [project], order)
+        named = dedup_last(deals.where(~is_blank(project)), [project], order)
+        deals = named.unionByName(deals.where(is_blank(project)))
     return deals.groupBy(industry).agg(F.sum(amount).alias("total_amount"), F.count(F.lit(1)).alias("deals"))
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import assignment_key
 from ..functions.text import bind, is_blank
-from ..functions.verdicts import SEMANTICS_SEPARATOR, parse_verdict, prompt_input, validate_verdict
+from ..functions.verdicts import (MAX_INDUSTRY, MAX_REASON, PROMPT_BODY_CHARS, SEMANTICS_SEPARATOR, parse_verdict,
+                                  prompt_input, validate_verdict)
 
 # Fixed values of the tagging contract.
 PENDING, DONE, FAILED = "待识别", "已识别", "失败"
@@ -38,7 +39,7 @@ def rule_semantics(rules: DataFrame, items: DataFrame) -> DataFrame:
     rules, so only the texts that a verdict needs are gathered.
     """
     texts = (items.where(F.col("is_active") & ~is_blank("semantics"))
-             .join(F.broadcast(rules.select(F.col("id").alias("rule_id"))), "rule_id", "left_semi")
+             .join(rules.select(F.col("id").alias("rule_id")), "rule_id", "left_semi")
              .groupBy("rule_id").agg(F.array_sort(F.collect_list(F.struct("created", "semantics"))).alias("_t")))
     listed = F.transform("_t", lambda t: t["semantics"])
     return rules.join(texts, rules["id"] == texts["rule_id"]).select(rules["*"], listed.alias("semantics"))
@@ -47,13 +48,14 @@ def rule_semantics(rules: DataFrame, items: DataFrame) -> DataFrame:
 def records_with_rules(records: DataFrame, ruled: DataFrame) -> DataFrame:
     """Each record once per rule, as column ``rule``.
 
-    At most five rules exist, so they travel as one array value that every
-    record explodes: no join and no shuffle of the records. Without usable rules
-    a record keeps one row with a NULL rule.
+    Only the ids of the rules (five at most) travel as one array value that every
+    record explodes; names and texts are joined. The rule side has one row per id,
+    so a large record side can be split. Without usable rules a record keeps one row with a NULL rule.
     """
+    listed = ruled.agg(F.array_sort(F.collect_list("id")).alias("r")).scalar()
     rule = F.struct("created", F.col("id").alias("rule_id"), "name", "tag_id", "semantics")
-    listed = ruled.agg(F.array_sort(F.collect_list(rule)).alias("r")).scalar()
-    return records.withColumn("rule", F.explode_outer(listed))
+    rules = ruled.select(F.col("id").alias("_rule"), rule.alias("rule"))
+    return records.withColumn("_rule", F.explode_outer(listed)).join(rules, "_rule", "left").drop("_rule")
 
 
 def keyword_scorer(text: Column, semantics: Column) -> Column:
@@ -84,7 +86,7 @@ def classify(pairs: DataFrame, record_id: str, text: str,
         values = [F.when(ruled, verdict[f]).alias(f) for f in ("matched", "confidence", "primary_industry", "reason")]
         return F.struct(*values, F.when(ruled, verdict["error"]).otherwise(NO_SEMANTICS).alias("error"))
 
-    checked = pairs.withColumn("verdict", bind(validate_verdict(parse_verdict(body)), only_ruled))
+    checked = pairs.withColumn("verdict", bind(validate_verdict(parse_verdict(body), MAX_INDUSTRY, MAX_REASON), only_ruled))
     return checked.withColumn("assignment_key", assignment_key(record_id, "rule.rule_id"))
 
 
@@ -93,7 +95,7 @@ def classifier_input(pairs: DataFrame, name: str, project: str, industry: str, k
     """Add ``prompt``: the text a model is given for (record, rule)."""
     return pairs.withColumn("prompt", prompt_input([
         "rule.name", F.array_join("rule.semantics", SEMANTICS_SEPARATOR), name, project, industry,
-        keywords, category, body]))
+        keywords, category, body], PROMPT_BODY_CHARS))
 
 
 def first_verdict(verdicts: DataFrame, record_id: str) -> DataFrame:

@@ -9,14 +9,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.compare import key_presence
 from ..operators.disposition import batch_report
 from ..operators.gates import GateError, assert_gate, verify_modified_since, warnings_gate
 from ..operators.incremental import merge_quarantine, pending_files
 from ..schema import ALLOWED_CATEGORIES, MANIFEST_SCHEMA
 from ..session import shared_dir
-from ..sinks.files import commit_manifest, current_snapshot, write_snapshot
-from ..sinks.upsert import upsert_partitions
+from ..sinks.files import commit_manifest, current_snapshot, remove_folder, write_snapshot
+from ..sinks.upsert import upsert_table
 from ..sources.files import with_digest
 from ..sources.workbooks import parse_workbooks, resolve_formulas
 from .prepare import WARNING_FLAGS, complete, label_notices, split_firsts, to_notices
@@ -54,7 +53,9 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
                guarded: bool = False) -> dict:
     """Load pending ``files`` (path, content); the manifest advances only after verification.
 
-    Running it again after a failure is safe: the load is an upsert by key.
+    Running it again after a failure is safe: the load is an upsert by key, and
+    a load that did not finish does not count. Read the target with
+    ``sinks.read_table(spark, paths.target, KEY)``.
     """
     manifest = load_manifest(spark, paths.manifest)
     pending = pending_files(with_digest(files), manifest, force, guarded)
@@ -70,7 +71,8 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
     # A short list of pending paths is broadcast. A long one shuffles the pending
     # files' bytes once, which also spreads the parse over all tasks.
     raw = resolve_formulas(parse_workbooks(files.join(chosen, "path", "left_semi")))
-    staged = _stage(to_notices(raw), shared_dir(spark, "stage"))
+    stage = shared_dir(spark, "stage")
+    staged = _stage(to_notices(raw), stage)
     labelled = label_notices(staged)
     considered = staged.where(F.col("Publication_Category__c").isin(*ALLOWED_CATEGORIES))
     assert_gate(warnings_gate(considered, {
@@ -87,21 +89,18 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
     source = written.withColumn(MODIFIED, F.lit(started).cast("timestamp"))
     rows, inserted, job_id = report["rows_written"], 0, None
     if rows:
-        first_load = not _exists(spark, paths.target)
-        if first_load:
-            inserted = rows
-            source.hint("rebalance", DAY).write.partitionBy(DAY).parquet(paths.target)
-        else:
-            both = key_presence(source, spark.read.parquet(paths.target), KEY)
-            inserted = both.where("local_rows > 0 and remote_rows = 0").count()
-            upsert_partitions(spark, paths.target, source, KEY, DAY)
-        check = verify_modified_since(source, spark.read.parquet(paths.target), KEY, MODIFIED,
+        # The day is part of the key, so other days of the target are not read.
+        load = upsert_table(spark, paths.target, source, KEY, DAY, cluster_of_key=True)
+        inserted = load["inserted"]
+        # All rows of this load are in its folder: the check reads nothing else of the target.
+        check = verify_modified_since(source, spark.read.parquet(load["folder"]), KEY, MODIFIED,
                                       F.lit(started).cast("timestamp"), rows).first()
         if not check["verified"]:
             raise GateError(f"load not verified, manifest unchanged: {check}")
         job_id = uuid4().hex
     commit_manifest(chosen, paths.manifest, job_id)
-    return {"status": "uploaded_with_blocked" if waiting else "uploaded", "files": report["source_files"],
+    remove_folder(spark, stage)
+    return {"status": "uploaded_with_blocked" if waiting else "uploaded", "files": chosen.count(),
             "rows": rows, "successful_rows": rows, "failed_rows": 0, "blocked_rows": waiting,
             "newly_blocked_rows": report["blocked_rows"], "inserted_rows": inserted,
             "updated_rows": rows - inserted, "duplicates_filtered": report["duplicates_skipped"],

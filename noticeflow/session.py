@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,11 +51,13 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the cluster's checkpoint folder.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only where nothing
-    is set (a laptop test) does this pick a temporary folder of its own.
+    The cluster names the folder in ``spark.checkpoint.dir``. Only a session on
+    this one machine (a test) may go without: it gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="run-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,4 +1,5 @@
-from .batches import csv_row_bytes, greedy_batches, size_bounded_batches  # noqa: F401
+from .batches import (csv_row_bytes, greedy_batches, read_load_chunks, size_bounded_batches,  # noqa: F401
+                      write_load_chunks)
 from .files import (append_checkpoint, commit_manifest, current_snapshot,  # noqa: F401
                     write_daily_counts, write_load_csv, write_report, write_snapshot)
-from .upsert import upsert, upsert_partitions  # noqa: F401
+from .upsert import compact_table, read_table, upsert, upsert_table  # noqa: F401

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.running import running_total
 from ..schema import CHUNK_BYTES
+from ..sources.tables import CSV_OPTIONS, read_load_csv
 
 ROW_END = 2  # CRLF
 
@@ -39,34 +40,61 @@ def size_bounded_batches(rows: DataFrame, order: Sequence[str], size: str, max_r
     return totals.withColumn("batch", batch).drop("_end")
 
 
+# Stretches of this many full batches are filled on their own, so they can run side by side.
+STRETCH = 8
+
+
 def greedy_batches(rows: DataFrame, order: Sequence[str], size: str, max_bytes: int = CHUNK_BYTES,
-                   header_bytes: int = 0, partitions: int | None = None) -> DataFrame:
-    """Fill each batch as far as it goes, in order, within each range partition.
+                   header_bytes: int = 0, stretch: int = STRETCH) -> DataFrame:
+    """Fill each batch as far as it goes, in order, within stretches of the input.
 
-    Adds ``batch`` as (range partition, number). Rows stream through a sorted
-    partition with only the open batch's size in memory. With one partition
-    this is the plain first-to-last greedy split.
+    Adds ``batch`` as (part, number). A stretch holds the rows that start within
+    ``stretch`` times ``max_bytes`` of the running total, whatever the cluster
+    or its settings, so the same rows give the same batches everywhere; only the last
+    batch of a stretch is not full. Rows stream through a sorted partition with
+    only the open batch's size in memory. A row that cannot fit is an error.
     """
     if max_bytes <= header_bytes:
         raise ValueError("the header alone exceeds the limit")
 
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, used = 0, header_bytes
+        part, number, used = None, 0, header_bytes
         for frame in frames:
             numbers = []
-            for row_bytes in frame[size].tolist():
+            for place, row_bytes in zip(frame["_part"].tolist(), frame[size].tolist(), strict=True):
                 if header_bytes + row_bytes > max_bytes:
                     raise ValueError(f"a single row of {row_bytes} bytes does not fit into {max_bytes}")
-                if used + row_bytes > max_bytes:
+                if place != part:
+                    part, number, used = place, 0, header_bytes
+                elif used + row_bytes > max_bytes:
                     number, used = number + 1, header_bytes
                 used += row_bytes
                 numbers.append(number)
             yield frame.assign(_number=numbers)
 
-    narrow = rows.select(*order, size)
-    count = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = narrow.repartition(1) if count == 1 else narrow.repartitionByRange(count, *order)
-    schema = narrow.withColumn("_number", F.lit(0).cast("bigint")).schema
-    return (placed.sortWithinPartitions(*order).mapInPandas(fill, schema)
-            .withColumn("batch", F.struct(F.spark_partition_id().alias("part"),
-                                          F.col("_number").alias("number"))).drop("_number"))
+    ends = running_total(rows.select(*order, size), size, order, name="_end")
+    part = F.floor((F.col("_end") - F.col(size)) / F.lit(stretch * max_bytes)).cast("bigint")
+    placed = ends.withColumn("_part", part).drop("_end").repartition("_part").sortWithinPartitions("_part", *order)
+    schema = placed.withColumn("_number", F.lit(0).cast("bigint")).schema
+    return (placed.mapInPandas(fill, schema)
+            .withColumn("batch", F.struct(F.col("_part").alias("part"), F.col("_number").alias("number")))
+            .drop("_part", "_number"))
+
+
+def write_load_chunks(df: DataFrame, batches: DataFrame, key: Sequence[str], path: str, columns: Sequence[str]) -> None:
+    """One load file with a header per batch: folder ``batch=N`` below ``path``.
+
+    ``batches`` has the key and ``batch``; all rows of a batch meet in one task, which the batch size bounds.
+    """
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
+    placed = df.join(batches.select(*key, "batch"), list(key)).select("batch", *text)
+    (placed.repartition("batch").write.mode("errorifexists").partitionBy("batch")
+     .options(**CSV_OPTIONS).csv(path))
+
+
+def read_load_chunks(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """(batch, columns) of all chunk files, with the bytes of each file as ``_bytes``."""
+    rows = read_load_csv(spark, path, columns)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=([0-9]+)/", 1).cast("bigint")
+    return rows.select(number.alias("batch"), *columns, F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_size").alias("_bytes"))

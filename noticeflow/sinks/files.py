@@ -50,12 +50,22 @@ def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -
     return folder
 
 
+def complete_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Folders ``prefix-*`` below the root that have their success marker, in order of name."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}-*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getParent().toString() for status in found or [])
+
+
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
     """Newest complete snapshot folder, or None before the first one."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/snapshot-*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    folders = sorted(status.getPath().getParent().toString() for status in found or [])
-    return folders[-1] if folders else None
+    return next(reversed(complete_folders(spark, root, "snapshot")), None)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job has made."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def commit_manifest(files: DataFrame, path: str, job_id: str | None, ledger: str = "files") -> None:

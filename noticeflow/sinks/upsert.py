@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import time
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import dedup_last
+from .files import complete_folders, write_snapshot
+
 
 def _merged(source: str, target: str, column: str, overwrite_with_null: bool) -> Column:
     new, old = F.col(f"{source}.{column}"), F.col(f"{target}.{column}")
@@ -41,29 +48,82 @@ def upsert(target: DataFrame, source: DataFrame, key: str, overwrite_with_null:
     return joined("left").select(*columns).unionByName(inserted)
 
 
-# Up to this many partition values become a literal filter.
-MAX_LISTED = 2000
+# --- a stored table: one snapshot and the loads after it ------------------------
+#
+# Each load is a folder with the merged rows of its batch; the newest load that has
+# a key holds its row. A folder counts once Spark has put its success marker into
+# it, so a load that dies half way changes nothing and can be run again. A key may
+# change its partition value or have none: no folder depends on it.
+
+
+def _loads(spark: SparkSession, root: str) -> list[str]:
+    """The newest complete snapshot and the complete loads after it, oldest first."""
+    snapshots = complete_folders(spark, root, "snapshot")[-1:]
+    stamp = snapshots[0].rpartition("-")[2] if snapshots else ""
+    return snapshots + [f for f in complete_folders(spark, root, "load") if f.rpartition("-")[2] > stamp]
+
+
+def _stacked(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    parts = [spark.read.parquet(f).withColumn("_load", F.lit(n)) for n, f in enumerate(folders)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_table(spark: SparkSession, root: str, key: str) -> DataFrame | None:
+    """Current rows of a stored table, one per key; None before its first load."""
+    folders = _loads(spark, root)
+    if not folders:
+        return None
+    if len(folders) == 1:
+        return spark.read.parquet(folders[0])
+    return dedup_last(_stacked(spark, folders), [key], ["_load"]).drop("_load")
+
+
+def compact_table(spark: SparkSession, root: str, key: str, cluster: str) -> None:
+    """Write the current rows as a new snapshot, which replaces all loads before it. One writer at a time."""
+    rows = read_table(spark, root, key)
+    if rows is not None:
+        write_snapshot(rows.hint("rebalance", cluster), root)
 
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str,
-                      partition: str, overwrite_with_null: bool = False) -> None:
-    """Upsert into a parquet table laid out by ``partition``, rewriting touched partitions only.
+def upsert_table(spark: SparkSession, root: str, source: DataFrame, key: str, cluster: str,
+                 order: Sequence[str] = (), overwrite_with_null: bool = False,
+                 cluster_of_key: bool = False) -> dict:
+    """Apply ``source`` (unique keys) as one load; returns its folder and the rows written and inserted.
 
-    Right when a key always stays in its partition, as for notices: the day is
-    part of the key. The days of one batch are normally a short list and become
-    a literal filter, so untouched folders are not even listed; a long list is
-    joined instead, and Spark prunes partitions at run time. New files are
-    staged and folders swapped at commit. Rows are rebalanced by partition
-    first: a large day is split over several files, small days share a task.
+    Only stored rows with a key of the batch are read back, to keep their values
+    where the batch leaves blanks; nothing stored is rewritten. Rows are laid out
+    by ``cluster``, so that filters on it skip files. With ``cluster_of_key`` a key
+    always has the same ``cluster`` value, as for notices, whose day is part of
+    the key: then stored rows outside the range of the batch are not read. With
+    ``order`` a source row older than the stored one is left out, so batches may
+    come in any order. New columns are added to the table.
     """
-    days = source.select(partition).distinct()
-    listed = [row[0] for row in days.limit(MAX_LISTED + 1).collect()]
-    table = spark.read.parquet(path)
-    if len(listed) <= MAX_LISTED:
-        old = table.where(F.col(partition).isin(listed))
+    folders = _loads(spark, root)
+    names = list(source.columns)
+    if folders:
+        stored = _stacked(spark, folders)
+        names += [c for c in stored.columns if c not in (*names, "_load")]
+        if cluster_of_key:
+            low, high, blanks = source.agg(F.min(cluster), F.max(cluster), F.count_if(F.col(cluster).isNull())).first()
+            inside = F.col(cluster).between(F.lit(low), F.lit(high))
+            stored = stored.where(inside | F.col(cluster).isNull() if blanks else inside)
+        old = dedup_last(stored.join(source.select(key), key, "left_semi"), [key], ["_load"]).drop("_load")
+        old = old.select(*old.columns, *[F.lit(None).cast(source.schema[c].dataType).alias(c)
+                                         for c in source.columns if c not in old.columns], F.lit(True).alias("_known"))
+        given = source.select(*source.columns, *[F.lit(None).cast(old.schema[c].dataType).alias(c)
+                                                 for c in names if c not in source.columns], F.lit(True).alias("_given"))
+        pairs = given.alias("s").join(old.alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"), "left")
+        known = F.col("t._known").isNotNull()
+        if order:
+            newer = F.struct(*[F.col(f"s.{c}") for c in order]) >= F.struct(*[F.col(f"t.{c}") for c in order])
+            pairs = pairs.where(~known | F.coalesce(newer, F.lit(True)))
+        rows = pairs.select(F.col(f"s.{key}").alias(key), *[
+            _merged("s", "t", c, overwrite_with_null and c in source.columns) for c in names if c != key],
+            known.alias("_known"))
     else:
-        old = table.join(days, partition, "left_semi")
-    merged = upsert(old, source.select(*[c for c in table.columns if c in source.columns]),
-                    key, overwrite_with_null)
-    (merged.hint("rebalance", partition).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+        rows = source.withColumn("_known", F.lit(False))
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_known")).alias("inserted"))
+    folder = f"{root.rstrip('/')}/load-{time.time_ns():020d}"
+    counted.select(*names).hint("rebalance", cluster).write.mode("errorifexists").parquet(folder)
+    return {"folder": folder, **seen.get}

@@ -16,8 +16,8 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
 def read_load_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Load file with a header, quoted multi-line text and fields of any length.
 
-    All columns are text. Files are kept below the chunk size by
-    ``size_bounded_batches``, so reading one file per task is bounded.
+    All columns are text. A multi-line file is read by one task, so write large
+    loads with ``write_load_chunks``, whose files stay below a size.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     return (spark.read.schema(schema).options(**CSV_OPTIONS)
@@ -25,8 +25,14 @@ def read_load_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """Completed days as JSON lines; blank lines are skipped. Check with ``checkpoint_valid``."""
-    return spark.read.schema(CHECKPOINT_SCHEMA).json(path).where(F.col("date").isNotNull())
+    """Completed days as JSON lines; blank lines are skipped.
+
+    A line without a readable date is kept, with NULL fields and its text in
+    ``unreadable``; ``checkpoint_valid`` rejects it.
+    """
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    parsed = lines.select("value", F.from_json("value", CHECKPOINT_SCHEMA).alias("d"))
+    return parsed.select("d.*", F.when(F.col("d.date").isNull(), F.col("value")).alias("unreadable"))
 
 
 def read_summaries(spark: SparkSession, path: str, schema: T.StructType,

@@ -116,12 +116,16 @@ def _cell(cell, strings: list[str], dates: set[int]) -> tuple[str | None, bool]:
     return value, False
 
 
-def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None], list[int]]]:
-    """(row number, cells, formula columns) of the active sheet, streamed."""
+def _first_part(archive: zipfile.ZipFile) -> str:
+    return min(name for name in archive.namelist() if name.startswith("xl/worksheets/sheet"))
+
+
+def _sheet_rows(content: bytes, sheet=_active_sheet) -> Iterator[tuple[int, list[str | None], list[int]]]:
+    """(row number, cells, formula columns) of the active sheet, or of the one that ``sheet`` names; streamed."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         strings, dates = _shared_strings(archive), _date_styles(archive)
         number, width = 0, 0
-        with archive.open(_active_sheet(archive)) as stream:
+        with archive.open(sheet(archive)) as stream:
             for _, node in ElementTree.iterparse(stream):
                 if node.tag == MAIN + "dimension":
                     # The declared range; rows may leave out trailing blanks.
@@ -217,48 +221,45 @@ def read_workbooks(spark: SparkSession, root: str, glob: str = "*.xlsx") -> Data
     return resolve_formulas(parse_workbooks(require_files(scan_files(spark, root, glob), root)))
 
 
-def _first_sheet_rows(archive: zipfile.ZipFile) -> int:
-    """Non-empty rows of the first sheet; a two-row header counts once."""
-    sheets = sorted(n for n in archive.namelist() if re.fullmatch(r"xl/worksheets/sheet[0-9]+\.xml", n))
-    if not sheets:
-        raise ValueError("no worksheet")
-    strings = _shared_strings(archive)
-    total, head = 0, []
-    with archive.open(sheets[0]) as stream:
-        for _, node in ElementTree.iterparse(stream):
-            if node.tag != MAIN + "row":
-                continue
-            cells = node.findall(MAIN + "c")
-            total += any(c.find(MAIN + "v") is not None or c.find(MAIN + "is") is not None for c in cells)
-            if len(head) < 2:
-                head.append({_cell(c, strings, set())[0] for c in cells})
-            node.clear()
-    # Captions of the extended two-row header.
-    if len(head) == 2 and "采购单位信息" in head[0] and {"单位名称", "联系人"} <= head[1]:
-        total -= 1
-    return total
-
-
-def _audit(content: bytes) -> tuple[bool, int | None, str | None]:
+# Captions of the extended two-row header, by row.
+WIDE_HEADER = ({"采购单位信息"}, {"单位名称", "联系人"})
+
+
+def _filled_rows(content: bytes) -> int:
+    """Rows of the first sheet that hold anything; the two rows of the extended header are one."""
+    filled, top = 0, []
+    for _, cells, formulas in _sheet_rows(content, _first_part):
+        texts = {text for text in cells if text is not None}
+        filled += bool(texts or formulas)
+        if len(top) < len(WIDE_HEADER):
+            top.append(texts)
+    is_wide = len(top) == len(WIDE_HEADER) and all(map(set.issubset, WIDE_HEADER, top))
+    return filled - is_wide
+
+
+def _state(content: bytes) -> dict:
+    """Outcome of reading a whole file: its rows, or what is wrong with it."""
+    outcome = {"ok": False, "rows": None, "error": None}
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            if not REQUIRED_PARTS <= set(archive.namelist()):
-                raise ValueError("not a workbook")
-            if archive.testzip() is not None:
-                raise ValueError("checksum mismatch")
-            return True, _first_sheet_rows(archive), None
-    except (ValueError, IndexError, zipfile.BadZipFile, ElementTree.ParseError, OSError) as problem:
-        return False, None, f"{type(problem).__name__}: {problem}"
+            absent = REQUIRED_PARTS.difference(archive.namelist())
+            damaged = archive.testzip()
+        if absent or damaged:
+            outcome["error"] = f"parts missing: {sorted(absent)}" if absent else f"damaged part: {damaged}"
+        else:
+            outcome.update(ok=True, rows=_filled_rows(content))
+    except (ValueError, LookupError, StopIteration, zipfile.BadZipFile, ElementTree.ParseError, OSError) as problem:
+        outcome["error"] = f"{type(problem).__name__}: {problem}"
+    return outcome
+
+
+AUDIT = pa.schema([("path", pa.string()), ("ok", pa.bool_()), ("rows", pa.int64()), ("error", pa.string())])
 
 
 def _audit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        paths = batch.column("path").to_pylist()
-        results = [_audit(content.as_py()) for content in batch.column("content")]
-        ok, rows, errors = zip(*results, strict=True) if results else ((), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(paths, pa.string()), pa.array(ok, pa.bool_()), pa.array(rows, pa.int64()),
-             pa.array(errors, pa.string())], names=["path", "ok", "rows", "error"])
+        files = zip(batch.column("path"), batch.column("content"), strict=True)
+        yield pa.RecordBatch.from_pylist([{"path": p.as_py(), **_state(c.as_py())} for p, c in files], schema=AUDIT)
 
 
 def audit_workbooks(files: DataFrame) -> DataFrame:

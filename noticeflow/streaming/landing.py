@@ -14,8 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_last
-from ..plans.sync import _exists
-from ..sinks.upsert import upsert_partitions
+from ..sinks.upsert import upsert_table
 
 
 def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet",
@@ -27,24 +26,17 @@ def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, glob:
     return reader.load(folder)
 
 
-def stream_upsert(stream: DataFrame, target: str, key: str, order: Sequence[str], partition: str,
+def stream_upsert(stream: DataFrame, target: str, key: str, order: Sequence[str], cluster: str,
                   checkpoint: str) -> StreamingQuery:
-    """Upsert each micro-batch by key; replaying a batch gives the same table.
+    """Upsert each micro-batch by key as one load; read with ``sinks.read_table``.
 
-    Only the partitions a batch touches are rewritten.
+    The row with the highest ``order`` stays, whatever the batch it comes in:
+    stored rows keep their order columns, and an older one does not replace them. Replaying
+    a batch gives the same table. Run ``sinks.compact_table`` from time to time.
     """
     def apply(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        newest = dedup_last(batch, [key], order).persist()
-        try:
-            if newest.isEmpty():
-                return
-            if _exists(spark, target):
-                upsert_partitions(spark, target, newest, key, partition)
-            else:
-                newest.hint("rebalance", partition).write.partitionBy(partition).parquet(target)
-        finally:
-            newest.unpersist()
+        upsert_table(batch.sparkSession, target, dedup_last(batch, [key], order), key, cluster, order,
+                     overwrite_with_null=True)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

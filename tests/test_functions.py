@@ -77,12 +77,13 @@ def test_last_error_line(spark):
     assert value(spark, text, fn.last_error_line) == "KeyError: two"
     assert value(spark, "a\n b \n\n", fn.last_error_line) == "b"
     assert value(spark, None, fn.last_error_line) == "任务异常结束，未取得具体错误信息"
-    assert len(value(spark, "ValueError: " + "x" * 5000, fn.last_error_line)) == 1200
+    assert len(value(spark, "ValueError: " + "x" * 5000, fn.last_error_line)) == 5012
+    assert len(value(spark, "ValueError: " + "x" * 5000, lambda c: fn.last_error_line(c, 1200))) == 1200
 
 
 @pytest.mark.parametrize("name,rank", [("黑龙江省", 11), ("河南省", 12), ("安徽", 0), ("浙江省", 33), ("全国", None), (None, None)])
 def test_region_rank(spark, name, rank):
-    assert value(spark, name, fn.region_rank) == rank
+    assert value(spark, name, lambda c: fn.region_rank(c, strict=False)) == rank
 
 
 VERDICT = '{"matched":true,"confidence":0.9,"primary_industry":"芯片","reason":"提到晶圆"}'

@@ -1,5 +1,4 @@
 import zipfile
-from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,16 +8,20 @@ from noticeflow.operators.incremental import cutover_seed, merge_quarantine, pen
 from noticeflow.plans.prepare import prepare, to_notices
 from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, sync_batch
 from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA
+from noticeflow.sinks import read_table
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_workbooks, require_files,
                                 resolve_formulas, scan_files, unreadable_formulas, with_digest)
 
-CATEGORIES = ["招标", "邀标", "询价", "竞谈", "单一", "竞价", "变更", "中标", "成交", "合同"]
+from noticeflow.schema import ALLOWED_CATEGORIES, AWARDED_CATEGORIES  # noqa: E402
+
+OTHER_CATEGORY = "合同"
+CATEGORIES = [OTHER_CATEGORY, *reversed(ALLOWED_CATEGORIES), OTHER_CATEGORY]
 
 
 def sheet_row(number, category, body=None, title=None, day="2025-01-01", winning=""):
     row = [""] * 33
-    row[0], row[2], row[3], row[5], row[6] = str(number), "北京", "北京市", title or f"公告{number}", category
-    row[7], row[8], row[11], row[13], row[16] = body or f"公告正文{number}", day, f"项目{number}", f"编号{number}", winning
+    row[0], row[2], row[3], row[5], row[6] = str(number), "北京", "北京市", title or f"采购通知 {number}", category
+    row[7], row[8], row[11], row[13], row[16] = body or f"正文内容 {number}", day, f"工程 {number}", f"NO-{number}", winning
     return row
 
 
@@ -28,18 +31,17 @@ def write(path, rows, width=33):
 
 
 def test_categories_and_stages(spark, tmp_path):
-    write(tmp_path / "a.xlsx", [sheet_row(i + 1, c) for i, c in enumerate(CATEGORIES)])
+    write(tmp_path / "a.xlsx", [sheet_row(50 + i, c, day=f"2025-03-0{1 + i % 2}") for i, c in enumerate(CATEGORIES)])
     (tmp_path / "~$a.xlsx").write_bytes(b"lock")
     result = prepare(read_workbooks(spark, str(tmp_path)))
-    written = result.written.collect()
-    assert len(written) == 9 and result.written.columns == NOTICE_FIELDS
-    assert result.written.schema.simpleString() == NOTICE_SCHEMA.simpleString()
-    assert {r["Tender_Stage__c"] for r in written if r["type__c"] in ("中标", "成交")} == {"已成交"}
-    assert {r["Tender_Stage__c"] for r in written if r["type__c"] not in ("中标", "成交")} == {"招标中"}
-    assert [tuple(r) for r in result.skipped.collect()] == [("合同", 1)]
-    report = result.report.first()
-    assert (report["rows_read"], report["rows_written"], report["categories_skipped"]) == (10, 9, 1)
-    assert [tuple(r) for r in result.by_date.collect()] == [(date(2025, 1, 1), 9)]
+    assert result.written.columns == NOTICE_FIELDS and result.written.schema.simpleString() == NOTICE_SCHEMA.simpleString()
+    stages = {r["type__c"]: r["Tender_Stage__c"] for r in result.written.collect()}
+    assert stages == {c: "已成交" if c in AWARDED_CATEGORIES else "招标中" for c in ALLOWED_CATEGORIES}
+    assert [tuple(r) for r in result.skipped.collect()] == [(OTHER_CATEGORY, 2)]
+    report, kept = result.report.first(), len(ALLOWED_CATEGORIES)
+    assert (report["rows_read"], report["rows_written"], report["categories_skipped"]) == (kept + 2, kept, 2)
+    by_date = {d.isoformat(): n for d, n in result.by_date.collect()}
+    assert sum(by_date.values()) == kept and set(by_date) == {"2025-03-01", "2025-03-02"}
 
 
 def test_oversize_body_is_quarantined_whole_and_shadows_later_copies(spark, tmp_path):
@@ -69,7 +71,7 @@ def test_field_rules(spark, tmp_path):
     row[11], row[15] = "　", "about"
     write(tmp_path / "a.xlsx", [row])
     notice = to_notices(read_workbooks(spark, str(tmp_path))).first()
-    assert notice["Full_Title__c"] == "公告正文1" and notice["type__c"] is None
+    assert notice["Full_Title__c"] == "正文内容 1" and notice["type__c"] is None
     assert notice["website__c"] is None and len(notice["Announcement_Url_Full__c"]) == 256
     assert len(notice["Full_Project_Number__c"]) == 100 and notice["projectnumber__c"] is None
     assert notice["accountname__c"] is None and notice["Buyer_Name__c"] == "买" * 31
@@ -113,7 +115,7 @@ def test_short_rows_need_a_declared_range(spark, tmp_path, dimension, ok):
             z.writestr(name, text)
     rows = read_workbooks(spark, str(tmp_path))
     if ok:
-        assert rows.first()["c32"] is None and rows.first()["c5"] == "公告1"
+        assert rows.first()["c32"] is None and rows.first()["c5"] == "采购通知 1"
     else:
         with pytest.raises(Exception, match="32 cells"):
             rows.collect()
@@ -198,12 +200,13 @@ def test_cutover_seed(spark):
 
 
 def test_quarantine_queue_replaces_rescanned_files(spark):
-    def frame(rows):
-        return spark.createDataFrame(rows, "path string, row string, body string")
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), "path string, row string, body string")
 
-    merged = merge_quarantine(frame([("first", "3", "旧第一条"), ("second", "4", "第二文件")]), frame([("first", "5", "新第一条")]),
-                              spark.createDataFrame([("first",)], "path string"), "path", "row", ["body"])
-    assert sorted(r["body"] for r in merged.collect()) == ["新第一条", "第二文件"]
+    queue = frame(("north", "7", "waiting long"), ("north", "8", "also waiting"), ("south", "2", "untouched"))
+    run = frame(("north", "8", "still too long"), ("north", "30", "new and too long"))
+    merged = merge_quarantine(queue, run, spark.createDataFrame([("north",), ("east",)], "path string"), "path", "row", ["body"])
+    assert sorted(map(tuple, merged.collect())) == [("north", "30", "new and too long"), ("north", "8", "still too long"), ("south", "2", "untouched")]
 
 
 def test_sync_is_incremental_and_idempotent(spark, tmp_path):
@@ -227,7 +230,7 @@ def test_sync_is_incremental_and_idempotent(spark, tmp_path):
     second = run()
     assert (second["status"], second["files"], second["rows"]) == ("uploaded", 2, 3)
     assert (second["inserted_rows"], second["updated_rows"], second["blocked_rows"]) == (2, 1, 0)
-    target = spark.read.parquet(paths.target)
+    target = read_table(spark, paths.target, "Source_Key__c")
     assert target.count() == 4 and target.select("Source_Key__c").distinct().count() == 4
     assert target.where("Buyer_Name__c = '新单位'").count() == 1
     assert run()["status"] == "unchanged"
@@ -243,3 +246,20 @@ def test_warnings_stop_the_load_and_leave_the_manifest(spark, tmp_path):
         sync_batch(spark, scan_files(spark, str(source)), paths)
     assert load_manifest(spark, paths.manifest).count() == 0
     assert with_digest(scan_files(spark, str(source))).select(F.length("sha256")).first()[0] == 64
+
+
+def test_failed_first_load_can_be_retried(spark, tmp_path):
+    source, base = tmp_path / "in", tmp_path / "state"
+    paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
+    write(source / "a.xlsx", [sheet_row(1, "招标")])
+    (base / "target" / "load-00000000000000000001" / "_temporary").mkdir(parents=True)
+    result = sync_batch(spark, scan_files(spark, str(source)), paths)
+    assert (result["status"], result["inserted_rows"], read_table(spark, paths.target, "Source_Key__c").count()) == ("uploaded", 1, 1)
+
+
+def test_files_without_rows_count_as_files(spark, tmp_path):
+    source, base = tmp_path / "in", tmp_path / "state"
+    paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
+    write(source / "a.xlsx", [sheet_row(1, "招标")])
+    write(source / "empty.xlsx", [])
+    assert sync_batch(spark, scan_files(spark, str(source)), paths)["files"] == 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from noticeflow.operators import compare, gates, legacy
 from noticeflow.plans.prepare import project_to_target
 from noticeflow.schema import COMPACT_FIELDS, NOTICE_SCHEMA
-from noticeflow.sinks import upsert
+from noticeflow.sinks import compact_table, read_table, upsert, upsert_table
 
 
 def keys(spark, values):
@@ -37,7 +37,7 @@ def records(spark, rows):
 
 
 def test_legacy_by_url_composite_and_conflict(spark):
-    base = {"release_date__c": "2025-01-01", "bidstate__c": "北京", "bidcity__c": "北京市", "type__c": "招标", "Name": "甲"}
+    base = {"release_date__c": "2025-01-01", "bidstate__c": "北京", "bidcity__c": "北京市", "type__c": "招标", "Name": "供水管网改造"}
     local = records(spark, [{"Source_Key__c": "k1", "website__c": "u1"}, {"Source_Key__c": "k2", "website__c": "u2"},
                             {"Source_Key__c": "k3", **base}, {"Source_Key__c": "k4", "content__c": "shared"},
                             {"Source_Key__c": "k5", "content__c": "shared"}])
@@ -48,7 +48,7 @@ def test_legacy_by_url_composite_and_conflict(spark):
     report = legacy.match_report(local, remote, "Source_Key__c", "Id").first()
     assert (report["matched"], report["ambiguous"], report["unmatched"], report["colliding_rows"]) == (2, 1, 2, 0)
     review = legacy.review_rows(local, remote, "Source_Key__c", "Id", ["Name"]).collect()
-    assert [(r["Id"], r["reason"], r["candidate_keys"], r["Name"]) for r in review] == [("r3", legacy.AMBIGUOUS, "k2;k3", "甲")]
+    assert [(r["Id"], r["reason"], r["candidate_keys"], r["Name"]) for r in review] == [("r3", legacy.AMBIGUOUS, "k2;k3", "供水管网改造")]
 
 
 def test_two_targets_on_one_key_collide(spark):
@@ -80,19 +80,19 @@ def test_hot_identifier_against_brute_force(spark):
     assert have == expected and expected
 
 
-@pytest.mark.parametrize("title,buyer,day,overlap", [("标题", "单位", "2025-01-01", 1), ("标题", "单位", "2025-01-02", 0), ("", "单位", "2025-01-01", 0)])
+@pytest.mark.parametrize("title,buyer,day,overlap", [("道路照明", "市政处", "2025-01-01", 1), ("道路照明", "市政处", "2025-02-03", 0), ("", "市政处", "2025-01-01", 0)])
 def test_legacy_overlap(spark, title, buyer, day, overlap):
     schema = "Full_Title__c string, Name string, Buyer_Name__c string, accountname__c string, release_date__c string"
-    local = spark.createDataFrame([("标题", None, "单位", None, "2025-01-01"), ("", None, "", None, None)], schema)
+    local = spark.createDataFrame([("道路照明", None, "市政处", None, "2025-01-01"), ("", None, "", None, None)], schema)
     remote = spark.createDataFrame([("", title, None, buyer, day)], schema)
     assert legacy.legacy_overlap(local, remote).first()[0] == overlap
 
 
 def test_fill_keeps_existing_values(spark):
-    rows = spark.createDataFrame([("1", "", "旧标题", "新买方", "旧买方"), ("2", "有", "旧", "有", None), ("3", None, " ", None, "")],
+    rows = spark.createDataFrame([("1", "", "stored name", "buyer now", "buyer before"), ("2", "full", "stored", "buyer", None), ("3", None, " ", None, "")],
                                  "Id string, Full_Title__c string, Name string, Buyer_Name__c string, accountname__c string")
     pairs = {"Full_Title__c": "Name", "Buyer_Name__c": "accountname__c"}
-    assert [tuple(r) for r in legacy.fill_from_legacy(rows, "Id", pairs).collect()] == [("1", "旧标题", "新买方")]
+    assert [tuple(r) for r in legacy.fill_from_legacy(rows, "Id", pairs).collect()] == [("1", "stored name", "buyer now")]
     assert {r["field"]: r["fills"] for r in legacy.field_fill_counts(rows, pairs).collect()} == {"Full_Title__c": 1, "Buyer_Name__c": 0}
 
 
@@ -167,3 +167,35 @@ def test_preflight_states(spark):
     assert status(5, "true", "true", 1) == ("blocked", False)
     assert status(5, "false", "true", 0) == ("blocked", False)
     assert status(0, "false", "false", 9) == ("unchanged", True)
+
+
+def current(spark, root, *columns):
+    return sorted((tuple(r) for r in read_table(spark, root, "k").select(*columns).collect()), key=str)
+
+
+def test_stored_table_keeps_blank_and_moved_partitions(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k int, part string, v int"
+    upsert_table(spark, root, spark.createDataFrame([(1, None, 10), (2, "x", 20), (4, "01", 40)], schema), "k", "part")
+    load = upsert_table(spark, root, spark.createDataFrame([(3, None, 30), (2, "y", None)], schema), "k", "part")
+    want = [(1, None, 10), (2, "y", 20), (3, None, 30), (4, "01", 40)]
+    assert current(spark, root, "k", "part", "v") == want and (load["rows"], load["inserted"]) == (2, 1)
+    compact_table(spark, root, "k", "part")
+    assert current(spark, root, "k", "part", "v") == want
+    upsert_table(spark, root, spark.createDataFrame([(1, "n")], "k int, added string"), "k", "k")
+    assert current(spark, root, "k", "added") == [(1, "n"), (2, None), (3, None), (4, None)]
+
+
+def test_stored_table_ignores_unfinished_loads_and_older_rows(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k int, part string, o int"
+    (tmp_path / "t" / "load-00000000000000000001").mkdir(parents=True)
+    assert read_table(spark, root, "k") is None
+    for rows in ([(1, "a", 2)], [(1, "b", 1), (2, "c", 1)], [(2, "c", 5)]):
+        upsert_table(spark, root, spark.createDataFrame(rows, schema), "k", "part", order=["o"])
+    assert current(spark, root, "k", "part", "o") == [(1, "a", 2), (2, "c", 5)]
+
+
+def test_load_by_day_reads_only_its_days_and_keeps_the_rest(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k int, day int, v string"
+    upsert_table(spark, root, spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, None, "c")], schema), "k", "day", cluster_of_key=True)
+    upsert_table(spark, root, spark.createDataFrame([(2, 2, None), (3, None, "z")], schema), "k", "day", cluster_of_key=True)
+    assert current(spark, root, "k", "day", "v") == [(1, 1, "a"), (2, 2, "b"), (3, None, "z")]

@@ -98,17 +98,21 @@ def test_greedy_batches(spark):
     rng = random.Random(4)
     sizes = [(i, rng.randrange(1, 200)) for i in range(1500)]
     df = spark.createDataFrame(sizes, "i int, size long").orderBy(F.rand(1))
-    one = {r["i"]: r["batch"]["number"] for r in greedy_batches(df, ["i"], "size", 1000, 50, partitions=1).collect()}
+    one = {r["i"]: r["batch"]["number"] for r in greedy_batches(df, ["i"], "size", 1000, 50, stretch=10**6).collect()}
     assert one == greedy_reference(sizes, 1000, 50)
-    held, last = {}, {}
-    rows = sorted(greedy_batches(df, ["i"], "size", 1000, 50, partitions=5).collect(), key=lambda r: r["i"])
-    for r in rows:
-        held[r["batch"]] = held.get(r["batch"], 50) + r["size"]
-        last.setdefault(r["batch"], []).append(r["i"])
-    assert len(rows) == 1500 and max(held.values()) <= 1000
+    held, last, seen = {}, {}, []
+    for partitions in ("3", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        seen.append(sorted((r["i"], tuple(r["batch"]), r["size"]) for r in greedy_batches(df, ["i"], "size", 1000, 50).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen[0] == seen[1]
+    for i, batch, size in seen[0]:
+        held[batch] = held.get(batch, 50) + size
+        last.setdefault(batch, []).append(i)
+    assert len(seen[0]) == 1500 and max(held.values()) <= 1000
     assert all(ids == list(range(ids[0], ids[-1] + 1)) for ids in last.values())
     with pytest.raises(Exception, match="does not fit"):
-        greedy_batches(df, ["i"], "size", 120, 50, partitions=1).collect()
+        greedy_batches(df, ["i"], "size", 120, 50).collect()
 
 
 def test_csv_row_bytes_counts_utf8_and_quotes(spark):

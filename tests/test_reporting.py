@@ -4,10 +4,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from noticeflow.operators import outbox, profile, reporting, tagging
+from noticeflow.functions import region_rank
+from noticeflow.operators import gates, outbox, profile, reporting, tagging
 from noticeflow.operators.dedup import dedup_first
 from noticeflow.plans.tag import tag_records
 from noticeflow.sources import read_logs, read_summaries
+from noticeflow.sources.tables import read_checkpoint
 
 
 def test_daily_success_needs_all_three(spark):
@@ -110,9 +112,27 @@ def test_market_report_counts_a_project_once(spark):
     deals = spark.createDataFrame([("p1", "i", 5, 1), ("p1", "i", 7, 2), ("p2", "i", 1, 1)], "project string, industry string, amount long, day int")
     assert reporting.market_report(deals, "industry", "amount").first()["total_amount"] == 13
     assert reporting.market_report(deals, "industry", "amount", "project", ["day"]).first()["total_amount"] == 8
+    blank = spark.createDataFrame([(None, "i", 10, 1), (" ", "i", 20, 1), ("", "i", 20, 1)], deals.schema)
+    row = reporting.market_report(deals.unionByName(blank), "industry", "amount", "project", ["day"]).first()
+    assert (row["total_amount"], row["deals"]) == (58, 5)
 
 
 def test_dedup_of_a_hot_key_keeps_one_row(spark):
     df = spark.range(0, 9000, 1, 6).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id as string)) as k")
     kept = dedup_first(df, ["k"], ["id"])
     assert kept.count() == 6001 and kept.where("k = 'hot'").first()["id"] == 0
+
+
+def test_unreadable_checkpoint_lines_are_kept_and_rejected(spark, tmp_path):
+    lines = ['{"date":"2025-01-01","national_count":16}', "", '{"date":"2025-13-45","national_count":1}', "{broken", '{"date":"2025-01-02","national_count":-1}']
+    (tmp_path / "c.jsonl").write_text("\n".join(lines), encoding="utf-8")
+    done = read_checkpoint(spark, str(tmp_path / "c.jsonl"))
+    assert done.count() == 4 and done.where("unreadable is null").count() == 2
+    assert sorted(r["problem"] for r in gates.checkpoint_valid(done).collect()) == ["count", "unreadable", "unreadable"]
+
+
+def test_unknown_region_stops_a_plan(spark):
+    rows = spark.createDataFrame([("north",), ("nowhere",), (None,)], "r string")
+    assert {r["region"] for r in gates.unknown_regions(rows, "r", ["north", "south"]).collect()} == {"nowhere", None}
+    with pytest.raises(Exception, match="not the name of one region"):
+        rows.select(region_rank("r", ["north", "south"])).collect()
