@@ -16,7 +16,8 @@ from noticeflow.schema import RAW_COLUMNS
 from noticeflow.session import shared_dir
 from noticeflow.sinks import (csv_row_bytes, greedy_batches, read_load_chunks, read_table, size_bounded_batches,
                               write_load_chunks, write_load_csv)
-from noticeflow.sources import audit_workbooks, parse_workbooks, read_load_csv, read_target, resolve_formulas
+from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_logs, read_target,
+                                resolve_formulas, scan_files, with_digest)
 from noticeflow.sources.tables import last_result
 
 from .common import MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, table
@@ -345,10 +346,44 @@ def _run_log_text():
                     "event_type", F.lit("', 'rows': "), event_number(), F.lit(", 'job_id': None}\nSalesforce 同步： {broken"))
 
 
-Q["read_logs"] = lambda spark, d: table(spark, d, "events").select("event_id", _run_log_text().alias("log")).select(
+Q["last_result"] = lambda spark, d: table(spark, d, "events").select("event_id", _run_log_text().alias("log")).select(
     "event_id", last_result("log").alias("r")).select(
         "event_id", F.col("r")["status"].alias("status"), F.col("r")["rows"].cast("bigint").alias("rows"))
-SQL["read_logs"] = f"""SELECT event_id, event_type AS status, {SQL_EVENT_NUMBER} AS "rows" FROM events"""
+SQL["last_result"] = f"""SELECT event_id, event_type AS status, {SQL_EVENT_NUMBER} AS "rows" FROM events"""
+
+FOLDERS = 40
+
+
+def _text_files(spark, rows, order, text, path):
+    """One text file for each of FOLDERS parts of the rows, lines in order."""
+    part = F.pmod(F.col(order), F.lit(FOLDERS)).alias("part")
+    (rows.select(part, order, text.alias("line")).repartition(FOLDERS, "part").sortWithinPartitions("part", order)
+     .drop(order).write.partitionBy("part").text(path))
+    return F.regexp_extract("path", "/part=([0-9]+)/", 1).cast("bigint").alias("part")
+
+
+def log_files(spark, d):
+    """Logs of many runs each, as files: the last readable result of each file."""
+    path = shared_dir(spark, "logs")
+    part = _text_files(spark, table(spark, d, "events"), "event_id", _run_log_text(), path)
+    return read_logs(spark, path).select(part, F.col("result")["status"].alias("status"),
+                                         F.col("result")["rows"].cast("bigint").alias("rows"))
+
+
+Q["read_logs"] = log_files
+SQL["read_logs"] = f"""SELECT event_id % {FOLDERS} AS part, arg_max(event_type, event_id) AS status,
+ arg_max({SQL_EVENT_NUMBER}, event_id) AS "rows" FROM events GROUP BY 1"""
+
+
+def scanned(spark, d):
+    path = shared_dir(spark, "files")
+    part = _text_files(spark, table(spark, d, "documents"), "doc_id", F.col("text"), path)
+    return with_digest(scan_files(spark, path, "*.txt")).select(part, "length", "sha256")
+
+
+Q["scan_files"] = scanned
+SQL["scan_files"] = f"""SELECT doc_id % {FOLDERS} AS part, CAST(strlen(string_agg(text, chr(10) ORDER BY doc_id)) + 1 AS BIGINT) AS length,
+ sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS sha256 FROM documents GROUP BY 1"""
 
 # --- whole pipeline over sheet rows -------------------------------------------
 

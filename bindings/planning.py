@@ -21,10 +21,10 @@ def _orders(spark, d):
 
 
 Q["daily_counts"] = lambda spark, d: calendar.daily_counts(
-    _orders(spark, d).where("o_orderstatus = 'P'"), "date", calendar.spine_of(_orders(spark, d), "date"))
+    _orders(spark, d), "date", calendar.spine_of(_orders(spark, d), "date"))
 SQL["daily_counts"] = """
 WITH s AS (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS date FROM orders),
- c AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+ c AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1)
 SELECT date, coalesce(n, 0) AS national_count FROM s LEFT JOIN c USING (date)"""
 
 Q["missing_dates"] = lambda spark, d: calendar.missing_dates(
@@ -44,22 +44,27 @@ def collect_daily(spark, d):
     base = shared_dir(spark, "daily")
     events = table(spark, d, "events").select(day("ts").alias("date"))
     args = (f"{base}/checkpoint", f"{base}/table", _criteria())
-    first = collect_days(spark, events, "date", "2024-01-01", "2024-01-20", *args, started=False)
-    second = collect_days(spark, events, "date", "2024-01-01", "2024-01-31", *args)
-    return read_checkpoint(spark, args[0]).select(
-        "date", "national_count", F.lit(first).alias("first_run"), F.lit(second).alias("second_run"))
+    low, middle, high = map(str, events.agg(
+        F.min("date"), F.date_add(F.min("date"), 19), F.max("date")).first())
+    first = collect_days(spark, events, "date", low, middle, *args, started=False)
+    second = collect_days(spark, events, "date", low, high, *args)
+    held = read_checkpoint(spark, args[0]).select("date", F.col("national_count").alias("held"))
+    written = spark.read.schema("date date, national_count bigint").option("header", True).csv(args[1])
+    return written.join(held, "date", "full").select(
+        "date", "national_count", "held", F.lit(first).alias("first_run"), F.lit(second).alias("second_run"))
 
 
 Q["collect_daily_counts"] = collect_daily
 SQL["collect_daily_counts"] = """
-WITH s AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS date),
+WITH s AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date FROM events),
  c AS (SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1)
-SELECT date, coalesce(n, 0) AS national_count, 20 AS first_run, 11 AS second_run FROM s LEFT JOIN c USING (date)"""
+SELECT date, coalesce(n, 0) AS national_count, coalesce(n, 0) AS held, 20 AS first_run, CAST((SELECT count(*) FROM s) - 20 AS INTEGER) AS second_run
+FROM s LEFT JOIN c USING (date)"""
 
 
 def checkpoint_check(spark, d):
-    """Event days as checkpoint rows: one type repeats its days, one has other criteria."""
-    events = table(spark, d, "events").where("event_type <> 'view'")
+    """Event days as checkpoint rows: three types repeat their days, one has other criteria."""
+    events = table(spark, d, "events")
     counts = events.groupBy(day("ts").alias("date"), "event_type").agg(
         F.count(F.lit(1)).alias("n"), F.min(event_number()).alias("low"))
     rows = counts.select(
@@ -73,10 +78,10 @@ def checkpoint_check(spark, d):
 Q["checkpoint_valid"] = checkpoint_check
 SQL["checkpoint_valid"] = """
 WITH c AS (SELECT CAST(ts AS DATE) AS date, event_type, min(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS low
- FROM events WHERE event_type <> 'view' GROUP BY ALL)
+ FROM events GROUP BY ALL)
 SELECT CAST(date + INTERVAL 12 MONTH AS DATE) AS date, 'count' AS problem FROM c WHERE event_type = 'click' AND low < 1
 UNION ALL SELECT CAST(date + INTERVAL 24 MONTH AS DATE), 'criteria' FROM c WHERE event_type = 'signup'
-UNION ALL SELECT date, 'repeated' FROM c WHERE event_type IN ('error', 'purchase') GROUP BY date HAVING count(*) > 1"""
+UNION ALL SELECT date, 'repeated' FROM c WHERE event_type NOT IN ('click', 'signup') GROUP BY date HAVING count(*) > 1"""
 
 
 def _counts(spark, d):
@@ -117,17 +122,6 @@ Q["oversize_skips"] = lambda spark, d: planning.oversize_skips(
 SQL["oversize_skips"] = _PLAN + f"""SELECT plan, date, rank, n, 'province_over_daily_limit' AS reason, {OVERSIZE} AS "limit" FROM p WHERE outcome = 'skipped_oversize'"""
 
 
-def multi_run(spark, d):
-    suppliers = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    quotas = (table(spark, d, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-              .groupBy(F.col("n_regionkey").alias("plan"), F.trunc(day("l_shipdate"), "month").alias("run_day"))
-              .agg(F.least(F.lit(800), F.count(F.lit(1))).cast("int").alias("balance"), F.lit(60).alias("daily_limit")))
-    return planning.plan_quota_batches(_counts(spark, d), quotas, "plan")
-
-
-Q["plan_quota_batches"] = multi_run
-
-
 def used(spark, d):
     batches = (_orders(spark, d).groupBy(F.col("date").alias("quota_day"), "o_orderpriority")
                .agg(F.count(F.lit(1)).alias("count")))

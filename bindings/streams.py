@@ -58,9 +58,10 @@ def daily(spark, d):
     base = shared_dir(spark, "stream")
     counts = landing.stream_daily_counts(_events(spark, d), "ts", "1 hour", ["event_type"])
     _finished(landing.write_table(counts, f"{base}/out", f"{base}/checkpoint"))
-    return spark.read.parquet(f"{base}/out")
+    return landing.with_open_days(spark.read.parquet(f"{base}/out"), table(spark, d, "events"), "ts", ["event_type"])
 
 
 Q["stream_daily_counts"] = daily
-SQL["stream_daily_counts"] = """SELECT date, event_type, count(*) AS n FROM (SELECT CAST(ts AS DATE) AS date, event_type FROM events)
- WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY date, event_type"""
+SQL["stream_daily_counts"] = """SELECT date, event_type, count(*) AS n,
+ date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS closed
+ FROM (SELECT CAST(ts AS DATE) AS date, event_type FROM events) GROUP BY date, event_type"""

@@ -79,13 +79,13 @@ def _fold(items: pd.DataFrame, quotas: list[tuple], hard_limit: int, by_head: bo
         left, status, first = min(balance, limit), None, position
         while position < len(queue):
             head = queue[position]["n"]
+            if left == 0:
+                status = "waiting_quota"
+                break
             if head == 0:
                 results[position].update(outcome="zero", run_day=run_day)
                 position += 1
                 continue
-            if left == 0:
-                status = "waiting_quota"
-                break
             if head > hard_limit:
                 results[position].update(outcome="skipped_oversize", run_day=run_day, remaining=left)
                 position, skipped = position + 1, True

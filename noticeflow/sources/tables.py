@@ -59,21 +59,37 @@ RESULT_LINE = r"Salesforce 同步：\s*(\{[^\r\n]+\})"
 
 
 def read_logs(spark: SparkSession, path: str, pattern: str = RESULT_LINE) -> DataFrame:
-    """Last readable result of each run log as ``result MAP<STRING, STRING>``."""
-    logs = (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("path"), "value"))
-    return logs.select("path", last_result("value", pattern).alias("result"))
+    """(path, result): last readable result line of each run log, as ``MAP<STRING, STRING>``.
+
+    Logs are read line by line, so one of any size is shared out over tasks; the place of
+    a line is its block and its number within it. A log without a result has a NULL one.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), result_of_line("value", pattern).alias("result"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("place"))
+    read = F.col("result").isNotNull()
+    return lines.groupBy("path").agg(F.max_by(F.to_json("result"), F.when(read, F.col("place"))).alias("r")).select(
+        "path", F.from_json("r", T.MapType(T.StringType(), T.StringType())).alias("result"))
+
+
+# A name outside quotes: an even number of single quotes follows it.
+OUTSIDE = r"(?=(?:[^']*'[^']*')*[^']*$)"
+
+
+def _as_map(literal):
+    for name, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        literal = F.regexp_replace(literal, rf"\b{name}\b{OUTSIDE}", json)
+    parsed = F.from_json(literal, T.MapType(T.StringType(), T.StringType()))
+    return F.when(F.coalesce(F.size(parsed) > 0, F.lit(False)), parsed)
+
+
+def result_of_line(line: str, pattern: str = RESULT_LINE):
+    """Result object printed in one log line; NULL if there is none or it can't be read."""
+    return _as_map(F.nullif(F.regexp_extract(line, pattern, 1), F.lit("")))
 
 
 def last_result(text: str, pattern: str = RESULT_LINE):
     """Last result object printed in a log text. Single quotes and None/True/False are accepted."""
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))
-
-    def as_map(literal):
-        json = F.regexp_replace(literal, r"\bNone\b", "null")
-        json = F.regexp_replace(json, r"\bTrue\b", "true")
-        json = F.regexp_replace(json, r"\bFalse\b", "false")
-        return F.from_json(json, T.MapType(T.StringType(), T.StringType()))
-
-    parsed = F.filter(F.transform(found, as_map), lambda m: F.coalesce(F.size(m) > 0, F.lit(False)))
+    parsed = F.filter(F.transform(found, _as_map), lambda m: m.isNotNull())
     return F.try_element_at(parsed, F.lit(-1))

@@ -59,6 +59,17 @@ def stream_daily_counts(stream: DataFrame, ts: str, delay: str, by: Sequence[str
             .select(F.col("w.start").cast("date").alias("date"), *by, "n"))
 
 
+def with_open_days(closed: DataFrame, rows: DataFrame, ts: str, by: Sequence[str] = ()) -> DataFrame:
+    """All days with a flag ``closed``: those the stream has emitted, and batch counts of the days after them.
+
+    A run that ends leaves its last days open; their numbers may still grow.
+    """
+    last = closed.agg(F.max("date").alias("m")).scalar()
+    later = rows.select(F.col(ts).cast("date").alias("date"), *by).where(last.isNull() | (F.col("date") > last))
+    return closed.withColumn("closed", F.lit(True)).unionByName(
+        later.groupBy("date", *by).agg(F.count(F.lit(1)).alias("n")).withColumn("closed", F.lit(False)))
+
+
 def write_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Run what is available into a parquet folder."""
     return (stream.writeStream.format("parquet").outputMode(mode).option("path", path)

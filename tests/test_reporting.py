@@ -47,6 +47,10 @@ def test_logs_and_summaries(spark, tmp_path):
     (tmp_path / "run.log").write_text("x\nSalesforce 同步： {'status': 'uploaded', 'rows': 790, 'ok': True, 'job': None}\nSalesforce 同步： {oops\nend\n", encoding="utf-8")
     result = read_logs(spark, str(tmp_path / "run.log")).first()["result"]
     assert result == {"status": "uploaded", "rows": "790", "ok": "true", "job": None}
+    (tmp_path / "odd.log").write_text("Salesforce 同步： {'note': 'None of it, True', 'job': None}\n", encoding="utf-8")
+    assert read_logs(spark, str(tmp_path / "odd.log")).first()["result"] == {"note": "None of it, True", "job": None}
+    (tmp_path / "none.log").write_text("nothing\n", encoding="utf-8")
+    assert read_logs(spark, str(tmp_path / "none.log")).first()["result"] is None
     for name, text in [("a-summary.json", '{"run_started_at":\n"2026-01-01T10:00","status":"成功"}'), ("salesforce-b-summary.json", '{"status":"x"}'), ("c-summary.json", "{broken")]:
         (tmp_path / name).write_text(text, encoding="utf-8")
     rows = read_summaries(spark, str(tmp_path), spark.sql("select '' run_started_at, '' status").schema, exclude=["salesforce-"]).collect()
