@@ -27,3 +27,13 @@ def event_number():
 
 
 SQL_EVENT_NUMBER = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
+FOLDERS = 40
+
+
+def text_files(spark, rows, order, text, path):
+    """One text file for each of FOLDERS parts of the rows, lines in order."""
+    part = F.pmod(F.col(order), F.lit(FOLDERS)).alias("part")
+    (rows.select(part, order, text.alias("line")).repartition(FOLDERS, "part").sortWithinPartitions("part", order)
+     .drop(order).write.partitionBy("part").text(path))
+    return F.regexp_extract("path", "/part=([0-9]+)/", 1).cast("bigint").alias("part")

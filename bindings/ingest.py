@@ -9,6 +9,7 @@ from noticeflow.functions import (classify_stage, clean, composite_key, content_
                                   fits_or_blank, hyperlink_text, is_blank, last_error_line, order_ledger,
                                   parse_amount, parse_day, quantize_half_up, region_rank, source_key,
                                   title_fallback, truncate, unparsed_amount, valid_key)
+from noticeflow.functions.text import Stages
 from noticeflow.operators import compare, dedup, disposition, filters, gates, profile
 from noticeflow.plans.prepare import prepare, project_to_target, to_notices
 from noticeflow.plans.sync import SyncPaths, sync_batch
@@ -20,7 +21,7 @@ from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv,
                                 resolve_formulas, scan_files, with_digest)
 from noticeflow.sources.tables import last_result
 
-from .common import MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, table
+from .common import FOLDERS, MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, table, text_files
 from .workbook_files import render_workbooks
 
 Q: dict = {}
@@ -301,8 +302,12 @@ def _ledger_text():
                     remaining, F.lit("条"), again)
 
 
-Q["labelled_counts"] = lambda spark, d: table(spark, d, "events").select(
-    "event_id", order_ledger(_ledger_text()).alias("o")).select("event_id", "o.*")
+def ledgers(spark, d):
+    steps = Stages(table(spark, d, "events"))
+    return steps.done(o=order_ledger(_ledger_text(), bind=steps.bind))
+
+
+Q["labelled_counts"] = lambda spark, d: ledgers(spark, d).select("event_id", "o.*")
 SQL["labelled_counts"] = f"""
 WITH e AS (SELECT *, {SQL_EVENT_NUMBER} AS k, user_id + 50 AS b FROM events),
  r AS (SELECT *, b - k + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS rest FROM e)
@@ -351,21 +356,10 @@ Q["last_result"] = lambda spark, d: table(spark, d, "events").select("event_id",
         "event_id", F.col("r")["status"].alias("status"), F.col("r")["rows"].cast("bigint").alias("rows"))
 SQL["last_result"] = f"""SELECT event_id, event_type AS status, {SQL_EVENT_NUMBER} AS "rows" FROM events"""
 
-FOLDERS = 40
-
-
-def _text_files(spark, rows, order, text, path):
-    """One text file for each of FOLDERS parts of the rows, lines in order."""
-    part = F.pmod(F.col(order), F.lit(FOLDERS)).alias("part")
-    (rows.select(part, order, text.alias("line")).repartition(FOLDERS, "part").sortWithinPartitions("part", order)
-     .drop(order).write.partitionBy("part").text(path))
-    return F.regexp_extract("path", "/part=([0-9]+)/", 1).cast("bigint").alias("part")
-
-
 def log_files(spark, d):
     """Logs of many runs each, as files: the last readable result of each file."""
     path = shared_dir(spark, "logs")
-    part = _text_files(spark, table(spark, d, "events"), "event_id", _run_log_text(), path)
+    part = text_files(spark, table(spark, d, "events"), "event_id", _run_log_text(), path)
     return read_logs(spark, path).select(part, F.col("result")["status"].alias("status"),
                                          F.col("result")["rows"].cast("bigint").alias("rows"))
 
@@ -377,7 +371,7 @@ SQL["read_logs"] = f"""SELECT event_id % {FOLDERS} AS part, arg_max(event_type,
 
 def scanned(spark, d):
     path = shared_dir(spark, "files")
-    part = _text_files(spark, table(spark, d, "documents"), "doc_id", F.col("text"), path)
+    part = text_files(spark, table(spark, d, "documents"), "doc_id", F.col("text"), path)
     return with_digest(scan_files(spark, path, "*.txt")).select(part, "length", "sha256")
 
 

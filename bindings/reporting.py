@@ -7,13 +7,14 @@ from pyspark.sql import types as T
 
 from noticeflow.functions import message_id, parse_verdict, prompt_input, run_status, validate_verdict
 from noticeflow.operators import filters, gates, outbox, reporting, tagging
-from noticeflow.plans.tag import tag_records
+from noticeflow.plans.tag import store_tags, tag_records
+from noticeflow.functions.text import Stages
 from noticeflow.functions.verdicts import MAX_INDUSTRY, MAX_REASON, PROMPT_BODY_CHARS
 from noticeflow.session import shared_dir
-from noticeflow.sinks import write_report
-from noticeflow.sources import audit_workbooks, read_summaries
+from noticeflow.sinks import read_table, write_report
+from noticeflow.sources import audit_workbooks, read_logs, read_summaries
 
-from .common import MONEY, SQL_EVENT_NUMBER, day, event_number, table
+from .common import FOLDERS, MONEY, SQL_EVENT_NUMBER, day, event_number, table, text_files
 from .ingest import audited_files
 
 Q: dict = {}
@@ -37,8 +38,13 @@ def _verdict_body():
     return (F.when(F.col("role") == "user", direct).when(F.length("text") < 40, cut).otherwise(nested))
 
 
-Q["verdicts"] = lambda spark, d: table(spark, d, "conversations").select(
-    "conv_id", "turn", validate_verdict(parse_verdict(_verdict_body()), MAX_INDUSTRY, MAX_REASON).alias("v")).select(
+def verdicts(spark, d):
+    steps = Stages(table(spark, d, "conversations"))
+    verdict = validate_verdict(parse_verdict(_verdict_body(), steps.bind), MAX_INDUSTRY, MAX_REASON, steps.bind)
+    return steps.done(v=verdict)
+
+
+Q["verdicts"] = lambda spark, d: verdicts(spark, d).select(
         "conv_id", "turn", "v.matched", "v.confidence", "v.primary_industry", F.sha2("v.reason", 256).alias("reason_hash"), "v.error")
 SQL["verdicts"] = """
 WITH c AS (SELECT *, CASE WHEN role <> 'user' AND length(text) < 40 THEN 'incomplete response' WHEN turn >= 4 THEN 'missing matched flag'
@@ -73,12 +79,18 @@ v AS (SELECT doc_id, rule_id, tag_id, list_filter(terms, lambda t: contains(text
 o AS (SELECT doc_id, '已识别' AS ai_status, min(hits[1]) FILTER (len(hits) > 0 AND rule_id = first_hit) AS primary_industry FROM
   (SELECT *, min(rule_id) FILTER (len(hits) > 0) OVER (PARTITION BY doc_id) AS first_hit FROM v) GROUP BY doc_id)
 """
-Q["tag_records"] = lambda spark, d: _tagged(spark, d).outcomes
+def _stored_tags(spark, d):
+    base = shared_dir(spark, "tags")
+    store_tags(spark, _tagged(spark, d), f"{base}/outcomes", f"{base}/assigned", "doc_id")
+    return base
+
+
+Q["tag_records"] = lambda spark, d: read_table(spark, _stored_tags(spark, d) + "/outcomes", "doc_id")
 SQL["tag_records"] = _TAG + """
 SELECT o.doc_id, ai_status, primary_industry, CAST(CASE WHEN len(hits) > 0 THEN 0.9 ELSE 0.5 END AS DECIMAL(5,3)) AS confidence,
  CASE WHEN len(hits) > 0 THEN 'found ' || array_to_string(hits, ', ') ELSE 'no term found' END AS reason FROM o JOIN v ON o.doc_id = v.doc_id AND rule_id = 1"""
 
-Q["tag_assignments"] = lambda spark, d: _tagged(spark, d).assignments
+Q["tag_assignments"] = lambda spark, d: read_table(spark, _stored_tags(spark, d) + "/assigned", "assignment_key")
 SQL["tag_assignments"] = _TAG + f"""
 SELECT sha256(doc_id || ':' || rule_id) AS assignment_key, doc_id, rule_id, tag_id, len(hits) > 0 AS is_matched,
  CAST(CASE WHEN len(hits) > 0 THEN 0.9 ELSE 0.5 END AS DECIMAL(5,3)) AS confidence,
@@ -217,6 +229,51 @@ SELECT quota_day, count(*) AS batches, CAST(sum(k) AS BIGINT) AS "rows", count(D
  CASE WHEN count(*) FILTER (NOT ok) > 0 THEN '失败' ELSE '成功' END AS local_status FROM b GROUP BY 1"""
 
 
+def _day_results(spark, d):
+    """Logged result of the uploads of each event day; signups say nothing."""
+    k = event_number()
+    newest = table(spark, d, "events").groupBy(day("ts").alias("quota_day")).agg(
+        F.max_by("event_type", "event_id").alias("kind"), F.max_by(k, "event_id").alias("k"))
+    status = F.when(F.col("kind") == "view", "uploaded").when(F.col("kind") == "click", "uploaded_with_blocked").otherwise("failed")
+    return newest.where("kind <> 'signup'").select("quota_day", F.create_map(
+        F.lit("status"), status, F.lit("rows"), F.col("k").cast("string")).alias("result"))
+
+
+Q["download_summary"] = lambda spark, d: reporting.with_upload(run_totals(spark, d), _day_results(spark, d), "quota_day").select(
+    "quota_day", "rows", "local_status", "upload_status", "uploaded_rows", "overall_status", "reason")
+SQL["download_summary"] = f"""
+WITH s AS ({SQL["run_summary"]}), n AS (SELECT CAST(ts AS DATE) AS quota_day, arg_max(event_type, event_id) AS kind, arg_max({SQL_EVENT_NUMBER}, event_id) AS k FROM events GROUP BY 1)
+SELECT quota_day, "rows", local_status, CASE WHEN kind = 'view' THEN '成功' ELSE '失败' END AS upload_status, CASE WHEN kind = 'view' THEN k ELSE 0 END AS uploaded_rows,
+ CASE WHEN invalid_files = 0 AND kind = 'view' THEN '成功' ELSE '失败' END AS overall_status,
+ CASE WHEN invalid_files > 0 THEN '以下本地文件缺失或损坏' WHEN kind <> 'view' THEN '未取得 Salesforce 同步成功结果' ELSE '' END AS reason FROM s JOIN n USING (quota_day)"""
+
+
+def summary_of_parts(spark, d):
+    """Forty runs: reports of the documents of each, results from log files; every fifth run has no report."""
+    docs = table(spark, d, "documents").withColumn("part", F.pmod("doc_id", F.lit(FOLDERS)))
+    reports = docs.where("part % 5 <> 0").groupBy("part").agg(
+        F.count_distinct("source").alias("source_files"), F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col("n_chars") > 100).alias("rows_written"), F.count_if(F.col("n_chars") > 5000).alias("blocked_rows"))
+    path = shared_dir(spark, "logs")
+    line = F.concat(F.lit("Salesforce 同步： {'status': '"), F.when(F.col("event_type") == "error", "failed").otherwise("uploaded"),
+                    F.lit("', 'rows': "), "user_id", F.lit(", 'inserted_rows': "), event_number(), F.lit(", 'job_id': 'j-"), "event_id", F.lit("'}"))
+    part = text_files(spark, table(spark, d, "events").where("event_id % 40 <> 7"), "event_id", line, path)
+    results = read_logs(spark, path).select(part, "result")
+    return reporting.load_summary(docs.select("part").distinct(), reports, results, "part")
+
+
+Q["load_summary"] = summary_of_parts
+SQL["load_summary"] = f"""
+WITH p AS (SELECT doc_id % {FOLDERS} AS part, source, n_chars FROM documents), r AS (SELECT part, count(DISTINCT source) AS files, count(*) AS rows_read,
+  count(*) FILTER (n_chars > 100) AS attempted_rows, count(*) FILTER (n_chars > 5000) AS blocked_rows FROM p WHERE part % 5 <> 0 GROUP BY part),
+ l AS (SELECT event_id % {FOLDERS} AS part, arg_max(event_type, event_id) <> 'error' AS good, arg_max(user_id, event_id) AS u, arg_max({SQL_EVENT_NUMBER}, event_id) AS k,
+  max(event_id) AS e FROM events WHERE event_id % {FOLDERS} <> 7 GROUP BY 1)
+SELECT part, CASE WHEN NOT coalesce(good, false) THEN '失败' WHEN coalesce(r.blocked_rows, 0) > 0 THEN '部分成功' ELSE '成功' END AS final_status,
+ files, rows_read, attempted_rows, CASE WHEN good THEN u ELSE 0 END AS successful_rows, 0::BIGINT AS failed_rows, coalesce(r.blocked_rows, 0) AS blocked_rows,
+ k AS inserted_rows, NULL::BIGINT AS updated_rows, 0::BIGINT AS duplicates_filtered, CASE WHEN good THEN 'j-' || e END AS job_id
+FROM (SELECT DISTINCT part FROM p) LEFT JOIN r USING (part) LEFT JOIN l USING (part)"""
+
+
 def _load_runs(spark, d):
     k = event_number()
     status = (F.when(F.col("event_type") == "view", "uploaded").when(F.col("event_type") == "click", "uploaded_with_blocked")

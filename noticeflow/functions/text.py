@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import COUNT_TOLERANCE, FALLBACK_TITLE, HARD_LIMIT
@@ -32,6 +32,30 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+class Stages:
+    """``bind`` by projections: each intermediate value is a column of its own.
+
+    Values in projections run in generated code, those inside ``bind`` above one
+    row at a time, so use this where rows are many:
+
+        steps = Stages(rows)
+        verdict = validate_verdict(parse_verdict("body", steps.bind), bind=steps.bind)
+        rows = steps.done(verdict=verdict)
+    """
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.names = rows, []
+
+    def bind(self, value: Column, body: Callable[[Column], Column]) -> Column:
+        name = f"_stage{len(self.names)}"
+        self.names.append(name)
+        self.rows = self.rows.withColumn(name, value)
+        return body(F.col(name))
+
+    def done(self, **columns: Column) -> DataFrame:
+        return self.rows.withColumns(columns).drop(*self.names)
+
+
 def _stripped(value: ColumnOrName) -> Column:
     return F.btrim(as_col(value).cast("string"), F.lit(WHITESPACE))
 
@@ -97,7 +121,7 @@ def _distinct_numbers(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.transform(found, lambda x: x.try_cast("bigint")))
 
 
-def labelled_counts(text: ColumnOrName, labels: dict[str, str]) -> Column:
+def labelled_counts(text: ColumnOrName, labels: dict[str, str], bind=bind) -> Column:
     """Integer shown after each label; all copies of a label must agree.
 
     ``labels`` maps output field -> label text. Returns a struct of those fields
@@ -122,7 +146,7 @@ FEE_LABELS = "实付金额|应付金额|应付总额"
 FEE_PATTERN = rf"(?:{FEE_LABELS})\s*[:：]?\s*[¥￥]?\s*([0-9]+(?:\.[0-9]+)?)\s*(?:元)?(?=\s|$)"
 
 
-def order_ledger(text: ColumnOrName, limit: int = HARD_LIMIT) -> Column:
+def order_ledger(text: ColumnOrName, limit: int = HARD_LIMIT, bind=bind) -> Column:
     """Order page text -> struct(taken, balance, remaining, error).
 
     Every fee shown must be a readable zero, every count must be unambiguous,
@@ -130,7 +154,7 @@ def order_ledger(text: ColumnOrName, limit: int = HARD_LIMIT) -> Column:
     """
     def search(shown: Column) -> Column:
         fees = F.regexp_extract_all(shown, F.lit(FEE_PATTERN), F.lit(1))
-        return F.struct(labelled_counts(shown, ORDER_LABELS).alias("counts"), fees.alias("fees"),
+        return F.struct(labelled_counts(shown, ORDER_LABELS, bind).alias("counts"), fees.alias("fees"),
                         F.regexp_count(shown, F.lit(FEE_LABELS)).alias("fees_shown"))
 
     def checked(page: Column) -> Column:

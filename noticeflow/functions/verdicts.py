@@ -40,7 +40,7 @@ def _answer_text(data: Column) -> Column:
     return _strip(F.when(is_blank(data["output_text"]), F.array_join(texts, "")).otherwise(data["output_text"]))
 
 
-def _without_fence(raw: Column) -> Column:
+def _without_fence(raw: Column, bind) -> Column:
     """Content of a code fence; NULL when the fence has no line break."""
     def closed(inner: Column) -> Column:
         return F.when(F.endswith(inner, F.lit("```")), _strip(F.left(inner, F.length(inner) - 3))).otherwise(inner)
@@ -50,10 +50,10 @@ def _without_fence(raw: Column) -> Column:
     return F.when(F.startswith(raw, F.lit("```")), opened).otherwise(raw)
 
 
-def parse_verdict(body: ColumnOrName) -> Column:
+def parse_verdict(body: ColumnOrName, bind=bind) -> Column:
     """Response JSON -> struct(matched, confidence, primary_industry, reason, error)."""
     def read(data: Column) -> Column:
-        answer = bind(_answer_text(data), lambda raw: _without_fence(raw))
+        answer = bind(_answer_text(data), lambda raw: _without_fence(raw, bind))
         return F.struct(F.coalesce(data["status"], F.lit("")).alias("status"), answer.alias("answer"))
 
     def judge(found: Column) -> Column:
@@ -80,7 +80,8 @@ def _text_or_null(value: Column) -> Column:
     return F.when(~is_blank(value) & (value != "null"), value)
 
 
-def validate_verdict(verdict: ColumnOrName, max_industry: int | None = None, max_reason: int | None = None) -> Column:
+def validate_verdict(verdict: ColumnOrName, max_industry: int | None = None, max_reason: int | None = None,
+                     bind=bind) -> Column:
     """Checked verdict: typed confidence, texts cut where a length is given, and the first problem found."""
     def fitted(value: Column, length: int | None) -> Column:
         return value if length is None else truncate(value, length)

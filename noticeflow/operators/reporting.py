@@ -71,6 +71,57 @@ def upload_summary(runs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         count_value(by_name="categories_filtered").alias("categories_filtered"))
 
 
+# Fixed values of the run summaries.
+LOAD_AWAITED, NO_LOAD_RESULT, BAD_FILES = "等待独立上传任务", "未取得 Salesforce 同步成功结果", "以下本地文件缺失或损坏"
+
+
+def _whole(value: Column) -> Column:
+    return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def load_summary(runs: DataFrame, reports: DataFrame, results: DataFrame, run: str) -> DataFrame:
+    """One row per run from its parts: the prepare report and the result that the load logged.
+
+    ``reports``: (run, source_files, rows_read, rows_written, blocked_rows), at most one row per run;
+    ``results``: (run, result), a map as ``read_logs`` gives it. A part that is
+    missing leaves its numbers NULL or zero; blocked rows fall back to the report.
+    """
+    parts = (runs.select(run).join(reports.withColumnRenamed("blocked_rows", "_blocked"), run, "left")
+             .join(results.select(run, "result"), run, "left"))
+
+    def said(name: str) -> Column:
+        return F.try_element_at(F.col("result"), F.lit(name))
+
+    good = F.coalesce(said("status").isin(*LOAD_SUCCESS), F.lit(False))
+    logged = _whole(said("blocked_rows"))
+    blocked = F.when(logged > 0, logged).otherwise(_whole(F.col("_blocked")))
+    return parts.select(
+        run, run_status(said("status"), blocked).alias("final_status"),
+        F.col("source_files").alias("files"), "rows_read", F.col("rows_written").alias("attempted_rows"),
+        F.when(good, F.coalesce(said("successful_rows").try_cast("bigint"), _whole(said("rows")))).otherwise(0).alias("successful_rows"),
+        _whole(said("failed_rows")).alias("failed_rows"), blocked.alias("blocked_rows"),
+        said("inserted_rows").try_cast("bigint").alias("inserted_rows"),
+        said("updated_rows").try_cast("bigint").alias("updated_rows"),
+        _whole(said("duplicates_filtered")).alias("duplicates_filtered"), F.when(good, said("job_id")).alias("job_id"))
+
+
+def with_upload(summaries: DataFrame, results: DataFrame, run: str, expected: bool = True) -> DataFrame:
+    """Download summaries (``run_summary``) with the state of their upload and an overall status.
+
+    Only some results count as an upload here (``download_upload_ok``). ``expected`` says whether
+    a run without one has failed or waits for the separate load.
+    """
+    joined = summaries.join(results.select(run, F.try_element_at("result", F.lit("status")).alias("_status"),
+                                           F.try_element_at("result", F.lit("rows")).alias("_rows")), run, "left")
+    good, bad = download_upload_ok("_status"), F.col("invalid_files") > 0
+    missing = F.lit(expected) & ~good
+    reason = F.when(bad, BAD_FILES).when(missing, NO_LOAD_RESULT).otherwise("")
+    return joined.select(
+        *summaries.columns, F.when(good, STATUS_OK).otherwise(STATUS_FAILED if expected else LOAD_AWAITED).alias("upload_status"),
+        F.when(good, _whole(F.col("_rows"))).otherwise(0).alias("uploaded_rows"),
+        F.when(bad | missing, STATUS_FAILED).otherwise(STATUS_OK).alias("overall_status"), reason.alias("reason"))
+
+
 def daily_report(runs: DataFrame, day: str, kind: str, status: str, modified: str, rows: str,
                  kinds: tuple[str, str, str], tiebreak: str, ok: str = STATUS_OK) -> DataFrame:
     """One row per day from the newest run of each of three kinds.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import assignment_key
-from ..functions.text import bind, is_blank
+from ..functions.text import Stages, bind, is_blank
 from ..functions.verdicts import (MAX_INDUSTRY, MAX_REASON, PROMPT_BODY_CHARS, SEMANTICS_SEPARATOR, parse_verdict,
                                   prompt_input, validate_verdict)
 
@@ -86,7 +86,9 @@ def classify(pairs: DataFrame, record_id: str, text: str,
         values = [F.when(ruled, verdict[f]).alias(f) for f in ("matched", "confidence", "primary_industry", "reason")]
         return F.struct(*values, F.when(ruled, verdict["error"]).otherwise(NO_SEMANTICS).alias("error"))
 
-    checked = pairs.withColumn("verdict", bind(validate_verdict(parse_verdict(body), MAX_INDUSTRY, MAX_REASON), only_ruled))
+    steps = Stages(pairs)
+    verdict = validate_verdict(parse_verdict(body, steps.bind), MAX_INDUSTRY, MAX_REASON, steps.bind)
+    checked = steps.done(verdict=steps.bind(verdict, only_ruled))
     return checked.withColumn("assignment_key", assignment_key(record_id, "rule.rule_id"))
 
 

@@ -1,4 +1,4 @@
-"""One incremental load: new or changed workbooks into a partitioned target table."""
+"""One incremental load: new or changed workbooks into a stored target table."""
 
 from __future__ import annotations
 
@@ -9,13 +9,16 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.compare import compare_keys
 from ..operators.disposition import batch_report
-from ..operators.gates import GateError, assert_gate, verify_modified_since, warnings_gate
+from ..operators.gates import (GateError, assert_gate, preflight, schema_gate, verify_modified_since,
+                               warnings_gate)
 from ..operators.incremental import merge_quarantine, pending_files
+from ..operators.legacy import legacy_overlap
 from ..schema import ALLOWED_CATEGORIES, MANIFEST_SCHEMA
 from ..session import shared_dir
 from ..sinks.files import commit_manifest, current_snapshot, remove_folder, write_snapshot
-from ..sinks.upsert import upsert_table
+from ..sinks.upsert import read_table, upsert_table
 from ..sources.files import with_digest
 from ..sources.workbooks import parse_workbooks, resolve_formulas
 from .prepare import WARNING_FLAGS, complete, label_notices, split_firsts, to_notices
@@ -49,13 +52,29 @@ def _stage(notices: DataFrame, folder: str) -> DataFrame:
     return notices.sparkSession.read.schema(notices.schema).parquet(folder)
 
 
+def _preflight(spark: SparkSession, source: DataFrame, described: DataFrame, legacy: DataFrame | None, target: str,
+               ignore_keyless: bool) -> dict:
+    stored = read_table(spark, target, KEY)
+    keys = source.select(KEY).limit(0) if stored is None else stored.select(KEY)
+    keyless = source.limit(0) if legacy is None else legacy
+    required = spark.createDataFrame([(name,) for name in source.columns if name != MODIFIED], "name string")
+    rows = source.agg(F.count(F.lit(1)).alias("pending_rows"))
+    listed = keys.unionByName(keyless.select(F.lit(None).cast("string").alias(KEY)))
+    return preflight(rows, schema_gate(required, described, KEY), compare_keys(source.select(KEY), listed, KEY, ignore_keyless),
+                     legacy_overlap(source, keyless)).first().asDict()
+
+
 def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: bool = False,
-               guarded: bool = False) -> dict:
+               guarded: bool = False, described: DataFrame | None = None, legacy: DataFrame | None = None,
+               ignore_keyless: bool = False) -> dict:
     """Load pending ``files`` (path, content); the manifest advances only after verification.
 
     Running it again after a failure is safe: the load is an upsert by key, and
     a load that did not finish does not count. Read the target with
     ``sinks.read_table(spark, paths.target, KEY)``.
+
+    ``described`` (the target's fields) and ``legacy`` (its rows without a key, in notice columns) turn on the preflight:
+    fields, key flags, duplicate and keyless rows and overlap must be fine before anything is written.
     """
     manifest = load_manifest(spark, paths.manifest)
     pending = pending_files(with_digest(files), manifest, force, guarded)
@@ -88,6 +107,10 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
 
     source = written.withColumn(MODIFIED, F.lit(started).cast("timestamp"))
     rows, inserted, job_id = report["rows_written"], 0, None
+    if rows and described is not None:
+        check = _preflight(spark, source, described, legacy, paths.target, ignore_keyless)
+        if not check["safe_to_execute"]:
+            raise GateError(f"preflight blocked the load, nothing was written: {check}")
     if rows:
         # The day is part of the key, so other days of the target are not read.
         load = upsert_table(spark, paths.target, source, KEY, DAY, cluster_of_key=True)

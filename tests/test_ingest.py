@@ -263,3 +263,20 @@ def test_files_without_rows_count_as_files(spark, tmp_path):
     write(source / "a.xlsx", [sheet_row(1, "招标")])
     write(source / "empty.xlsx", [])
     assert sync_batch(spark, scan_files(spark, str(source)), paths)["files"] == 2
+
+
+def test_preflight_stops_a_load(spark, tmp_path):
+    source, base = tmp_path / "in", tmp_path / "state"
+    paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
+    write(source / "a.xlsx", [sheet_row(1, "招标")])
+    files = scan_files(spark, str(source))
+    fields = [(name, True, True, name == "Source_Key__c", name == "Source_Key__c") for name in NOTICE_FIELDS]
+    schema = "name string, createable boolean, updateable boolean, externalId boolean, unique boolean"
+    with pytest.raises(GateError, match="preflight blocked"):
+        sync_batch(spark, files, paths, described=spark.createDataFrame(fields[1:], schema))
+    keyless = prepare(read_workbooks(spark, str(source))).written
+    described = spark.createDataFrame(fields, schema)
+    with pytest.raises(GateError, match="preflight blocked"):
+        sync_batch(spark, files, paths, described=described, legacy=keyless)
+    assert read_table(spark, paths.target, "Source_Key__c") is None
+    assert sync_batch(spark, files, paths, described=described)["status"] == "uploaded"

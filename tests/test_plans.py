@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 PYTHON = {"read_workbooks", "audit_workbooks", "export_completeness", "sync_batch", "greedy_batches"}
 # These write and read files or run streams while they are built.
 EAGER = {"sync_batch", "stream_upsert", "stream_first_wins", "stream_daily_counts", "load_csv_roundtrip",
-         "collect_daily_counts", "read_summaries", "upsert_partitions", "sync_retry", "load_chunks", "read_logs", "scan_files", "outbox_status_counts", "tag_records", "tag_assignments"}
+         "collect_daily_counts", "read_summaries", "upsert_partitions", "sync_retry", "load_chunks", "read_logs", "scan_files", "load_summary", "outbox_status_counts", "tag_records", "tag_assignments"}
 
 
 def plan_of(df):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from noticeflow.functions import region_rank
 from noticeflow.operators import gates, outbox, profile, reporting, tagging
 from noticeflow.operators.dedup import dedup_first
-from noticeflow.plans.tag import tag_records
+from noticeflow.plans.tag import store_tags, tag_records
+from noticeflow.sinks import read_table
 from noticeflow.sources import read_logs, read_summaries
 from noticeflow.sources.tables import read_checkpoint
 
@@ -84,6 +85,19 @@ def test_tagging(spark):
     assert tagged.assignments.count() == 6 and tagged.assignments.where("is_matched").count() == 3
 
 
+def test_scorer_gets_the_prompt_and_tags_are_stored(spark, tmp_path):
+    def scorer(text, semantics):
+        good = F.startswith(text, F.lit("规则名称：")) & F.contains(text, F.lit("公告正文：body"))
+        return F.when(good, tagging.keyword_scorer(F.lit("云"), semantics)).otherwise('{"status":"failed"}')
+
+    records = spark.createDataFrame([("r1", "t", "body")], "id string, title string, text string")
+    tagged = tag_records(records, "id", "text", *rules(spark), "m", scorer, prompt=("title", "title", "title", "title", "title", "text"))
+    for _ in range(2):
+        store_tags(spark, tagged, str(tmp_path / "o"), str(tmp_path / "a"), "id")
+    assert [r["ai_status"] for r in read_table(spark, str(tmp_path / "o"), "id").collect()] == [tagging.DONE]
+    assert read_table(spark, str(tmp_path / "a"), "assignment_key").count() == 2
+
+
 def test_one_bad_verdict_fails_the_record(spark):
     def scorer(text, semantics):
         good = tagging.keyword_scorer(text, semantics)
