@@ -31,11 +31,16 @@ LANGS = ["en", "de", "fr"]
 SIZE_LIMIT = 20000
 
 
+def _rules():
+    return ("_key", ["doc_id"], F.col("lang").isin(*LANGS), filters.has_fields("text"), F.length(clean("text")), SIZE_LIMIT)
+
+
+def _keyed(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").withColumn("_key", source_key("lang", ["text"]))
+
+
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").withColumn("_key", source_key("lang", ["text"]))
-    return disposition.with_disposition(
-        docs, "_key", ["doc_id"], F.col("lang").isin(*LANGS), filters.has_fields("text"),
-        F.length(clean("text")), SIZE_LIMIT)
+    return disposition.with_disposition(_keyed(spark, d), *_rules())
 
 
 SQL_LABELLED = f"""
@@ -56,7 +61,7 @@ SQL["prepare_dispositions"] = SQL_LABELLED + """
 SELECT source, disposition, count(*) AS "rows" FROM labelled GROUP BY source, disposition"""
 
 Q["batch_report"] = lambda spark, d: disposition.batch_report(
-    _labelled(spark, d), "source", {"long_body": F.length("text") > 10000})
+    _keyed(spark, d), *_rules(), "source", {"long_body": F.length("text") > 10000})
 SQL["batch_report"] = SQL_LABELLED + """
 SELECT count(DISTINCT source) AS source_files, count(*) AS rows_read,
  count(*) FILTER (disposition = 'written') AS rows_written,

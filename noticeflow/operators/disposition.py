@@ -40,18 +40,36 @@ def disposition_counts(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame
     return labelled.groupBy(*by, "disposition").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def batch_report(labelled: DataFrame, file: str, warnings: dict[str, Column] | None = None) -> DataFrame:
-    """One row: files, rows read, written, duplicate, blocked, skipped, and warning counts."""
-    def rows(name):
-        return F.count_if(F.col("disposition") == name)
-
-    counted = {name: F.count_if(F.coalesce(flag, F.lit(False))) for name, flag in (warnings or {}).items()}
-    return labelled.agg(
-        F.count_distinct(file).alias("source_files"), F.count(F.lit(1)).alias("rows_read"),
-        rows(WRITTEN).alias("rows_written"), rows(DUPLICATE).alias("duplicates_skipped"),
-        rows(BLOCKED).alias("blocked_rows"), rows(SKIPPED).alias("categories_skipped"),
-        rows(MISSING).alias("missing_key_data"),
-        *[count.alias(name) for name, count in counted.items()])
+def batch_report(df: DataFrame, key: str, order: Sequence[str], allowed: Column, complete: Column, length: Column,
+                 limit: int, file: str, warnings: dict[str, Column] | None = None) -> DataFrame:
+    """One row: files, rows read, written, duplicate, blocked, skipped, and warning counts.
+
+    Counts need no label per row: one scan and one combining aggregate per key tell
+    how many rows a key has and whether its first one is too long.
+    """
+    flags = warnings or {}
+    narrow = df.select(
+        F.col(key).alias("_key"), F.struct(*order).alias("_position"), F.col(file).alias("_file"),
+        F.coalesce(allowed, F.lit(False)).alias("_allowed"), F.coalesce(complete, F.lit(False)).alias("_complete"),
+        F.coalesce(length > limit, F.lit(False)).alias("_over"),
+        *[F.coalesce(flag, F.lit(False)).alias(f"_flag{i}") for i, flag in enumerate(flags.values())])
+    eligible = F.col("_allowed") & F.col("_complete")
+    per_key = narrow.groupBy(eligible.alias("_eligible"), F.when(eligible, F.col("_key")).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min_by("_over", "_position").alias("_over"),
+        F.count_if(~F.col("_allowed")).alias("_skipped"),
+        *[F.count_if(F.col(f"_flag{i}")).alias(f"_flag{i}") for i in range(len(flags))])
+    first = F.col("_eligible")
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
+
+    files = narrow.agg(F.count_distinct("_file").alias("n")).scalar()
+    return per_key.agg(
+        total(F.col("_rows")).alias("rows_read"), F.count_if(first & ~F.col("_over")).alias("rows_written"),
+        total(F.when(first, F.col("_rows") - 1)).alias("duplicates_skipped"),
+        F.count_if(first & F.col("_over")).alias("blocked_rows"), total(F.col("_skipped")).alias("categories_skipped"),
+        total(F.when(~first, F.col("_rows") - F.col("_skipped"))).alias("missing_key_data"),
+        *[total(F.col(f"_flag{i}")).alias(name) for i, name in enumerate(flags)]).select(files.alias("source_files"), "*")
 
 
 def counts_by_date(df: DataFrame, day: str) -> DataFrame:

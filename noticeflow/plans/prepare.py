@@ -76,12 +76,20 @@ def project_to_target(notices: DataFrame, fields: dict[str, str] = COMPACT_FIELD
         for source, target in fields.items()])
 
 
+def _rules() -> tuple:
+    """Key, order (path, sheet row), conditions and size limit of a notice row."""
+    return ("Source_Key__c", ["_path", "_row"], F.col("Publication_Category__c").isin(*ALLOWED_CATEGORIES),
+            complete(), F.col(BODY_LENGTH), MAX_CONTENT_CHARS)
+
+
 def label_notices(notices: DataFrame) -> DataFrame:
-    """Disposition of every row; order is (path, sheet row)."""
-    category = F.col("Publication_Category__c")
-    return with_disposition(
-        notices, "Source_Key__c", ["_path", "_row"], category.isin(*ALLOWED_CATEGORIES),
-        complete(), F.col(BODY_LENGTH), MAX_CONTENT_CHARS)
+    """Disposition of every row."""
+    return with_disposition(notices, *_rules())
+
+
+def notice_report(notices: DataFrame) -> DataFrame:
+    """Counts of a batch, with its warnings."""
+    return batch_report(notices, *_rules(), "_path", {flag.lstrip("_"): F.col(flag) for flag in WARNING_FLAGS})
 
 
 def split_firsts(notices: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,9 +118,7 @@ def prepare(raw: DataFrame) -> Prepared:
     written, quarantined = split_firsts(notices)
     return Prepared(
         written=written, quarantined=quarantined,
-        report=batch_report(label_notices(notices), "_path", {
-            "unparsed_amount": F.col("_unparsed_amount"),
-            "project_number_truncated": F.col("_project_number_truncated")}),
+        report=notice_report(notices),
         by_date=counts_by_date(written, "release_date__c"),
         skipped=skipped_by_category(notices, "Publication_Category__c"),
         incomplete=allow_categories(notices, "Publication_Category__c").where(~complete()))

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.compare import compare_keys
-from ..operators.disposition import batch_report
 from ..operators.gates import (GateError, assert_gate, preflight, schema_gate, verify_modified_since,
                                warnings_gate)
 from ..operators.incremental import merge_quarantine, pending_files
@@ -21,7 +20,7 @@ from ..sinks.files import commit_manifest, current_snapshot, remove_folder, writ
 from ..sinks.upsert import read_table, upsert_table
 from ..sources.files import with_digest
 from ..sources.workbooks import parse_workbooks, resolve_formulas
-from .prepare import WARNING_FLAGS, complete, label_notices, split_firsts, to_notices
+from .prepare import WARNING_FLAGS, complete, notice_report, split_firsts, to_notices
 
 KEY, DAY, MODIFIED = "Source_Key__c", "release_date__c", "LastModifiedDate"
 
@@ -92,12 +91,11 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
     raw = resolve_formulas(parse_workbooks(files.join(chosen, "path", "left_semi")))
     stage = shared_dir(spark, "stage")
     staged = _stage(to_notices(raw), stage)
-    labelled = label_notices(staged)
     considered = staged.where(F.col("Publication_Category__c").isin(*ALLOWED_CATEGORIES))
     assert_gate(warnings_gate(considered, {
         **{flag.lstrip("_"): F.col(flag) for flag in WARNING_FLAGS},
         "missing_key_data": ~complete()}), "batch has warnings, nothing was loaded")
-    report = batch_report(labelled, "_path").first().asDict()
+    report = notice_report(staged).first().asDict()
 
     written, blocked = split_firsts(staged)
     queue = blocked.limit(0) if queue_folder is None else spark.read.parquet(queue_folder)
