@@ -4,7 +4,8 @@ A passage of m characters may occur with up to k = int(ERROR_RATE * m) edits. It
 cut into k + 1 pieces; at least one of them then stands in the text unchanged.
 An Aho-Corasick automaton finds all pieces in one pass over the text; a hit
 names the window where the passage would be, and Myers' bit-parallel distance
-decides. Between the two, the q-gram lemma drops windows that cannot hold it.
+decides. Between the two, the same argument on pieces of GRAM characters drops windows
+that cannot hold it: an edit spoils one such piece at most.
 
 Texts and passages are compared in lower case, with each run of white space as one space.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from noticeflow.llm.common import keep_rows, map_text, worker_cache
 
 ERROR_RATE = 0.1
-GRAM = 3
+GRAM = 4
 # Passages are taken in blocks of about this many characters: the bound of what is broadcast.
 BLOCK_CHARS = 1_000_000
 
@@ -43,8 +44,7 @@ class Passage:
         self.errors = int(rate * len(text))
         self.masks = self._masks(text)
         self.back_masks = self._masks(text[::-1])
-        self.grams = [text[i:i + GRAM] for i in range(len(text) - GRAM + 1)]
-        self.needed = len(self.grams) - GRAM * self.errors
+        self.grams = [text[i:i + GRAM] for i in range(0, len(text) - GRAM + 1, GRAM)]
 
     @staticmethod
     def _masks(text: str) -> dict[str, int]:
@@ -58,10 +58,12 @@ class Passage:
         at = window.find(self.text)
         if at >= 0:
             return 0, at, at + len(self.text)
-        if self.needed > 0:
-            there = {window[i:i + GRAM] for i in range(len(window) - GRAM + 1)}
-            if sum(g in there for g in self.grams) < self.needed:
-                return None
+        spoilt = 0
+        for gram in self.grams:
+            if gram not in window:
+                spoilt += 1
+                if spoilt > self.errors:
+                    return None
         distance, end = search(self.masks, len(self.text), window)
         if distance > self.errors:
             return None
