@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A word is a run of anything but ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -52,9 +53,7 @@ def map_text(rows: DataFrame, column: str, schema: str, make: Callable[[pa.Recor
              chars: int = BATCH_CHARS) -> DataFrame:
     """Run ``make`` over bounded Arrow batches; it returns the output columns by name."""
 
-    from pyspark.sql.types import _parse_datatype_string
-
-    kind = _parse_datatype_string(schema)
+    kind = T.StructType.fromDDL(schema)
     names = kind.fieldNames()
 
     def run(batches):
@@ -164,8 +163,6 @@ class Words:
 
 def nullable(schema):
     """The schema with every column nullable."""
-    from pyspark.sql import types as T
-
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 

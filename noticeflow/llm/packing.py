@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticeflow.llm.common import Words, cut, map_text, mix64, worker_cache
 
@@ -254,9 +255,8 @@ def pack(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") ->
     schema = f"_key {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint, ids binary"
 
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
 
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches):
         space, waiting, out = Range(TaskContext.get().partitionId()), [], []
