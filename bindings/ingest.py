@@ -541,20 +541,21 @@ SQL["size_bounded_batches"] = f"""WITH s AS (SELECT doc_id, strlen(text) AS size
 SELECT doc_id, size, CAST((upto - size) // ({CHUNK} - 100 - (SELECT max(size) FROM s)) AS BIGINT) AS batch FROM r"""
 
 
-GREEDY = 100_000
+# Stretches of two chunks, so that small tables have several.
+STRETCH = 2
 
 
 def greedy(spark, d):
-    chunks = greedy_batches(_sizes(spark, d), ["doc_id"], "size", GREEDY, 100)
+    chunks = greedy_batches(_sizes(spark, d), ["doc_id"], "size", CHUNK, 100, STRETCH)
     return chunks.select("doc_id", F.col("batch.part").alias("part"), F.col("batch.number").alias("number"))
 
 
 Q["greedy_batches"] = greedy
 SQL["greedy_batches"] = f"""WITH RECURSIVE s AS (SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size FROM documents),
- r AS (SELECT *, CAST((sum(size) OVER (ORDER BY doc_id) - size) // (8 * {GREEDY}) AS BIGINT) AS part, row_number() OVER (ORDER BY doc_id) AS n FROM s),
+ r AS (SELECT *, CAST((sum(size) OVER (ORDER BY doc_id) - size) // ({STRETCH} * {CHUNK}) AS BIGINT) AS part, row_number() OVER (ORDER BY doc_id) AS n FROM s),
  w AS (SELECT doc_id, n, part, 0::BIGINT AS number, 100 + size AS used FROM r WHERE n = 1
-  UNION ALL SELECT r.doc_id, r.n, r.part, CASE WHEN r.part <> w.part THEN 0 WHEN w.used + r.size > {GREEDY} THEN w.number + 1 ELSE w.number END,
-   CASE WHEN r.part <> w.part OR w.used + r.size > {GREEDY} THEN 100 + r.size ELSE w.used + r.size END FROM w JOIN r ON r.n = w.n + 1)
+  UNION ALL SELECT r.doc_id, r.n, r.part, CASE WHEN r.part <> w.part THEN 0 WHEN w.used + r.size > {CHUNK} THEN w.number + 1 ELSE w.number END,
+   CASE WHEN r.part <> w.part OR w.used + r.size > {CHUNK} THEN 100 + r.size ELSE w.used + r.size END FROM w JOIN r ON r.n = w.n + 1)
 SELECT doc_id, part, number FROM w"""
 
 LOAD_COLUMNS = ["doc_id", "text", "lang", "source"]

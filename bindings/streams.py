@@ -31,7 +31,7 @@ def latest_by_key(spark, d):
         F.concat_ws(":", "event_type", "user_id").alias("key"), "event_type", "event_id",
         F.col("ts").cast("timestamp").alias("ts"), day("ts").alias("date"), "value")
     # Several files, each over the whole time: micro-batches bring newer and older rows of a key.
-    events.repartition(4, "event_id").write.parquet(f"{base}/in")
+    events.repartition(2, "event_id").write.parquet(f"{base}/in")
     stream = landing.stream_landing(spark, f"{base}/in", events.schema, files_per_batch=1)
     _finished(landing.stream_upsert(stream, f"{base}/target", "key", ["ts", "event_id"], "date", f"{base}/checkpoint"))
     return read_table(spark, f"{base}/target", "key").select("key", "event_type", "event_id", "value")
