@@ -5,7 +5,8 @@ each, with the number of tags met since the line before and the chain of contain
 Lines in page furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments)
 are marked by their elements. The text-to-tag ratio of the other lines is smoothed by a
 Gaussian kernel; lines above the threshold are the content cluster. The content region is
-the innermost container that holds REGION_SHARE of the cluster's text. All its
+the smallest container that holds the whole cluster. It is never below an article or main that
+holds the cluster, and it is widened to a container around it with a heading before it. All its
 unmarked lines are the text: short paragraphs between long ones stay.
 """
 
@@ -23,7 +24,7 @@ from noticeflow.llm.common import map_text
 
 RADIUS, SIGMA = 2, 1.0
 THRESHOLD_SHARE = 0.5  # of the mean smoothed ratio
-REGION_SHARE = 0.8
+FULL_RATIO = 200  # a longer line counts as this, so that one very long line does not put the others below the threshold
 
 # HTML element names by role.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -31,6 +32,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "pre search section summary table tbody td tfoot th thead title tr ul".split())
 CONTAINERS = frozenset("article aside blockquote body center details dialog div dl fieldset figure footer form header main "
                        "menu nav ol search section table tbody td tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = frozenset("aside dialog fieldset footer form header menu nav search".split())
 SILENT = frozenset("applet audio button canvas datalist embed head iframe map math noscript object script select style svg "
                    "template textarea title video".split())
@@ -65,6 +67,8 @@ class Line:
     text: str
     tags: int
     region: tuple[int, ...]  # containers from the outside in
+    article: int  # how many of them reach the outermost article or main; 0 if there is none
+    heading: bool
     furniture: bool
 
 
@@ -76,8 +80,8 @@ class LineReader(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[tuple[str, int, bool]] = []  # containers and furniture: tag, number, furniture
         self.region: tuple[int, ...] = ()
-        self.containers = self.tags = 0
-        self.marked = self.block_marked = False
+        self.containers = self.tags = self.article = 0
+        self.marked = self.block_marked = self.heading = False
         self.silent: list[str] = []
         self.parts: list[str] = []
 
@@ -85,12 +89,13 @@ class LineReader(HTMLParser):
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            self.lines.append(Line(text, self.tags, self.region, self.marked or self.block_marked))
+            self.lines.append(Line(text, self.tags, self.region, self.article, self.heading, self.marked or self.block_marked))
             self.tags = 0
-        self.block_marked = False
+        self.block_marked = self.heading = False
 
     def refresh(self) -> None:
         self.region = tuple(n for _, n, _ in self.open)
+        self.article = next((i for i, (t, _, _) in enumerate(self.open, 1) if t in ("article", "main")), 0)
         self.marked = any(f for _, _, f in self.open)
 
     def handle_starttag(self, tag, attrs):
@@ -116,7 +121,7 @@ class LineReader(HTMLParser):
             self.open.append((tag, self.containers, furniture))
             self.refresh()
         else:
-            self.block_marked = furniture
+            self.block_marked, self.heading = furniture, tag in HEADINGS
 
     def handle_startendtag(self, tag, attrs):
         # The slash means nothing on elements that are not void.
@@ -164,17 +169,21 @@ def smoothed(values: list[float]) -> list[float]:
 
 def content_region(lines: list[Line]) -> tuple[int, ...]:
     """The chain of containers of the content region."""
-    ratios = smoothed([len(line.text) / max(1, line.tags) for line in lines])
+    ratios = smoothed([min(FULL_RATIO, len(line.text) / max(1, line.tags)) for line in lines])
     threshold = THRESHOLD_SHARE * sum(ratios) / len(ratios)
     cluster = [line for line, ratio in zip(lines, ratios, strict=True) if ratio >= threshold]
-    total, inside = 0, {}
+    region, article = cluster[0].region, cluster[0].article
     for line in cluster:
-        total += len(line.text)
-        for depth in range(1, len(line.region) + 1):
-            chain = line.region[:depth]
-            inside[chain] = inside.get(chain, 0) + len(line.text)
-    fitting = [chain for chain, size in inside.items() if size >= REGION_SHARE * total]
-    return max(fitting, key=len, default=())
+        same = (i for i, (a, b) in enumerate(zip(region, line.region, strict=False)) if a != b)
+        region = region[:next(same, min(len(region), len(line.region)))]
+    if 0 < article <= len(region):
+        return region[:article]
+    for line in lines:
+        if line.region[:len(region)] == region:
+            break
+        if line.heading and line.region == region[:len(line.region)]:
+            return line.region
+    return region
 
 
 def main_text(html: str) -> str:

@@ -249,6 +249,32 @@ def test_html(spark):
     assert html_text.extract(frame.limit(0)).count() == 0
 
 
+def lines_of(body, head=""):
+    return html_text.main_text(f"<html><head>{head}</head><body>{body}</body></html>").split("\n")
+
+
+@pytest.mark.parametrize("tag, item", [("div", "p"), ("section", "p"), ("blockquote", "p"), ("ul", "li"), ("table", "td")])
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_html_keeps_what_stands_around_a_dominant_block(tag, item, outer):
+    lead, last, long = "l" * 300, "z" * 300, ["a" * 2000, "b" * 2000]
+    inner = "".join(f"<{item}>{x}</{item}>" for x in long)
+    inner = f"<tr>{inner}</tr>" if tag == "table" else inner
+    page = f"<nav>menu</nav><{outer}><h1>T</h1><p>{lead}</p><p>By N</p><{tag}>{inner}</{tag}><p>{last}</p><p>End.</p></{outer}><footer>f</footer>"
+    assert lines_of(page) == ["T", lead, "By N", *long, last, "End."]
+
+
+def test_html_region_holds_the_whole_cluster():
+    short = [c * 100 for c in "abcdef"]
+    paragraphs = "".join(f"<div><p>{x}</p></div>" for x in short)
+    for long in (500, 100_000):  # the length of one line does not decide about the others
+        assert lines_of(f"<div>{paragraphs}</div><div><p>{'x' * long}</p></div>") == [*short, "x" * long]
+    assert lines_of(f"<main><h1>T</h1><section><section><p>{'x' * 900}</p></section></section><p>{'y' * 20}</p></main>") == ["T", "x" * 900, "y" * 20]
+    # Without an article: the title before the block, but not a list of links outside it.
+    links = "".join(f"<li><a href=/{n}>n{n}</a></li>" for n in range(30))
+    text = "".join(f"<p>{c * 400}</p>" for c in "abc")
+    assert lines_of(f"<div><ul>{links}</ul></div><div><h1>T</h1><p>By N</p><div>{text}</div></div>") == ["T", "By N", "a" * 400, "b" * 400, "c" * 400]
+
+
 def test_classifier(spark):
     texts = [prose(60, n) + (" $$$ %%%" * 12 if n % 3 == 0 else "") for n in range(240)]
     docs = documents(spark, texts + [(500, None), (None, prose(20, 3)), (7, prose(20, 3)), (501, ""), (502, "x" * 50_000)], clash=True)
