@@ -3,7 +3,8 @@
 The standard library's streaming parser gives the events. They make up lines: one block of text
 each, with the number of tags met since the line before and the chain of containers around it.
 Lines in page furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments)
-are marked by their elements. The text-to-tag ratio of the other lines is smoothed by a
+are marked by their elements and by names that are a furniture word or a known compound of it.
+An ambiguous word alone marks a block only if its text-to-tag ratio is low. The text-to-tag ratio of the other lines is smoothed by a
 Gaussian kernel; lines above the threshold are the content cluster. The content region is
 the smallest container that holds the whole cluster. It is never below an article or main that
 holds the cluster, and it is widened to a container around it with a heading before it. All its
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from noticeflow.llm.common import map_text
 
 RADIUS, SIGMA = 2, 1.0
+DENSE = 50  # characters a tag; with that ratio a block is text, though an ambiguous word names it
 THRESHOLD_SHARE = 0.5  # of the mean smoothed ratio
 FULL_RATIO = 200  # a longer line counts as this, so that one very long line does not put the others below the threshold
 
@@ -38,28 +40,65 @@ SILENT = frozenset("applet audio button canvas datalist embed head iframe map ma
                    "template textarea title video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words in class, id and role attributes that name page furniture.
-NAMED = frozenset("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments complementary "
-                  "contentinfo cookie cookies copyright disqus footer form header login masthead menu modal nav navbar "
-                  "navigation newsletter notice notices pagination pager popup promo promotion related reply search share "
-                  "sharing sidebar skip social sponsor sponsored subscribe toolbar widget".split())
+NAMED = frozenset("ad ads adv advert advertisement adverts breadcrumb breadcrumbs comment comments complementary "
+                  "contentinfo cookie cookies copyright disqus footer masthead menu nav navbar navigation newsletter "
+                  "pagination pager sidebar sponsor sponsored toolbar".split())
+# Words around them in compounds such as "main-menu" and "cookie-notice-bar".
+QUALIFIERS = frozenset("area bar block bottom box btn button buttons cell consent container content entry fixed form global "
+                       "group header icon icons inner item items left link links list local main mobile notice notices "
+                       "outer page panel popup post primary right row secondary section settings signup site slot sticky "
+                       "sub tabs text title toggle top tree unit widget widgets wrap wrapper".split())
+# Ambiguous words, with those that make them a known compound in either order.
+AMBIGUOUS = {word: frozenset(others.split()) for words, others in {
+    "search": "bar box button field form icon input toggle widget wrapper",
+    "share sharing social": "area bar block box btn button buttons container icon icons link links list media post tools widget wrapper",
+    "related": "articles box items links list news posts stories widget",
+    "header": "bar global inner site top wrap wrapper",
+    "form": "contact feedback mail signup",
+    "login subscribe promo promotion": "banner bar block box btn button form link modal popup widget wrapper",
+    "notice notices": "consent gdpr privacy",
+    "banner": "bar bottom consent gdpr promo top",
+    "modal popup": "backdrop box container dialog overlay window wrapper",
+    "reply": "btn button form link links",
+    "skip": "content link links main to",
+    "widget": "area box container list title wrapper",
+}.items() for word in words.split()}
 # A layout "with-sidebar" is no sidebar.
 RELATIONS = frozenset(("with", "has", "no", "without"))
-NAME_PARTS = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
+NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Za-z][a-z]*")
+SURE, WEAK = 2, 1
 
 
-def is_furniture(tag: str, attributes) -> bool:
+def named_furniture(name: str) -> int:
+    """SURE for a furniture word or a known compound, WEAK for an ambiguous word alone, else 0."""
+    parts = {part.lower() for part in NAME_PARTS.findall(name)}
+    if parts & NAMED and parts <= NAMED | QUALIFIERS | AMBIGUOUS.keys() and not parts & RELATIONS:
+        return SURE
+    if any(len(parts) > 1 and parts - {word} <= others for word, others in AMBIGUOUS.items() if word in parts):
+        return SURE
+    return WEAK if len(parts) == 1 and parts & AMBIGUOUS.keys() else 0
+
+
+def is_furniture(tag: str, attributes, article: bool = False) -> int:
+    """SURE, WEAK or 0; ``article``: the block is inside an article or main.
+
+    Ids of headings, and of sections of an article, are made from their titles and say nothing.
+    """
     if tag in FURNITURE:
-        return True
+        return SURE
     if tag in ("html", "body", "main", "article"):
-        return False
+        return 0
+    found = 0
     for name, value in attributes:
-        if name in ("class", "id", "role") and value:
-            parts = {part.lower() for part in NAME_PARTS.findall(value)}
-            if parts & NAMED and not parts & RELATIONS:
-                return True
-        elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return SURE
+        if not value or name == "id" and (tag in HEADINGS or article and tag == "section"):
+            continue
+        if name == "role" and {part.lower() for part in value.split()} & (NAMED | AMBIGUOUS.keys()):
+            return SURE
+        if name == "id" or name == "class" and not RELATIONS & set(value.lower().split()):
+            found = max(found, *map(named_furniture, value.split()), 0)
+    return found
 
 
 @dataclass
@@ -70,6 +109,8 @@ class Line:
     article: int  # how many of them reach the outermost article or main; 0 if there is none
     heading: bool
     furniture: bool
+    weak: tuple[int, ...]  # blocks around it that an ambiguous word names
+    seen: int  # tags of the page up to here
 
 
 class LineReader(HTMLParser):
@@ -78,10 +119,13 @@ class LineReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool]] = []  # containers and furniture: tag, number, furniture
+        self.open: list[tuple[str, int, int]] = []  # containers and furniture: tag, number, furniture
         self.region: tuple[int, ...] = ()
-        self.containers = self.tags = self.article = 0
-        self.marked = self.block_marked = self.heading = False
+        self.containers = self.tags = self.seen = self.article = 0
+        self.marked = self.heading = False
+        self.weak: tuple[int, ...] = ()
+        self.begin: dict[int, int] = {}  # tags before each block that an ambiguous word names
+        self.block_marked = self.block = 0  # of a block that is no container
         self.silent: list[str] = []
         self.parts: list[str] = []
 
@@ -89,17 +133,21 @@ class LineReader(HTMLParser):
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            self.lines.append(Line(text, self.tags, self.region, self.article, self.heading, self.marked or self.block_marked))
+            weak = (*self.weak, self.block) if self.block_marked == WEAK else self.weak
+            self.lines.append(Line(text, self.tags, self.region, self.article, self.heading,
+                                   self.marked or self.block_marked == SURE, weak, self.seen))
             self.tags = 0
-        self.block_marked = self.heading = False
+        self.block_marked, self.heading = 0, False
 
     def refresh(self) -> None:
         self.region = tuple(n for _, n, _ in self.open)
         self.article = next((i for i, (t, _, _) in enumerate(self.open, 1) if t in ("article", "main")), 0)
-        self.marked = any(f for _, _, f in self.open)
+        self.marked = any(f == SURE for _, _, f in self.open)
+        self.weak = tuple(n for _, n, f in self.open if f == WEAK)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        self.seen += 1
         if self.silent:
             if tag == "body":  # a head that was never closed
                 self.silent.clear()
@@ -115,13 +163,15 @@ class LineReader(HTMLParser):
             self.parts.append(" ") if tag == "br" else None
             return
         self.flush()
-        furniture = is_furniture(tag, attrs)
+        furniture = is_furniture(tag, attrs, self.article > 0)
+        self.containers += 1
+        if furniture == WEAK:
+            self.begin[self.containers] = self.seen - 1
         if tag in CONTAINERS:
-            self.containers += 1
             self.open.append((tag, self.containers, furniture))
             self.refresh()
         else:
-            self.block_marked, self.heading = furniture, tag in HEADINGS
+            self.block_marked, self.block, self.heading = furniture, self.containers, tag in HEADINGS
 
     def handle_startendtag(self, tag, attrs):
         # The slash means nothing on elements that are not void.
@@ -131,6 +181,7 @@ class LineReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        self.seen += 1
         if self.silent:
             if tag == self.silent[-1]:
                 self.silent.pop()
@@ -153,7 +204,19 @@ def read_lines(html: str) -> list[Line]:
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.lines
+    return settled(reader.lines, reader.begin) if reader.begin else reader.lines
+
+
+def settled(lines: list[Line], begin: dict[int, int]) -> list[Line]:
+    """Marks the lines of those blocks named by an ambiguous word whose own ratio is below DENSE."""
+    chars, last = dict.fromkeys(begin, 0), dict(begin)
+    for line in lines:
+        for block in () if line.furniture else line.weak:
+            chars[block] += len(line.text)
+            last[block] = line.seen
+    for line in lines:
+        line.furniture = line.furniture or any(chars[b] < DENSE * (last[b] - begin[b]) for b in line.weak)
+    return lines
 
 
 def smoothed(values: list[float]) -> list[float]:

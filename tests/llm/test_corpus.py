@@ -275,6 +275,37 @@ def test_html_region_holds_the_whole_cluster():
     assert lines_of(f"<div><ul>{links}</ul></div><div><h1>T</h1><p>By N</p><div>{text}</div></div>") == ["T", "By N", "a" * 400, "b" * 400, "c" * 400]
 
 
+TITLED = ('<section id="search-algorithms"><p>{}</p></section>', '<h2 id="related-work">{}</h2>', '<h2 id="comments">{}</h2>',
+          '<section id="related"><p>{}</p></section>', '<div class="section-header">{}</div>', '<p class="share-price">{}</p>',
+          '<p id="cookie-recipes">{}</p>', '<div class="ad-hoc-networks">{}</div>', '<div class="with sidebar">{}</div>')
+FURNISHED = ("search-form", "share-bar", "site-header", "cookie-notice", "CookieConsent", "main-menu", "NAV", "ad", "ad-slot-3", "comments",
+             "comment-list", "related-posts", "social_links", "skip-to-content", "widget-area", "notice", "share", "x footer", "login-form")
+
+
+@pytest.mark.parametrize("block", TITLED)
+def test_html_keeps_blocks_named_after_their_titles(block):
+    text = "".join(f"<p>{c * 400}</p>" for c in "ab")
+    for said in ("Short words", "Many words. " * 40):
+        assert lines_of(f"<article><h1>T</h1>{text}{block.format(said)}</article>") == ["T", "a" * 400, "b" * 400, said.strip()]
+
+
+@pytest.mark.parametrize("name", FURNISHED)
+def test_html_drops_named_furniture(name):
+    text = "".join(f"<p>{c * 400}</p>" for c in "ab")
+    for tag in ("div", "p", "section"):
+        page = f'<article>{text}<{tag} class="{name}">Some <a href=/>words</a> here</{tag}></article>'
+        assert lines_of(page) == ["a" * 400, "b" * 400], tag
+    assert lines_of(f'<article>{text}<div role="search">Find it</div></article>') == ["a" * 400, "b" * 400]
+
+
+def test_html_dense_text_overrules_an_ambiguous_word():
+    long = "Words of an article. " * 20
+    for name in ("notice", "share", "related", "reply", "promotion"):
+        for block in (f'<p class="{name}">{long}</p>', f'<div id="{name}"><p>{long}</p><p>Short.</p></div>'):
+            assert lines_of(f"<article><p>{'a' * 400}</p><ul></ul>{block}</article>")[1] == long.strip()
+    assert lines_of(f'<article><p>{"a" * 400}</p><div class="comments"><p>{long}</p></div></article>') == ["a" * 400]
+
+
 def test_classifier(spark):
     texts = [prose(60, n) + (" $$$ %%%" * 12 if n % 3 == 0 else "") for n in range(240)]
     docs = documents(spark, texts + [(500, None), (None, prose(20, 3)), (7, prose(20, 3)), (501, ""), (502, "x" * 50_000)], clash=True)
