@@ -11,6 +11,7 @@ probability that one of them collides is at least COLLISION.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from noticeflow.llm.common import Words, map_text, mix64
+from noticeflow.llm.license_templates import MORE
 
 CONTAINMENT, COLLISION = 0.8, 0.9999
 SMALLEST = 8  # words of the smallest class
+LOW_BITS = 4095
 
 # Short public notices by license name.
 TEMPLATES = (
@@ -42,6 +45,8 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 )
+# The first wording of a text counts.
+TEMPLATES += tuple(t for t in MORE if t[1] not in {text.rstrip(".") for _, text in TEMPLATES})
 
 # Bytes to bytes: A-Z lower-cased, other ASCII but letters and digits blanked.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -68,6 +73,7 @@ class Template:
     words: int
     size: int  # class
     shingles: frozenset
+    times: Counter  # of each shingle in the template
 
 
 def build(templates) -> list[Template]:
@@ -77,7 +83,8 @@ def build(templates) -> list[Template]:
         if len(words) < 2:
             raise ValueError(f"a template has two words at least: {text!r}")
         size = max(SMALLEST, 1 << (len(words) - 1).bit_length())
-        out.append(Template(number, name, len(words), size, frozenset(zip(words, words[1:], strict=False))))
+        times = Counter(zip(words, words[1:], strict=False))
+        out.append(Template(number, name, len(words), size, frozenset(times), times))
     return out
 
 
@@ -99,8 +106,11 @@ class Index:
         self.bands = bands_for(least_similarity())
         self.sizes = sorted({t.size for t in self.templates})
         hashes = [pair_hashes(Words(pa.array([text]), FOLD).hash) for _, text in templates]
+        self.hashes = [frozenset(h.tolist()) for h in hashes]
         self.values = {(size, band): [(band_hash(hashes[t.number], band).min(), t) for t in self.templates if t.size == size]
                        for size in self.sizes for band in range(self.bands)}
+        # Which low bits the values have: most windows are dismissed by one look, however many templates there are.
+        self.low = {at: np.isin(np.arange(LOW_BITS + 1), [int(value) & LOW_BITS for value, _ in values]) for at, values in self.values.items()}
 
     def candidates(self, words: np.ndarray) -> set[tuple[int, int, int]]:
         """(first word, end word, template) of the windows that meet a template in a band.
@@ -123,18 +133,55 @@ class Index:
                     blocks = blocks[: len(blocks) // 2 * 2].reshape(-1, 2).min(axis=1)
                     width *= 2
                 least = np.minimum(np.minimum(blocks[:-2], blocks[1:-1]), blocks[2:])
+                likely = np.flatnonzero(self.low[size, band][(least & np.uint64(LOW_BITS)).astype(np.intp)])
+                if not len(likely):
+                    continue
+                some = least[likely]
                 for value, template in self.values[size, band]:
-                    for place in np.flatnonzero(least == value).tolist():
+                    for place in likely[some == value].tolist():
                         found.add((place * width, place * width + 3 * width, template.number))
         return found
 
 
+def occurrences(template: Template, places: list[tuple[int, tuple]], containment: float) -> list[list]:
+    """[first word, end word, contained share] of each notice among the matching shingles (word, shingle) of a stretch.
+
+    A notice ends before a break in the text when what follows repeats a shingle more often than the template has it,
+    or is too far away.
+    """
+    out, own, times, run = [], [], Counter(), 0  # run: where the last unbroken run of `own` starts
+
+    def share(part) -> float:
+        return len({shingle for _, shingle in part}) / len(template.shingles)
+
+    for place, shingle in places:
+        if own and place != own[-1][0] + 1:
+            run = len(own)
+        while own and (times[shingle] >= template.times[shingle] or place - own[0][0] >= 3 * template.size // 2):
+            if run and (held := share(own[:run])) >= containment:
+                out.append([own[0][0], own[run - 1][0] + 2, held])
+                own, run = own[run:], 0
+                times = Counter(s for _, s in own)
+            else:
+                times[own.pop(0)[1]] -= 1
+                run = max(0, run - 1)
+        own.append((place, shingle))
+        times[shingle] += 1
+    if (held := share(own)) >= containment:
+        out.append([own[0][0], own[-1][0] + 2, held])
+    return out
+
+
 def matches(index: Index, words: Words, raw: list[bytes], containment: float) -> list[tuple]:
     """(text, template, start byte, end byte, contained share) of the verified notices of a batch."""
-    best: dict[tuple[int, int], list] = {}
+    stretches: dict[tuple[int, int], list] = {}  # of overlapping spans: the best of them, end word, matching shingles
+    hashed = pair_hashes(words.hash) if len(words.hash) > 1 else words.hash[:0]
     for first, end, number in sorted(index.candidates(words.hash)):
         template = index.templates[number]
         end = min(end + 1, len(words.hash))  # the last shingle has one word more
+        # Equal shingles have equal hashes, so a window with too few hashes of the template cannot pass.
+        if len(index.hashes[number].intersection(hashed[first:end - 1].tolist())) / len(index.hashes[number]) < containment:
+            continue
         for text in range(words.row[first], words.row[end - 1] + 1) if first < end else ():
             a, z = max(first, words.first[text]), min(end, words.first[text + 1])
             own = [bytes(words.raw[words.start[w]:words.end[w]]) for w in range(a, z)]
@@ -143,19 +190,22 @@ def matches(index: Index, words: Words, raw: list[bytes], containment: float) ->
             share = len(held) / len(template.shingles)
             if share < containment:
                 continue
-            places = [a + i for i, p in enumerate(pairs) if p in template.shingles]
-            span = [places[0], places[-1] + 2, share]
-            spans = best.setdefault((text, number), [])
-            if spans and span[0] < spans[-1][1]:  # the same notice, seen from the next window
-                if share > spans[-1][2]:
-                    spans[-1] = span
+            places = {a + i: p for i, p in enumerate(pairs) if p in template.shingles}
+            span = [min(places), max(places) + 2, share]
+            found = stretches.setdefault((text, number), [])
+            if found and span[0] < found[-1][1]:  # the same notice, seen from the next window, or one close behind
+                best, stop, all_places = found[-1]
+                all_places.update(places)
+                found[-1] = (span if share > best[2] else best, max(stop, span[1]), all_places)
             else:
-                spans.append(span)
+                found.append((span, span[1], places))
     out = []
-    for (text, number), spans in sorted(best.items()):
-        for a, z, share in spans:
-            base = words.begin[text]
-            out.append((text, number, int(words.start[a] - base), int(words.end[z - 1] - base), share))
+    for (text, number), found in sorted(stretches.items()):
+        for best, _, places in found:
+            several = occurrences(index.templates[number], sorted(places.items()), containment)
+            for a, z, share in several if len(several) > 1 else [best]:
+                base = words.begin[text]
+                out.append((text, number, int(words.start[a] - base), int(words.end[z - 1] - base), share))
     return out
 
 

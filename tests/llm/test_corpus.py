@@ -223,6 +223,31 @@ def test_licenses(spark):
     assert license_scan.find_licenses(docs.limit(0)).count() == 0
 
 
+def test_adjacent_notices_are_separate_rows(spark):
+    mit, apache = license_scan.TEMPLATES[2][1], license_scan.TEMPLATES[1][1]
+    texts = [" ".join([t] * n) for t in (mit, apache) for n in (1, 2, 5)] + [f"{mit} word {mit}\n{prose(9, 1)} {mit}", f"{mit} Under the {mit}",
+             apache.replace("Licensed", "Offered") + "\n" + apache, f"under the MIT {mit}"]
+    got = [(r.doc_id, texts[r.doc_id][r.start:r.end]) for r in license_scan.find_licenses(documents(spark, texts)).collect() if r.template in (1, 2)]
+    assert [sum(d == n for d, _ in got) for n in range(len(texts))] == [1, 2, 5, 1, 2, 5, 3, 2, 2, 1]
+    assert {t for d, t in got if d < 3} == {mit.rstrip(".")} and {t for d, t in got if 3 <= d < 6} == {apache}
+
+
+def test_common_licenses_are_known(spark):
+    gnu = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} General Public License as published by "
+           "the Free Software Foundation, either version {2} of the License, or (at your option) any later version.")
+    said = {"LGPL-3.0": gnu.format("library", "Lesser", 3), "AGPL-3.0": gnu.format("program", "Affero", 3), "GPL-2.0": gnu.format("program", "", 2),
+            "ISC": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided "
+                   "that the above copyright notice and this permission notice appear in all copies.",
+            "Unlicense": "This is free and unencumbered software released into the public domain.", "EPL-2.0": "SPDX-License-Identifier: EPL-2.0",
+            "CC0-1.0": "To the extent possible under law, Jane has waived all copyright and related or neighboring rights to this work.",
+            "MIT": "This project is licensed under the MIT license, see LICENSE.", "Zlib": "distributed under the zlib license"}
+    rows = license_scan.find_licenses(documents(spark, [f"{prose(30, n)} {t} {prose(30, n)}" for n, t in enumerate(said.values())])).collect()
+    best = {}
+    for r in sorted(rows, key=lambda r: r.containment):
+        best[r.doc_id] = r.license
+    assert best == dict(enumerate(said))
+
+
 def test_license_bands():
     bands = license_scan.bands_for(license_scan.least_similarity())
     assert 1 - (1 - license_scan.least_similarity()) ** bands >= license_scan.COLLISION
