@@ -541,22 +541,17 @@ SQL["size_bounded_batches"] = f"""WITH s AS (SELECT doc_id, strlen(text) AS size
 SELECT doc_id, size, CAST((upto - size) // ({CHUNK} - 100 - (SELECT max(size) FROM s)) AS BIGINT) AS batch FROM r"""
 
 
-# Stretches of two chunks, so that small tables have several.
+# Short stretches, so that small tables have several.
 STRETCH = 2
 
 
-def greedy(spark, d):
-    chunks = greedy_batches(_sizes(spark, d), ["doc_id"], "size", CHUNK, 100, STRETCH)
-    return chunks.select("doc_id", F.col("batch.part").alias("part"), F.col("batch.number").alias("number"))
-
-
-Q["greedy_batches"] = greedy
+Q["greedy_batches"] = lambda spark, d: greedy_batches(_sizes(spark, d), ["doc_id"], "size", CHUNK, 100, STRETCH).select("doc_id", "batch")
 SQL["greedy_batches"] = f"""WITH RECURSIVE s AS (SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size FROM documents),
- r AS (SELECT *, CAST((sum(size) OVER (ORDER BY doc_id) - size) // ({STRETCH} * {CHUNK}) AS BIGINT) AS part, row_number() OVER (ORDER BY doc_id) AS n FROM s),
- w AS (SELECT doc_id, n, part, 0::BIGINT AS number, 100 + size AS used FROM r WHERE n = 1
-  UNION ALL SELECT r.doc_id, r.n, r.part, CASE WHEN r.part <> w.part THEN 0 WHEN w.used + r.size > {CHUNK} THEN w.number + 1 ELSE w.number END,
-   CASE WHEN r.part <> w.part OR w.used + r.size > {CHUNK} THEN 100 + r.size ELSE w.used + r.size END FROM w JOIN r ON r.n = w.n + 1)
-SELECT doc_id, part, number FROM w"""
+ r AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM s),
+ w AS (SELECT doc_id, n, 0::BIGINT AS batch, 100 + size AS used FROM r WHERE n = 1
+  UNION ALL SELECT r.doc_id, r.n, CASE WHEN w.used + r.size > {CHUNK} THEN w.batch + 1 ELSE w.batch END,
+   CASE WHEN w.used + r.size > {CHUNK} THEN 100 + r.size ELSE w.used + r.size END FROM w JOIN r ON r.n = w.n + 1)
+SELECT doc_id, batch FROM w"""
 
 LOAD_COLUMNS = ["doc_id", "text", "lang", "source"]
 
@@ -565,9 +560,8 @@ def load_chunks(spark, d):
     """Write the documents as chunk files, read them back: rows and hash of the keys per chunk, all below the limit."""
     docs = table(spark, d, "documents")
     sizes = docs.select("doc_id", csv_row_bytes(LOAD_COLUMNS).alias("size"))
-    largest = sizes.agg(F.max("size")).first()[0]
     path = shared_dir(spark, "chunks")
-    write_load_chunks(docs, size_bounded_batches(sizes, ["doc_id"], "size", largest, CHUNK, 100), ["doc_id"], path, LOAD_COLUMNS)
+    write_load_chunks(docs, greedy_batches(sizes, ["doc_id"], "size", CHUNK, 100, STRETCH), ["doc_id"], path, LOAD_COLUMNS)
     back = read_load_chunks(spark, path, LOAD_COLUMNS)
     return back.groupBy("batch").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("_file").alias("files"), (F.max("_bytes") <= CHUNK).alias("within_limit"),
@@ -575,10 +569,13 @@ def load_chunks(spark, d):
 
 
 Q["load_chunks"] = load_chunks
-SQL["load_chunks"] = f"""WITH q AS (SELECT doc_id, text, list_transform([CAST(doc_id AS VARCHAR), text, lang, source], lambda v:
+SQL["load_chunks"] = f"""WITH RECURSIVE q AS (SELECT doc_id, text, list_transform([CAST(doc_id AS VARCHAR), text, lang, source], lambda v:
    CAST(strlen(v) AS BIGINT) + CASE WHEN regexp_matches(v, '[,"\n\r]') OR starts_with(v, ' ') OR ends_with(v, ' ') THEN 2 + (strlen(v) - strlen(replace(v, '"', ''))) ELSE 0 END) AS parts FROM documents),
  s AS (SELECT doc_id, text, CAST(list_sum(parts) AS BIGINT) + 3 + 2 AS size FROM q),
- r AS (SELECT *, CAST((sum(size) OVER (ORDER BY doc_id) - size) // ({CHUNK} - 100 - (SELECT max(size) FROM s)) AS BIGINT) AS batch FROM s)
+ n AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS place FROM s),
+ r AS (SELECT doc_id, text, place, 0::BIGINT AS batch, 100 + size AS used FROM n WHERE place = 1
+  UNION ALL SELECT n.doc_id, n.text, n.place, CASE WHEN r.used + n.size > {CHUNK} THEN r.batch + 1 ELSE r.batch END,
+   CASE WHEN r.used + n.size > {CHUNK} THEN 100 + n.size ELSE r.used + n.size END FROM r JOIN n ON n.place = r.place + 1)
 SELECT batch, count(*) AS "rows", 1::BIGINT AS files, true AS within_limit, CAST(sum(doc_id) AS BIGINT) AS ids, CAST(sum(length(text)) AS BIGINT) AS chars
 FROM r GROUP BY batch"""
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def running_total(rows: DataFrame, value: str, order: Sequence[str], group: Sequence[str] = (),
                   name: str = "running", partitions: int | None = None) -> DataFrame:
@@ -22,7 +24,8 @@ def running_total(rows: DataFrame, value: str, order: Sequence[str], group: Sequ
     keys = [*group, *order]
     count = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (rows.repartitionByRange(count, *keys)
-              .withColumn("_range", F.spark_partition_id()).checkpoint())
+              .withColumn("_range", F.spark_partition_id()))
+    ranged = checkpointed(ranged)
     by_range = [*group, "_range"]
     # One row per group and range: at most `count` rows for each group.
     totals = ranged.groupBy(*by_range).agg(F.sum(value).alias("_total"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.calendar import daily_counts, day_spine, missing_dates
 from ..operators.gates import assert_gate, checkpoint_valid
 from ..schema import CHECKPOINT_SCHEMA
+from ..session import checkpointed
 from ..sinks.files import append_checkpoint, write_daily_counts
 from ..sources.tables import read_checkpoint
 
@@ -20,7 +21,7 @@ def collect_days(spark: SparkSession, notices: DataFrame, day: str, first: str,
     """
     done = read_checkpoint(spark, checkpoint) if started else spark.createDataFrame([], CHECKPOINT_SCHEMA)
     assert_gate(checkpoint_valid(done, criteria), "checkpoint has invalid rows")
-    todo = missing_dates(day_spine(spark, first, last), done).checkpoint()
+    todo = checkpointed(missing_dates(day_spine(spark, first, last), done))
     # Only rows of missing days are counted; the day list is short by nature.
     rows = notices.join(todo.withColumnRenamed("date", day), day, "left_semi")
     counted = daily_counts(rows, day, todo).select(

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that every job here relies on. Shuffle partition counts are
 # left to the cluster; AQE coalesces them after each stage.
@@ -61,3 +61,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="run-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """The rows, written once to the shared checkpoint folder and read from there."""
+    shared_dir(rows.sparkSession, "checkpoint")  # sets a folder where the cluster names none
+    return rows.checkpoint()

@@ -94,25 +94,36 @@ def greedy_reference(sizes, limit, header):
     return batches
 
 
-def test_greedy_batches(spark):
-    rng = random.Random(4)
-    sizes = [(i, rng.randrange(1, 200)) for i in range(1500)]
+def greedy_cuts(df, limit, header, **more):
+    return {r["i"]: r["batch"] for r in greedy_batches(df, ["i"], "size", limit, header, **more).collect()}
+
+
+@pytest.mark.parametrize("stretch,low,high", [(2, 1, 200), (3, 0, 5), (8, 0, 950), (10**6, 1, 200)])
+def test_greedy_batches_are_those_of_one_pass(spark, stretch, low, high):
+    rng = random.Random(stretch)
+    sizes = [(i, rng.choice([low, rng.randrange(low, high)])) for i in range(1500)]
     df = spark.createDataFrame(sizes, "i int, size long").orderBy(F.rand(1))
-    one = {r["i"]: r["batch"]["number"] for r in greedy_batches(df, ["i"], "size", 1000, 50, stretch=10**6).collect()}
-    assert one == greedy_reference(sizes, 1000, 50)
-    held, last, seen = {}, {}, []
-    for partitions in ("3", "7"):
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        seen.append(sorted((r["i"], tuple(r["batch"]), r["size"]) for r in greedy_batches(df, ["i"], "size", 1000, 50).collect()))
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert seen[0] == seen[1]
-    for i, batch, size in seen[0]:
-        held[batch] = held.get(batch, 50) + size
-        last.setdefault(batch, []).append(i)
-    assert len(seen[0]) == 1500 and max(held.values()) <= 1000
-    assert all(ids == list(range(ids[0], ids[-1] + 1)) for ids in last.values())
+    assert greedy_cuts(df, 1000, 50, stretch=stretch) == greedy_reference(sizes, 1000, 50)
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "7"])
+def test_greedy_cuts_do_not_follow_the_partitions(spark, partitions):
+    sizes = [(i, 950 if i % 7 == 0 else (i * 37) % 480) for i in range(400)] + [(i, 0) for i in range(400, 420)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame(sizes, "i int, size long").repartition(5)
+        assert greedy_cuts(df, 1000, 50, stretch=2) == greedy_reference(sizes, 1000, 50)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_greedy_batches_of_small_tables(spark):
+    schema = "i int, size long"
+    assert greedy_cuts(spark.createDataFrame([], schema), 1000, 50) == {}
+    assert greedy_cuts(spark.createDataFrame([(1, 950)], schema), 1000, 50) == {1: 0}
+    assert greedy_cuts(spark.createDataFrame([(1, 0), (2, 0)], schema), 1000, 50) == {1: 0, 2: 0}
     with pytest.raises(Exception, match="does not fit"):
-        greedy_batches(df, ["i"], "size", 120, 50).collect()
+        greedy_batches(spark.createDataFrame([(1, 951)], schema), ["i"], "size", 1000, 50).collect()
 
 
 def test_csv_row_bytes_counts_utf8_and_quotes(spark):
