@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.functions.text import WHITESPACE
+from noticeflow.operators.running import running_total
 
 MONEY = "decimal(18,2)"
 # The white-space set as a DuckDB expression, for trim(text, set).
@@ -28,12 +29,20 @@ def event_number():
 
 SQL_EVENT_NUMBER = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
-FOLDERS = 40
+def text_files(spark, rows, order, text, path, most):
+    """Text files of ``most`` bytes or less, the last line excepted: lines in order, cut by their running total.
 
-
-def text_files(spark, rows, order, text, path):
-    """One text file for each of FOLDERS parts of the rows, lines in order."""
-    part = F.pmod(F.col(order), F.lit(FOLDERS)).alias("part")
-    (rows.select(part, order, text.alias("line")).repartition(FOLDERS, "part").sortWithinPartitions("part", order)
+    The number of files follows the input, and a task writes one of them. Gives the number of a file from its path.
+    """
+    lines = rows.select(order, text.alias("line")).withColumn("size", F.octet_length("line").cast("bigint") + 1)
+    ends = running_total(lines.select(order, "size"), "size", [order], name="end")
+    part = ends.select(order, F.expr(f"(end - size) div {most}").alias("part"))
+    (lines.drop("size").join(part, order).repartition("part").sortWithinPartitions("part", order)
      .drop(order).write.partitionBy("part").text(path))
     return F.regexp_extract("path", "/part=([0-9]+)/", 1).cast("bigint").alias("part")
+
+
+def sql_parts(order, line, most):
+    """The number of the file that a line goes to, as SQL over the rows of one table."""
+    size = f"(CAST(strlen({line}) AS BIGINT) + 1)"
+    return f"CAST((sum({size}) OVER (ORDER BY {order}) - {size}) // {most} AS BIGINT)"

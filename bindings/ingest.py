@@ -21,7 +21,7 @@ from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv,
                                 resolve_formulas, scan_files, with_digest)
 from noticeflow.sources.tables import last_result
 
-from .common import FOLDERS, MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, table, text_files
+from .common import MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, sql_parts, table, text_files
 from .workbook_files import render_workbooks
 
 Q: dict = {}
@@ -361,28 +361,36 @@ Q["last_result"] = lambda spark, d: table(spark, d, "events").select("event_id",
         "event_id", F.col("r")["status"].alias("status"), F.col("r")["rows"].cast("bigint").alias("rows"))
 SQL["last_result"] = f"""SELECT event_id, event_type AS status, {SQL_EVENT_NUMBER} AS "rows" FROM events"""
 
+
+# Bytes of a log file and of a file of documents.
+LOG_BYTES, FILE_BYTES = 200_000, 1_000_000
+
+
 def log_files(spark, d):
     """Logs of many runs each, as files: the last readable result of each file."""
     path = shared_dir(spark, "logs")
-    part = text_files(spark, table(spark, d, "events"), "event_id", _run_log_text(), path)
+    part = text_files(spark, table(spark, d, "events"), "event_id", _run_log_text(), path, LOG_BYTES)
     return read_logs(spark, path).select(part, F.col("result")["status"].alias("status"),
                                          F.col("result")["rows"].cast("bigint").alias("rows"))
 
 
 Q["read_logs"] = log_files
-SQL["read_logs"] = f"""SELECT event_id % {FOLDERS} AS part, arg_max(event_type, event_id) AS status,
- arg_max({SQL_EVENT_NUMBER}, event_id) AS "rows" FROM events GROUP BY 1"""
+_LOG_LINE = f"""('start' || chr(10) || 'Salesforce 同步： {{''status'': ''unchanged'', ''rows'': 0}}' || chr(10) || 'Salesforce 同步： {{''status'': ''' ||
+ event_type || ''', ''rows'': ' || {SQL_EVENT_NUMBER} || ', ''job_id'': None}}' || chr(10) || 'Salesforce 同步： {{broken')"""
+SQL["read_logs"] = f"""WITH p AS (SELECT *, {sql_parts("event_id", _LOG_LINE, LOG_BYTES)} AS part FROM events)
+SELECT part, arg_max(event_type, event_id) AS status, arg_max({SQL_EVENT_NUMBER}, event_id) AS "rows" FROM p GROUP BY 1"""
 
 
 def scanned(spark, d):
     path = shared_dir(spark, "files")
-    part = text_files(spark, table(spark, d, "documents"), "doc_id", F.col("text"), path)
+    part = text_files(spark, table(spark, d, "documents"), "doc_id", F.col("text"), path, FILE_BYTES)
     return with_digest(scan_files(spark, path, "*.txt")).select(part, "length", "sha256")
 
 
 Q["scan_files"] = scanned
-SQL["scan_files"] = f"""SELECT doc_id % {FOLDERS} AS part, CAST(strlen(string_agg(text, chr(10) ORDER BY doc_id)) + 1 AS BIGINT) AS length,
- sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS sha256 FROM documents GROUP BY 1"""
+SQL["scan_files"] = f"""WITH p AS (SELECT *, {sql_parts("doc_id", "text", FILE_BYTES)} AS part FROM documents)
+SELECT part, CAST(strlen(string_agg(text, chr(10) ORDER BY doc_id)) + 1 AS BIGINT) AS length,
+ sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS sha256 FROM p GROUP BY 1"""
 
 # --- whole pipeline over sheet rows -------------------------------------------
 

@@ -169,6 +169,26 @@ WITH s AS (SELECT 'row_' || row_number() OVER (ORDER BY doc_id) AS sample, * FRO
 SELECT sample, 1::BIGINT AS found, CASE WHEN lang = 'de' THEN upper(text) = text ELSE true END AS text_equal,
  true AS source_equal, true AS n_chars_equal FROM s"""
 
+def reconciled(spark, d):
+    """Suppliers as the loaded form of the customers: one row that says whether all of it agrees."""
+    customers, suppliers = _parties(spark, d)
+    samples = compare.coverage_samples(customers, ["id"], {"owing": F.col("balance") < 0})
+    return compare.reconcile_verdict(
+        compare.field_coverage(customers, suppliers, ["nation", "balance", "segment"], ["segment"]),
+        compare.reconcile_samples(samples, suppliers, "id", ["nation", "balance"], ["balance"]),
+        compare.reconcile_records(customers, suppliers, "id", ["nation", "balance", "segment"], ["balance"]))
+
+
+Q["reconcile_report"] = reconciled
+SQL["reconcile_report"] = """
+WITH s AS (SELECT * FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 3) UNION ALL
+  SELECT * FROM (SELECT * FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 1)),
+ p AS (SELECT * FROM customer FULL JOIN supplier ON s_suppkey = c_custkey)
+SELECT (SELECT count(*) FROM customer) AS expected_rows, (SELECT count(*) FROM supplier) AS actual_rows,
+ (SELECT count(*) FROM customer) = (SELECT count(*) FROM supplier) AS all_count_checks_passed,
+ (SELECT bool_and(coalesce(s_nationkey = c_nationkey AND s_acctbal = c_acctbal, false)) FROM s LEFT JOIN supplier ON s_suppkey = c_custkey) AS all_sample_checks_passed,
+ (SELECT bool_and(coalesce(s_nationkey = c_nationkey AND s_acctbal = c_acctbal AND c_mktsegment = 'BUILDING', false)) FROM p) AS all_link_checks_passed"""
+
 # --- legacy matching ----------------------------------------------------------
 
 PART_FIELDS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]

@@ -8,6 +8,7 @@ from noticeflow.operators import calendar, gates, planning
 from noticeflow.plans.daily import collect_days
 from noticeflow.schema import CRITERIA_TYPE
 from noticeflow.session import shared_dir
+from noticeflow.sinks import current_snapshot
 from noticeflow.sources import read_checkpoint
 
 from .common import day, event_number, table
@@ -49,7 +50,7 @@ def collect_daily(spark, d):
     first = collect_days(spark, events, "date", low, middle, *args, started=False)
     second = collect_days(spark, events, "date", low, high, *args)
     held = read_checkpoint(spark, args[0]).select("date", F.col("national_count").alias("held"))
-    written = spark.read.schema("date date, national_count bigint").option("header", True).csv(args[1])
+    written = spark.read.schema("date date, national_count bigint").option("header", True).csv(current_snapshot(spark, args[1]))
     return written.join(held, "date", "full").select(
         "date", "national_count", "held", F.lit(first).alias("first_run"), F.lit(second).alias("second_run"))
 

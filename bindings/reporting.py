@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from noticeflow.functions import message_id, parse_verdict, prompt_input, run_status, validate_verdict
 from noticeflow.operators import filters, gates, outbox, reporting, tagging
+from noticeflow.operators.running import running_total
 from noticeflow.plans.tag import store_tags, tag_records
 from noticeflow.functions.text import Stages
 from noticeflow.functions.verdicts import MAX_INDUSTRY, MAX_REASON, PROMPT_BODY_CHARS
@@ -14,8 +15,8 @@ from noticeflow.session import shared_dir
 from noticeflow.sinks import read_table, write_report
 from noticeflow.sources import audit_workbooks, read_logs, read_summaries
 
-from .common import FOLDERS, MONEY, SQL_EVENT_NUMBER, day, event_number, table, text_files
-from .ingest import audited_files
+from .common import MONEY, SQL_EVENT_NUMBER, day, event_number, sql_parts, table, text_files
+from .ingest import FILE_BYTES, LOG_BYTES, audited_files
 
 Q: dict = {}
 SQL: dict = {}
@@ -96,6 +97,33 @@ SELECT sha256(doc_id || ':' || rule_id) AS assignment_key, doc_id, rule_id, tag_
  CAST(CASE WHEN len(hits) > 0 THEN 0.9 ELSE 0.5 END AS DECIMAL(5,3)) AS confidence,
  CASE WHEN len(hits) > 0 THEN 'found ' || array_to_string(hits, ', ') ELSE 'no term found' END AS reason, '{MODEL}' AS model FROM v"""
 
+LONG_TEXT = 5000
+
+
+def _open_keyword_model():
+    """A model that takes several records a call; texts above LONG_TEXT characters are refused one by one."""
+    import json
+
+    def answer(text, terms):
+        hits = [t for t in terms if t in text]
+        if len(text) > LONG_TEXT:
+            return json.dumps({"status": "failed"})
+        verdict = {"matched": bool(hits), "confidence": 0.9 if hits else 0.5, "primary_industry": hits[0] if hits else "",
+                   "reason": "found " + ", ".join(hits) if hits else "no term found"}
+        return json.dumps({"status": "completed", "output_text": json.dumps(verdict)})
+
+    return lambda texts, semantics: [answer(t, s) for t, s in zip(texts, semantics, strict=True)]
+
+
+Q["tag_records_in_calls"] = lambda spark, d: tag_records(
+    table(spark, d, "documents"), "doc_id", "text", *_rules(spark), MODEL, tagging.CallScorer(_open_keyword_model)).outcomes
+SQL["tag_records_in_calls"] = _TAG + f"""
+SELECT o.doc_id, CASE WHEN length(text) > {LONG_TEXT} THEN '失败' ELSE ai_status END AS ai_status,
+ CASE WHEN length(text) <= {LONG_TEXT} THEN primary_industry END AS primary_industry,
+ CASE WHEN length(text) <= {LONG_TEXT} THEN CAST(CASE WHEN len(hits) > 0 THEN 0.9 ELSE 0.5 END AS DECIMAL(5,3)) END AS confidence,
+ CASE WHEN length(text) > {LONG_TEXT} THEN 'incomplete response' WHEN len(hits) > 0 THEN 'found ' || array_to_string(hits, ', ') ELSE 'no term found' END AS reason
+FROM o JOIN v ON o.doc_id = v.doc_id AND rule_id = 1 JOIN documents d ON d.doc_id = o.doc_id"""
+
 Q["records_x_rules"] = lambda spark, d: tagging.records_with_rules(
     table(spark, d, "documents").select("doc_id"), tagging.rule_semantics(tagging.active_rules(_rules(spark)[0]), _rules(spark)[1])).select(
         "doc_id", F.col("rule.rule_id").alias("rule_id"), F.size("rule.semantics").alias("terms"))
@@ -230,12 +258,12 @@ SELECT quota_day, count(*) AS batches, CAST(sum(k) AS BIGINT) AS "rows", count(D
 
 
 def _day_results(spark, d):
-    """Logged result of the uploads of each event day; signups say nothing."""
+    """Logged result of the uploads of each event day; a signup has no status."""
     k = event_number()
     newest = table(spark, d, "events").groupBy(day("ts").alias("quota_day")).agg(
         F.max_by("event_type", "event_id").alias("kind"), F.max_by(k, "event_id").alias("k"))
-    status = F.when(F.col("kind") == "view", "uploaded").when(F.col("kind") == "click", "uploaded_with_blocked").otherwise("failed")
-    return newest.where("kind <> 'signup'").select("quota_day", F.create_map(
+    status = F.when(F.col("kind") == "view", "uploaded").when(F.col("kind") == "click", "uploaded_with_blocked").when(F.col("kind") != "signup", "failed")
+    return newest.select("quota_day", F.create_map(
         F.lit("status"), status, F.lit("rows"), F.col("k").cast("string")).alias("result"))
 
 
@@ -249,29 +277,35 @@ SELECT quota_day, "rows", local_status, CASE WHEN kind = 'view' THEN '成功' EL
 
 
 def summary_of_parts(spark, d):
-    """Forty runs: reports of the documents of each, results from log files; every fifth run has no report."""
-    docs = table(spark, d, "documents").withColumn("part", F.pmod("doc_id", F.lit(FOLDERS)))
-    reports = docs.where("part % 5 <> 0").groupBy("part").agg(
+    """Runs of the load: results from log files, reports of the documents in portions; there are more logs than reports."""
+    docs = table(spark, d, "documents").select("doc_id", "source", "n_chars", (F.octet_length("text") + 1).cast("bigint").alias("size"))
+    ends = running_total(docs.select("doc_id", "size"), "size", ["doc_id"], name="end")
+    parts = docs.join(ends.select("doc_id", F.expr(f"(end - size) div {FILE_BYTES}").alias("part")), "doc_id")
+    reports = parts.groupBy("part").agg(
         F.count_distinct("source").alias("source_files"), F.count(F.lit(1)).alias("rows_read"),
         F.count_if(F.col("n_chars") > 100).alias("rows_written"), F.count_if(F.col("n_chars") > 5000).alias("blocked_rows"))
     path = shared_dir(spark, "logs")
     line = F.concat(F.lit("Salesforce 同步： {'status': '"), F.when(F.col("event_type") == "error", "failed").otherwise("uploaded"),
                     F.lit("', 'rows': "), "user_id", F.lit(", 'inserted_rows': "), event_number(), F.lit(", 'job_id': 'j-"), "event_id", F.lit("'}"))
-    part = text_files(spark, table(spark, d, "events").where("event_id % 40 <> 7"), "event_id", line, path)
+    part = text_files(spark, table(spark, d, "events"), "event_id", line, path, LOG_BYTES)
     results = read_logs(spark, path).select(part, "result")
-    return reporting.load_summary(docs.select("part").distinct(), reports, results, "part")
+    return reporting.load_summary(results.select("part").union(reports.select("part")).distinct(), reports, results, "part")
 
 
 Q["load_summary"] = summary_of_parts
+_RESULT_LINE = f"""('Salesforce 同步： {{''status'': ''' || CASE event_type WHEN 'error' THEN 'failed' ELSE 'uploaded' END || ''', ''rows'': ' || user_id ||
+ ', ''inserted_rows'': ' || {SQL_EVENT_NUMBER} || ', ''job_id'': ''j-' || event_id || '''}}')"""
 SQL["load_summary"] = f"""
-WITH p AS (SELECT doc_id % {FOLDERS} AS part, source, n_chars FROM documents), r AS (SELECT part, count(DISTINCT source) AS files, count(*) AS rows_read,
-  count(*) FILTER (n_chars > 100) AS attempted_rows, count(*) FILTER (n_chars > 5000) AS blocked_rows FROM p WHERE part % 5 <> 0 GROUP BY part),
- l AS (SELECT event_id % {FOLDERS} AS part, arg_max(event_type, event_id) <> 'error' AS good, arg_max(user_id, event_id) AS u, arg_max({SQL_EVENT_NUMBER}, event_id) AS k,
-  max(event_id) AS e FROM events WHERE event_id % {FOLDERS} <> 7 GROUP BY 1)
+WITH p AS (SELECT {sql_parts("doc_id", "text", FILE_BYTES)} AS part, source, n_chars FROM documents),
+ r AS (SELECT part, count(DISTINCT source) AS files, count(*) AS rows_read,
+  count(*) FILTER (n_chars > 100) AS attempted_rows, count(*) FILTER (n_chars > 5000) AS blocked_rows FROM p GROUP BY part),
+ e AS (SELECT *, {sql_parts("event_id", _RESULT_LINE, LOG_BYTES)} AS part FROM events),
+ l AS (SELECT part, arg_max(event_type, event_id) <> 'error' AS good, arg_max(user_id, event_id) AS u, arg_max({SQL_EVENT_NUMBER}, event_id) AS k,
+  max(event_id) AS e FROM e GROUP BY 1)
 SELECT part, CASE WHEN NOT coalesce(good, false) THEN '失败' WHEN coalesce(r.blocked_rows, 0) > 0 THEN '部分成功' ELSE '成功' END AS final_status,
  files, rows_read, attempted_rows, CASE WHEN good THEN u ELSE 0 END AS successful_rows, 0::BIGINT AS failed_rows, coalesce(r.blocked_rows, 0) AS blocked_rows,
  k AS inserted_rows, NULL::BIGINT AS updated_rows, 0::BIGINT AS duplicates_filtered, CASE WHEN good THEN 'j-' || e END AS job_id
-FROM (SELECT DISTINCT part FROM p) LEFT JOIN r USING (part) LEFT JOIN l USING (part)"""
+FROM (SELECT part FROM r UNION SELECT part FROM l) LEFT JOIN r USING (part) LEFT JOIN l USING (part)"""
 
 
 def _load_runs(spark, d):

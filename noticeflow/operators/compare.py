@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -165,6 +166,24 @@ def reconcile_samples(samples: DataFrame, target: DataFrame, key: str, fields: S
     return joined.select("sample", "found", *[equal(f) for f in fields])
 
 
+def reconcile_verdict(coverage: DataFrame, samples: DataFrame, links: DataFrame) -> DataFrame:
+    """One row: rows on both sides and whether all counts, samples and links agree.
+
+    Takes the results of ``field_coverage``, ``reconcile_samples`` and ``reconcile_records``. A field that is not
+    judged counts as no difference, a sample that was not found once as one.
+    """
+    total = F.col("field") == "*"
+    same = [F.coalesce(F.col(c), F.lit(False)) for c in samples.columns if c.endswith("_equal")]
+    good = reduce(lambda a, b: a & b, same, F.col("found") == 1)
+    samples_ok = samples.agg((F.count_if(~good) == 0).alias("ok")).scalar()
+    links_ok = links.agg((F.count_if(F.col("rows") != 0) == 0).alias("ok")).scalar()
+    return coverage.agg(
+        F.max(F.when(total, F.col("expected_nonempty"))).alias("expected_rows"),
+        F.max(F.when(total, F.col("actual_nonempty"))).alias("actual_rows"),
+        (F.count_if(~F.col("matched")) == 0).alias("all_count_checks_passed")).select(
+            "*", samples_ok.alias("all_sample_checks_passed"), links_ok.alias("all_link_checks_passed"))
+
+
 def missing_keys(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys only on the left: required minus described, queued minus exported."""
     return left.select(*key).distinct().join(right.select(*key), list(key), "left_anti")

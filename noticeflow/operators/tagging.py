@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import assignment_key
 from ..functions.text import Stages, bind, is_blank
@@ -73,22 +76,79 @@ def keyword_scorer(text: Column, semantics: Column) -> Column:
     return F.to_json(F.struct(F.lit("completed").alias("status"), bind(hits, answer).alias("output_text")))
 
 
+@dataclass
+class CallScorer:
+    """A model that is called with several records at once.
+
+    ``open_model`` runs once in each task and returns a function from lists of texts and of
+    semantics to a list of response bodies. A call gets up to ``per_call`` records (1 to 10).
+    """
+
+    open_model: Callable[[], Callable[[list[str], list[list[str]]], list[str]]]
+    per_call: int = MAX_PENDING
+
+    def __post_init__(self) -> None:
+        if not 1 <= self.per_call <= MAX_PENDING:
+            raise ValueError(f"per_call must be 1..{MAX_PENDING}")
+
+
+def score_in_calls(pairs: DataFrame, text: str, scorer: CallScorer) -> DataFrame:
+    """Add ``_body``, the model's response, and ``_failure``, the error of a call that failed.
+
+    A failed call, or one with the wrong number of answers, fails the records of that call and no others. Pairs
+    without a rule are not sent.
+    """
+    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in pairs.schema],
+                           T.StructField("_body", T.StringType()), T.StructField("_failure", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = None
+        for batch in batches:
+            rules = batch.column("rule").to_pylist()
+            texts = batch.column(text).to_pylist()
+            bodies: list[str | None] = [None] * batch.num_rows
+            failures: list[str | None] = [None] * batch.num_rows
+            ruled = [i for i, rule in enumerate(rules) if rule is not None]
+            for start in range(0, len(ruled), scorer.per_call):
+                chosen = ruled[start : start + scorer.per_call]
+                try:
+                    model = model or scorer.open_model()
+                    answers = model([texts[i] or "" for i in chosen], [list(rules[i]["semantics"]) for i in chosen])
+                    if len(answers) != len(chosen):
+                        raise ValueError(f"{len(answers)} answers to {len(chosen)} records")
+                    for i, answer in zip(chosen, answers, strict=True):
+                        bodies[i] = answer
+                except Exception as error:  # whatever the model raises belongs to its records
+                    for i in chosen:
+                        failures[i] = f"{type(error).__name__}: {error}"[:MAX_MESSAGE]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bodies, pa.string()), pa.array(failures, pa.string())],
+                                             names=[*batch.schema.names, "_body", "_failure"])
+
+    return pairs.mapInArrow(run, schema)
+
+
 def classify(pairs: DataFrame, record_id: str, text: str,
-             scorer: Callable[[Column, Column], Column] = keyword_scorer) -> DataFrame:
+             scorer: Callable[[Column, Column], Column] | CallScorer = keyword_scorer) -> DataFrame:
     """Verdict per (record, rule): a scorer turns (text, semantics) into a response body.
 
-    Any Column expression will do, including a call of a ``pandas_udf``.
+    Any Column expression will do, including a call of a ``pandas_udf``; a ``CallScorer`` gets several records a call.
     """
-    body = scorer(F.col(text), F.col("rule.semantics"))
+    failure = F.lit(None).cast("string")
+    if isinstance(scorer, CallScorer):
+        pairs = score_in_calls(pairs, text, scorer)
+        body, failure = F.col("_body"), F.col("_failure")
+    else:
+        body = scorer(F.col(text), F.col("rule.semantics"))
     ruled = F.col("rule").isNotNull()
 
     def only_ruled(verdict: Column) -> Column:
         values = [F.when(ruled, verdict[f]).alias(f) for f in ("matched", "confidence", "primary_industry", "reason")]
-        return F.struct(*values, F.when(ruled, verdict["error"]).otherwise(NO_SEMANTICS).alias("error"))
+        error = F.when(ruled, F.coalesce(failure, verdict["error"])).otherwise(NO_SEMANTICS)
+        return F.struct(*values, error.alias("error"))
 
     steps = Stages(pairs)
     verdict = validate_verdict(parse_verdict(body, steps.bind), MAX_INDUSTRY, MAX_REASON, steps.bind)
-    checked = steps.done(verdict=steps.bind(verdict, only_ruled))
+    checked = steps.done(verdict=steps.bind(verdict, only_ruled)).drop("_body", "_failure")
     return checked.withColumn("assignment_key", assignment_key(record_id, "rule.rule_id"))
 
 

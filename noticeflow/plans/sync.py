@@ -15,9 +15,9 @@ from ..operators.gates import (GateError, assert_gate, preflight, schema_gate, v
 from ..operators.incremental import merge_quarantine, pending_files
 from ..operators.legacy import legacy_overlap
 from ..schema import ALLOWED_CATEGORIES, MANIFEST_SCHEMA
-from ..session import shared_dir
-from ..sinks.files import commit_manifest, current_snapshot, remove_folder, write_snapshot
-from ..sinks.upsert import read_table, upsert_table
+from ..session import checkpointed, shared_dir
+from ..sinks.files import commit_manifest, remove_folder
+from ..sinks.upsert import commit_load, read_table, side_folders, stage_load
 from ..sources.files import with_digest
 from ..sources.workbooks import parse_workbooks, resolve_formulas
 from .prepare import WARNING_FLAGS, complete, notice_report, split_firsts, to_notices
@@ -34,15 +34,17 @@ class SyncPaths:
     queue: str
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def load_manifest(spark: SparkSession, paths: SyncPaths) -> DataFrame:
+    """The files that the current version of the target was loaded from."""
+    folders = side_folders(spark, paths.target, "manifest")
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
-def load_manifest(spark: SparkSession, path: str) -> DataFrame:
-    if _exists(spark, path):
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    return spark.createDataFrame([], MANIFEST_SCHEMA)
+def record_files(spark: SparkSession, paths: SyncPaths, files: DataFrame, ledger: str) -> None:
+    """Enter files (path, sha256) into a ledger of the manifest without loading them."""
+    folder = f"{paths.manifest.rstrip('/')}/files-{uuid4().hex}"
+    commit_manifest(files, folder, None, ledger)
+    commit_load(spark, paths.target, None, KEY, side={"manifest": ("add", folder)})
 
 
 def _stage(notices: DataFrame, folder: str) -> DataFrame:
@@ -51,12 +53,18 @@ def _stage(notices: DataFrame, folder: str) -> DataFrame:
     return notices.sparkSession.read.schema(notices.schema).parquet(folder)
 
 
-def _preflight(spark: SparkSession, source: DataFrame, described: DataFrame, legacy: DataFrame | None, target: str,
+def _preflight(spark: SparkSession, source: DataFrame, described: DataFrame | None, legacy: DataFrame | None, target: str,
                ignore_keyless: bool) -> dict:
-    stored = read_table(spark, target, KEY)
-    keys = source.select(KEY).limit(0) if stored is None else stored.select(KEY)
-    keyless = source.limit(0) if legacy is None else legacy
     required = spark.createDataFrame([(name,) for name in source.columns if name != MODIFIED], "name string")
+    keys = source.select(KEY).limit(0)
+    if described is None:
+        # A stored table takes any column, and its keys are unique: what can be wrong is the batch itself.
+        own = F.col("name") == KEY
+        described = required.select("name", F.lit(True).alias("createable"), F.lit(True).alias("updateable"),
+                                    own.alias("externalId"), own.alias("unique"))
+    elif (stored := read_table(spark, target, KEY)) is not None:
+        keys = stored.select(KEY)
+    keyless = source.limit(0) if legacy is None else legacy
     rows = source.agg(F.count(F.lit(1)).alias("pending_rows"))
     listed = keys.unionByName(keyless.select(F.lit(None).cast("string").alias(KEY)))
     return preflight(rows, schema_gate(required, described, KEY), compare_keys(source.select(KEY), listed, KEY, ignore_keyless),
@@ -66,19 +74,19 @@ def _preflight(spark: SparkSession, source: DataFrame, described: DataFrame, leg
 def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: bool = False,
                guarded: bool = False, described: DataFrame | None = None, legacy: DataFrame | None = None,
                ignore_keyless: bool = False) -> dict:
-    """Load pending ``files`` (path, content); the manifest advances only after verification.
+    """Load pending ``files`` (path, content); target, manifest and queue advance in one commit, after verification.
 
-    Running it again after a failure is safe: the load is an upsert by key, and
-    a load that did not finish does not count. Read the target with
+    Running it again after a failure is safe: what did not come to its commit does not count, and what did is in the
+    manifest, so a load is not repeated because its confirmation was lost. Read the target with
     ``sinks.read_table(spark, paths.target, KEY)``.
 
-    ``described`` (the target's fields) and ``legacy`` (its rows without a key, in notice columns) turn on the preflight:
-    fields, key flags, duplicate and keyless rows and overlap must be fine before anything is written.
+    The preflight always runs: duplicate and missing keys must not occur. ``described`` (the fields of a target) adds its
+    fields, key flags and stored keys, and ``legacy`` (its rows without a key, in notice columns) the overlap.
     """
-    manifest = load_manifest(spark, paths.manifest)
+    manifest = load_manifest(spark, paths)
     pending = pending_files(with_digest(files), manifest, force, guarded)
-    chosen = pending.select("path", "sha256").checkpoint()
-    queue_folder = current_snapshot(spark, paths.queue)
+    chosen = checkpointed(pending.select("path", "sha256"))
+    queue_folder = next(iter(side_folders(spark, paths.target, "queue")), None)
     if chosen.isEmpty():
         waiting = 0 if queue_folder is None else spark.read.parquet(queue_folder).count()
         return {"status": "blocked_pending" if waiting else "unchanged", "files": 0, "rows": 0,
@@ -101,25 +109,26 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
     queue = blocked.limit(0) if queue_folder is None else spark.read.parquet(queue_folder)
     merged = merge_quarantine(queue, blocked, chosen.withColumnRenamed("path", "Source_File_Path"),
                               "Source_File_Path", "Source_Row_Number__c", [KEY])
-    waiting = spark.read.parquet(write_snapshot(merged, paths.queue)).count()
-
     source = written.withColumn(MODIFIED, F.lit(started).cast("timestamp"))
-    rows, inserted, job_id = report["rows_written"], 0, None
-    if rows and described is not None:
+    rows, load, job_id = report["rows_written"], None, None
+    if rows:
         check = _preflight(spark, source, described, legacy, paths.target, ignore_keyless)
         if not check["safe_to_execute"]:
             raise GateError(f"preflight blocked the load, nothing was written: {check}")
-    if rows:
         # The day is part of the key, so other days of the target are not read.
-        load = upsert_table(spark, paths.target, source, KEY, DAY, cluster_of_key=True)
-        inserted = load["inserted"]
+        load = stage_load(spark, paths.target, source, KEY, DAY, cluster_of_key=True)
         # All rows of this load are in its folder: the check reads nothing else of the target.
-        check = verify_modified_since(source, spark.read.parquet(load["folder"]), KEY, MODIFIED,
+        check = verify_modified_since(source, spark.read.parquet(load.folder), KEY, MODIFIED,
                                       F.lit(started).cast("timestamp"), rows).first()
         if not check["verified"]:
             raise GateError(f"load not verified, manifest unchanged: {check}")
         job_id = uuid4().hex
-    commit_manifest(chosen, paths.manifest, job_id)
+    queue, listed = (f"{base.rstrip('/')}/files-{uuid4().hex}" for base in (paths.queue, paths.manifest))
+    merged.write.parquet(queue)
+    waiting = spark.read.parquet(queue).count()
+    commit_manifest(chosen, listed, job_id)
+    result = commit_load(spark, paths.target, load, KEY, side={"manifest": ("add", listed), "queue": ("set", queue)})
+    inserted = result["inserted"] or 0
     remove_folder(spark, stage)
     return {"status": "uploaded_with_blocked" if waiting else "uploaded", "files": chosen.count(),
             "rows": rows, "successful_rows": rows, "failed_rows": 0, "blocked_rows": waiting,

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tagging import (FAILED, NO_RULES, active_rules, assignments, classifier_input, classify, first_verdict,
+from ..operators.tagging import (FAILED, NO_RULES, CallScorer, active_rules, assignments, classifier_input, classify, first_verdict,
                                  keyword_scorer, records_with_rules, rule_semantics)
+from ..session import checkpointed
 from ..sinks.upsert import upsert_table
 
 
@@ -20,7 +21,7 @@ class Tagged:
 
 
 def tag_records(records: DataFrame, record_id: str, text: str, rules: DataFrame, items: DataFrame,
-                model: str, scorer: Callable[[Column, Column], Column] = keyword_scorer,
+                model: str, scorer: Callable[[Column, Column], Column] | CallScorer = keyword_scorer,
                 keep: tuple[str, ...] = (), prompt: tuple[str, ...] = ()) -> Tagged:
     """Outcome per record and keyed rule assignments.
 
@@ -39,8 +40,8 @@ def tag_records(records: DataFrame, record_id: str, text: str, rules: DataFrame,
     pairs = records_with_rules(records.select(*columns), rule_semantics(active, items))
     if prompt:
         pairs, text = classifier_input(pairs, *prompt), "prompt"
-    verdicts = classify(pairs, record_id, text, scorer).select(
-        record_id, "rule", "verdict", "assignment_key").checkpoint()
+    verdicts = checkpointed(classify(pairs, record_id, text, scorer).select(
+        record_id, "rule", "verdict", "assignment_key"))
     outcomes = first_verdict(verdicts, record_id)
     return Tagged(outcomes, assignments(verdicts, outcomes, record_id, model))
 
@@ -50,5 +51,6 @@ def store_tags(spark: SparkSession, tagged: Tagged, outcomes: str, assigned: str
 
     A second run of the same records replaces their rows. Read with ``sinks.read_table``.
     """
-    upsert_table(spark, outcomes, tagged.outcomes, record_id, record_id, overwrite_with_null=True)
-    upsert_table(spark, assigned, tagged.assignments, "assignment_key", "assignment_key", overwrite_with_null=True)
+    upsert_table(spark, outcomes, tagged.outcomes, record_id, record_id, overwrite_with_null=True, count_inserted=False)
+    upsert_table(spark, assigned, tagged.assignments, "assignment_key", "assignment_key", overwrite_with_null=True,
+                 count_inserted=False)

@@ -27,11 +27,16 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_daily_counts(checkpoint: DataFrame, path: str, date: str = "date",
-                       count: str = "national_count") -> None:
-    """Rebuild the whole date/count table in date order."""
+def write_daily_counts(checkpoint: DataFrame, root: str, date: str = "date",
+                       count: str = "national_count") -> str:
+    """Write the whole date/count table in date order as a new snapshot folder, read with ``current_snapshot``.
+
+    A run that dies leaves the table before it in place.
+    """
+    folder = f"{root.rstrip('/')}/snapshot-{time.time_ns():020d}"
     (checkpoint.select(date, count).repartitionByRange(date).sortWithinPartitions(date)
-     .write.mode("overwrite").option("header", True).csv(path))
+     .write.mode("errorifexists").option("header", True).csv(folder))
+    return folder
 
 
 def append_checkpoint(days: DataFrame, path: str) -> None:
@@ -39,17 +44,6 @@ def append_checkpoint(days: DataFrame, path: str) -> None:
     days.write.mode("append").json(path)
 
 
-def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write the table as a new snapshot folder; one writer at a time.
-
-    The folder counts once Spark has put its success marker into it, so a job
-    that dies half way leaves readers on the snapshot before.
-    """
-    folder = f"{root.rstrip('/')}/snapshot-{time.time_ns():020d}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(folder)
-    return folder
-
-
 def complete_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """Folders ``prefix-*`` below the root that have their success marker, in order of name."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}-*/_SUCCESS")

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_last
-from ..sinks.upsert import upsert_table
+from ..operators.outbox import PENDING, outbox_dedupe
+from ..sinks.upsert import read_table, upsert_table
 
 
 def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet",
@@ -27,26 +28,47 @@ def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, glob:
 
 
 def stream_upsert(stream: DataFrame, target: str, key: str, order: Sequence[str], cluster: str,
-                  checkpoint: str) -> StreamingQuery:
+                  checkpoint: str, compact_after: int = 50) -> StreamingQuery:
     """Upsert each micro-batch by key as one load; read with ``sinks.read_table``.
 
-    The row with the highest ``order`` stays, whatever the batch it comes in:
-    stored rows keep their order columns, and an older one does not replace them. Replaying
-    a batch gives the same table. Run ``sinks.compact_table`` from time to time.
+    The row with the highest ``order`` stays, whatever the batch it comes in. A batch reads nothing of the
+    table; beyond ``compact_after`` loads they are folded into a snapshot. A replayed batch is recognised by its number
+    and not added again.
     """
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
         upsert_table(batch.sparkSession, target, dedup_last(batch, [key], order), key, cluster, order,
-                     overwrite_with_null=True)
+                     overwrite_with_null=True, count_inserted=False, applied=(checkpoint, number), compact_after=compact_after)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def append_alerts(alerts: DataFrame, number: int, outbox: str, stream: str, order: Sequence[str], message: str = "id") -> dict:
+    """Add the alerts of one micro-batch whose id the stored outbox lacks, as pending messages.
+
+    The first content of an id stays. A batch of the same ``stream`` and ``number`` adds nothing again.
+    """
+    held = read_table(alerts.sparkSession, outbox, message)
+    known = alerts.select(message, F.lit(PENDING).alias("status")).limit(0) if held is None else held.select(message, "status")
+    new = outbox_dedupe(alerts, known, order, message).withColumn("status", F.lit(PENDING))
+    return upsert_table(alerts.sparkSession, outbox, new, message, message, count_inserted=False, applied=(stream, number),
+                        compact_after=50)
+
+
+def stream_outbox(alerts: DataFrame, outbox: str, order: Sequence[str], checkpoint: str, message: str = "id") -> StreamingQuery:
+    """Deduplicate a stream of alerts against the stored outbox, by an anti join in each micro-batch; read with ``sinks.read_table``."""
+    def apply(batch: DataFrame, number: int) -> None:
+        append_alerts(batch, number, outbox, checkpoint, order, message)
+
+    return (alerts.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def stream_first_wins(stream: DataFrame, key: Sequence[str], ts: str, delay: str) -> DataFrame:
     """Keep the first arriving row of a key for as long as the watermark delay.
 
     Weaker than the batch first-wins: arrival order counts, and a copy later
-    than the delay passes. State is bounded by the delay.
+    than the delay passes; ``state.stream_earliest_wins`` has neither. State is bounded by the delay, all in the JVM.
     """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 

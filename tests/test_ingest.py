@@ -235,7 +235,7 @@ def test_sync_is_incremental_and_idempotent(spark, tmp_path):
     assert target.where("Buyer_Name__c = '新单位'").count() == 1
     assert run()["status"] == "unchanged"
     assert run(force=True)["updated_rows"] == 3
-    assert load_manifest(spark, paths.manifest).select("path").distinct().count() == 2
+    assert load_manifest(spark, paths).select("path").distinct().count() == 2
 
 
 def test_warnings_stop_the_load_and_leave_the_manifest(spark, tmp_path):
@@ -244,7 +244,7 @@ def test_warnings_stop_the_load_and_leave_the_manifest(spark, tmp_path):
     write(source / "a.xlsx", [sheet_row(1, "招标", winning="about 5"), sheet_row(2, "招标", day="soon")])
     with pytest.raises(GateError, match="unparsed_amount"):
         sync_batch(spark, scan_files(spark, str(source)), paths)
-    assert load_manifest(spark, paths.manifest).count() == 0
+    assert load_manifest(spark, paths).count() == 0
     assert with_digest(scan_files(spark, str(source))).select(F.length("sha256")).first()[0] == 64
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from noticeflow.operators import compare, gates, legacy
 from noticeflow.plans.prepare import project_to_target
 from noticeflow.schema import COMPACT_FIELDS, NOTICE_SCHEMA
-from noticeflow.sinks import compact_table, read_table, upsert, upsert_table
+from noticeflow.sinks import (clean_table, commit_load, compact_table, known_keys, read_table, read_version, stage_load,
+                              upsert, upsert_table)
+from noticeflow.sinks.log import commit
 
 
 def keys(spark, values):
@@ -199,3 +201,118 @@ def test_load_by_day_reads_only_its_days_and_keeps_the_rest(spark, tmp_path):
     upsert_table(spark, root, spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, None, "c")], schema), "k", "day", cluster_of_key=True)
     upsert_table(spark, root, spark.createDataFrame([(2, 2, None), (3, None, "z")], schema), "k", "day", cluster_of_key=True)
     assert current(spark, root, "k", "day", "v") == [(1, 1, "a"), (2, 2, "b"), (3, None, "z")]
+
+
+def load_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "k int, part string, v int")
+
+
+def test_load_written_before_a_compaction_and_committed_after_it_counts(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (1, 2):
+        upsert_table(spark, root, load_of(spark, (n, "a", n)), "k", "part")
+    slow = stage_load(spark, root, load_of(spark, (2, "b", 20), (3, "b", 30)), "k", "part")
+    assert compact_table(spark, root, "k", "part")
+    assert commit_load(spark, root, slow, "k")["inserted"] == 1
+    assert current(spark, root, "k", "v") == [(1, 1), (2, 20), (3, 30)]
+
+
+def test_loads_committed_while_a_compaction_runs_stay(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    for n in (1, 2):
+        upsert_table(spark, root, load_of(spark, (n, "a", n)), "k", "part")
+    module = __import__("noticeflow.sinks.upsert", fromlist=["_write"])
+    write = module._write
+
+    def meanwhile(*args):
+        monkeypatch.setattr(module, "_write", write)
+        upsert_table(spark, root, load_of(spark, (3, "a", 3)), "k", "part")
+        return write(*args)
+
+    monkeypatch.setattr(module, "_write", meanwhile)
+    assert compact_table(spark, root, "k", "part")
+    assert current(spark, root, "k", "v") == [(1, 1), (2, 2), (3, 3)]
+    assert [e["folder"].split("-")[0] for e in read_version(spark, root)[1]["folders"]] == ["snapshot", "load"]
+
+
+def test_second_of_two_compactions_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    for n in (1, 2):
+        upsert_table(spark, root, load_of(spark, (n, "a", n)), "k", "part")
+    module = __import__("noticeflow.sinks.upsert", fromlist=["_write"])
+    write = module._write
+
+    def meanwhile(*args):
+        monkeypatch.setattr(module, "_write", write)
+        assert compact_table(spark, root, "k", "part")
+        return write(*args)
+
+    monkeypatch.setattr(module, "_write", meanwhile)
+    assert not compact_table(spark, root, "k", "part")
+    assert current(spark, root, "k", "v") == [(1, 1), (2, 2)]
+
+
+def test_commit_is_made_again_when_another_writer_was_first(spark, tmp_path):
+    root, seen = str(tmp_path / "t"), []
+
+    def change(version):
+        seen.append(version["side"])
+        if len(seen) == 1:
+            commit(spark, root, lambda v: {**v, "side": {"a": ["x"]}})
+        return {**version, "side": {**version["side"], "b": ["y"]}}
+
+    commit(spark, root, change)
+    assert seen == [{}, {"a": ["x"]}] and read_version(spark, root) == (2, {"folders": [], "side": {"a": ["x"], "b": ["y"]}, "applied": {}})
+
+
+def test_only_folders_that_may_hold_the_keys_are_read(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for low in (0, 100, 200):
+        upsert_table(spark, root, load_of(spark, *[(low + n, "a", n) for n in range(10)]), "k", "part")
+    load = stage_load(spark, root, load_of(spark, (105, "a", 1), (107, "a", 1)), "k", "part")
+    entries = read_version(spark, root)[1]["folders"]
+    known = known_keys(spark, root, entries, load, "k")
+    assert known.count() == 2
+    assert {f.rsplit("/", 2)[1] for f in known.inputFiles()} == {entries[1]["folder"], load.entry["folder"]}
+    far = stage_load(spark, root, load_of(spark, (50, "a", 1)), "k", "part")
+    assert known_keys(spark, root, entries, far, "k") is None
+
+
+def test_replayed_batch_is_not_added_and_loads_are_compacted(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for number in (0, 1, 1, 2, 3):
+        upsert_table(spark, root, load_of(spark, (number, "a", 1)), "k", "part", count_inserted=False, applied=("s", number), compact_after=2)
+    assert current(spark, root, "k") == [(0,), (1,), (2,), (3,)]
+    version = read_version(spark, root)[1]
+    assert len(version["folders"]) <= 2 and version["applied"] == {"s": 3}
+    listed = {e["folder"] for e in version["folders"]}
+    assert clean_table(spark, root) == [] and len(clean_table(spark, root, older_than=0)) > 0
+    assert {p.name for p in (tmp_path / "t").glob("*-*")} == listed and current(spark, root, "k") == [(0,), (1,), (2,), (3,)]
+
+
+def test_older_rows_leave_no_values_behind(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k int, part string, o int, v string"
+    for row in ((1, "a", 5, None), (1, "b", 3, "old"), (1, None, 5, "same"), (1, None, 9, None)):
+        upsert_table(spark, root, spark.createDataFrame([row], schema), "k", "part", order=["o"])
+    assert current(spark, root, "k", "part", "o", "v") == [(1, "a", 9, "same")]
+
+
+def test_upsert_refuses_unknown_columns(spark):
+    with pytest.raises(ValueError, match="lacks"):
+        upsert(spark.createDataFrame([(1, 2)], "k int, v int"), spark.createDataFrame([(1, 2)], "k int, w int"), "k")
+
+
+def test_reconcile_verdict(spark):
+    rows = [(1, "a", 5), (2, "b", None)]
+    schema = "id int, name string, v int"
+
+    def verdict(actual):
+        want, have = spark.createDataFrame(rows, schema), spark.createDataFrame(actual, schema)
+        return tuple(compare.reconcile_verdict(
+            compare.field_coverage(want, have, ["name", "v"]),
+            compare.reconcile_samples(compare.coverage_samples(want, ["id"], {}), have, "id", ["name", "v"], ["v"]),
+            compare.reconcile_records(want, have, "id", ["name"], ["v"])).first())
+
+    assert verdict(rows) == (2, 2, True, True, True)
+    assert verdict([(1, "a", 5), (2, "c", None)]) == (2, 2, True, False, False)
+    assert verdict([(1, "a", 5)]) == (2, 1, False, False, False)

@@ -10,7 +10,7 @@ from noticeflow.operators.running import running_total
 from noticeflow.plans.daily import collect_days
 from noticeflow.operators.gates import GateError
 from noticeflow.schema import REGIONS
-from noticeflow.sinks import csv_row_bytes, greedy_batches, size_bounded_batches
+from noticeflow.sinks import csv_row_bytes, current_snapshot, greedy_batches, size_bounded_batches
 
 ITEMS = "plan string, date date, rank int, n long"
 QUOTAS = "plan string, run_day date, balance int, daily_limit int"
@@ -155,7 +155,7 @@ def test_daily_collect_resumes_and_rejects_bad_checkpoint(spark, tmp_path):
     assert collect_days(spark, notices, "day", "2025-01-01", "2025-01-02", *args, started=False) == 2
     assert collect_days(spark, notices, "day", "2025-01-01", "2025-01-02", *args) == 0
     assert collect_days(spark, notices, "day", "2025-01-01", "2025-01-03", *args) == 1
-    table = spark.read.option("header", True).csv(args[1])
+    table = spark.read.option("header", True).csv(current_snapshot(spark, args[1]))
     assert sorted(map(tuple, table.collect())) == [("2025-01-01", "16"), ("2025-01-02", "0"), ("2025-01-03", "1")]
     bad = spark.read.json(args[0]).limit(1).withColumn("national_count", F.lit(-1))
     bad.write.mode("append").json(args[0])

@@ -154,3 +154,41 @@ def test_unknown_region_stops_a_plan(spark):
     assert {r["region"] for r in gates.unknown_regions(rows, "r", ["north", "south"]).collect()} == {"nowhere", None}
     with pytest.raises(Exception, match="not the name of one region"):
         rows.select(region_rank("r", ["north", "south"])).collect()
+
+
+def test_call_scorer_fails_only_the_records_of_a_failing_call(spark):
+    def open_model():
+        opened = []
+
+        def call(texts, semantics):
+            opened.append(len(texts))
+            assert len(texts) <= 2
+            if any("short" in t for t in texts):
+                return ["{}"] * (len(texts) + 1)
+            if any("坏" in t for t in texts):
+                raise RuntimeError("HTTP 500")
+            return ['{"status":"completed","output_text":"{\\"matched\\":true,\\"confidence\\":0.8,\\"reason\\":\\"r\\"}"}'] * len(texts)
+
+        return call
+
+    texts = ["good", "坏", "short", "fine", None]
+    records = spark.createDataFrame([(f"r{n}", t) for n, t in enumerate(texts)], "id string, text string").coalesce(1)
+    rule = rules(spark, RULES[:1])
+    tagged = tag_records(records, "id", "text", *rule, "m", tagging.CallScorer(open_model, 1))
+    outcome = {r["id"]: (r["ai_status"], r["reason"]) for r in tagged.outcomes.collect()}
+    assert outcome == {"r0": (tagging.DONE, "r"), "r1": (tagging.FAILED, "RuntimeError: HTTP 500"),
+                       "r2": (tagging.FAILED, "ValueError: 2 answers to 1 records"), "r3": (tagging.DONE, "r"), "r4": (tagging.DONE, "r")}
+    assert tagged.assignments.count() == 3
+    pairs = tag_records(records, "id", "text", *rule, "m", tagging.CallScorer(open_model, 2)).outcomes
+    assert pairs.where(F.col("ai_status") == tagging.FAILED).count() in (3, 4)
+    with pytest.raises(ValueError, match="1..10"):
+        tagging.CallScorer(open_model, 11)
+
+
+def test_summaries_without_a_report_or_log(spark):
+    runs = spark.createDataFrame([(1,), (2,)], "run int")
+    reports = spark.createDataFrame([(1, 2, 30, 20, 1)], "run int, source_files long, rows_read long, rows_written long, blocked_rows long")
+    results = spark.createDataFrame([(2, {"status": "uploaded", "rows": "7"})], "run int, result map<string,string>")
+    rows = {r["run"]: r for r in reporting.load_summary(runs, reports, results, "run").collect()}
+    assert (rows[1]["successful_rows"], rows[1]["blocked_rows"], rows[1]["rows_read"]) == (0, 1, 30)
+    assert (rows[2]["successful_rows"], rows[2]["files"], rows[2]["rows_read"]) == (7, None, None)
