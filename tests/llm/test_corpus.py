@@ -75,6 +75,59 @@ def test_forest_depth():
     assert ngram_join.forest_depth(0.8, 16, 8, 0.999) == 4 and ngram_join.forest_depth(0.95, 16, 8, 0.999) == 8
 
 
+def test_descent_of_the_forest():
+    assert ngram_join.prefix_lengths(4) == [8, 6, 5, 4] and ngram_join.prefix_lengths(8) == [8]
+    counts = np.zeros(ngram_join.BINS)
+    assert ngram_join.estimated_recall(counts, 8, 16, 0.8) == 0
+    counts[-1] = 100
+    assert ngram_join.estimated_recall(counts, 8, 16, 0.8) > 0.999
+    counts[0] = 100
+    assert ngram_join.estimated_recall(counts, 8, 16, 0.8) < 0.98 and ngram_join.estimated_recall(counts, 4, 16, 0.8) > 0.999
+
+
+def test_each_pair_is_looked_at_once():
+    """Whatever the labels, a pair belongs to exactly one unit of one step if its texts share the shortest prefix anywhere."""
+    pick = np.random.default_rng(1)
+    label = pick.integers(0, 3, (40, 4, ngram_join.DEPTH)).astype(np.uint16)
+    seen = np.zeros((40, 40), int)
+    longer = None
+    for length in ngram_join.prefix_lengths(2):
+        for tree in range(4):
+            groups = {}
+            for n in range(40):
+                groups.setdefault(label[n, tree, :length].tobytes(), []).append(n)
+            for group in groups.values():
+                rows = [{"_tree": tree, "_own": 0, "_i": 0, "_j": 0, "_label": label[n].tobytes()} for n in group]
+                seen[np.ix_(group, group)] += ngram_join.new_pairs(rows, length, longer)
+        longer = length
+    shared = (label[:, None, :, :2] == label[None, :, :, :2]).all(3).any(2) & ~np.eye(40, dtype=bool)
+    assert (seen == shared).all()
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs of 0.8 to 0.85: 120 words, of which the last few differ."""
+    rows = []
+    for n in range(150):
+        words = prose(120, 1000 + n).split()
+        tail = [f"t{n}x{k}" for k in range(11 + n % 2)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(words[: -len(tail)] + tail))]
+    want, found = [], {r.doc_id: r.class_id for r in ngram_join.near_duplicates(documents(spark, rows)).collect()}
+    for n in range(150):
+        a, b = shingle_set(rows[2 * n][1]), shingle_set(rows[2 * n + 1][1])
+        if len(a & b) >= 0.8 * len(a | b):
+            want.append(found[2 * n + 1] == found[2 * n])
+    assert len(want) > 100 and sum(want) / len(want) >= 0.99
+
+
+def test_awkward_rows_of_the_join(spark):
+    rows = [t if isinstance(t, tuple) else (n, t) for n, t in enumerate(AWKWARD)]
+    rows += [(50, AWKWARD[8]), (51, edited(AWKWARD[8], 300, 1)), (51, edited(AWKWARD[8], 300, 1))]
+    got = ngram_join.near_duplicates(documents(spark, rows, clash=True)).collect()
+    ids, links = brute_links(rows)
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=repr) == \
+        sorted(((r[0], i, k) for r, i, k in zip(rows, ids, links, strict=True)), key=repr)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 202), (202, 200), (300, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
