@@ -108,7 +108,11 @@ def held_out(key: str):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, most: int) -> DataFrame:
-    """(text, label) of at most ``most`` labelled texts per class that are not held out, chosen by the hash of the key."""
+    """(_key, _text, _label) of at most ``most`` labelled keys per class that are not held out, chosen by the hash of the key.
+
+    A key with both labels is left out. Of rows with the same key one is taken, that with the least hash of its text, so repeated
+    documents neither displace others nor count twice.
+    """
     given = (labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
              .where(F.col("_label").isin(0, 1) & F.col("_key").isNotNull()).where(~held_out("_key"))
              .groupBy("_key").agg(F.min("_label").alias("_label"), F.max("_label").alias("_other"))
@@ -118,14 +122,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label
     # Bounded by 2 * most rows of two numbers.
     few = F.broadcast(chosen[0].unionAll(chosen[1]))
     rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(few, "_key")
-    # Repeated documents could still be many.
-    return rows.orderBy(order, F.xxhash64("_text")).limit(2 * most).select("_text", "_label")
+    return rows.groupBy("_key", "_label").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
         most: int = MOST_TRAIN) -> np.ndarray:
-    """The model, trained in one task on the bounded sample; zeros if a class has no row."""
-    sample = training_rows(docs, labels, text, key, label, most).coalesce(1)
+    """The model, trained in one task on the bounded sample; zeros if a class has no row.
+
+    NULL and empty texts take part as empty; labels other than 0 and 1, keys with both of them and NULL keys do not. Repeated rows
+    count once. Empty tables give zeros. Other columns are not read.
+    """
+    sample = training_rows(docs, labels, text, key, label, most)
+    sample = sample.repartition(1).sortWithinPartitions(F.xxhash64("_key"), "_key").select("_text", "_label")  # 2 * most rows
 
     def run(batches):
         examples = []

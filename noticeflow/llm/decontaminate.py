@@ -135,22 +135,27 @@ class Matcher:
                     yield passage, hit[0], begin + hit[1], begin + hit[2]
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, rate: float) -> Iterator:
-    """Broadcast values, each with the passages of one block; passages of equal normalised text count once, by least item.
+def passage_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """(_passage, _item, _text) of every row of the benchmark; ``_passage`` is the same for texts that are the same normalised.
 
     NULL and blank passages cannot occur and are left out.
     """
     lowered = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
-    items = (benchmark.where(F.length(F.trim(text)) > 0).groupBy(lowered.alias("_plain"))
-             .agg(F.min(item).alias("item"), F.min(text).alias("text")))
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    return (benchmark.where(F.length(F.trim(text)) > 0)
+            .select(F.md5(lowered.cast("binary")).alias("_passage"), F.col(item).alias("_item"), F.col(text).alias("_text")))
+
+
+def blocks(items: DataFrame, rate: float) -> Iterator:
+    """Broadcast values, each with the passages of one block of BLOCK_CHARS; a passage stands for all its items."""
+    passages = items.groupBy("_passage").agg(F.min("_text").alias("text"))
+    chars = passages.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     count = math.ceil(chars / BLOCK_CHARS)
     for number in range(count):
-        part = items.where(F.pmod(F.xxhash64("_plain"), F.lit(count)) == number)
-        rows = [(r["item"], normal(r["text"])) for r in part.select("item", "text").toLocalIterator()]
+        part = passages.where(F.pmod(F.xxhash64("_passage"), F.lit(count)) == number)
+        rows = [(r["_passage"], normal(r["text"])) for r in part.toLocalIterator()]
         rows = sorted((r for r in rows if r[1]), key=lambda r: r[1])
         if rows:
-            yield benchmark.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows, rate))
+            yield items.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows, rate))
 
 
 def matcher(shared) -> Matcher:
@@ -185,20 +190,20 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
     start and end are code points of the text as given, widened to whole words.
     Texts without an occurrence give no row; NULL texts are empty; repeated rows
     give their rows again. An empty benchmark or table gives no rows. Each block
-    of passages scans the texts once, without a shuffle.
+    of passages scans the texts once. Items whose passages are the same normalised all have their rows: what is
+    found is joined with the items of its passage.
     """
     kind = docs.schema[key].dataType.simpleString()
-    item_kind = benchmark.schema[item].dataType.simpleString()
-    schema = f"_key {kind}, _item {item_kind}, distance int, start bigint, `end` bigint"
+    schema = f"_key {kind}, _passage string, distance int, start bigint, `end` bigint"
     rows = docs.selectExpr(f"`{key}` AS _key", f"`{text}` AS _text")
-    parts = []
-    for shared in blocks(benchmark, item, item_text, rate):
+    items, parts = passage_items(benchmark, item, item_text), []
+    for shared in blocks(items, rate):
         def make(batch: pa.RecordBatch, shared=shared) -> dict:
             finder, out, keys = matcher(shared), [], batch.column("_key").to_pylist()
             for number, raw in enumerate(batch.column("_text").to_pylist()):
                 for passage, distance, start, end in finder.hits(normal(raw or "")):
                     out.append((keys[number], passage.item, distance, *original_span(raw, start, end)))
-            return dict(zip(("_key", "_item", "distance", "start", "end"),
+            return dict(zip(("_key", "_passage", "distance", "start", "end"),
                             zip(*out, strict=True) if out else [[]] * 5, strict=True))
 
         parts.append(map_text(rows, "_text", schema, make))
@@ -208,13 +213,19 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
         found = parts[0]
         for part in parts[1:]:
             found = found.unionAll(part)
-    return found.withColumnsRenamed({"_key": key, "_item": item})
+    members = items.select("_passage", "_item").distinct()
+    return found.join(members, "_passage").select(
+        F.col("_key").alias(key), F.col("_item").alias(item), "distance", "start", "end")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
                    item_text: str = "text", rate: float = ERROR_RATE) -> DataFrame:
-    """The rows whose text holds no passage, all columns as they are."""
-    for shared in blocks(benchmark, item, item_text, rate):
+    """The rows whose text holds no passage, all columns as they are.
+
+    NULL and empty texts hold none and stay, as do repeated rows and columns of any name; an empty benchmark keeps all rows. Texts
+    are searched whole. No shuffle.
+    """
+    for shared in blocks(passage_items(benchmark, item, item_text), rate):
         def clean(column: pa.Array, shared=shared) -> list:
             finder = matcher(shared)
             return [next(finder.hits(normal(raw or "")), None) is None for raw in column.to_pylist()]

@@ -8,7 +8,8 @@ An ambiguous word alone marks a block only if its text-to-tag ratio is low. The
 Gaussian kernel; lines above the threshold are the content cluster. The content region is
 the smallest container that holds the whole cluster. It is never below an article or main that
 holds the cluster, and it is widened to a container around it with a heading before it. All its
-unmarked lines are the text: short paragraphs between long ones stay.
+unmarked lines are the text, but for menus: runs of short lines below the threshold that are links.
+Short paragraphs between long ones stay.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ DENSE = 50  # characters a tag; with that ratio a block is text, though an ambig
 THRESHOLD_SHARE = 0.5  # of the mean smoothed ratio
 FULL_RATIO = 200  # a longer line counts as this, so that one very long line does not put the others below the threshold
 
+LINK_SHARE = 0.8  # of a line's characters; such lines are a menu if they are short and below the threshold
+MENU_LINES, MENU_CHARS = 2, 60  # links that make a menu, and the longest one on average
+COPYRIGHT, COPYRIGHT_WORDS = re.compile(r"(?i)^(?:\u00a9|(?:copyright|\(c\))\s*(?:\u00a9|\(c\))?\s*\d{4})"), 15
+
 # HTML element names by role.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p "
@@ -42,7 +47,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Words in class, id and role attributes that name page furniture.
 NAMED = frozenset("ad ads adv advert advertisement adverts breadcrumb breadcrumbs comment comments complementary "
                   "contentinfo cookie cookies copyright disqus footer masthead menu nav navbar navigation newsletter "
-                  "pagination pager sidebar sponsor sponsored toolbar".split())
+                  "pagination pager replies sidebar sponsor sponsored toolbar topbar".split())
 # Words around them in compounds such as "main-menu" and "cookie-notice-bar".
 QUALIFIERS = frozenset("area bar block bottom box btn button buttons cell consent container content entry fixed form global "
                        "group header icon icons inner item items left link links list local main mobile notice notices "
@@ -105,45 +110,56 @@ def is_furniture(tag: str, attributes, article: bool = False) -> int:
 class Line:
     text: str
     tags: int
-    region: tuple[int, ...]  # containers from the outside in
-    article: int  # how many of them reach the outermost article or main; 0 if there is none
+    node: int  # innermost container
     heading: bool
     furniture: bool
-    weak: tuple[int, ...]  # blocks around it that an ambiguous word names
+    weak: int  # innermost block around it that an ambiguous word names, 0 if none
     seen: int  # tags of the page up to here
+    links: int  # links in it
+    linked: float  # share of its characters inside them
+    header: int  # the header of an article around it, 0 if none
 
 
 class LineReader(HTMLParser):
-    """Turns the events of one page into lines."""
+    """Turns the events of one page into lines. Each event costs the same, however deep the blocks are nested.
+
+    Containers are numbered as they open; ``parent`` leads outwards and the numbers from a container to its ``last``
+    are those inside it.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, int]] = []  # containers and furniture: tag, number, furniture
-        self.region: tuple[int, ...] = ()
-        self.containers = self.tags = self.seen = self.article = 0
-        self.marked = self.heading = False
-        self.weak: tuple[int, ...] = ()
-        self.begin: dict[int, int] = {}  # tags before each block that an ambiguous word names
-        self.block_marked = self.block = 0  # of a block that is no container
+        self.parent, self.last, self.kind = [0], [0], ["body"]
+        self.article_of = [0]  # outermost article or main around each container, itself included
+        self.open: list[tuple[str, int, int]] = []  # containers: tag, number, furniture
+        self.counts: dict[str, int] = {}  # open containers by tag
+        self.node = self.tags = self.seen = self.marks = 0
+        self.heading = False
+        self.weak = self.weak_block = 0
+        self.weak_parent, self.begin = [0], [0]  # of blocks that an ambiguous word names: the one around it, tags before it
+        self.block_marked = 0  # of a block that is no container
+        self.headers: list[int] = []  # open headers of articles
         self.silent: list[str] = []
         self.parts: list[str] = []
+        self.link, self.links, self.linked = False, 0, 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            weak = (*self.weak, self.block) if self.block_marked == WEAK else self.weak
-            self.lines.append(Line(text, self.tags, self.region, self.article, self.heading,
-                                   self.marked or self.block_marked == SURE, weak, self.seen))
+            chars = len(text) - text.count(" ")
+            self.lines.append(Line(text, self.tags, self.node, self.heading, self.marks > 0 or self.block_marked == SURE,
+                                   self.weak_block or self.weak, self.seen, self.links, self.linked / chars,
+                                   self.headers[-1] if self.headers else 0))
             self.tags = 0
-        self.block_marked, self.heading = 0, False
+        self.block_marked, self.weak_block, self.heading = 0, 0, False
+        self.link, self.links, self.linked = False, 0, 0
 
-    def refresh(self) -> None:
-        self.region = tuple(n for _, n, _ in self.open)
-        self.article = next((i for i, (t, _, _) in enumerate(self.open, 1) if t in ("article", "main")), 0)
-        self.marked = any(f == SURE for _, _, f in self.open)
-        self.weak = tuple(n for _, n, f in self.open if f == WEAK)
+    def named_weakly(self) -> int:
+        self.weak_parent.append(self.weak)
+        self.begin.append(self.seen - 1)
+        return len(self.begin) - 1
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -160,18 +176,33 @@ class LineReader(HTMLParser):
             self.silent.append(tag)
             return
         if tag not in BLOCKS:
-            self.parts.append(" ") if tag == "br" else None
+            if tag == "br":
+                self.parts.append(" ")
+            elif tag == "a":
+                self.link, self.links = True, self.links + 1
             return
         self.flush()
-        furniture = is_furniture(tag, attrs, self.article > 0)
-        self.containers += 1
-        if furniture == WEAK:
-            self.begin[self.containers] = self.seen - 1
+        article = self.article_of[self.node]
+        furniture = is_furniture(tag, attrs, article > 0)
+        if tag == "header" and article and not self.marks and not any(is_furniture("div", [a]) for a in attrs):
+            furniture = 0  # it may hold the title of the article
         if tag in CONTAINERS:
-            self.open.append((tag, self.containers, furniture))
-            self.refresh()
+            number = len(self.parent)
+            self.parent.append(self.node)
+            self.last.append(number)
+            self.kind.append(tag)
+            self.article_of.append(article or (number if tag in ("article", "main") else 0))
+            self.open.append((tag, number, furniture))
+            self.counts[tag] = self.counts.get(tag, 0) + 1
+            self.node = number
+            self.marks += furniture == SURE
+            if furniture == WEAK:
+                self.weak = self.named_weakly()
+            if tag == "header" and furniture == 0:
+                self.headers.append(number)
         else:
-            self.block_marked, self.block, self.heading = furniture, self.containers, tag in HEADINGS
+            self.block_marked, self.heading = furniture, tag in HEADINGS
+            self.weak_block = self.named_weakly() if furniture == WEAK else 0
 
     def handle_startendtag(self, tag, attrs):
         # The slash means nothing on elements that are not void.
@@ -179,6 +210,18 @@ class LineReader(HTMLParser):
         if tag in VOID and self.silent and self.silent[-1] == tag:
             self.silent.pop()
 
+    def close_container(self) -> str:
+        tag, number, furniture = self.open.pop()
+        self.counts[tag] -= 1
+        self.last[number] = len(self.parent) - 1
+        self.node = self.parent[number]
+        self.marks -= furniture == SURE
+        if furniture == WEAK:
+            self.weak = self.weak_parent[self.weak]
+        if self.headers and self.headers[-1] == number:
+            self.headers.pop()
+        return tag
+
     def handle_endtag(self, tag):
         self.tags += 1
         self.seen += 1
@@ -187,36 +230,66 @@ class LineReader(HTMLParser):
                 self.silent.pop()
             return
         if tag not in BLOCKS:
+            if tag == "a":
+                self.link = False
             return
         self.flush()
-        if tag in CONTAINERS and any(t == tag for t, _, _ in self.open):
-            while self.open.pop()[0] != tag:
+        if self.counts.get(tag):
+            while self.close_container() != tag:
                 pass
-            self.refresh()
 
     def handle_data(self, data):
         if not self.silent:
             self.parts.append(data)
+            if self.link:
+                self.linked += sum(map(len, data.split()))
 
+    def end(self) -> None:
+        self.close()
+        self.flush()
+        while self.open:
+            self.close_container()
+        self.last[0] = len(self.parent) - 1
 
-def read_lines(html: str) -> list[Line]:
-    reader = LineReader()
-    reader.feed(html)
-    reader.close()
-    reader.flush()
-    return settled(reader.lines, reader.begin) if reader.begin else reader.lines
+    def inside(self, node: int, region: int) -> bool:
+        return region <= node <= self.last[region]
 
 
-def settled(lines: list[Line], begin: dict[int, int]) -> list[Line]:
+def read_page(html: str) -> LineReader:
+    reader = LineReader()
+    reader.feed(html)
+    reader.end()
+    mark_weak(reader)
+    # A header of an article is its furniture unless it holds the article's first heading.
+    first: dict[int, int] = {}
+    for line in reader.lines:
+        if line.heading and not line.furniture:
+            first.setdefault(reader.article_of[line.node], line.header)
+    for line in reader.lines:
+        if line.header and first.get(reader.article_of[line.node]) != line.header:
+            line.furniture = True
+        if COPYRIGHT.match(line.text) and line.text.count(" ") < COPYRIGHT_WORDS:
+            line.furniture = True
+    return reader
+
+
+def mark_weak(reader: LineReader) -> None:
     """Marks the lines of those blocks named by an ambiguous word whose own ratio is below DENSE."""
-    chars, last = dict.fromkeys(begin, 0), dict(begin)
-    for line in lines:
-        for block in () if line.furniture else line.weak:
-            chars[block] += len(line.text)
-            last[block] = line.seen
-    for line in lines:
-        line.furniture = line.furniture or any(chars[b] < DENSE * (last[b] - begin[b]) for b in line.weak)
-    return lines
+    count = len(reader.begin)
+    chars, last = [0] * count, list(reader.begin)
+    for line in reader.lines:
+        if not line.furniture:
+            chars[line.weak] += len(line.text)
+            last[line.weak] = line.seen
+    for block in range(count - 1, 0, -1):  # blocks inside have higher numbers
+        outer = reader.weak_parent[block]
+        chars[outer] += chars[block]
+        last[outer] = max(last[outer], last[block])
+    sparse = [False] * count
+    for block in range(1, count):
+        sparse[block] = sparse[reader.weak_parent[block]] or chars[block] < DENSE * (last[block] - reader.begin[block])
+    for line in reader.lines:
+        line.furniture = line.furniture or sparse[line.weak]
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -230,32 +303,52 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def content_region(lines: list[Line]) -> tuple[int, ...]:
-    """The chain of containers of the content region."""
-    ratios = smoothed([min(FULL_RATIO, len(line.text) / max(1, line.tags)) for line in lines])
-    threshold = THRESHOLD_SHARE * sum(ratios) / len(ratios)
-    cluster = [line for line, ratio in zip(lines, ratios, strict=True) if ratio >= threshold]
-    region, article = cluster[0].region, cluster[0].article
-    for line in cluster:
-        same = (i for i, (a, b) in enumerate(zip(region, line.region, strict=False)) if a != b)
-        region = region[:next(same, min(len(region), len(line.region)))]
-    if 0 < article <= len(region):
-        return region[:article]
+def content_region(reader: LineReader, lines: list[Line], dense: list[bool]) -> int:
+    """The container that is the content region."""
+    cluster = [line for line, good in zip(lines, dense, strict=True) if good]
+    low, high = min(line.node for line in cluster), max(line.node for line in cluster)
+    region = low
+    while not reader.inside(high, region):  # the smallest container that holds the whole cluster
+        region = reader.parent[region]
+    if reader.article_of[region]:
+        return reader.article_of[region]
     for line in lines:
-        if line.region[:len(region)] == region:
+        if reader.inside(line.node, region):
             break
-        if line.heading and line.region == region[:len(line.region)]:
-            return line.region
+        if line.heading and reader.inside(region, line.node):
+            return line.node
     return region
 
 
+def menu_lines(lines: list[Line], low: list[bool]) -> set[int]:
+    """Places of lines that are menus: short links one after another, in one line or several, all with a ratio below the threshold."""
+    found, run = set(), []
+    for place in range(len(lines) + 1):
+        if place < len(lines) and low[place] and lines[place].linked >= LINK_SHARE:
+            run.append(place)
+            continue
+        links = sum(lines[n].links for n in run)
+        if links >= MENU_LINES and sum(len(lines[n].text) for n in run) <= MENU_CHARS * links:
+            found.update(run)
+        run = []
+    return found
+
+
 def main_text(html: str) -> str:
-    """The lines of the content region, one after another; empty if there are none."""
-    lines = [line for line in read_lines(html) if not line.furniture]
+    """The lines of the content region, one after another, without menus; empty if there are none."""
+    reader = read_page(html)
+    lines = [line for line in reader.lines if not line.furniture]
     if not lines:
         return ""
-    region = content_region(lines)
-    return "\n".join(line.text for line in lines if line.region[:len(region)] == region)
+    ratios = [min(FULL_RATIO, len(line.text) / max(1, line.tags)) for line in lines]
+    smooth = smoothed(ratios)
+    threshold = THRESHOLD_SHARE * sum(smooth) / len(smooth)
+    menus = menu_lines(lines, [ratio < threshold for ratio in ratios])
+    if len(menus) == len(lines):
+        return ""
+    dense = [ratio >= threshold and n not in menus for n, ratio in enumerate(smooth)]
+    region = content_region(reader, lines, dense if any(dense) else [n not in menus for n in range(len(lines))])
+    return "\n".join(line.text for n, line in enumerate(lines) if n not in menus and reader.inside(line.node, region))
 
 
 def extract(pages: DataFrame, html: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -2,7 +2,11 @@
 
 A line fails as
 * symbols: at least SYMBOL_SHARE of its characters are among ``#*$%&|<>`` (from three such characters on);
-* navigation: at least NAV_BARS separators ``|`` standing alone between words;
+* punctuation: at least PUNCT_SHARE of its characters are punctuation (from PUNCT_LEAST on), or it has LONG_WORDS words
+  or more and no mark that ends or divides a sentence;
+* navigation: its words stand between NAV_BARS separators such as ``|``, ``>`` or ``·``, or it is a breadcrumb of
+  at most NAV_WORDS words whose parts are at most NAV_PART words long, or it is one of MENU_LINES lines or more that follow
+  each other, of at most MENU_WORDS words and without a sentence end;
 * shouting: at least SHOUT_WORDS words, most of its letters capital, and a repeated exclamation mark;
 * boilerplate: it holds one of the BOILERPLATE phrases and is at most BOILERPLATE_WORDS words long.
 Lines without a word are left as they are. A document is rejected if the failing
@@ -21,15 +25,30 @@ from noticeflow.llm.common import WORD, map_text, nullable, small_batches
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 SYMBOL_SHARE = 0.1
-NAV_BARS = 3
+PUNCTUATION = re.compile(r"[!-/:-@\[-`{-~\u00a1-\u00bf\u2010-\u205e\u2190-\u2bff\u3001-\u303f\uff01-\uff0f]")
+PUNCT_LEAST, PUNCT_SHARE = 8, 0.3
+LONG_WORDS, SENTENCE_MARK = 100, re.compile(r"[.!?:;,\u2026\u3001\u3002\uff01\uff0c\uff1f]")
+SENTENCE_END = re.compile(r"[.!?:\u2026\u3002\uff01\uff1f][\"')\]\u00bb\u201d\u2019]*\s*$")
+SEPARATORS = frozenset("| / \\ > >> \u00bb \u203a \u00b7 \u2022 \u2023 \u25aa \u2013 \u2014 :: ~ \u2192 \u25b8".split())
+NAV_BARS, NAV_WORDS, NAV_PART = 3, 12, 3
+MENU_LINES, MENU_WORDS = 4, 2
 SHOUT_WORDS, SHOUT_SHARE = 5, 0.7
 BOILERPLATE_WORDS = 30
 LOSS_SHARE = 0.5
-# Phrases of page furniture.
+# Phrases of page furniture in English, German, French and Spanish.
 BOILERPLATE = re.compile(
     r"(?i)all rights reserved|cookie (?:policy|settings)|accept (?:all )?cookies|privacy policy|terms of (?:use|service)"
     r"|subscribe to our newsletter|sign up for|click here|read more|share (?:this|on)|lorem ipsum|enable javascript"
-    r"|skip to (?:main )?content|back to top")
+    r"|skip to (?:main )?content|back to top"
+    r"|alle rechte vorbehalten|cookie-?(?:richtlinie|einstellungen)|cookies? (?:akzeptieren|zulassen)|datenschutzerkl\u00e4rung"
+    r"|nutzungsbedingungen|newsletter (?:abonnieren|anmelden|bestellen)|hier klicken|weiterlesen|mehr lesen|jetzt teilen"
+    r"|zum (?:haupt)?inhalt springen|nach oben|javascript aktivieren"
+    r"|tous droits r\u00e9serv\u00e9s|politique de (?:confidentialit\u00e9|cookies)|accepter (?:tous )?les cookies|param\u00e8tres des cookies"
+    r"|conditions (?:d.utilisation|g\u00e9n\u00e9rales)|(?:inscrivez-vous|abonnez-vous) \u00e0 (?:notre|la) newsletter|cliquez ici|lire la suite"
+    r"|en savoir plus|partager (?:sur|cet)|aller au contenu|haut de page|activer javascript"
+    r"|todos los derechos reservados|pol\u00edtica de (?:privacidad|cookies)|aceptar (?:todas las |las )?cookies|configuraci\u00f3n de cookies"
+    r"|t\u00e9rminos (?:de uso|y condiciones)|suscr\u00edbete a nuestro|haga clic aqu\u00ed|haz clic aqu\u00ed|leer m\u00e1s|compartir en"
+    r"|saltar al contenido|volver arriba|activar javascript")
 
 
 @dataclass
@@ -51,7 +70,12 @@ def line_fails(line: str, words: list[str]) -> bool:
     symbols = len(SYMBOLS.findall(line))
     if symbols >= 3 and symbols >= SYMBOL_SHARE * sum(map(len, words)):
         return True
-    if symbols >= NAV_BARS and words.count("|") >= NAV_BARS:
+    marks = len(PUNCTUATION.findall(line))
+    if marks >= PUNCT_LEAST and marks >= PUNCT_SHARE * sum(map(len, words)):
+        return True
+    if len(words) >= LONG_WORDS and not SENTENCE_MARK.search(line):
+        return True
+    if marks and is_menu(words):
         return True
     if "!!" in line and len(words) >= SHOUT_WORDS:
         letters = [c for c in line if c.isalpha()]
@@ -60,6 +84,30 @@ def line_fails(line: str, words: list[str]) -> bool:
     return len(words) <= BOILERPLATE_WORDS and BOILERPLATE.search(line) is not None
 
 
+def is_menu(words: list[str]) -> bool:
+    """Whether separators that stand alone cut the words into the entries of a menu or breadcrumb."""
+    places = [n for n, word in enumerate(words) if word in SEPARATORS]
+    if not places:
+        return False
+    entries = [z - a - 1 for a, z in zip([-1, *places], [*places, len(words)], strict=True)]
+    if len(places) >= NAV_BARS:
+        return words.count("|") >= NAV_BARS or sum(entries) <= 2 * NAV_PART * len(entries)
+    return len(words) <= NAV_WORDS and max(entries) <= NAV_PART and min(entries) > 0
+
+
+def column_menus(lines: list[tuple[str, int]]) -> set[int]:
+    """Places of lines (text, words) that form a menu of one entry a line; lines without a word do not end one."""
+    found, run = set(), []
+    for place, (line, count) in enumerate([*lines, (".", MENU_WORDS + 1)]):
+        if 0 < count <= MENU_WORDS and not SENTENCE_END.search(line):
+            run.append(place)
+        elif count:
+            if len(run) >= MENU_LINES:
+                found.update(run)
+            run = []
+    return found
+
+
 def repeated(words: list[str], width: int = 5) -> int:
     """Words inside windows of ``width`` words that the text has twice or more."""
     windows = list(zip(*[words[i:] for i in range(width)], strict=False))
@@ -80,8 +128,9 @@ def judge(text: str) -> Judged:
     """All measures of one whole text."""
     words, good, earlier, duplicates = [], [], set(), 0
     lines, bad, lost = text.split("\n"), 0, 0
-    for line in lines:
-        own = WORD.findall(line)
+    found = [WORD.findall(line) for line in lines]
+    menus = column_menus([(line, len(own)) for line, own in zip(lines, found, strict=True)])
+    for place, (line, own) in enumerate(zip(lines, found, strict=True)):
         if not own:
             good.append(line)
             continue
@@ -89,7 +138,7 @@ def judge(text: str) -> Judged:
         if line in earlier:
             duplicates += 1
         earlier.add(line)
-        if line_fails(line, own):
+        if place in menus or line_fails(line, own):
             bad += 1
             lost += sum(map(len, own))
         else:
@@ -123,7 +172,11 @@ def quality_measures(docs: DataFrame, text: str = "text", key: str = "doc_id") -
 
 
 def clean(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
-    """The kept rows, all columns, without their failing lines; the character count follows the text."""
+    """The kept rows, all columns, without their failing lines; the character count follows the text where a line went.
+
+    NULL, empty and very short texts fail the base rules and go. Each row is judged on its own and whole: repeated rows,
+    NULL keys and columns of any name stay as they are; an empty table gives no rows.
+    """
     schema, names = docs.schema, docs.columns
 
     def run(batches):

@@ -34,12 +34,12 @@ class Rule:
 
 
 def parse_rule(line: str) -> Rule:
-    """``block example.com/en/`` as a rule."""
+    """``block example.com/en/`` as a rule; the ASCII letters of its host are lower-cased, as those of URLs are."""
     verdict, _, where = line.strip().partition(" ")
     host, slash, path = where.strip().partition("/")
     if verdict not in ("allow", "block"):
         raise ValueError(f"a rule starts with allow or block: {line!r}")
-    return Rule(verdict, host, slash + path)
+    return Rule(verdict, host.translate(str.maketrans(UPPER, LOWER)), slash + path)
 
 
 def build_trie(rules: Sequence[Rule]) -> dict:
@@ -56,6 +56,7 @@ def build_trie(rules: Sequence[Rule]) -> dict:
         for segment in whole:
             place = place["next"].setdefault(segment, {"next": {}})
         ends = place.setdefault("ends", {})
+        place.setdefault("sizes", set()).add(len(tail))
         if tail not in ends or rule.rank > ends[tail].rank:
             ends[tail] = rule
     return root
@@ -70,8 +71,9 @@ def lookup(trie: dict, host: str, path: str) -> Rule | None:
             break
         place = node.get("paths")
         for segment in segments if place else ():
-            for tail, rule in place.get("ends", {}).items():
-                if segment.startswith(tail) and (best is None or rule.rank > best.rank):
+            for size in place.get("sizes", ()):
+                rule = place["ends"].get(segment[:size]) if size <= len(segment) else None
+                if rule is not None and (best is None or rule.rank > best.rank):
                     best = rule
             place = place["next"].get(segment)
             if place is None:

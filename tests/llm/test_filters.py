@@ -156,3 +156,35 @@ def test_quality(spark):
     kept = {r.doc_id: r for r in quality_rules.clean(documents(spark, QUALITY, clash=True)).collect()}
     assert set(kept) == {0, 4} and kept[4].text == prose(60, 4) and kept[4].n_chars == len(kept[4].text)
     assert quality_rules.clean(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("line", [
+    "Home · News · Sports · Weather", "Home > News", "Start / Politik / Wirtschaft", "Inicio » Noticias » Deportes » Cultura » Tiempo",
+    "?!?! ---- ((((( ))))) ;;;; ~~~~ text", "~ ~ ~ a - - - - - b", " ".join(["word"] * 120), "Alle Rechte vorbehalten", "© Verlag. Tous droits réservés.",
+    "Política de privacidad", "All rights reserved 2020", "BUY NOW OR NEVER EVER AGAIN!!", "one ### two $$$ three"])
+def test_failing_lines(line):
+    assert quality_rules.line_fails(line, line.split())
+
+
+@pytest.mark.parametrize("line", [
+    "He said: \"No, never - not (again)!\"", "A price of 3 / 4 of the sum is due, as the two sides agreed last year.",
+    "The ratio a > b holds for every pair of numbers that was measured in the second of the two long experiments here.",
+    "Short title", "Read the small print, and more.", "x = a[i] + b[j]", ", ".join(["word"] * 120), "Il a été réservé.",
+    "Notes on the theory of everything - a first part"])
+def test_good_lines(line):
+    assert not quality_rules.line_fails(line, line.split())
+
+
+def test_menu_of_one_entry_a_line():
+    text = "Home\n\nNews\nSports\nWeather\nA first sentence stands here.\nYes.\nNo.\nWell.\nAha.\nEnd"
+    judged = quality_rules.judge(text)
+    assert judged.cleaned == "\nA first sentence stands here.\nYes.\nNo.\nWell.\nAha.\nEnd" and judged.n_bad_lines == 4
+    assert quality_rules.judge("Title\n" + "A sentence of several words stands here. " * 2).n_bad_lines == 0
+
+
+def test_urls_of_many_prefixes_and_upper_case_rules(spark):
+    rules = [url_filter.parse_rule(f"block Example.COM/p{n}") for n in range(3000)] + [url_filter.parse_rule("allow example.com/p77/x")]
+    pages = spark.createDataFrame([(1, "http://EXAMPLE.com/p12"), (2, "http://a.example.com/p77/xy"), (3, "http://example.com/q"),
+                                   (4, "http://example.com/p2999z/x")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, rules).collect()}
+    assert got == {1: ("example.com/p12", "block"), 2: ("example.com/p77/x", "allow"), 3: (None, "allow"), 4: ("example.com/p2999", "block")}
