@@ -3,7 +3,7 @@
 A line fails as
 * symbols: at least SYMBOL_SHARE of its characters are among ``#*$%&|<>`` (from three such characters on);
 * punctuation: at least PUNCT_SHARE of its characters are punctuation (from PUNCT_LEAST on), or it has LONG_WORDS words
-  or more and no mark that ends or divides a sentence;
+  or more and no mark that ends or divides a sentence, in a text that has such marks elsewhere;
 * navigation: its words stand between NAV_BARS separators such as ``|``, ``>`` or ``·``, or it is a breadcrumb of
   at most NAV_WORDS words whose parts are at most NAV_PART words long, or it is one of MENU_LINES lines or more that follow
   each other, of at most MENU_WORDS words and without a sentence end;
@@ -65,15 +65,15 @@ class Judged:
     cleaned: str
 
 
-def line_fails(line: str, words: list[str]) -> bool:
-    """Whether a line that has words breaks a rule."""
+def line_fails(line: str, words: list[str], marked: bool = True) -> bool:
+    """Whether a line that has words breaks a rule; ``marked``: its text has sentence marks at all."""
     symbols = len(SYMBOLS.findall(line))
     if symbols >= 3 and symbols >= SYMBOL_SHARE * sum(map(len, words)):
         return True
     marks = len(PUNCTUATION.findall(line))
     if marks >= PUNCT_LEAST and marks >= PUNCT_SHARE * sum(map(len, words)):
         return True
-    if len(words) >= LONG_WORDS and not SENTENCE_MARK.search(line):
+    if marked and len(words) >= LONG_WORDS and not SENTENCE_MARK.search(line):
         return True
     if marks and is_menu(words):
         return True
@@ -129,6 +129,7 @@ def judge(text: str) -> Judged:
     words, good, earlier, duplicates = [], [], set(), 0
     lines, bad, lost = text.split("\n"), 0, 0
     found = [WORD.findall(line) for line in lines]
+    marked = SENTENCE_MARK.search(text) is not None
     menus = column_menus([(line, len(own)) for line, own in zip(lines, found, strict=True)])
     for place, (line, own) in enumerate(zip(lines, found, strict=True)):
         if not own:
@@ -138,7 +139,7 @@ def judge(text: str) -> Judged:
         if line in earlier:
             duplicates += 1
         earlier.add(line)
-        if place in menus or line_fails(line, own):
+        if place in menus or line_fails(line, own, marked):
             bad += 1
             lost += sum(map(len, own))
         else:

@@ -175,6 +175,12 @@ def test_good_lines(line):
     assert not quality_rules.line_fails(line, line.split())
 
 
+def test_long_lines_without_marks_fail_only_in_texts_with_marks():
+    line = " ".join(["word"] * 120)
+    assert quality_rules.judge(f"{line}\nA sentence stands here.").cleaned == "A sentence stands here."
+    assert quality_rules.judge(line).n_bad_lines == 0
+
+
 def test_menu_of_one_entry_a_line():
     text = "Home\n\nNews\nSports\nWeather\nA first sentence stands here.\nYes.\nNo.\nWell.\nAha.\nEnd"
     judged = quality_rules.judge(text)
