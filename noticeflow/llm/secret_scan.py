@@ -228,7 +228,11 @@ def masked(text: Column, found: Column) -> Column:
 
 
 def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
-    """All rows with their secrets masked and the character count brought up to date; a text without secrets stays."""
+    """All rows with their secrets masked and the character count brought up to date; a text without secrets stays.
+
+    NULL and empty texts stay as they are, and so do repeated rows, NULL keys and columns of any name. Texts are scanned whole. An
+    empty table gives no rows.
+    """
     found = find_secrets(docs, text)
     hit = F.size("spans") > 0
     clean = found.select("_row", hit.alias("_hit"), masked(F.col("text"), F.col("spans")).alias("_clean"))

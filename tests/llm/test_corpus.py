@@ -484,3 +484,19 @@ def test_pipeline(spark, tmp_path):
     docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_pipeline_of_awkward_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(0, prose(30, 700)), (1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    long = " ".join(f"{w}." if n % 9 == 8 else w for n, w in enumerate(prose(20_000, 77).split()))
+    rows = [t if isinstance(t, tuple) else (n, t) for n, t in enumerate(AWKWARD)] + [(90, long), (90, long), (91, long)]
+    docs = documents(spark, rows, clash=True)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns and stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        docs = kept
+    assert {r.doc_id: r.text for r in docs.collect()}[90] == long and docs.where("doc_id = 91").count() == 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert {p.doc_id for p in pieces} == {r.doc_id for r in docs.collect()}
