@@ -200,7 +200,7 @@ def known_keys(spark: SparkSession, root: str, entries: Sequence[dict], load: Lo
 
 def commit_load(spark: SparkSession, root: str, load: Load | None, key: str, count_inserted: bool = True,
                 side: dict[str, tuple[str, str]] | None = None, applied: tuple[str, int] | None = None) -> dict:
-    """Make a written load count, with what belongs to it, in one commit; returns folder, rows and inserted rows.
+    """Make a written load count, with what belongs to it, in one commit; returns folder, rows, inserted rows and the number of loads.
 
     ``side`` maps a name to (add or set, folder): other folders of the same version, as a manifest. ``applied`` is
     (stream, batch number): a batch that the table has already is not added again.
@@ -220,9 +220,10 @@ def commit_load(spark: SparkSession, root: str, load: Load | None, key: str, cou
         done = {**version["applied"], **({applied[0]: applied[1]} if applied else {})}
         return {**version, "folders": [*version["folders"], *([load.entry] if load else [])], "side": kept, "applied": done}
 
-    if commit(spark, root, add) is None and load:
+    version = commit(spark, root, add)
+    if version is None and load:
         remove_folder(spark, load.folder)
-    return result
+    return {**result, "loads": len(version["folders"]) if version else None}
 
 
 def side_folders(spark: SparkSession, root: str, name: str) -> list[str]:
@@ -244,6 +245,6 @@ def upsert_table(spark: SparkSession, root: str, source: DataFrame, key: str, cl
     if verify:
         verify(load.folder)
     result = commit_load(spark, root, load, key, count_inserted, applied=applied)
-    if compact_after and len(read_version(spark, root)[1]["folders"]) > compact_after:
+    if compact_after and (result["loads"] or 0) > compact_after:
         compact_table(spark, root, key, cluster)
     return result
