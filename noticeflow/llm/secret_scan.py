@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import re
 import re._parser as regex_parser
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeflow.functions.text import bind
 from noticeflow.llm.common import cut
 
 
@@ -127,28 +128,53 @@ def candidates(index: DataFrame, queries: dict[str, Query], key: str = "key") ->
             .select(key, kinds.alias("kinds")).where(F.size("kinds") > 0))
 
 
+RUN = 128  # items whose results are gathered one by one; their runs are then joined
+
+
+def runs(items: Column) -> Column:
+    """An array cut into arrays of RUN items; an empty array gives one empty run."""
+    return bind(items, lambda all_items: F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(F.size(all_items) - 1, F.lit(0)) / RUN).cast("int")),
+        lambda number: F.slice(all_items, number * RUN + 1, F.lit(RUN))))
+
+
+def scanned(items: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """An array of what ``step`` gives for each item in order, of SQL type ``kind``.
+
+    ``step`` takes a position (0 at first) and an item, and gives the next position and the item's result. Appending to an array copies it, so
+    results are gathered by runs: the cost stays close to linear in the items.
+    """
+    def one(state, item):
+        at, result = step(state["at"], item)
+        return F.struct(at.alias("at"), F.array_append(state["done"], result).alias("done"))
+
+    def of_run(state, run):
+        first = F.struct(state["at"].alias("at"), F.array().cast(f"array<{kind}>").alias("done"))
+        return bind(F.aggregate(run, first, one), lambda own: F.struct(
+            own["at"].alias("at"), F.array_append(state["done"], own["done"]).alias("done")))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("done"))
+    return F.aggregate(runs(items), start, of_run, lambda state: F.flatten(state["done"]))
+
+
 def spans(text: Column, rule: SecretRule) -> Column:
     """Leftmost non-overlapping matches as an array of (start, end), code points, end exclusive; short ones dropped.
 
     The text is cut at the matches; a match starts after the lengths of all pieces and matches before it.
     """
     pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
+    longs = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
+    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length) if rule.group else longs
     before = F.transform(F.split(text, rule.pattern, -1), F.length)
-    items = F.arrays_zip(F.transform(matches, F.length).alias("long"), sizes.alias("own"), before.alias("gap"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,own:int>>").alias("found"))
+    items = F.arrays_zip(longs.alias("long"), sizes.alias("own"), before.alias("gap"))
+    # The last piece has no match after it.
+    paired = F.filter(items, lambda piece: piece["long"].isNotNull())
 
-    def step(state, piece):
-        begin = state["at"] + piece["gap"]
-        end = begin + piece["long"]
-        return F.struct(end.alias("at"), F.array_append(state["found"], F.struct(
-            begin.alias("start"), end.alias("end"), piece["own"].alias("own"))).alias("found"))
+    def step(at, piece):
+        end = at + piece["gap"] + piece["long"]
+        return end, F.struct((at + piece["gap"]).alias("start"), end.alias("end"), piece["own"].alias("own"))
 
-    # The last piece has no match after it.
-    paired = F.slice(items, 1, F.size(matches))
-    found = F.aggregate(paired, start, step, lambda s: s["found"])
-    kept = F.filter(found, lambda s: s["own"] >= rule.least)
+    kept = F.filter(scanned(paired, "struct<start:int,end:int,own:int>", step), lambda s: s["own"] >= rule.least)
     return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
 
@@ -212,19 +238,26 @@ MASK = "[secret]"
 
 
 def masked(text: Column, found: Column) -> Column:
-    """The text with each stretch covered by spans replaced by MASK once."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state, span):
-        piece = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        fresh = span["start"] >= state["at"]
-        parts = F.when(fresh, F.array_append(F.array_append(state["parts"], piece), F.lit(MASK))) \
-                 .otherwise(state["parts"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), parts.alias("parts"))
-
-    done = F.aggregate(found, start, step, lambda s: F.array_append(
-        s["parts"], F.substring(text, s["at"] + 1, 2**31 - 1)))
-    return F.when(F.size(found) == 0, text).otherwise(F.array_join(done, ""))
+    """The text with each stretch covered by spans replaced by MASK once.
+
+    The uncovered pieces are cut from the text in two steps, by runs of pieces and then one by one, so that a long
+    text is not walked from its start for every span.
+    """
+    def step(at, span):
+        return F.greatest(at, span["end"]), F.struct(at.alias("start"), span["start"].alias("end"))
+
+    # A span that starts inside a covered stretch leaves no piece before it.
+    between = F.filter(scanned(found, "struct<start:int,end:int>", step), lambda p: p["start"] <= p["end"])
+    last = F.struct(F.array_max(F.transform(found, lambda s: s["end"])).alias("start"), F.lit(2**31 - 1).alias("end"))
+
+    def of_run(run):
+        base = run[0]["start"]
+        stretch = F.substring(text, base + 1, F.element_at(run, -1)["end"] - base)
+        return bind(stretch, lambda own: F.transform(
+            run, lambda p: F.substring(own, p["start"] - base + 1, p["end"] - p["start"])))
+
+    done = F.flatten(F.transform(runs(F.array_append(between, last)), of_run))
+    return F.when(F.size(found) == 0, text).otherwise(F.array_join(done, MASK))
 
 
 def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:

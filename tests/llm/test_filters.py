@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from noticeflow.llm import chat, quality_rules, secret_scan, url_filter
 from noticeflow.llm.queries_filters import URL_RULES
@@ -194,3 +195,22 @@ def test_urls_of_many_prefixes_and_upper_case_rules(spark):
                                    (4, "http://example.com/p2999z/x")], "page_id long, url string")
     got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, rules).collect()}
     assert got == {1: ("example.com/p12", "block"), 2: ("example.com/p77/x", "allow"), 3: (None, "allow"), 4: ("example.com/p2999", "block")}
+
+
+def test_many_secrets_in_one_text(spark):
+    """Spans of thousands of matches against re, and the text without what they cover; overlapping kinds included."""
+    parts = [f"wört{n} " + (f"password=ABCDEFGH{n:06d}" if n % 3 else f"token: {n:032x}xyz {n:020x}") for n in range(6_000)]
+    texts = [" ".join(parts), " ".join(parts[:secret_scan.RUN]), " ".join(parts[:secret_scan.RUN + 1]), "token=" + "a1" * 20, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    found = {r._row.doc_id: r.spans for r in secret_scan.find_secrets(docs).collect()}
+    clean = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
+    for n, text in enumerate(texts):
+        want = sorted((m.start(), k, m.end()) for k, rule in enumerate(secret_scan.RULES) for m in re.finditer(rule.pattern, text)
+                      if len(m.group(rule.group)) >= rule.least)
+        assert [(s.start, s.kind_no, s.end) for s in found[n]] == want
+        rest, at = "", 0
+        for start, _, end in want:
+            if start >= at:
+                rest += text[at:start] + secret_scan.MASK
+            at = max(at, end)
+        assert clean[n].text == rest + text[at:] and clean[n].n_chars == len(rest + text[at:])
