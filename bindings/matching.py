@@ -134,6 +134,24 @@ UNION ALL SELECT 'unexpected_record', count(*) FILTER (c_custkey IS NULL) FROM p
 UNION ALL SELECT 'missing_record', count(*) FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)"""
 
 
+def _bodies(spark, d):
+    """Documents, and a later state of them: reversed digests where a body names a token, one source gone."""
+    bodies = table(spark, d, "documents").select("doc_id", "source", F.sha2("text", 256).alias("body"), F.col("text").contains("token").alias("named"))
+    later = bodies.where(F.coalesce("source", F.lit("")) != "src3").withColumn("body", F.when(F.col("named"), F.reverse("body")).otherwise(F.col("body")))
+    return bodies, later
+
+
+Q["reconcile_by_ranges"] = lambda spark, d: compare.reconcile_by_ranges(*_bodies(spark, d), "doc_id", ["body", "source"], ["body"])
+SQL["reconcile_by_ranges"] = """
+WITH e AS (SELECT doc_id, coalesce(source, '') AS source, sha256(text) AS body, contains(text, 'token') AS named FROM documents),
+ a AS (SELECT doc_id, source, CASE WHEN named THEN reverse(body) ELSE body END AS body FROM e WHERE source <> 'src3'),
+ p AS (SELECT e.body AS want, a.body AS have, e.doc_id AS w, a.doc_id AS h, e.source AS ws, a.source AS hs FROM e FULL JOIN a ON e.doc_id = a.doc_id)
+SELECT 'body' AS measure, count(*) FILTER (want <> have) AS "rows" FROM p
+UNION ALL SELECT 'source', count(*) FILTER (ws <> hs) FROM p
+UNION ALL SELECT 'unexpected_record', count(*) FILTER (w IS NULL) FROM p
+UNION ALL SELECT 'missing_record', count(*) FILTER (h IS NULL) FROM p"""
+
+
 def coverage(spark, d):
     # Only presence is counted, so bodies enter the joins as digests.
     bodies = table(spark, d, "documents").select(

@@ -97,6 +97,66 @@ def reconcile_records(expected: DataFrame, actual: DataFrame, key: str, fields:
         F.struct(F.lit("missing_record").alias("measure"), F.col("missing").alias("rows")))))
 
 
+RANGES = 4096
+
+
+def _range(key: str, ranges: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(ranges)).alias("_range")
+
+
+def _range_sums(rows: DataFrame, key: str, fields: Sequence[str], ranges: int) -> DataFrame:
+    """(_range, sums): per range of key hashes the rows, and sums over two hashes of key and field texts.
+
+    Sums do not depend on the order of rows and count each copy of a row, so equal sums say that the rows agree (up to
+    chance in 128 bits). Halves of hashes are added, so no sum leaves 64 bits below 2^31 rows.
+    """
+    texts = [_text(f) for f in fields]
+    sizes = [F.length(t) for t in texts]
+    hashed = rows.select(_range(key, ranges), F.col(key).isNull().cast("bigint").alias("keyless"),
+                         F.xxhash64(key, *texts, *sizes).alias("h0"), F.xxhash64(F.lit(1), *sizes, *reversed(texts), key).alias("h1"))
+    halves = [half for h in ("h0", "h1") for half in (F.col(h).bitwiseAND(2**32 - 1), F.shiftrightunsigned(h, 32))]
+    sums = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.sum("keyless").alias("keyless"),
+                                        *[F.sum(half).alias(f"s{i}") for i, half in enumerate(halves)])
+    return sums.select("_range", F.struct("n", *[f"s{i}" for i in range(4)]).alias("sums"), "keyless")
+
+
+def differing_ranges(expected: DataFrame, actual: DataFrame, key: str, fields: Sequence[str],
+                     ranges: int = RANGES, unique_keys: bool = False) -> DataFrame:
+    """(_range) in which the sides may differ: other rows, a row without a key, or a key with several expected rows.
+
+    At most ``ranges`` + 1 rows. Finding repeated keys takes a shuffle of key hashes; ``unique_keys`` says that there are none.
+    """
+    left = _range_sums(expected, key, fields, ranges).select("_range", F.col("sums").alias("l"), F.col("keyless").alias("kl"))
+    right = _range_sums(actual, key, fields, ranges).select("_range", F.col("sums").alias("r"), F.col("keyless").alias("kr"))
+    keyless = F.coalesce("kl", F.lit(0)) + F.coalesce("kr", F.lit(0))
+    found = left.join(right, "_range", "full_outer").where(~F.col("l").eqNullSafe(F.col("r")) | (keyless > 0)).select("_range")
+    if unique_keys:
+        return found
+    repeated = (expected.select(F.xxhash64(key).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+                .where("n > 1").select(F.pmod("h", F.lit(ranges)).alias("_range")))
+    return found.unionByName(repeated).distinct()
+
+
+def reconcile_by_ranges(expected: DataFrame, actual: DataFrame, key: str, fields: Sequence[str], order: Sequence[str],
+                        ranges: int = RANGES, unique_keys: bool = False) -> DataFrame:
+    """``reconcile_records`` for sides that agree in most places; same result.
+
+    Both sides are read twice: first for sums per range of key hashes, then for the rows of the ranges that differ. Rows
+    of equal ranges take no part in any shuffle. Keys must be of one type on both sides, since their hashes are compared.
+    """
+    kinds = {side.schema[key].dataType for side in (expected, actual)}
+    if len(kinds) > 1:
+        raise TypeError(f"{key} has two types: {sorted(k.simpleString() for k in kinds)}")
+    # ``ranges`` + 1 numbers at most, whatever the size of the tables.
+    differing = F.broadcast(differing_ranges(expected, actual, key, fields, ranges, unique_keys))
+
+    def left_over(side: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return side.select(*columns, _range(key, ranges)).join(differing, "_range", "left_semi").drop("_range")
+
+    needed = dict.fromkeys([key, *fields])
+    return reconcile_records(left_over(expected, [*dict.fromkeys([*needed, *order])]), left_over(actual, [*needed]), key, fields, order)
+
+
 def field_coverage(expected: DataFrame, actual: DataFrame, fields: Sequence[str],
                    uncounted: Sequence[str] = ()) -> DataFrame:
     """Non-empty values per field on both sides; ``uncounted`` fields are flagged, not judged."""

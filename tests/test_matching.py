@@ -316,3 +316,31 @@ def test_reconcile_verdict(spark):
     assert verdict(rows) == (2, 2, True, True, True)
     assert verdict([(1, "a", 5), (2, "c", None)]) == (2, 2, True, False, False)
     assert verdict([(1, "a", 5)]) == (2, 1, False, False, False)
+
+
+def test_ranges_give_the_result_of_the_full_comparison(spark):
+    rng = random.Random(5)
+    schema = "id long, at int, a string, b string"
+    for case in range(4):
+        rows = [(rng.choice([None, *range(60)]) if case % 2 else n, n, rng.choice(["x", "", None]), rng.choice("pq")) for n in range(80)]
+        other = [r for r in rows if rng.random() > 0.1] + [(1000 + case, 0, "new", None)] * case
+        other = [(k, n, "z" if rng.random() < 0.05 else a, b) for k, n, a, b in other]
+        left, right = spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)
+        for pair in [(left, right), (left, left), (left, right.limit(0)), (left.limit(0), right)]:
+            want = compare.reconcile_records(*pair, "id", ["a", "b"], ["at"]).collect()
+            assert compare.reconcile_by_ranges(*pair, "id", ["a", "b"], ["at"], ranges=16).collect() == want
+
+
+def test_only_differing_ranges_are_compared(spark):
+    left = spark.range(1000).select("id", F.col("id").cast("string").alias("a"), F.lit(None).cast("string").alias("b"))
+    moved = left.select("id", F.when(F.col("id") == 7, "b7").otherwise(F.col("a")).alias("a"), "b")
+    swapped = left.select("id", F.when(F.col("id") == 7, F.col("b")).otherwise(F.col("a")).alias("a"),
+                          F.when(F.col("id") == 7, F.col("a")).otherwise(F.col("b")).alias("b"))
+    assert compare.differing_ranges(left, left, "id", ["a", "b"]).count() == 0
+    for other in (moved, swapped, left.where("id <> 7"), left.unionByName(left.where("id = 7"))):
+        assert compare.differing_ranges(left, other, "id", ["a", "b"]).count() == 1
+    twice = left.unionByName(left.where("id = 7"))
+    assert compare.differing_ranges(twice, twice, "id", ["a", "b"]).count() == 1
+    assert compare.differing_ranges(twice, twice, "id", ["a", "b"], unique_keys=True).count() == 0
+    with pytest.raises(TypeError):
+        compare.reconcile_by_ranges(left, left.withColumn("id", F.col("id").cast("int")), "id", ["a"], ["a"])
