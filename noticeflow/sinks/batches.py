@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.running import running_total
 from ..schema import CHUNK_BYTES
 from ..session import checkpointed
-from ..sources.tables import CSV_OPTIONS, read_load_csv
+from ..sources.tables import CSV_OPTIONS, read_bounded_csv
 
 ROW_END = 2  # CRLF
 
@@ -192,7 +192,7 @@ def write_load_chunks(df: DataFrame, batches: DataFrame, key: Sequence[str], pat
 
 def read_load_chunks(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """(batch, columns) of all chunk files, with the bytes of each file as ``_bytes``."""
-    rows = read_load_csv(spark, path, columns)
+    rows = read_bounded_csv(spark, path, columns)
     number = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=([0-9]+)/", 1).cast("bigint")
     return rows.select(number.alias("batch"), *columns, F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_size").alias("_bytes"))

@@ -1,4 +1,5 @@
 import zipfile
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,14 +9,14 @@ from noticeflow.operators.incremental import cutover_seed, merge_quarantine, pen
 from noticeflow.plans.prepare import prepare, to_notices
 from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, sync_batch
 from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA
-from noticeflow.sinks import read_table
-from noticeflow.sources import (audit_workbooks, parse_workbooks, read_workbooks, require_files,
+from noticeflow.sinks import read_table, write_load_csv
+from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_workbooks, require_files,
                                 resolve_formulas, scan_files, unreadable_formulas, with_digest)
 
 from noticeflow.schema import ALLOWED_CATEGORIES, AWARDED_CATEGORIES  # noqa: E402
 
 OTHER_CATEGORY = "合同"
-CATEGORIES = [OTHER_CATEGORY, *reversed(ALLOWED_CATEGORIES), OTHER_CATEGORY]
+CATEGORIES = [OTHER_CATEGORY, *ALLOWED_CATEGORIES, OTHER_CATEGORY]
 
 
 def sheet_row(number, category, body=None, title=None, day="2025-01-01", winning=""):
@@ -280,3 +281,34 @@ def test_preflight_stops_a_load(spark, tmp_path):
         sync_batch(spark, files, paths, described=described, legacy=keyless)
     assert read_table(spark, paths.target, "Source_Key__c") is None
     assert sync_batch(spark, files, paths, described=described)["status"] == "uploaded"
+
+
+def test_one_load_file_is_read_by_many_tasks(spark, tmp_path):
+    """Blocks of a few lines cut fields, quotes and runs of line ends; the records are those of a reader of whole files."""
+    pick = Random(5)
+    parts = ["a", 'b"', "\n", '"', ",", "\r", "\r\n", "é", " ", "", "word "]
+    want = [(str(i), "".join(pick.choice(parts) for _ in range(pick.randrange(30))) or None, pick.choice(["en", None])) for i in range(600)]
+    want.append(("long", "x\n" * 3000, "de"))  # spans many blocks
+    columns = ["id", "t", "l"]
+    write_load_csv(spark.createDataFrame(want, "id string, t string, l string").coalesce(1), str(tmp_path / "load"), columns)
+    settings = {"spark.sql.files.maxPartitionBytes": "700b", "spark.sql.files.openCostInBytes": "0"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert spark.read.text(str(tmp_path / "load")).rdd.getNumPartitions() > 20
+        got = [tuple(row) for row in read_load_csv(spark, str(tmp_path / "load"), columns).collect()]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_load_files_by_other_writers(spark, tmp_path):
+    (tmp_path / "crlf.csv").write_bytes(b'"a\r\nb",c\r\n1,"x\r\ny"\r\n\r\n2,\r\n')
+    (tmp_path / "no-end.csv").write_bytes(b'a,c\n3," z"')
+    (tmp_path / "empty.csv").write_bytes(b"")
+    rows = read_load_csv(spark, str(tmp_path), ["k", "v"]).collect()
+    assert sorted(tuple(row) for row in rows) == [("1", "x\r\ny"), ("2", None), ("3", " z")]
+    (tmp_path / "cut.csv").write_bytes(b'a,c\n4,"open\n')
+    with pytest.raises(Exception, match="file ends inside quotes"):
+        read_load_csv(spark, str(tmp_path), ["k", "v"]).collect()
