@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.compare import compare_keys
 from ..operators.gates import (GateError, assert_gate, preflight, schema_gate, verify_modified_since,
@@ -19,6 +20,7 @@ from ..session import checkpointed, shared_dir
 from ..sinks.files import commit_manifest, remove_folder
 from ..sinks.upsert import commit_load, read_table, side_folders, stage_load
 from ..sources.files import with_digest
+from ..sources.landing import stream_changed_files
 from ..sources.workbooks import parse_workbooks, resolve_formulas
 from .prepare import WARNING_FLAGS, complete, notice_report, split_firsts, to_notices
 
@@ -135,3 +137,20 @@ def sync_batch(spark: SparkSession, files: DataFrame, paths: SyncPaths, force: b
             "newly_blocked_rows": report["blocked_rows"], "inserted_rows": inserted,
             "updated_rows": rows - inserted, "duplicates_filtered": report["duplicates_skipped"],
             "categories_filtered": report["categories_skipped"], "job_id": job_id}
+
+
+def stream_sync(spark: SparkSession, folder: str, paths: SyncPaths, checkpoint: str, glob: str = "*.xlsx",
+                files_per_load: int = 1000, **options) -> StreamingQuery:
+    """``sync_batch`` over what is new or edited below a folder, in loads of a bounded number of files.
+
+    Whether a changed file is loaded is decided by its content: the manifest knows the digest of what has been loaded, so a file that was
+    only touched, or a batch that is run again after a crash, loads nothing.
+    """
+    def apply(batch: DataFrame, number: int) -> None:
+        names = sorted({row["path"] for row in batch.select("path").collect()})
+        for start in range(0, len(names), files_per_load):
+            files = batch.sparkSession.read.format("binaryFile").load(names[start:start + files_per_load])
+            sync_batch(batch.sparkSession, files, paths, **options)
+
+    changes = stream_changed_files(spark, folder, f"{checkpoint.rstrip('/')}-files", glob)
+    return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

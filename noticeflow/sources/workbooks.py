@@ -120,36 +120,100 @@ def _first_part(archive: zipfile.ZipFile) -> str:
     return min(name for name in archive.namelist() if name.startswith("xl/worksheets/sheet"))
 
 
-def _sheet_rows(content: bytes, sheet=_active_sheet) -> Iterator[tuple[int, list[str | None], list[int]]]:
-    """(row number, cells, formula columns) of the active sheet, or of the one that ``sheet`` names; streamed."""
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        strings, dates = _shared_strings(archive), _date_styles(archive)
-        number, width = 0, 0
-        with archive.open(sheet(archive)) as stream:
-            for _, node in ElementTree.iterparse(stream):
-                if node.tag == MAIN + "dimension":
-                    # The declared range; rows may leave out trailing blanks.
-                    width = 1 + _column_index((node.get("ref") or "").split(":")[-1], -1)
-                if node.tag != MAIN + "row":
-                    continue
-                number = int(node.get("r") or number + 1)
-                cells: list[str | None] = []
-                formulas = []
-                for cell in node.findall(MAIN + "c"):
-                    index = _column_index(cell.get("r"), len(cells))
-                    cells.extend([None] * (index + 1 - len(cells)))
-                    cells[index], is_formula = _cell(cell, strings, dates)
-                    if is_formula:
-                        formulas.append(index)
-                node.clear()
-                cells.extend([None] * (width - len(cells)))
-                yield number, cells, formulas
+ROW_TAG = re.compile(rb"<(?:[\w.-]+:)?row(?=[\s/>])([^>]*)>")
+ROW_NUMBER = re.compile(rb"""\sr\s*=\s*["']([0-9]+)""")
+CHUNK = 1 << 20
+
+
+def _row_tags(data: bytes, until: int) -> Iterator[tuple[int, int | None]]:
+    """(place, number if given) of the row tags before a place."""
+    for tag in ROW_TAG.finditer(data, 0, until):
+        number = ROW_NUMBER.search(tag.group(1))
+        yield tag.start(), int(number.group(1)) if number else None
 
 
-def _data_rows(path: str, content: bytes) -> Iterator[tuple]:
+def _range_of_sheet(stream, size: int, index: int, count: int) -> Iterator[tuple[bytes, int]]:
+    """(XML, number of the row before it): what comes before the first row, then the rows that begin in one of ``count`` ranges of the bytes.
+
+    Rows before the range are inflated and their tags counted, but not parsed.
+    """
+    data, at, number, first, inside = b"", 0, 0, None, False
+    while True:
+        chunk = stream.read(CHUNK)
+        data += chunk
+        # Tags that begin before the last one are whole.
+        until = data.rfind(b"<") if chunk else len(data)
+        begin, end = (0, None) if inside else (None, None)
+        for place, given in _row_tags(data, max(until, 0)):
+            if first is None:
+                first = at + place
+                yield data[:place], 0
+            start, stop = (first + (size - first) * i // count for i in (index, index + 1))
+            if at + place >= stop and index + 1 < count:
+                end = place
+                break
+            if begin is None and at + place >= start:
+                begin, inside = place, True
+            elif begin is None:
+                number = given or number + 1
+        if first is not None:
+            cut = until if end is None else end
+            if begin is not None:
+                yield data[begin:cut], number
+            data, at = data[cut:], at + cut
+        if end is not None or not chunk:
+            return
+
+
+def _sheet_rows(content, sheet=_active_sheet, index: int = 0, count: int = 1) -> Iterator[tuple[int, list[str | None], list[int]]]:
+    """(row number, cells, formula columns) of the active sheet, or of the one that ``sheet`` names; streamed.
+
+    ``content`` is the bytes or an open file. With a ``count`` it gives the rows of one range of them.
+    """
+    with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as archive:
+        strings, dates = _shared_strings(archive), _date_styles(archive)
+        number, width, rows = 0, 0, None
+        part = archive.getinfo(sheet(archive))
+        parser = ElementTree.XMLPullParser(("start", "end"))
+        with archive.open(part) as stream:
+            pieces = (((chunk, None) for chunk in iter(lambda: stream.read(CHUNK), b"")) if count == 1
+                      else _range_of_sheet(stream, part.file_size, index, count))
+            placed = count == 1
+            for piece, before in pieces:
+                if not placed and before:
+                    number, placed = before, True
+                parser.feed(piece)
+                for event, node in parser.read_events():
+                    if event == "start":
+                        rows = node if node.tag == MAIN + "sheetData" else rows
+                        continue
+                    if node.tag == MAIN + "dimension":
+                        # The declared range; rows may leave out trailing blanks.
+                        width = 1 + _column_index((node.get("ref") or "").split(":")[-1], -1)
+                    if node.tag != MAIN + "row":
+                        continue
+                    number = int(node.get("r") or number + 1)
+                    cells: list[str | None] = []
+                    formulas = []
+                    for cell in node.findall(MAIN + "c"):
+                        column = _column_index(cell.get("r"), len(cells))
+                        cells.extend([None] * (column + 1 - len(cells)))
+                        cells[column], is_formula = _cell(cell, strings, dates)
+                        if is_formula:
+                            formulas.append(column)
+                    node.clear()
+                    if rows is not None:
+                        rows.clear()
+                    cells.extend([None] * (width - len(cells)))
+                    yield number, cells, formulas
+        if count == 1:
+            parser.close()
+
+
+def _data_rows(path: str, content, index: int = 0, count: int = 1) -> Iterator[tuple]:
     position, title = HEADER_CHECK
-    headed = False
-    for number, cells, formulas in _sheet_rows(content):
+    headed = index > 0  # the first range checks the header
+    for number, cells, formulas in _sheet_rows(content, index=index, count=count):
         if not headed:
             headed = (number == 1 and len(cells) == RAW_WIDTH
                       and (cells[position] or "").strip(WHITESPACE) == title)
@@ -164,8 +228,8 @@ def _data_rows(path: str, content: bytes) -> Iterator[tuple]:
         raise ValueError(f"header is not the known {RAW_WIDTH}-column layout: {path}")
 
 
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of all files of a partition, in batches bounded by rows and by text size."""
+def row_batches(parsed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Raw rows in batches bounded by rows and by text size."""
     schema = to_arrow_schema(RAW_SCHEMA)
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -174,18 +238,23 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     rows, chars = [], 0
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-            for row in _data_rows(path.as_py(), content.as_py()):
-                rows.append(row)
-                chars += sum(len(cell) for cell in row[3:-1] if cell is not None)
-                if len(rows) >= BATCH_ROWS or chars >= BATCH_CHARS:
-                    yield packed(rows)
-                    rows, chars = [], 0
+    for row in parsed:
+        rows.append(row)
+        chars += sum(len(cell) for cell in row[3:-1] if cell is not None)
+        if len(rows) >= BATCH_ROWS or chars >= BATCH_CHARS:
+            yield packed(rows)
+            rows, chars = [], 0
     if rows:
         yield packed(rows)
 
 
+def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of all files of a partition."""
+    return row_batches(row for batch in batches
+                       for path, content in zip(batch.column("path"), batch.column("content"), strict=True)
+                       for row in _data_rows(path.as_py(), content.as_py()))
+
+
 def parse_workbooks(files: DataFrame) -> DataFrame:
     """(path, content) -> raw rows. A wrong header or a row of another width aborts."""
     return files.select("path", "content").mapInArrow(_parse_batches, RAW_SCHEMA)

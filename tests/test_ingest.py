@@ -1,4 +1,6 @@
+import os
 import zipfile
+from io import BytesIO
 from random import Random
 
 import pytest
@@ -7,11 +9,11 @@ from pyspark.sql import functions as F
 from bindings.workbook_files import workbook_bytes
 from noticeflow.operators.incremental import cutover_seed, merge_quarantine, pending_files
 from noticeflow.plans.prepare import prepare, to_notices
-from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, sync_batch
+from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, stream_sync, sync_batch
 from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA
 from noticeflow.sinks import read_table, write_load_csv
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_workbooks, require_files,
-                                resolve_formulas, scan_files, unreadable_formulas, with_digest)
+                                resolve_formulas, scan_files, scan_workbooks, unreadable_formulas, with_digest)
 
 from noticeflow.schema import ALLOWED_CATEGORIES, AWARDED_CATEGORIES  # noqa: E402
 
@@ -312,3 +314,56 @@ def test_load_files_by_other_writers(spark, tmp_path):
     (tmp_path / "cut.csv").write_bytes(b'a,c\n4,"open\n')
     with pytest.raises(Exception, match="file ends inside quotes"):
         read_load_csv(spark, str(tmp_path), ["k", "v"]).collect()
+
+
+def sheet_with(rows):
+    """Rows with numbers left out here and there, and a gap."""
+    content = workbook_bytes(rows)
+    out = BytesIO()
+    with zipfile.ZipFile(BytesIO(content)) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            text = old.read(name).decode()
+            if name.endswith("sheet1.xml"):
+                pieces = text.split("<row>")
+                text = pieces[0] + "".join(f'<row r="{i + 10}">{p}' if i > 20 and i % 3 == 0 else f"<row>{p}"
+                                           for i, p in enumerate(pieces[1:], 1))
+            new.writestr(name, text)
+    return out.getvalue()
+
+
+def test_workbooks_by_ranges_of_rows(spark, tmp_path):
+    """Every row once, with its number, however the sheets are cut; small files share a task."""
+    for name, n in (("a.xlsx", 300), ("b/c.xlsx", 1), ("b/d.xlsx", 0)):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(sheet_with([sheet_row(i, "招标公告", body=f"<row {i}> & " * (1 + i % 7)) for i in range(n)]))
+    (tmp_path / "~$a.xlsx").write_bytes(b"lock")
+    want = sorted(map(str, read_workbooks(spark, str(tmp_path)).drop("_path").collect()))
+    assert len(want) == 301
+    for size in (1 << 20, 2000, 150):
+        cut = scan_workbooks(spark, str(tmp_path), range_bytes=size)
+        assert (cut.rdd.getNumPartitions() == 1) == (size == 1 << 20)
+        assert sorted(map(str, cut.drop("_path").collect())) == want
+    (tmp_path / "e.xlsx").write_bytes(workbook_bytes([], 32))
+    with pytest.raises(Exception, match="header is not the known"):
+        scan_workbooks(spark, str(tmp_path)).collect()
+
+
+def test_edited_workbook_is_loaded_once_by_the_stream(spark, tmp_path):
+    paths = SyncPaths(*(str(tmp_path / name) for name in ("target", "manifest", "queue")))
+    folder = tmp_path / "in"
+
+    def run():
+        query = stream_sync(spark, str(folder), paths, str(tmp_path / "check"), files_per_load=1)
+        query.awaitTermination()
+        assert query.exception() is None
+        return {r["Name"]: r["content__c"] for r in read_table(spark, paths.target, "Source_Key__c").select("Name", "content__c").collect()}
+
+    category = ALLOWED_CATEGORIES[0]
+    write(folder / "a.xlsx", [sheet_row(1, category), sheet_row(2, category)])
+    write(folder / "b.xlsx", [sheet_row(3, category)])
+    assert len(run()) == 3 and load_manifest(spark, paths).count() == 2
+    assert len(run()) == 3 and load_manifest(spark, paths).count() == 2
+    write(folder / "a.xlsx", [sheet_row(1, category), sheet_row(4, category)])
+    os.utime(folder / "b.xlsx")  # touched, not edited
+    assert len(run()) == 4 and load_manifest(spark, paths).count() == 3
