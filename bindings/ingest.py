@@ -18,11 +18,12 @@ from noticeflow.session import shared_dir
 from noticeflow.sinks import (csv_row_bytes, greedy_batches, read_load_chunks, read_table, size_bounded_batches,
                               write_load_chunks, write_load_csv)
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_logs, read_target,
-                                resolve_formulas, scan_files, with_digest)
+                                resolve_formulas, scan_files, scan_workbooks, with_digest)
+from noticeflow.sources.landing import qualified
 from noticeflow.sources.tables import last_result
 
 from .common import MONEY, SQL_EVENT_NUMBER, SQL_WS, day, event_number, sql_parts, table, text_files
-from .workbook_files import render_workbooks
+from .workbook_files import render_workbooks, store_workbooks
 
 Q: dict = {}
 SQL: dict = {}
@@ -462,6 +463,18 @@ SELECT key AS "Source_Key__c", CAST(doc_id AS VARCHAR) AS "Source_Row_Number__c"
  sha256(coalesce(body, '')) AS "Source_Content_Hash__c", day AS "release_date__c", 3 AS "_row" FROM k"""
 
 
+def scanned_workbooks(spark, d):
+    """The same workbooks as files of a folder, read by the data source; long ones are cut into ranges of rows."""
+    folder = qualified(spark, shared_dir(spark, "workbooks"))
+    store_workbooks(render_workbooks(sheet_rows(spark, d)), folder)
+    return to_notices(scan_workbooks(spark, folder, range_bytes=1 << 18)).select(
+        "Source_Key__c", "Source_Row_Number__c", "Full_Title__c", "Source_Content_Hash__c", "release_date__c", "_row")
+
+
+Q["scan_workbooks"] = scanned_workbooks
+SQL["scan_workbooks"] = SQL["read_workbooks"]
+
+
 def audited_files(spark, d, how="left"):
     """Workbooks of all documents (inner: of labelled ones); files of toxic ones are cut short."""
     labels = table(spark, d, "labels").select(F.format_string("/in/%012d.xlsx", "doc_id").alias("path"), "toxic")

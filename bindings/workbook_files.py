@@ -7,11 +7,14 @@ with the table and nothing is gathered.
 from __future__ import annotations
 
 import io
+import posixpath
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 from noticeflow.schema import HEADER_CHECK, RAW_COLUMNS, RAW_WIDTH
@@ -63,3 +66,19 @@ def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def render_workbooks(rows: DataFrame) -> DataFrame:
     """(path, c0..c32) -> (path, content), one workbook per row."""
     return rows.select("path", *RAW_COLUMNS).mapInArrow(_render, "path string, content binary")
+
+
+def store_workbooks(files: DataFrame, folder: str) -> int:
+    """Write (path, content) as files of the same base names, each by its task; a task that is run again writes the same files."""
+    uri = re.sub(r"^file:/+", "file:///", folder)
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(uri)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                with system.open_output_stream(f"{base}/{posixpath.basename(path)}") as out:
+                    out.write(content.as_buffer())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return files.mapInArrow(store, "n bigint").groupBy().sum("n").first()[0] or 0

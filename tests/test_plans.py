@@ -15,7 +15,7 @@ PYTHON = {"read_workbooks", "audit_workbooks", "export_completeness", "sync_batc
 # These write and read files or run streams while they are built.
 EAGER = {"sync_batch", "stream_upsert", "stream_first_wins", "stream_daily_counts", "load_csv_roundtrip",
          "collect_daily_counts", "read_summaries", "upsert_partitions", "sync_retry", "load_chunks", "read_logs", "scan_files", "load_summary", "outbox_status_counts", "tag_records", "tag_assignments",
-         "stream_earliest_wins", "stream_outbox"}
+         "stream_earliest_wins", "stream_outbox", "scan_workbooks"}
 
 
 def plan_of(df):
