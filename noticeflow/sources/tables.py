@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import CHECKPOINT_SCHEMA
+from ..session import checkpointed
 
 # Blanks at the ends of a value belong to it.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": "",
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+# At most so many blocks are sent to all tasks, about 100 MB; with more, the lines are shuffled to their blocks.
+BROADCAST_BLOCKS = 500_000
 BLOCK, RECORD = "path string, block bigint, parity int, even bigint, odd bigint", "path string, block bigint, number bigint, at bigint, record string"
 BLOCK_ROWS = pa.schema([("path", pa.string()), ("block", pa.int64()), ("parity", pa.int32()), ("even", pa.int64()), ("odd", pa.int64())])
 RECORD_ROWS = pa.schema([("path", pa.string()), ("block", pa.int64()), ("number", pa.int64()), ("at", pa.int64()), ("record", pa.string())])
@@ -103,7 +106,7 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
 
     Spark cuts a file into blocks of lines. Whether a block begins inside a quoted field follows from the number of quotes
     in the blocks before it, a running sum over one small row per block. Records are put together in the task of their block;
-    only pieces of those that cross from block to block are shuffled, two a block at most. A record is numbered in the block it begins in.
+    only pieces of those that cross from block to block are shuffled, two a block at most, and the rows of blocks are checkpointed. A record is numbered in the block it begins in.
     Quotes inside fields must be doubled, as load files have them. A file that ends inside quotes fails the job.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
@@ -120,6 +123,9 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     last = F.last(F.when(F.col("begun") > 0, F.struct("block", F.col("begun").alias("number"))), True).over(earlier)
     opened = opened.select("path", "block", "inside", last.alias("o")).select(
         "path", "block", "inside", F.col("o.block").alias("open_block"), F.col("o.number").alias("open_number"))
+    opened = checkpointed(opened)
+    if opened.count() <= BROADCAST_BLOCKS:
+        opened = F.broadcast(opened)
     placed = lines.join(opened, ["path", "block"]).sortWithinPartitions("path", "block", "line")
     pieces = F.array_sort(F.collect_list(F.struct("at", "record")))
     crossing = (placed.mapInArrow(_assembler(False), RECORD).groupBy("path", "block", "number").agg(pieces.alias("p"))

@@ -12,6 +12,7 @@ from noticeflow.plans.prepare import prepare, to_notices
 from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, stream_sync, sync_batch
 from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA
 from noticeflow.sinks import read_table, write_load_csv
+from noticeflow.sources import tables
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_workbooks, require_files,
                                 resolve_formulas, scan_files, scan_workbooks, unreadable_formulas, with_digest)
 
@@ -285,8 +286,10 @@ def test_preflight_stops_a_load(spark, tmp_path):
     assert sync_batch(spark, files, paths, described=described)["status"] == "uploaded"
 
 
-def test_one_load_file_is_read_by_many_tasks(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_blocks", [500_000, 0])
+def test_one_load_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch, broadcast_blocks):
     """Blocks of a few lines cut fields, quotes and runs of line ends; the records are those of a reader of whole files."""
+    monkeypatch.setattr(tables, "BROADCAST_BLOCKS", broadcast_blocks)
     pick = Random(5)
     parts = ["a", 'b"', "\n", '"', ",", "\r", "\r\n", "é", " ", "", "word "]
     want = [(str(i), "".join(pick.choice(parts) for _ in range(pick.randrange(30))) or None, pick.choice(["en", None])) for i in range(600)]
