@@ -48,9 +48,13 @@ def unique_index(df: DataFrame, key: str, methods: dict[str, Column]) -> DataFra
 
 def candidates(local: DataFrame, remote: DataFrame, key: str, remote_id: str,
                methods: dict[str, Column]) -> DataFrame:
-    """(id, keys, methods) of every target row with at least one candidate source key."""
+    """(id, keys, methods) of every target row with at least one candidate source key.
+
+    Both sides hold a digest per record and identifier, far more than their few columns take in
+    a file, so a broadcast chosen by file size would not fit the driver: the joins here are by shuffle.
+    """
     index = unique_index(local, key, methods)
-    hits = _identifiers(remote, [remote_id], methods).join(index, ["method", "value"])
+    hits = _identifiers(remote, [remote_id], methods).join(index.hint("merge"), ["method", "value"])
     # At most one hit per method, so the collected sets hold a few items.
     return hits.groupBy(remote_id).agg(F.array_sort(F.collect_set(key)).alias("keys"),
                                        F.array_sort(F.collect_set("method")).alias("methods"))
@@ -103,11 +107,11 @@ def review_rows(local: DataFrame, remote: DataFrame, key: str, remote_id: str, d
                           F.array_join("methods", ",").alias("match_methods"))
     ambiguous = listed.where(F.size("keys") > 1).withColumn("reason", F.lit(AMBIGUOUS))
     colliding = (listed.where(F.size("keys") == 1)
-                 .join(claimed, F.col("keys")[0] == F.col("_key"), "left_semi")
+                 .join(claimed.hint("merge"), F.col("keys")[0] == F.col("_key"), "left_semi")
                  .withColumn("reason", F.lit(COLLISION)))
     rows = ambiguous.unionByName(colliding).drop("keys")
     texts = [F.coalesce(clean(d), F.lit("")).alias(d) for d in details]
-    return rows.join(remote.select(remote_id, *texts), remote_id)
+    return rows.join(remote.select(remote_id, *texts).hint("merge"), remote_id)
 
 
 def match_method_counts(matched: DataFrame, column: str = "match_methods") -> DataFrame:

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from noticeflow.functions import fingerprint
 from noticeflow.operators import compare, gates, legacy
 from noticeflow.plans.prepare import project_to_target
 from noticeflow.schema import COMPACT_FIELDS, NOTICE_SCHEMA
@@ -82,6 +83,20 @@ def test_hot_identifier_against_brute_force(spark):
     assert have == expected and expected
 
 
+@pytest.mark.parametrize("result", ["match", "report", "review", "counts"])
+def test_legacy_sends_no_side_to_the_driver(spark, result):
+    """A table that is small as a file has a digest per record and identifier, which must not be broadcast."""
+    rows = spark.range(40).select(F.format_string("k%02d", "id").alias("key"), F.col("id").cast("string").alias("Id"), (F.col("id") % 30).alias("url"))
+    methods = {"url": fingerprint(["url"]), "id": fingerprint(["Id"])}
+    matched = legacy.match_legacy(rows, rows, "key", "Id", methods)
+    made = {"match": lambda: matched, "report": lambda: legacy.match_report(rows, rows, "key", "Id", methods),
+            "review": lambda: legacy.review_rows(rows, rows, "key", "Id", ["url"], methods),
+            "counts": lambda: legacy.match_method_counts(matched)}[result]()
+    # The count of all target rows is a scalar of its own; the joins are what may not be broadcast.
+    assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {r["Id"]: r["key"] for r in matched.collect()} == {str(i): f"k{i:02d}" for i in range(40)}
+
+
 @pytest.mark.parametrize("title,buyer,day,overlap", [("道路照明", "市政处", "2025-01-01", 1), ("道路照明", "市政处", "2025-02-03", 0), ("", "市政处", "2025-01-01", 0)])
 def test_legacy_overlap(spark, title, buyer, day, overlap):
     schema = "Full_Title__c string, Name string, Buyer_Name__c string, accountname__c string, release_date__c string"
