@@ -18,6 +18,7 @@ from ..functions.verdicts import (MAX_INDUSTRY, MAX_REASON, PROMPT_BODY_CHARS, S
 # Fixed values of the tagging contract.
 PENDING, DONE, FAILED = "待识别", "已识别", "失败"
 RULE_CATEGORY, MAX_RULES, MAX_PENDING, MAX_MESSAGE = "biaoxun", 5, 10, 1000
+RULE_BYTES, RULE_SHARES = 8_000_000, 64
 NO_RULES, NO_SEMANTICS = "没有启用的标讯标签规则", "标讯规则没有有效语义项"
 
 
@@ -52,13 +53,23 @@ def records_with_rules(records: DataFrame, ruled: DataFrame) -> DataFrame:
     """Each record once per rule, as column ``rule``.
 
     Only the ids of the rules (five at most) travel as one array value that every
-    record explodes; names and texts are joined. The rule side has one row per id,
-    so a large record side can be split. Without usable rules a record keeps one row with a NULL rule.
+    record explodes; names and texts are joined. Rules of up to ``RULE_BYTES`` in all, measured first, are
+    broadcast, so no record moves. Longer ones are joined by a shuffle in ``RULE_SHARES`` shares of the records:
+    by rule alone, a task would read every record. Without usable rules a record keeps one row with a NULL rule.
     """
     listed = ruled.agg(F.array_sort(F.collect_list("id")).alias("r")).scalar()
     rule = F.struct("created", F.col("id").alias("rule_id"), "name", "tag_id", "semantics")
     rules = ruled.select(F.col("id").alias("_rule"), rule.alias("rule"))
-    return records.withColumn("_rule", F.explode_outer(listed)).join(rules, "_rule", "left").drop("_rule")
+    pairs = records.withColumn("_rule", F.explode_outer(listed))
+    size = rules.agg(F.sum(F.octet_length(F.to_json("rule")).cast("bigint"))).first()[0] or 0
+    if size <= RULE_BYTES:
+        return pairs.join(F.broadcast(rules), "_rule", "left").drop("_rule")
+    # The share follows from the record, so a task that is run again deals its rows out as before.
+    plain = [f.name for f in records.schema if isinstance(f.dataType, T.AtomicType)]
+    share = F.pmod(F.xxhash64(*plain), F.lit(RULE_SHARES)).cast("int") if plain else F.lit(0)
+    shares = F.sequence(F.lit(0), F.lit(RULE_SHARES - 1))
+    return (pairs.withColumn("_share", share)
+            .join(rules.withColumn("_share", F.explode(shares)).hint("merge"), ["_rule", "_share"], "left").drop("_rule", "_share"))
 
 
 def keyword_scorer(text: Column, semantics: Column) -> Column:

@@ -85,6 +85,20 @@ def test_tagging(spark):
     assert tagged.assignments.count() == 6 and tagged.assignments.where("is_matched").count() == 3
 
 
+@pytest.mark.parametrize("limit", [tagging.RULE_BYTES, 0])
+def test_records_are_not_dealt_out_by_rule_alone(spark, monkeypatch, limit):
+    """Short rules are broadcast, so no record is shuffled; long ones are joined in shares of the records."""
+    monkeypatch.setattr(tagging, "RULE_BYTES", limit)
+    rule, items = rules(spark)
+    records = spark.range(300).select(F.col("id").cast("string").alias("id"), F.lit("云").alias("text"), F.create_map("id", "id").alias("m"))
+    pairs = tagging.records_with_rules(records, tagging.rule_semantics(tagging.active_rules(rule), items))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) == (limit == 0) and ("_share" in plan) == (limit == 0)
+    got = sorted((int(r["id"]), r["rule"]["rule_id"], tuple(r["rule"]["semantics"])) for r in pairs.collect())
+    assert pairs.columns == ["id", "text", "m", "rule"]
+    assert got == [pair for i in range(300) for pair in ((i, 1, ("晶圆", "芯片")), (i, 2, ("云",)))]
+
+
 def test_scorer_gets_the_prompt_and_tags_are_stored(spark, tmp_path):
     def scorer(text, semantics):
         good = F.startswith(text, F.lit("规则名称：")) & F.contains(text, F.lit("公告正文：body"))
