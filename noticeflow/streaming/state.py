@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import datetime, timedelta, timezone
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.dedup import dedup_first
 
+EPOCH = datetime(1970, 1, 1)
+
 
 class _EarliestWins(StatefulProcessor):
     """State of a key: the earliest row so far until the watermark passes it, then the time until which it is remembered."""
@@ -25,39 +27,40 @@ class _EarliestWins(StatefulProcessor):
         self.best = handle.getValueState("best", self.held)
         self.until = handle.getValueState("until", "ms long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        until = self.until.get()[0] if self.until.exists() else None
-        known = self.best.get() if self.best.exists() else None
-        names, best = self.held.names, known
-        for frame in rows:
-            if until is not None:  # copies within the time the key is remembered
-                frame = frame[frame[self.order[0]].map(_millis) > until]
-            if len(frame):
-                row = tuple(_plain(v) for v in frame.sort_values(self.order)[names].iloc[0])
-                if best is None or self._place(row) < self._place(best):
-                    best = row
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # A key has one of the two states at most, and every look at a state is a call to the JVM.
+        known = self.best.get()
+        until = self.until.get() if known is None else None
+        ts, best = self.held.names.index(self.order[0]), known
+        for row in rows:
+            row = tuple(_plain(row[name]) for name in self.held.names)
+            if until is not None and _millis(row[ts]) <= until[0]:  # copies within the time the key is remembered
+                continue
+            if best is None or self._place(row) < self._place(best):
+                best = row
         if best is not known:
             if known is not None:
-                self.handle.deleteTimer(_millis(known[names.index(self.order[0])]))
+                self.handle.deleteTimer(_millis(known[ts]))
             elif until is not None:
                 self.until.clear()
-                self.handle.deleteTimer(until)
+                self.handle.deleteTimer(until[0])
             self.best.update(best)
-            self.handle.registerTimer(_millis(best[names.index(self.order[0])]))
+            self.handle.registerTimer(_millis(best[ts]))
         yield from ()
 
     def _place(self, row: tuple) -> tuple:
-        return tuple(row[self.held.names.index(c)] for c in self.order)
+        values = [row[self.held.names.index(c)] for c in self.order]
+        return tuple((True,) if value is None else (False, value) for value in values)  # NULL last
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.best.exists():
-            row = self.best.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        row = self.best.get()
+        if row is not None:
             self.best.clear()
             until = expiredTimerInfo.getExpiryTimeInMs() + self.remember_ms
             self.until.update((until,))
             self.handle.registerTimer(until)
             made = {**dict(zip(self.key, key, strict=True)), **dict(zip(self.held.names, row, strict=True))}
-            yield pd.DataFrame({n: [made[n]] for n in self.schema.names})
+            yield Row(**{n: made[n] for n in self.schema.names})
         else:
             self.until.clear()
 
@@ -66,13 +69,16 @@ class _EarliestWins(StatefulProcessor):
 
 
 def _plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-        return None
-    return value.to_pydatetime() if isinstance(value, pd.Timestamp) else value.item() if hasattr(value, "item") else value
+    """A time as the state gives it back: in UTC, without a zone."""
+    if isinstance(value, datetime):
+        return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+    return value
 
 
-def _millis(moment) -> int:
-    return int(pd.Timestamp(moment).value // 1_000_000)
+def _millis(moment: datetime | None) -> int:
+    if moment is None:
+        return -(1 << 63) // 1_000_000
+    return (moment - EPOCH) // timedelta(milliseconds=1)
 
 
 def stream_earliest_wins(stream: DataFrame, key: Sequence[str], ts: str, tiebreak: Sequence[str], delay: str,
@@ -88,7 +94,7 @@ def stream_earliest_wins(stream: DataFrame, key: Sequence[str], ts: str, tiebrea
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema])
     processor = _EarliestWins(schema, key, [ts, *tiebreak], remember_seconds * 1000)
     return (stream.withWatermark(ts, delay).groupBy(*key)
-            .transformWithStateInPandas(processor, schema, outputMode="append", timeMode="eventTime"))
+            .transformWithState(processor, schema, outputMode="append", timeMode="eventTime"))
 
 
 def with_held_rows(emitted: DataFrame, rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
