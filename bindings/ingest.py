@@ -490,11 +490,17 @@ SQL["audit_workbooks"] = """SELECT printf('/in/%012d.xlsx', doc_id) AS path, coa
  FROM documents LEFT JOIN labels USING (doc_id)"""
 
 
+def _stored_files(spark, d, base):
+    """Workbooks of all documents, stored once: a load reads its files several times, as those of a folder."""
+    render_workbooks(sheet_rows(spark, d)).write.parquet(f"{base}/files")
+    return spark.read.parquet(f"{base}/files")
+
+
 def sync_twice(spark, d):
     """Load every document workbook, run again (nothing is pending), return the target."""
     base = shared_dir(spark, "sync")
     paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
-    files = render_workbooks(sheet_rows(spark, d))
+    files = _stored_files(spark, d, base)
     first = sync_batch(spark, files, paths)
     again = sync_batch(spark, files, paths)
     target = read_table(spark, paths.target, "Source_Key__c")
@@ -514,7 +520,7 @@ def sync_retry(spark, d):
     """A first load died while it was written; the next run loads everything."""
     base = shared_dir(spark, "sync")
     paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
-    files = render_workbooks(sheet_rows(spark, d))
+    files = _stored_files(spark, d, base)
     rows = to_notices(resolve_formulas(parse_workbooks(files)))
     (rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
      .parquet(f"{paths.target}/load-{0:020d}"))

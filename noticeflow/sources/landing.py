@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..schema import RAW_SCHEMA
-from .workbooks import _data_rows, resolve_formulas, row_batches
+from .workbooks import CHUNK, _data_rows, resolve_formulas, row_batches
 
 # Bytes of workbooks for a task; a larger file is cut into ranges of rows.
 RANGE_BYTES = 32 << 20
+# Ranges of a folder are this many or more before small files are put together beyond the size of a range.
+TASKS = 200
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -56,11 +58,16 @@ class WorkbookReader(DataSourceReader):
         self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
 
     def partitions(self) -> list[InputPartition]:
-        """Small files together up to the size of a range, larger ones cut; only the listing is read here."""
+        """Small files together up to the size of a range, larger ones cut; only the listing is read here.
+
+        A task costs as much as many small files, so of many files more go together, up to ``RANGE_BYTES``.
+        """
         tasks, parts, taken = [], [], 0
-        for path, (_, size) in sorted(listed(self.root, self.glob).items()):
+        files = sorted(listed(self.root, self.glob).items())
+        together = max(self.range_bytes, min(RANGE_BYTES, sum(size for _, (_, size) in files) // TASKS))
+        for path, (_, size) in files:
             count = max(1, -(-size // self.range_bytes))
-            if parts and taken + size > self.range_bytes:
+            if parts and taken + size > together:
                 tasks.append(Ranges(parts))
                 parts, taken = [], 0
             if count == 1:
@@ -75,12 +82,12 @@ class WorkbookReader(DataSourceReader):
         return tasks
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
-        """The file is read through its file system, never held whole."""
+        """A small file is read in one go; a larger one through its file system, never held whole."""
         def rows() -> Iterator[tuple]:
             for path, index, count in partition.parts:
                 system, own, _ = _opened(path)
                 with system.open_input_file(own) as file:
-                    yield from _data_rows(path, file, index, count)
+                    yield from _data_rows(path, file.read() if count == 1 and file.size() <= CHUNK else file, index, count)
 
         return row_batches(rows())
 

@@ -3,16 +3,18 @@ import zipfile
 from io import BytesIO
 from random import Random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import ingest, workbook_files
 from bindings.workbook_files import workbook_bytes
 from noticeflow.operators.incremental import cutover_seed, merge_quarantine, pending_files
 from noticeflow.plans.prepare import prepare, to_notices
 from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, stream_sync, sync_batch
-from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA
+from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA, RAW_COLUMNS
 from noticeflow.sinks import read_table, write_load_csv
-from noticeflow.sources import tables
+from noticeflow.sources import landing, tables, workbooks
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_workbooks, require_files,
                                 resolve_formulas, scan_files, scan_workbooks, unreadable_formulas, with_digest)
 
@@ -370,3 +372,32 @@ def test_edited_workbook_is_loaded_once_by_the_stream(spark, tmp_path):
     write(folder / "a.xlsx", [sheet_row(1, category), sheet_row(4, category)])
     os.utime(folder / "b.xlsx")  # touched, not edited
     assert len(run()) == 4 and load_manifest(spark, paths).count() == 3
+
+
+def test_many_small_workbooks_share_tasks(monkeypatch):
+    """The number of tasks does not follow that of the files; large files are cut as before."""
+    files = {f"/in/{n:06d}.xlsx": (0, 100_000) for n in range(30_000)} | {"/in/large.xlsx": (0, 1 << 20)}
+    monkeypatch.setattr(landing, "listed", lambda root, glob: files)
+    tasks = landing.WorkbookReader({"path": "/in", "rangebytes": str(1 << 18)}).partitions()
+    assert len(tasks) < 300
+    assert sorted(path for task in tasks for path, _, count in task.parts if count == 1) == sorted(set(files) - {"/in/large.xlsx"})
+    assert sorted(part for task in tasks for part in task.parts if part[2] > 1) == [("/in/large.xlsx", i, 4) for i in range(4)]
+
+
+def test_rendered_workbooks_come_few_at_a_time():
+    names = ["path", *RAW_COLUMNS]
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{n}" for n in range(450)])] * len(names), names=names)
+    sizes = [made.num_rows for made in workbook_files._render(iter([batch]))]
+    assert sum(sizes) == 450 and max(sizes) <= 200
+
+
+def test_files_of_a_load_are_rendered_once(spark, tmp_path):
+    files = ingest._stored_files(spark, "/root/testdata/sf0.001", str(tmp_path))
+    assert "MapInArrow" not in files._jdf.queryExecution().executedPlan().toString() and files.columns == ["path", "content"]
+
+
+def test_small_sheet_reads_as_a_streamed_one(monkeypatch):
+    content = workbook_files.workbook_bytes([["1", None, "=HYPERLINK(\"u\",\"t\")", "a\r&<"] + [None] * 29, [None] * 33])
+    whole = list(workbooks._sheet_rows(content))
+    monkeypatch.setattr(workbooks, "CHUNK", 64)
+    assert whole == list(workbooks._sheet_rows(content)) and len(whole) == 4
