@@ -9,6 +9,7 @@ a range is cut into sequences of a power of two, which need no padding.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -22,8 +23,10 @@ from noticeflow.llm.common import Words, cut, map_text, mix64, worker_cache
 
 LENGTH, END_ID = 2048, 1
 DIMS, BITS, BUCKETS = 4, 8, 1024
-# Entries that each cache of a worker holds at most; a full cache starts anew.
-MOST_CHUNKS, MOST_WORDS = 2_000_000, 500_000
+# Entries and ids that each table of a worker holds at most, besides those of one batch; a full table starts anew.
+MOST_CHUNKS, MOST_WORDS, MOST_IDS = 2_000_000, 500_000, 16_000_000
+# Bytes of text that are encoded at a time.
+CHARS = 1_000_000
 # Bytes that lead characters from U+0300 on: combining marks are among them. Texts without any can be lower-cased in
 # ASCII first, which lets more chunks be equal and changes no id.
 WIDE = re.compile(rb"[\xcc-\xff]")
@@ -33,102 +36,127 @@ WIDE = re.compile(rb"[\xcc-\xff]")
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+class Known:
+    """Token ids of pieces of text, in a table sorted by hash; length and first bytes are compared as well."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash, self.head = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.pool = np.empty(0, "<u2")
+
+    def forget_if_full(self) -> None:
+        if len(self.hash) > self.most or len(self.pool) > MOST_IDS:
+            self.forget()
+
+    def lookup(self, hashes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start in the pool and number of ids of each piece; a start of -1 says that it is unknown."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        known = (self.hash[place] == hashes) & (self.head[place] == heads)
+        return np.where(known, self.start[place], -1).astype(np.int64), self.size[place].astype(np.int64)
+
+    def add(self, hashes: np.ndarray, heads: np.ndarray, found: list[bytes]) -> None:
+        """New pieces, in order of hash; a hash that is there already keeps its piece."""
+        at = np.searchsorted(self.hash, hashes)
+        new = self.hash[np.minimum(at, len(self.hash) - 1)] != hashes if len(self.hash) else np.ones(len(hashes), bool)
+        hashes, heads, at = hashes[new], heads[new], at[new]
+        found = [f for f, n in zip(found, new.tolist(), strict=True) if n]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        start = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u2")])
+        for name, values in (("hash", hashes), ("head", heads), ("start", start), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), at, values))
+
+
 class ChunkIds:
     """Token ids of white-space separated chunks, remembered between texts.
 
     Holds for tokenizers whose normaliser and pre-tokenizer never look across ASCII white space
     and drop it, that ignore case, and that mark the last token of each word (``</w>``), such as the word-end BPE.
-    Known chunks are a table sorted by hash; length and first bytes are compared as well.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has one core; the tokenizer's own threads would each keep memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.word_end = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words: dict[str, bytes] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.hash, self.head = np.empty(0, np.uint64), np.empty(0, np.uint64)
-        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.pool = np.empty(0, "<u2")
+        self.chunks, self.words = Known(MOST_CHUNKS), Known(MOST_WORDS)
 
     def ids_of(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of each chunk, asked of the tokenizer."""
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
-        parts, other, fresh = [], [], set()
+        self.words.forget_if_full()
+        parts, last = [], []  # the words and tails of all simple chunks, and where those of each chunk end
         for chunk in chunks:
-            text = chunk.decode()
-            simple = SIMPLE.fullmatch(text)
-            if simple is None:
-                other.append(text)
-                parts.append(None)
-                continue
-            word, tail = simple[1].lower(), simple[2]
-            parts.append((word, tail))
-            if word not in self.words:
-                fresh.add(word)
-            if tail and tail not in self.words:
-                fresh.add(tail)
-        self._learn_words(sorted(fresh))
-        rest = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
-        return [np.array(next(rest).ids, "<u2").tobytes() if p is None
-                else self.words[p[0]] + (self.words[p[1]] if p[1] else b"") for p in parts]
-
-    def _learn_words(self, words: list[str], group: int = 64) -> None:
-        lines = [" ".join(words[i:i + group]) for i in range(0, len(words), group)]
+            simple = SIMPLE.fullmatch(chunk.decode())
+            if simple is not None:
+                parts.append(simple[1].lower())
+                if simple[2]:
+                    parts.append(simple[2])
+            last.append(len(parts))
+        ids = self._ids_of_words(parts)
+        found, first = [], 0
+        for z in last:
+            own = ids[first:z]
+            found.append(b"".join(own) if own and None not in own else None)
+            first = z
+        rest = [chunk.decode() for chunk, f in zip(chunks, found, strict=True) if f is None]
+        made = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [np.array(next(made).ids, "<u2").tobytes() if f is None else f for f in found]
+
+    def _ids_of_words(self, parts: list[str]) -> list[bytes | None]:
+        """The ids of each word or tail; None where another has the same hash."""
+        if not parts:
+            return []
+        spans = Words([" ".join(parts).encode()])
+        heads = spans.heads()
+        start, size = self.words.lookup(spans.hash, heads)
+        missing = np.flatnonzero(start < 0)
+        if len(missing):
+            hashes, first = np.unique(spans.hash[missing], return_index=True)
+            first = missing[first]
+            self.words.add(hashes, heads[first], self._learn_words([parts[w] for w in first.tolist()]))
+            start[missing], size[missing] = self.words.lookup(spans.hash[missing], heads[missing])
+        pool = self.words.pool
+        return [pool[a:a + n].tobytes() if a >= 0 else None for a, n in zip(start.tolist(), size.tolist(), strict=True)]
+
+    def _learn_words(self, words: list[str], group: int = 64) -> list[bytes]:
+        lines, found = [" ".join(words[i:i + group]) for i in range(0, len(words), group)], []
         for start, made in zip(range(0, len(words), group),
                                self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
             ids = np.array(made.ids, "<u2")
             bounds = (np.flatnonzero(self.word_end[ids]) + 1).tolist()
-            own = words[start:start + group]
-            if len(bounds) != len(own):
+            if len(bounds) != len(words[start:start + group]):
                 raise ValueError("the tokenizer doesn't mark word ends")
             raw, begin = ids.tobytes(), 0
-            for word, end in zip(own, bounds, strict=True):
-                self.words[word] = raw[2 * begin:2 * end]
+            for end in bounds:
+                found.append(raw[2 * begin:2 * end])
                 begin = end
-
-    def lookup(self, hashes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start in the pool and number of ids of each chunk; a start of -1 says that it is unknown."""
-        if not len(self.hash):
-            return np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
-        place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        known = (self.hash[place] == hashes) & (self.head[place] == heads)
-        return np.where(known, self.start[place], -1), self.size[place]
-
-    def add(self, hashes: np.ndarray, heads: np.ndarray, found: list[bytes]) -> None:
-        """New chunks, in order of hash; a hash that is there already keeps its chunk."""
-        at = np.searchsorted(self.hash, hashes)
-        new = self.hash[np.minimum(at, len(self.hash) - 1)] != hashes if len(self.hash) else np.ones(len(hashes), bool)
-        hashes, heads, at = hashes[new], heads[new], at[new]
-        found = [f for f, n in zip(found, new.tolist(), strict=True) if n]
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        start = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u2")])
-        for name, values in (("hash", hashes), ("head", heads), ("start", start), ("size", size)):
-            setattr(self, name, np.insert(getattr(self, name), at, values))
+        return found
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the bounds of each text; the end id closes each."""
         words = Words([t if WIDE.search(t) else t.lower() for t in texts])
         heads = words.heads()
-        if len(self.hash) > MOST_CHUNKS:
-            self.forget()
-        start, size = self.lookup(words.hash, heads)
+        self.chunks.forget_if_full()
+        start, size = self.chunks.lookup(words.hash, heads)
         missing = np.flatnonzero(start < 0)
         if len(missing):
             hashes, first = np.unique(words.hash[missing], return_index=True)
             first = missing[first]
             raw = words.raw.tobytes()
             found = self.ids_of([raw[a:z] for a, z in zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)])
-            self.add(hashes, heads[first], found)
-            start[missing], size[missing] = self.lookup(words.hash[missing], heads[missing])
-        pool, odd = self.pool, np.flatnonzero(start < 0)
+            self.chunks.add(hashes, heads[first], found)
+            start[missing], size[missing] = self.chunks.lookup(words.hash[missing], heads[missing])
+        pool, odd = self.chunks.pool, np.flatnonzero(start < 0)
         if len(odd):  # the same hash as another chunk: not remembered
             found = self.ids_of([words.raw[words.start[w]:words.end[w]].tobytes() for w in odd])
             size[odd] = [len(f) // 2 for f in found]
@@ -205,7 +233,7 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
         return {"_key": batch.column("_key"), "_row": batch.column("_row"), "_ids": blobs,
                 "_curve": curve_keys(ids, bounds, cache["table"])}
 
-    return map_text(rows, "_text", f"_key {kind}, _curve bigint, _row bigint, _ids binary", make)
+    return map_text(rows, "_text", f"_key {kind}, _curve bigint, _row bigint, _ids binary", make, CHARS)
 
 
 class Range:

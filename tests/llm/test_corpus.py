@@ -1,6 +1,7 @@
 """Near duplicates, packing, decontamination, licenses, HTML, classifier and the pipeline, against brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -185,6 +186,38 @@ def test_packing(spark):
     assert packing.pack(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_packing_remembers_words_in_little_memory():
+    chunks = packing.ChunkIds(tokenizer_path())
+    letters = [chr(97 + i) for i in range(26)]
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters[:4]]
+    tracemalloc.start()
+    try:
+        for start in range(0, len(words), 10_000):
+            chunks.encode([" ".join(words[start:start + 10_000]).encode()])
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 100 * len(words)
+
+
+def test_packing_tables_start_anew(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "MOST_CHUNKS", 20)
+    monkeypatch.setattr(packing, "MOST_WORDS", 20)
+    monkeypatch.setattr(packing, "MOST_IDS", 300)
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    chunks = packing.ChunkIds(tokenizer_path())
+    texts = [*ODD_TEXTS, "0x" + "9f" * 500, *[prose(60, n) for n in range(12)], *ODD_TEXTS]
+    for text in texts:
+        before = len(chunks.chunks.pool) if len(chunks.chunks.pool) <= 300 else 0
+        ids, bounds = chunks.encode([text.encode()])
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == [*want, 1] and bounds.tolist() == [0, len(want) + 1]
+        assert len(chunks.chunks.pool) <= before + len(want)
+
+
 @pytest.mark.parametrize(("dims", "bits"), [(2, 3), (3, 3), (4, 2)])
 def test_hilbert_neighbours(dims, bits):
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
