@@ -14,9 +14,10 @@ from noticeflow.operators import compare, dedup, disposition, filters, gates, pr
 from noticeflow.plans.prepare import prepare, project_to_target, to_notices
 from noticeflow.plans.sync import SyncPaths, sync_batch
 from noticeflow.schema import RAW_COLUMNS
-from noticeflow.session import shared_dir
+from noticeflow.session import shared_dir, shuffles_dropped
 from noticeflow.sinks import (csv_row_bytes, greedy_batches, read_load_chunks, read_table, size_bounded_batches,
                               write_load_chunks, write_load_csv)
+from noticeflow.sinks.upsert import COMPRESSED
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_logs, read_target,
                                 resolve_formulas, scan_files, scan_workbooks, with_digest)
 from noticeflow.sources.landing import qualified
@@ -492,7 +493,8 @@ SQL["audit_workbooks"] = """SELECT printf('/in/%012d.xlsx', doc_id) AS path, coa
 
 def _stored_files(spark, d, base):
     """Workbooks of all documents, stored once: a load reads its files several times, as those of a folder."""
-    render_workbooks(sheet_rows(spark, d)).write.parquet(f"{base}/files")
+    with shuffles_dropped(spark):
+        render_workbooks(sheet_rows(spark, d)).write.option("compression", "zstd").parquet(f"{base}/files")
     return spark.read.parquet(f"{base}/files")
 
 
@@ -522,7 +524,7 @@ def sync_retry(spark, d):
     paths = SyncPaths(f"{base}/target", f"{base}/manifest", f"{base}/queue")
     files = _stored_files(spark, d, base)
     rows = to_notices(resolve_formulas(parse_workbooks(files)))
-    (rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    (rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").options(**COMPRESSED)
      .parquet(f"{paths.target}/load-{0:020d}"))
     result = sync_batch(spark, files, paths)
     return read_table(spark, paths.target, "Source_Key__c").select(

@@ -92,14 +92,27 @@ def notice_report(notices: DataFrame) -> DataFrame:
     return batch_report(notices, *_rules(), "_path", {flag.lstrip("_"): F.col(flag) for flag in WARNING_FLAGS})
 
 
-def split_firsts(notices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(written, quarantined): the first row of each key, split by body length."""
-    kept = allow_categories(notices, "Publication_Category__c").where(complete())
-    firsts = dedup_first(kept, ["Source_Key__c"], ["_path", "_row"])
+def is_eligible() -> Column:
+    """A row of an allowed category with its required fields."""
+    return F.col("Publication_Category__c").isin(*ALLOWED_CATEGORIES) & complete()
+
+
+def eligible(notices: DataFrame) -> DataFrame:
+    """The eligible rows, by conditions that reach the scan."""
+    return allow_categories(notices, "Publication_Category__c").where(complete())
+
+
+def split_by_size(firsts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(written, quarantined) rows by body length."""
     fits, over = quarantine_oversize(firsts, "Source_Content__c", "_path", length=BODY_LENGTH)
     return fits.select(*NOTICE_FIELDS), over.select(*NOTICE_FIELDS, *QUARANTINE_EXTRA)
 
 
+def split_firsts(notices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(written, quarantined): the first row of each key, split by body length."""
+    return split_by_size(dedup_first(eligible(notices), ["Source_Key__c"], ["_path", "_row"]))
+
+
 @dataclass
 class Prepared:
     """Results of one batch; nothing runs until a frame is used."""

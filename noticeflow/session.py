@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,21 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
     return spark
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it the shuffle files of an action go when it ends, not when the driver comes to collect its garbage.
+
+    For jobs of several actions that each shuffle anew; a frame that is collected twice would be shuffled twice.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the cluster's checkpoint folder.
 

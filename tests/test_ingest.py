@@ -1,4 +1,5 @@
 import os
+import time
 import zipfile
 from io import BytesIO
 from random import Random
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from bindings import ingest, workbook_files
 from bindings.workbook_files import workbook_bytes
 from noticeflow.operators.incremental import cutover_seed, merge_quarantine, pending_files
+from noticeflow.plans import sync
 from noticeflow.plans.prepare import prepare, to_notices
 from noticeflow.plans.sync import GateError, SyncPaths, load_manifest, stream_sync, sync_batch
 from noticeflow.schema import NOTICE_FIELDS, NOTICE_SCHEMA, RAW_COLUMNS
+from noticeflow.session import shuffles_dropped
 from noticeflow.sinks import read_table, write_load_csv
 from noticeflow.sources import landing, tables, workbooks
 from noticeflow.sources import (audit_workbooks, parse_workbooks, read_load_csv, read_workbooks, require_files,
@@ -401,3 +404,70 @@ def test_small_sheet_reads_as_a_streamed_one(monkeypatch):
     whole = list(workbooks._sheet_rows(content))
     monkeypatch.setattr(workbooks, "CHUNK", 64)
     assert whole == list(workbooks._sheet_rows(content)) and len(whole) == 4
+
+
+def recorded(monkeypatch, name, place):
+    """Plans of the frame that a step of a load is given."""
+    plans, call = [], getattr(sync, name)
+
+    def seen(*args, **options):
+        plans.append(args[place]._jdf.queryExecution().executedPlan().toString())
+        return call(*args, **options)
+
+    monkeypatch.setattr(sync, name, seen)
+    return plans
+
+
+@pytest.mark.parametrize("copies", [1, 4])
+@pytest.mark.parametrize("broadcast_ids", [1_000_000, 0])
+def test_a_load_moves_bodies_once(spark, tmp_path, monkeypatch, copies, broadcast_ids):
+    """No file is picked out where all are pending, and first rows are marked, whether they or their copies are fewer."""
+    monkeypatch.setattr(sync, "BROADCAST_IDS", broadcast_ids)
+    parsed, loaded = recorded(monkeypatch, "parse_workbooks", 0), recorded(monkeypatch, "stage_load", 2)
+    paths = SyncPaths(*(str(tmp_path / name) for name in ("target", "manifest", "queue")))
+    body = "长" * 40000
+    rows = [sheet_row(1, "招标", body), sheet_row(2, "中标"), *[sheet_row(1, "招标", body)] * copies, sheet_row(3, OTHER_CATEGORY)]
+    file = ("/in/a.xlsx", bytearray(workbook_bytes(rows)))
+    result = sync_batch(spark, spark.createDataFrame([file, file, ("/in/b.xlsx", file[1])], "path string, content binary"), paths)
+    assert (result["files"], result["rows"], result["duplicates_filtered"], result["categories_filtered"]) == (3, 2, 4 + 3 * copies, 3)
+    target = read_table(spark, paths.target, "Source_Key__c")
+    assert target.columns == [*NOTICE_FIELDS, "LastModifiedDate"]
+    found = {r["Source_Row_Number__c"]: (r["Source_Content__c"], r["content__c"]) for r in target.collect()}
+    assert found == {"1": (body, body[:32768]), "2": ("正文内容 2", "正文内容 2")}
+    assert "Exchange" not in parsed[0] and "Join" not in parsed[0]
+    assert not broadcast_ids or "Exchange hashpartitioning" not in loaded[0] and "Window" not in loaded[0]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_shuffle_files_of_a_load_go_with_each_step(spark):
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().endswith(".data")}
+
+    before = shuffled()
+    with shuffles_dropped(spark):
+        assert spark.range(1000).repartition(3, "id").selectExpr("sum(id)").first()[0] == 499500
+    for _ in range(50):  # the files go in the background
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_staged_bodies_are_those_of_eligible_rows(spark, tmp_path):
+    write(tmp_path / "in" / "a.xlsx", [sheet_row(1, "招标"), sheet_row(2, OTHER_CATEGORY)])
+    staged = sync._stage(to_notices(read_workbooks(spark, str(tmp_path / "in"))), str(tmp_path / "stage"))
+    rows = {r["Source_Row_Number__c"]: r for r in staged.collect()}
+    assert (rows["1"]["Source_Content__c"], rows["1"]["content__c"], rows["2"]["Source_Content__c"]) == ("正文内容 1", "正文内容 1", None)
+    assert rows["2"]["_length"] == 6 and rows["1"]["_id"] != rows["2"]["_id"]
+    assert "content__c" not in spark.read.parquet(str(tmp_path / "stage")).columns
+
+
+def test_rendered_workbook_is_the_same_as_one_written_part_by_part():
+    made = workbook_bytes([["1"] + [None] * 32])
+    with zipfile.ZipFile(BytesIO(made)) as archive:
+        parts = [(name, archive.read(name)) for name in archive.namelist()]
+    with zipfile.ZipFile(buffer := BytesIO(), "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in parts:
+            archive.writestr(zipfile.ZipInfo(name, (2025, 1, 1, 0, 0, 0)), content, zipfile.ZIP_DEFLATED)
+    assert len(parts) == 4 and made == buffer.getvalue()
